@@ -27,9 +27,11 @@ def read_csv_records(
     """Records of `width` string cells, in the shape of `model.RECORD`.
 
     A row with another number of fields is flagged by the corrupt-record
-    column (and keeps its text in `value`), which stays right when columns are
-    pruned; the reader's own dropping mode does not. With `multi_line`, quoted
-    line breaks are kept inside cells; Spark then reads one file per task.
+    column and keeps its text in `value`. Column pruning is off for this
+    reader: a parser that is asked for some columns only does not see that a
+    row has too many or too few of them, in dropping mode either. With
+    `multi_line`, quoted line breaks are kept inside cells; Spark then reads
+    one file per task.
     """
     cols = [f"col_{i}" for i in range(width)]
     rows = (
@@ -41,6 +43,7 @@ def read_csv_records(
         .option("multiLine", multi_line)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", BAD)
+        .option("columnPruning", False)
         .csv(paths)
     )
     return rows.select(
