@@ -169,44 +169,74 @@ def orphan_counts(rows: DataFrame, child: Column, parent: DataFrame, parent_col:
 # ---- outcomes --------------------------------------------------------------
 
 
-def evaluate(files: DataFrame, rules: list[Rule], checks: dict[str, Callable[[Rule], Column]] = CHECKS) -> DataFrame:
-    """(file_nm, seq, check, outcome) for each file and rule, unconditionally."""
-    results = []
-    for rule in rules:
-        check = checks.get(rule.check.lower())
-        if check is None:
-            raise ValueError(f"no check named {rule.check!r}")
+def _check_of(rule: Rule, checks: dict[str, Callable[[Rule], Column]]) -> Column:
+    check = checks.get(rule.check.lower())
+    if check is None:
+        raise ValueError(f"no check named {rule.check!r}")
+    return check(rule)
+
+
+def run_rules(files: DataFrame, rules: list[Rule], checks: dict[str, Callable[[Rule], Column]] = CHECKS) -> DataFrame:
+    """Files with `results`, an array of (seq, check, outcome, status) in the
+    order of the rules, and the flags `failed` and `waiting`.
+
+    `outcome` is what the check says by itself. `status` is `Skipped` after
+    the first rule that failed or waits. One projection, nothing is shuffled.
+    """
+    ordered = sorted(rules, key=lambda r: r.seq)
+    judged = files.withColumns({f"_rule_{r.seq}": _check_of(r, checks) for r in ordered}) if ordered else files
+    stopped, results = F.lit(False), []
+    for r in ordered:
+        outcome = F.col(f"_rule_{r.seq}")
         results.append(
-            F.struct(F.lit(rule.seq).alias("seq"), F.lit(rule.check).alias("check"), check(rule).alias("outcome"))
+            F.struct(
+                F.lit(r.seq).alias("seq"),
+                F.lit(r.check).alias("check"),
+                outcome.alias("outcome"),
+                F.when(stopped, SKIPPED).otherwise(outcome).alias("status"),
+            )
         )
-    if not results:
-        none = "array<struct<seq:int,check:string,outcome:string>>"
-        return files.select("file_nm", F.explode(F.array().cast(none)).alias("r")).select("file_nm", "r.*")
-    return files.select("file_nm", F.explode(F.array(*results)).alias("r")).select("file_nm", "r.*")
+        stopped = stopped | outcome.isin(FAIL, WAITING)
+    kind = "array<struct<seq:int,check:string,outcome:string,status:string>>"
+    done = judged.withColumn("results", F.array(*results).cast(kind))
+    return done.withColumns(
+        {
+            "failed": F.exists("results", lambda r: r["status"] == FAIL),
+            "waiting": F.exists("results", lambda r: r["status"] == WAITING),
+        }
+    ).drop(*[f"_rule_{r.seq}" for r in ordered])
+
+
+def evaluate(files: DataFrame, rules: list[Rule], checks: dict[str, Callable[[Rule], Column]] = CHECKS) -> DataFrame:
+    """(file_nm, seq, check, outcome, status), one row per file and rule."""
+    return run_rules(files, rules, checks).select("file_nm", F.explode("results").alias("r")).select("file_nm", "r.*")
 
 
 def short_circuit(results: DataFrame) -> DataFrame:
-    """`Skipped` for every rule after the first that failed or waits."""
+    """The same for outcomes that come as rows: `Skipped` for every rule after
+    the first that failed or waits. The window holds the rules of one file."""
     before = Window.partitionBy("file_nm").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
     stopped = F.coalesce(F.max(F.col("outcome").isin(FAIL, WAITING)).over(before), F.lit(False))
     return results.withColumn("status", F.when(stopped, SKIPPED).otherwise(F.col("outcome")))
 
 
+def status_entries(check: Column, status: Column) -> Column:
+    """array of (action_type, action_typ_details, status) for one rule: its
+    own entry, and a file transfer after a failure."""
+
+    def entry(action: str, value: Column) -> Column:
+        return F.struct(
+            F.lit(action).alias("action_type"), check.alias("action_typ_details"), value.alias("status")
+        )
+
+    own = entry("Filelevelcheck", status)
+    return F.when(status == FAIL, F.array(own, entry("FileTransfer", F.lit(PASS)))).otherwise(F.array(own))
+
+
 def outcome_status(outcomes: DataFrame) -> DataFrame:
-    """(file_nm, seq, action_type, action_typ_details, status): one row per
-    rule, and a file transfer after each failure."""
-    check = F.struct(
-        F.lit("Filelevelcheck").alias("action_type"),
-        F.col("check").alias("action_typ_details"),
-        F.col("status").alias("status"),
-    )
-    transfer = F.struct(
-        F.lit("FileTransfer").alias("action_type"),
-        F.col("check").alias("action_typ_details"),
-        F.lit(PASS).alias("status"),
-    )
-    rows = F.when(F.col("status") == FAIL, F.array(check, transfer)).otherwise(F.array(check))
-    return outcomes.select("file_nm", "seq", F.explode(rows).alias("r")).select("file_nm", "seq", "r.*")
+    """(file_nm, seq, action_type, action_typ_details, status) for outcomes as rows."""
+    rows = F.explode(status_entries(F.col("check"), F.col("status"))).alias("r")
+    return outcomes.select("file_nm", "seq", rows).select("file_nm", "seq", "r.*")
 
 
 def file_verdict(outcomes: DataFrame) -> DataFrame:

@@ -64,6 +64,25 @@ def status_rows(files: DataFrame, action_type: str | Column, detail: str | Colum
     )
 
 
+def status_events(files: DataFrame, entries: Column) -> DataFrame:
+    """Status rows from an array of (action_type, action_typ_details, status)
+    per file: one scan of the file table, whatever the number of steps."""
+    each = files.select(*STATUS_COLUMNS[:5], F.explode(entries).alias("e"))
+    return status_rows(each, F.col("e.action_type"), F.col("e.action_typ_details"), F.col("e.status"))
+
+
+def event(when: Column, action_type: str, detail: str, status: str) -> Column:
+    """One entry for `status_events`, null unless `when`."""
+    return F.when(
+        when,
+        F.struct(
+            F.lit(action_type).alias("action_type"),
+            F.lit(detail).alias("action_typ_details"),
+            F.lit(status).alias("status"),
+        ),
+    )
+
+
 def status_log(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 

@@ -1,13 +1,13 @@
 """Intake of all pending files of one prefix in one plan.
 
     lines of all files -> parsed once, staged -> counts per file -> layouts
-    -> header match -> good rows | quarantine -> measures per file -> outcomes
-    -> passing files -> stamped, obfuscated, cast rows -> partitioned table
+    -> header match -> good rows | quarantine -> measures per file -> rules
+    -> accepted files -> stamped, obfuscated, cast rows -> partitioned table
 
 Rows are parsed and written to the shared staging folder once; what follows
 reads that table (columns it needs only). No step loops over files, and no data
-row reaches the driver: it sees the configuration of the prefix, file names and
-the largest header width.
+row reaches the driver: it sees the configuration of the prefix and the names
+and sizes of files.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from rawgate import model
 from rawgate.functions.cleaning import clean_cell, drop_all_null, remove_chars
 from rawgate.functions.delimiters import content_format
 from rawgate.functions.headers import normalise_header, pick_positions, schema_match, slice_text
-from rawgate.joins import join_per_file
+from rawgate.joins import fits_broadcast, join_per_file
 from rawgate.operators import checks as ck
 from rawgate.operators import enrich, publish, records, rows, schema
 from rawgate.session import stage
@@ -35,7 +35,13 @@ BEFORE_ALL = "named_struct('block', -1L, 'line_id', -1L)"
 
 @dataclass
 class IntakeOptions:
-    """What is not in the control tables."""
+    """What is not in the control tables.
+
+    `parents` holds the parent tables of integrity checks by name, with the
+    rows of the snapshot; others are read from the catalog. `positional` cuts
+    rows by place even where the header has additional columns. `keep_bad`
+    publishes bad rows too. `folders` says that each file is a folder of parts.
+    """
 
     src_sys_nm: str | None = None
     dq_flag: int | str | None = 0
@@ -49,7 +55,7 @@ class IntakeOptions:
 
 @dataclass
 class IntakeResult:
-    """Frames of one run; all read the staged table, so each can be written on its own."""
+    """Frames of one run; all read staged tables, so each can be written on its own."""
 
     published: DataFrame
     quarantine: DataFrame
@@ -80,41 +86,39 @@ class _Prefix:
     types: list[str]
     obfuscated: list[str]
     rules: list[ck.Rule]
-    fmt: Row
+    n_head: int
+    n_tail: int
+    no_ident: bool
     mode: str
-    clean: bool
-    keep_quotes: bool
     settings: Row | None
+    clean: Row | None
     pairs: list[tuple[str, str]]
 
     @property
-    def total_length(self) -> int:
-        return sum(self.lengths)
+    def intraday(self) -> bool:
+        return self.conf["intraday_flag"] == "y"
+
+    @property
+    def casting(self) -> bool:
+        return self.conf["typecasting_flag"] == "Y"
+
+    @property
+    def header_expected(self) -> bool:
+        return self.conf["col_header_flag"] == "Y"
 
 
 def _read_prefix(control: ct.ControlTables, prefix: str, src: str | None) -> _Prefix:
+    """Four small reads, one per control table."""
     expected = ct.with_defaults(ct.for_prefix(control.expected_files, prefix))
-    if src:
-        expected = expected.filter(F.col("src_sys_nm") == src)
-    conf = expected.first()
+    conf = (expected.filter(F.col("src_sys_nm") == src) if src else expected).first()
     cols = ct.expected_columns(ct.for_prefix(control.file_schema, prefix)).first()
     if conf is None or cols is None:
         raise ValueError(f"prefix {prefix!r} is not registered")
-    checklist = ct.for_prefix(control.checklist, prefix)
-    rules = ck.rules_of(checklist)
-    formats = checklist.filter(F.lower("file_chck_typ") == "filecontentcheck").select("arguments")
-    blank = control.checklist.sparkSession.range(1).select(F.lit("").alias("arguments"))
-    fmt = formats.unionAll(blank).select(content_format(F.col("arguments")).alias("f")).first()["f"]
-    expected_prefix = expected.select(F.lower("file_prefix_nm").alias("file_prefix_nm"))
-    mapping = control.mapping
-    mode = ct.reading_modes(expected_prefix, _lower_keys(mapping)).first()
-    groups = {"multiline": "listOfMultilineFiles", "clean": "data_clean_configuration", "xml": "xml_configuration"}
-    settings = None
-    if mode["mode"] in groups:
-        settings = ct.for_prefix(ct.prefix_settings(mapping, groups[mode["mode"]]), prefix).first()
-    clean = None
-    if mode["is_clean"]:
-        clean = ct.for_prefix(ct.prefix_settings(mapping, groups["clean"]), prefix).first()
+    checklist = ck.rule_list(ct.for_prefix(control.checklist, prefix))
+    listed = checklist.withColumn("fmt", content_format(F.col("arguments"))).orderBy("seq").collect()
+    formats = [r["fmt"] for r in listed if r["file_chck_typ"].lower() == "filecontentcheck"]
+    mapped = ct.mapping_of(control.mapping, prefix)
+    fixed = conf["fixed_width"]
     return _Prefix(
         conf=conf,
         names=list(cols["names"]),
@@ -122,29 +126,18 @@ def _read_prefix(control: ct.ControlTables, prefix: str, src: str | None) -> _Pr
         lengths=[n or 0 for n in cols["lengths"]],
         types=list(cols["types"]),
         obfuscated=[n for n, o in zip(cols["names"], cols["obfuscate"], strict=True) if o],
-        rules=rules,
-        fmt=fmt,
-        mode="fixed_width" if conf["fixed_width"] else mode["mode"],
-        clean=bool(mode["is_clean"]),
-        keep_quotes=mode["quote_flag"] == "Y",
-        settings=clean if clean is not None and mode["mode"] != "xml" else settings,
-        pairs=ct.name_pairs(mapping),
+        rules=[ck.Rule(r["seq"], r["file_chck_typ"], r["arguments"], r["threshold_pre"]) for r in listed],
+        n_head=formats[0]["n_head"] if formats else 0,
+        n_tail=formats[0]["n_tail"] if formats else 0,
+        no_ident=formats[0]["no_ident"] if formats else False,
+        mode="fixed_width" if fixed else mapped.mode,
+        settings=mapped.settings.get(mapped.mode),
+        clean=None if fixed else mapped.settings.get("clean"),
+        pairs=mapped.pairs,
     )
 
 
-def _lower_keys(mapping: DataFrame) -> DataFrame:
-    """Prefixes inside the JSON settings compare without case."""
-    folded = F.when(
-        F.lower("group_name").isin("listofmultilinefiles", "data_clean_configuration", "xml_configuration"),
-        F.to_json(
-            F.struct(
-                F.transform_keys(
-                    F.from_json("val1", model.PREFIX_CONFIG)["file_prefix_nm"], lambda k, _: F.lower(k)
-                ).alias("file_prefix_nm")
-            )
-        ),
-    ).otherwise(F.col("val1"))
-    return mapping.withColumn("val1", folded)
+# ---- reading ---------------------------------------------------------------
 
 
 def _read_records(spark: SparkSession, p: _Prefix, paths: list[tuple[str, int]], opt: IntakeOptions) -> DataFrame:
@@ -169,157 +162,166 @@ def _read_records(spark: SparkSession, p: _Prefix, paths: list[tuple[str, int]],
             folders=opt.folders,
         )
         return _clean_records(found, p)
-    gzip = [path for path, _ in paths if ".gz" in path]
+    gzip = [(path, size) for path, size in paths if ".gz" in path]
     plain = [path for path, _ in paths if ".gz" not in path]
     readers = []
     if plain:
         readers.append(lines.read_lines(spark, plain, opt.folders))
     if gzip:
-        size = sum(n for path, n in paths if ".gz" in path)
-        readers.append(lines.read_gzip_lines(spark, gzip, size, opt.folders))
+        size = sum(size for _, size in gzip)
+        readers.append(lines.read_gzip_lines(spark, [path for path, _ in gzip], size, opt.folders))
     return lines.delimited_records(publish.status_log(readers), sep)
 
 
 def _clean_records(found: DataFrame, p: _Prefix) -> DataFrame:
-    """Configured cleaning of the cells: quotes, dropped fields, removed characters."""
-    dropped = {i - 1 for i in (p.settings["drop_field_index"] or [])} if p.clean else set()
-    patterns = list(p.settings["hex_list"] or []) if p.clean else []
-    kept = [i for i in range(p.settings["total_column"]) if i not in dropped]
-    cells = F.array(
-        *[clean_cell(remove_chars(F.coalesce(F.get("cells", F.lit(i)), F.lit("")), patterns), p.keep_quotes) for i in kept]
-    )
-    out = found.withColumn("cells", cells)
+    """Configured cleaning of the cells: dropped fields, removed characters, outer quotes."""
+    width = p.settings["total_column"]
+    dropped, patterns, keep_quotes = set(), [], False
+    if p.clean is not None:
+        dropped = {i - 1 for i in (p.clean["drop_field_index"] or [])}
+        patterns = list(p.clean["hex_list"] or [])
+        keep_quotes = p.clean["quote_flag"] == "Y"
+    kept = [i for i in range(width) if i not in dropped]
+
+    def cell(i: int) -> Column:
+        text = F.coalesce(F.get("cells", F.lit(i)), F.lit(""))
+        return clean_cell(remove_chars(text, patterns), keep_quotes)
+
+    out = found.withColumn("cells", F.array(*[cell(i) for i in kept]))
     return out.withColumns({"ident": F.get("cells", F.lit(0)), "n_fields": F.lit(len(kept))})
 
 
-def _layouts(found: DataFrame, manifest: DataFrame, p: _Prefix, positional: bool) -> DataFrame:
-    """One row per present file: counts, layout, header, trailer, positions between
-    which its data lies, and how its columns are matched."""
-    fixed = p.mode == "fixed_width"
-    files = records.with_counts(manifest, records.file_counts(found))
+# ---- layouts ---------------------------------------------------------------
+
+
+def _with_layout(files: DataFrame, p: _Prefix) -> DataFrame:
     files = files.withColumns(
         {
             "col_header_flag": F.lit(p.conf["col_header_flag"]),
-            "no_ident": F.lit(p.fmt["no_ident"]),
-            "fmt_head": F.lit(p.fmt["n_head"]),
-            "fmt_tail": F.lit(0 if p.mode == "xml" else p.fmt["n_tail"]),
+            "no_ident": F.lit(p.no_ident or p.mode == "xml"),
+            "fmt_head": F.lit(0 if p.mode == "xml" else p.n_head),
+            "fmt_tail": F.lit(0 if p.mode == "xml" else p.n_tail),
         }
     )
-    if p.mode == "xml":
-        # rows come by element: no header or trailer records, no indicator
-        files = files.withColumns(
-            {
-                "layout": F.lit("xml"),
-                "lead": F.lit(False),
-                "header_from": F.lit("none"),
-                "header_checked": F.lit(False),
-                "keep_all": F.lit(True),
-                "no_ident": F.lit(True),
-                "fmt_head": F.lit(0),
-            }
-        )
-    else:
-        files = records.classify_layout(files, fixed)
-    # header candidates: at most two rows per file
-    k = min(max(p.fmt["n_head"], 1), 2)
-    by_line = records.take_headers(found, k)
-    candidates = [by_line.select("file_nm", "nth", "cells", F.struct("block", "line_id").alias("pos"), F.lit("line").alias("kind"))]
-    if not p.fmt["no_ident"]:
-        candidates.append(
-            records.header_rows(found).select(
-                "file_nm", "nth", "cells", F.struct("block", "line_id").alias("pos"), F.lit("head").alias("kind")
-            )
-        )
-    heads = publish.status_log(candidates).groupBy("file_nm").agg(
-        *[
-            F.max(F.when((F.col("kind") == kind) & (F.col("nth") == n), F.struct("pos", "cells"))).alias(f"{kind}_{n}")
-            for kind in ("line", "head")
-            for n in (1, 2)
-        ]
+    if p.mode != "xml":
+        return records.classify_layout(files, p.mode == "fixed_width")
+    # rows come by element: no header or trailer records, no indicator
+    return files.withColumns(
+        {
+            "layout": F.lit("xml"),
+            "lead": F.lit(False),
+            "header_from": F.lit("none"),
+            "header_checked": F.lit(False),
+            "keep_all": F.lit(True),
+        }
     )
-    if p.fmt["no_ident"]:
-        tails = records.last_records(found).select("file_nm", F.col("cells").alias("trailer"))
+
+
+def _with_edges(files: DataFrame, found: DataFrame, p: _Prefix) -> DataFrame:
+    """Files with `line_1`, `line_2`, `head_1`, `head_2` (position and cells, as
+    far as the configuration can ask for them) and the `trailer` cells."""
+    here = F.struct("block", "line_id").alias("pos")
+    parts = []
+    if p.mode != "xml" and (p.no_ident or p.header_expected):
+        k = 2 if p.no_ident and p.n_head == 2 else 1
+        parts.append(records.take_headers(found, k).select("file_nm", "nth", "cells", here, F.lit("line").alias("kind")))
+    if p.mode != "xml" and not p.no_ident:
+        parts.append(records.header_rows(found).select("file_nm", "nth", "cells", here, F.lit("head").alias("kind")))
+    wanted = [(kind, n) for kind in ("line", "head") for n in (1, 2)]
+    if parts:
+        # at most four rows per file
+        edges = publish.status_log(parts).groupBy("file_nm").agg(
+            *[
+                F.max(F.when((F.col("kind") == kind) & (F.col("nth") == n), F.struct("pos", "cells"))).alias(f"{kind}_{n}")
+                for kind, n in wanted
+            ]
+        )
+        files = files.join(edges, "file_nm", "left")
     else:
-        tails = records.last_trailer(found).select("file_nm", F.col("cells").alias("trailer"))
-    files = files.join(heads, "file_nm", "left").join(tails, "file_nm", "left")
-    source = F.when(F.col("header_from") == "line_1", F.col("line_1"))
-    for name in ("line_2", "head_1", "head_2"):
-        source = source.when(F.col("header_from") == name, F.col(name))
-    # data starts after the header lines that carry no identifier
+        none = "struct<pos:struct<block:bigint,line_id:bigint>,cells:array<string>>"
+        files = files.withColumns({f"{kind}_{n}": F.lit(None).cast(none) for kind, n in wanted})
+    if p.mode == "xml":
+        return files.withColumn("trailer", F.lit(None).cast("array<string>"))
+    last = records.last_records(found) if p.no_ident else records.last_trailer(found)
+    return files.join(last.select("file_nm", F.col("cells").alias("trailer")), "file_nm", "left")
+
+
+def _layouts(found: DataFrame, manifest: DataFrame, p: _Prefix, positional: bool) -> DataFrame:
+    """One row per present file: counts, layout, header, trailer, where its data
+    lies, and the place of each registered column in a row."""
+    fixed = p.mode == "fixed_width"
+    files = records.with_counts(manifest, records.file_counts(found))
+    files = _with_edges(_with_layout(files, p), found, p)
+    text = F.get("trailer", F.lit(0))
+    trailer = F.col("trailer")
+    if fixed and not p.no_ident:
+        trailer = F.when(text.isNotNull(), F.array(F.substring(text, 1, 1), F.substring(text, F.lit(2), F.length(text))))
+    has_tail = F.col("no_ident") & (F.col("fmt_tail") == 1)
+    # header lines without an identifier, which data comes after
     skip = (
-        F.when(F.col("layout") == "manual", F.lit(0 if fixed else 1))
-        .when(F.col("no_ident"), F.col("fmt_head"))
-        .otherwise(0)
+        F.when(F.col("layout") == "manual", F.lit(0 if fixed else 1)).when(F.col("no_ident"), F.col("fmt_head")).otherwise(0)
     )
+    source = F.when(F.col("header_from") == "line_1", F.col("line_1.cells"))
+    for name in ("line_2", "head_1", "head_2"):
+        source = source.when(F.col("header_from") == name, F.col(f"{name}.cells"))
     files = files.withColumns(
         {
-            "header": source["cells"],
-            "n_skip": skip,
+            "header": F.coalesce(source, F.array().cast("array<string>")),
+            "trailer": F.when(~F.col("no_ident") | has_tail, trailer),
+            "has_tail": has_tail,
             "after": F.when(skip == 1, F.col("line_1.pos")).when(skip == 2, F.col("line_2.pos")).otherwise(F.expr(BEFORE_ALL)),
-            "has_tail": F.col("no_ident") & (F.col("fmt_tail") == 1),
+            # rows that are left: no filter by identifier where there is none
+            "n_data": F.when(F.col("keep_all"), F.col("n_lines") - skip - has_tail.cast("int")).otherwise(F.col("n_data")),
         }
-    )
-    trailer = F.when(~F.col("no_ident") | F.col("has_tail"), F.col("trailer"))
-    if fixed:
-        # first character, then the rest
-        text = F.get("trailer", F.lit(0))
-        trailer = F.when(
-            ~F.col("no_ident"), F.array(F.substring(text, 1, 1), F.substring(text, F.lit(2), F.length(text)))
-        ).when(F.col("has_tail"), F.array(text))
-    files = files.withColumn("trailer", trailer)
+    ).drop("line_1", "line_2", "head_1", "head_2")
     return _match_schema(files, p, fixed, positional)
 
 
 def _match_schema(files: DataFrame, p: _Prefix, fixed: bool, positional: bool) -> DataFrame:
-    names = F.array(*[F.lit(n) for n in p.names])
-    expected = ct.with_lead(names, F.col("lead"))
-    header = F.coalesce(F.col("header"), F.array().cast("array<string>"))
+    header, by_line = F.col("header"), F.col("header_from").startswith("line")
     if fixed:
         line = F.get("header", F.lit(0))
-        ident_header = F.col("header_from").startswith("head")
-        body = F.when(ident_header, F.substring(line, F.lit(2), F.length(line))).otherwise(line)
-        header = F.when(F.col("header").isNull(), F.array().cast("array<string>")).otherwise(
-            ct.with_lead(slice_text(body, p.name_lengths), F.col("lead"))
-        )
+        body = F.when(by_line, line).otherwise(F.substring(line, F.lit(2), F.length(line)))
+        cut = ct.with_lead(slice_text(body, p.name_lengths), F.col("lead"))
+        header = F.when(F.size("header") > 0, cut).otherwise(header)
     else:
-        # without identifiers the header line has no mark of its own
-        header = ct.with_lead(header, F.col("lead") & F.col("header_from").startswith("line"))
-    header = normalise_header(header, p.pairs)
-    files = files.withColumns({"header": header, "expected": expected})
-    match = F.when(~F.col("header_checked"), "unchecked").otherwise(schema_match(F.col("header"), F.col("expected")))
-    files = files.withColumn("match", match)
-    edges = F.when(F.col("keep_all"), F.col("n_head") + F.col("n_trail") - F.col("n_skip") - F.col("has_tail").cast("int")).otherwise(0)
-    left = F.col("n_data") + edges
-    pick = pick_positions(F.col("header"), F.col("expected"))
-    # place of each registered column in a row; with an indicator the first place is its own
+        # a header line without identifier has no mark of its own
+        header = ct.with_lead(header, F.col("lead") & by_line)
     width, first = len(p.names), F.col("lead").cast("int")
+    expected = ct.with_lead(F.array(*[F.lit(n) for n in p.names]), F.col("lead"))
+    files = files.withColumns({"header": normalise_header(header, p.pairs), "expected": expected})
+    match = F.when(~F.col("header_checked"), "unchecked").otherwise(schema_match(F.col("header"), F.col("expected")))
     by_place = F.transform(F.sequence(F.lit(1), F.lit(width)), lambda i: i + first)
-    by_name = None if positional or fixed else F.when(F.col("match") == "extra", F.slice(pick, first + 1, width))
-    place = by_place if by_name is None else F.coalesce(by_name, by_place)
-    return files.withColumns(
-        {"empty": left <= 0, "n_data": left, "place": place, "need": F.array_max(place)}
-    ).drop("line_1", "line_2", "head_1", "head_2")
+    place = by_place
+    if not positional and not fixed:
+        pick = pick_positions(F.col("header"), F.col("expected"))
+        place = F.when(match == "extra", F.slice(pick, first + 1, width)).otherwise(by_place)
+    files = files.withColumns({"match": match, "empty": F.col("n_data") <= 0, "place": place})
+    loads = ~F.col("empty") & (F.col("match") != "fail") & (F.col("layout") != "unsupported")
+    return files.withColumns({"need": F.array_max("place"), "loads": loads})
 
 
-def _data_rows(found: DataFrame, files: DataFrame, p: _Prefix) -> DataFrame:
-    """Data records of files that can be loaded, with `reason` for the bad ones,
-    and the registered columns as text."""
-    facts = files.filter(~F.col("empty") & (F.col("match") != "fail") & (F.col("layout") != "unsupported")).select(
-        "file_nm", "lead", "keep_all", "after", "last_pos", "has_tail", "place", "need"
-    )
-    joined = join_per_file(found, facts)
+# ---- rows ------------------------------------------------------------------
+
+ROW_FACTS = ["file_nm", "lead", "keep_all", "after", "last_pos", "has_tail", "place", "need"]
+
+
+def _data_rows(found: DataFrame, facts: DataFrame, p: _Prefix, small: bool) -> DataFrame:
+    """Data records of the files in `facts`, with `reason` for the bad ones, the
+    registered columns as text, and whatever else `facts` has."""
+    stamps = [c for c in facts.columns if c not in ROW_FACTS]
     pos = F.struct("block", "line_id")
-    data = joined.filter(
+    data = join_per_file(found, facts, small).filter(
         (F.col("keep_all") | ~records.record_type().isin("H", "T"))
         & (pos > F.col("after"))
         & ~(F.col("has_tail") & (pos == F.col("last_pos")))
     )
-    keep = [*model.POSITION, "line", "reason"]
+    keep = [*model.POSITION, "line", "reason", *stamps]
     if p.mode == "fixed_width":
         line = F.get("cells", F.lit(0))
         text = F.when(F.col("lead"), F.substring(line, F.lit(2), F.length(line))).otherwise(line)
         marked = data.withColumn("_text", text).withColumns(
-            {"line": line, "reason": rows.length_reason(F.col("_text"), p.total_length)}
+            {"line": line, "reason": rows.length_reason(F.col("_text"), sum(p.lengths))}
         )
         return schema.fixed_width_columns(marked, F.col("_text"), p.names, p.lengths, keep)
     marked = data.withColumns(
@@ -329,63 +331,85 @@ def _data_rows(found: DataFrame, files: DataFrame, p: _Prefix) -> DataFrame:
 
 
 def _measures(data: DataFrame, files: DataFrame, p: _Prefix, control: ct.ControlTables, opt: IntakeOptions) -> DataFrame:
+    """Files with everything the rules of the prefix look at."""
+
+    def rules(name: str) -> list[ck.Rule]:
+        return [r for r in p.rules if r.check.lower() == name]
+
     good = F.col("reason").isNull()
-    sums = [r for r in p.rules if r.check.lower() == "sumcheckvalidation"]
     counted = data.groupBy("file_nm").agg(
         F.count_if(good).alias("n_good"),
         F.count_if(~good).alias("n_bad"),
-        *[ck.sum_measure(r, good) for r in sums],
+        *[ck.sum_measure(r, good) for r in rules("sumcheckvalidation")],
     )
     out = files.join(counted, "file_nm", "left").na.fill(0, ["n_good", "n_bad"])
-    if any(r.check.lower() == "rowcountvariancecheck" for r in p.rules):
+    if rules("rowcountvariancecheck"):
         history = ct.for_prefix(control.row_count_history, p.conf["file_prefix_nm"])
         out = out.join(ck.latest_before(out, history), "file_nm", "left")
-    for r in p.rules:
-        if r.check.lower() != "integritycheck":
-            continue
-        child, parent_name = (s.strip() for s in r.argument.split("=", 1))
-        table, column = parent_name.rsplit(".", 1)
+    for r in rules("integritycheck"):
+        child, parent_column = (s.strip() for s in r.argument.split("=", 1))
+        table, column = parent_column.rsplit(".", 1)
         parent = opt.parents[table] if table in opt.parents else data.sparkSession.table(table)
         orphans = ck.orphan_counts(data.filter(good), F.col(f"`{child.upper()}`"), parent, column)
         out = out.join(orphans.withColumnRenamed("orphans", f"orphans_{r.seq}"), "file_nm", "left")
-        ready = out.sparkSession.range(1).select(F.lit(bool(parent.take(1))).alias("r")).first()["r"]
-        out = out.na.fill(0, [f"orphans_{r.seq}"]).withColumn(f"parent_ready_{r.seq}", F.lit(ready))
+        out = out.na.fill(0, [f"orphans_{r.seq}"]).withColumn(f"parent_ready_{r.seq}", F.lit(bool(parent.take(1))))
     return out
 
 
-def _statuses(missing: DataFrame, files: DataFrame, outcomes: DataFrame, p: _Prefix, route: str) -> DataFrame:
-    def rows_for(where: Column, action: str, detail: str, status: str) -> DataFrame:
-        return publish.status_rows(files.filter(where), action, detail, status)
-
-    def flag(name: str) -> Column:
-        return F.col("disposition") == name
-
-    loadable = ~F.col("empty") & (F.col("match") != "fail") & (F.col("layout") != "unsupported")
-    accepted = flag("accepted")
-    ruled = ck.outcome_status(outcomes).join(files.filter(loadable), "file_nm")
-    frames = [
-        rows_for(F.col("empty"), "Filelevelcheck", "Emptyfilecheck", "Fail"),
-        rows_for(F.col("empty"), "FileTransfer", "EmptyfileTransfer", "Pass"),
-        rows_for(~F.col("empty") & (F.col("layout") == "unsupported"), "Filelevelcheck", "Unsupported content format", "Fail"),
-        rows_for(~F.col("empty") & (F.col("match") == "fail"), "Filelevelcheck", "Schemavalidation", "Fail"),
-        rows_for(~F.col("empty") & (F.col("match") == "fail"), "FileTransfer", "Schemavalidation", "Pass"),
-        rows_for(loadable & (F.col("n_bad") > 0), "Filelevelcheck", "IndividualRowLength", "Fail"),
-        publish.status_rows(ruled, F.col("action_type"), F.col("action_typ_details"), F.col("status")),
-        rows_for(accepted, "Filelevelcheck", "Parquetconversion", "Pass"),
+def _judge(measured: DataFrame, p: _Prefix) -> DataFrame:
+    """Files with rule results and their disposition."""
+    done = ck.run_rules(measured, p.rules)
+    no_stamp = F.col("loads") & F.col("snap_dt_ts").isNull() & F.lit(p.intraday)
+    return done.withColumns(
+        {
+            "no_stamp": no_stamp,
+            "disposition": publish.disposition(
+                missing=F.lit(False),
+                empty=F.col("empty"),
+                schema_fail=~F.col("loads"),
+                failed=F.col("failed") | no_stamp,
+                waiting=F.col("waiting"),
+            ),
+        }
+    )
+
+
+def _statuses(judged: DataFrame, p: _Prefix, route: str, obfuscated: bool) -> DataFrame:
+    empty, accepted = F.col("empty"), F.col("disposition") == "accepted"
+    unsupported = ~empty & (F.col("layout") == "unsupported")
+    mismatch = ~empty & (F.col("match") == "fail")
+    check, move = "Filelevelcheck", "FileTransfer"
+    before = [
+        publish.event(empty, check, "Emptyfilecheck", "Fail"),
+        publish.event(empty, move, "EmptyfileTransfer", "Pass"),
+        publish.event(unsupported, check, "Unsupported content format", "Fail"),
+        publish.event(mismatch, check, "Schemavalidation", "Fail"),
+        publish.event(mismatch, move, "Schemavalidation", "Pass"),
+        publish.event(F.col("loads") & (F.col("n_bad") > 0), check, "IndividualRowLength", "Fail"),
     ]
-    if p.conf["intraday_flag"] == "y":
-        frames.append(rows_for(F.col("no_stamp"), "Filelevelcheck", "Intradaystamp", "Fail"))
-    if p.conf["typecasting_flag"] == "Y":
-        frames.append(rows_for(accepted, "DataTypeCheck", "DataTypeHandling", "Pass"))
+    if p.casting:
+        typed = publish.event(accepted, "DataTypeCheck", "DataTypeHandling", "Pass")
     elif route == "publish":
-        frames.append(rows_for(accepted, "DataTypeCheck", "TypeCastingSkipped", "Pass"))
+        typed = publish.event(accepted, "DataTypeCheck", "TypeCastingSkipped", "Pass")
     else:
-        frames.append(rows_for(accepted, "DataTypeCheck", "DqInputCopy", "Pass"))
-    if p.obfuscated:
-        frames.append(rows_for(accepted & F.col("obfuscated"), "OBFUSCATION_COMPLETED", "", "Pass"))
-    if route == "publish":
-        frames.append(rows_for(accepted, "PublishToStage", "PublishToStage", "Pass"))
-    return publish.status_log(frames)
+        typed = publish.event(accepted, "DataTypeCheck", "DqInputCopy", "Pass")
+    after = [
+        publish.event(F.col("no_stamp"), check, "Intradaystamp", "Fail"),
+        publish.event(accepted, check, "Parquetconversion", "Pass"),
+        publish.event(accepted & F.lit(obfuscated), "OBFUSCATION_COMPLETED", "", "Pass"),
+        typed,
+        publish.event(accepted & F.lit(route == "publish"), "PublishToStage", "PublishToStage", "Pass"),
+    ]
+    ruled = F.flatten(F.transform("results", lambda r: ck.status_entries(r["check"], r["status"])))
+    entries = F.concat(
+        F.array_compact(F.array(*before)),
+        F.when(F.col("loads"), ruled).otherwise(F.array()),
+        F.array_compact(F.array(*after)),
+    )
+    return publish.status_events(judged, entries)
+
+
+# ---- the run ---------------------------------------------------------------
 
 
 def ingest(
@@ -399,66 +423,49 @@ def ingest(
     opt = options or IntakeOptions()
     p = _read_prefix(control, prefix, opt.src_sys_nm)
     manifest = ct.pending_files(control.manifest, opt.src_sys_nm, prefix)
-    found_files = stage(listing.list_files(spark, folder), "listing")
-    missing = listing.missing_files(manifest, found_files)
-    present = listing.present_files(manifest, found_files)
+    listed = listing.list_files(spark, folder)
+    missing = listing.missing_files(manifest, listed)
+    present = listing.present_files(manifest, listed)
     located = present.select("path", "file_size").distinct().orderBy("path").collect()
     paths = [(r["path"], r["file_size"]) for r in located if r["file_size"] > 0]
     found = stage(_read_records(spark, p, paths, opt), "records")
 
     files = _layouts(found, present, p, opt.positional)
-    if p.conf["intraday_flag"] == "y":
+    if p.intraday:
         files = enrich.intraday_stamp(files, control.file_metadata)
     else:
         files = files.withColumn("snap_dt_ts", F.lit(None).cast("string"))
     files = stage(files, "layouts")
-    data = _data_rows(found, files, p)
-    measured = stage(_measures(data, files, p, control, opt), "measures")
-
-    loadable = measured.filter(~F.col("empty") & (F.col("match") != "fail") & (F.col("layout") != "unsupported"))
-    outcomes = stage(ck.short_circuit(ck.evaluate(loadable, p.rules)), "outcomes")
-    no_stamp = F.col("snap_dt_ts").isNull() & F.lit(p.conf["intraday_flag"] == "y")
-    verdict = measured.join(ck.file_verdict(outcomes), "file_nm", "left")
-    verdict = verdict.withColumn("no_stamp", no_stamp & ~F.col("empty") & (F.col("match") != "fail"))
-    verdict = verdict.withColumns(
-        {
-            "disposition": publish.disposition(
-                F.lit(False),
-                F.col("empty"),
-                (F.col("match") == "fail") | (F.col("layout") == "unsupported"),
-                F.coalesce("failed", F.lit(False)) | F.col("no_stamp"),
-                F.coalesce("waiting", F.lit(False)),
-            ),
-            "obfuscated": F.lit(bool(p.obfuscated and opt.obfuscation_key)),
-        }
-    )
-    verdict = stage(verdict, "verdict")
+    small = fits_broadcast(files)
+    data = _data_rows(found, files.filter("loads").select(ROW_FACTS), p, small)
+    judged = stage(_judge(_measures(data, files, p, control, opt), p), "judged")
 
-    accepted = verdict.filter(F.col("disposition") == "accepted").select("file_nm", "snap_dt", "run_id", "snap_dt_ts")
+    stamps = ["snap_dt", "run_id"] + (["snap_dt_ts"] if p.intraday else [])
+    accepted = judged.filter(F.col("disposition") == "accepted").select(*ROW_FACTS, *stamps)
     wanted = F.col("reason").isNull() | F.lit(opt.keep_bad)
-    good = join_per_file(data.filter(wanted), accepted)
+    out = drop_all_null(_data_rows(found, accepted, p, small).filter(wanted), p.names)
     bad = rows.quarantine(data.filter(~wanted))
-    out = drop_all_null(good, p.names)
-    if p.obfuscated and opt.obfuscation_key:
-        out = enrich.obfuscate_columns(out, p.obfuscated, opt.obfuscation_key)
-    stamps = ["snap_dt", "run_id"] + (["snap_dt_ts"] if p.conf["intraday_flag"] == "y" else [])
-    if p.conf["typecasting_flag"] == "Y":
-        kinds = ["string" if n in p.obfuscated and opt.obfuscation_key else t for n, t in zip(p.names, p.types, strict=True)]
+    hidden = p.obfuscated if opt.obfuscation_key else []
+    if hidden:
+        out = enrich.obfuscate_columns(out, hidden, opt.obfuscation_key)
+    if p.casting:
+        kinds = ["string" if n in hidden else t for n, t in zip(p.names, p.types, strict=True)]
         out, rejects = enrich.cast_with_rejects(out, p.names, kinds)
         bad = bad.unionByName(rows.quarantine(rejects.withColumn("reason", F.lit("cast"))))
     out = out.select(*p.names, *stamps)
     if opt.target_columns:
         out = schema.rename_to_target(out, opt.target_columns)
-    route = publish.dq_route(opt.dq_flag)
 
-    all_files = verdict.select("file_nm", "src_sys_nm", "file_prefix_nm", "snap_dt", "run_id", "layout", "match", "n_good", "n_bad", "disposition")
-    absent = missing.select("file_nm", "src_sys_nm", "file_prefix_nm", "snap_dt", "run_id", F.lit("missing").alias("disposition"))
+    route = publish.dq_route(opt.dq_flag)
+    keys = ["file_nm", "src_sys_nm", "file_prefix_nm", "snap_dt", "run_id"]
+    known = judged.select(*keys, "layout", "match", "n_good", "n_bad", "disposition")
+    absent = missing.select(*keys, F.lit("missing").alias("disposition"))
     return IntakeResult(
         published=out,
         quarantine=bad,
-        statuses=_statuses(missing, verdict, outcomes, p, route),
-        files=all_files.unionByName(absent, allowMissingColumns=True),
-        schema_failures=publish.schema_failures(verdict.filter(~F.col("empty") & (F.col("match") == "fail"))),
+        statuses=_statuses(judged, p, route, bool(hidden)),
+        files=known.unionByName(absent, allowMissingColumns=True),
+        schema_failures=publish.schema_failures(judged.filter(~F.col("empty") & (F.col("match") == "fail"))),
         route=route,
         part_files=bool(p.conf["part_files"]),
         target=p.conf["target"],

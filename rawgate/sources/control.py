@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from rawgate import model
@@ -95,11 +94,6 @@ def mapping_lookup(mapping: DataFrame, group: str) -> DataFrame:
     )
 
 
-def name_pairs(mapping: DataFrame, group: str = "tabcol_repmapping") -> list[tuple[str, str]]:
-    """Replacement pairs for column names: control data of a few rows."""
-    return [(r["key1"], r["val1"]) for r in mapping_lookup(mapping, group).collect()]
-
-
 def prefix_settings(mapping: DataFrame, group: str) -> DataFrame:
     """The JSON object of a group, one row per prefix with its settings."""
     parsed = mapping.filter(F.lower("group_name") == group.lower()).select(
@@ -111,29 +105,64 @@ def prefix_settings(mapping: DataFrame, group: str) -> DataFrame:
     )
 
 
+MODE_GROUPS = {
+    "multiline": "listOfMultilineFiles",
+    "clean": "data_clean_configuration",
+    "xml": "xml_configuration",
+}
+
+
+def reading_mode(multiline: Column, clean: Column, xml: Column) -> Column:
+    """Multi-line before clean before XML before plain."""
+    return F.when(multiline, "multiline").when(clean, "clean").when(xml, "xml").otherwise("plain")
+
+
 def reading_modes(prefixes: DataFrame, mapping: DataFrame) -> DataFrame:
-    """Mode of each prefix: multi-line before clean before XML before plain."""
-
-    def listed(group: str, flag: str, *columns: str) -> DataFrame:
-        settings = prefix_settings(mapping, group).dropDuplicates(["file_prefix_nm"])
-        return settings.select("file_prefix_nm", *columns, F.lit(True).alias(flag))
-
-    multi = listed("listOfMultilineFiles", "is_multiline")
-    clean = listed("data_clean_configuration", "is_clean", "quote_flag")
-    xml = listed("xml_configuration", "is_xml")
-    joined = prefixes.select("file_prefix_nm").dropDuplicates()
-    for side in (multi, clean, xml):
-        joined = joined.join(side, "file_prefix_nm", "left")
-    return joined.select(
-        "file_prefix_nm",
-        F.when(F.col("is_multiline"), "multiline")
-        .when(F.col("is_clean"), "clean")
-        .when(F.col("is_xml"), "xml")
-        .otherwise("plain")
-        .alias("mode"),
-        F.coalesce("quote_flag", F.lit("N")).alias("quote_flag"),
-        F.coalesce("is_clean", F.lit(False)).alias("is_clean"),
+    """Mode and quote flag of each prefix, from the JSON settings of the three groups."""
+    names = prefixes.select("file_prefix_nm", F.lit(None).cast("string").alias("listed"), F.lit(None).cast("string").alias("quote_flag"))
+    for mode, group in MODE_GROUPS.items():
+        names = names.unionByName(
+            prefix_settings(mapping, group).select("file_prefix_nm", F.lit(mode).alias("listed"), "quote_flag")
+        )
+
+    def has(mode: str) -> Column:
+        return F.coalesce(F.max(F.col("listed") == mode), F.lit(False))
+
+    own = F.max(F.col("listed").isNull())
+    quote = F.max(F.when(F.col("listed") == "clean", F.col("quote_flag")))
+    found = names.groupBy("file_prefix_nm").agg(
+        own.alias("known"),
+        reading_mode(has("multiline"), has("clean"), has("xml")).alias("mode"),
+        F.coalesce(quote, F.lit("N")).alias("quote_flag"),
     )
+    return found.filter("known").drop("known")
+
+
+@dataclass
+class PrefixMapping:
+    """What the mapping table says about one prefix."""
+
+    mode: str
+    settings: dict[str, Row]
+    pairs: list[tuple[str, str]]
+
+
+def mapping_of(mapping: DataFrame, prefix: str) -> PrefixMapping:
+    """Mode, JSON settings and name pairs of one prefix, in one small read."""
+    groups = {g.lower(): m for m, g in MODE_GROUPS.items()}
+    group = F.lower("group_name")
+    config = F.transform_keys(
+        F.from_json("val1", model.PREFIX_CONFIG)["file_prefix_nm"], lambda k, _: F.lower(k)
+    )
+    own = F.when(group.isin(*groups), F.try_element_at(config, F.lit(prefix.lower())))
+    wanted = mapping.select(group.alias("g"), "eff_seq", "key1", "val1", own.alias("own")).filter(
+        F.col("own").isNotNull() | (F.col("g") == "tabcol_repmapping")
+    )
+    rows = wanted.orderBy(F.col("eff_seq").asc_nulls_last(), "key1").collect()
+    settings = {groups[r["g"]]: r["own"] for r in rows if r["own"] is not None}
+    pairs = [(r["key1"], r["val1"]) for r in rows if r["g"] == "tabcol_repmapping"]
+    mode = next((m for m in MODE_GROUPS if m in settings), "plain")
+    return PrefixMapping(mode, settings, pairs)
 
 
 def expected_columns(file_schema: DataFrame) -> DataFrame:
@@ -174,11 +203,3 @@ def pending_files(manifest: DataFrame, src_sys_nm: str | None, prefix: str) -> D
 def metadata_value(details: Column, key: str) -> Column:
     """Value of `key` in text such as `file_size:1,rows:2,key:value`; null if not there."""
     return F.nullif(F.regexp_extract(details, rf"(?:^|,)\s*{key}:([^,]*)", 1), F.lit(""))
-
-
-def unique_prefixes(tables: Iterable[DataFrame]) -> DataFrame:
-    out = None
-    for table in tables:
-        part = table.select(F.lower("file_prefix_nm").alias("file_prefix_nm"))
-        out = part if out is None else out.unionByName(part)
-    return out.dropDuplicates()
