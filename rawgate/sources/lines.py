@@ -12,14 +12,15 @@ PLAIN_BYTES_PER_PARTITION = 200 * 1024 * 1024
 
 
 def strip_nul(text: Column) -> Column:
-    return F.translate(text, "\x00", "")
+    return F.replace(text, F.lit("\x00"), F.lit(""))
 
 
 def source_name(folders: bool = False) -> Column:
     """Name of the file a row comes from. With `folders`, a file was landed as
     a folder of parts and the folder's name counts (after `=`, if it has one)."""
     if folders:
-        return F.regexp_extract("_metadata.file_path", "([^/=]+)/[^/]+$", 1)
+        folder = F.substring_index(F.substring_index("_metadata.file_path", "/", -2), "/", 1)
+        return F.substring_index(folder, "=", -1)
     return F.col("_metadata.file_name")
 
 
