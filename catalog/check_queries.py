@@ -103,8 +103,7 @@ def orders_measures(spark: SparkSession, sf_dir: str, rules: list[checks.Rule])
     counts = judged.groupBy("file_nm").agg(
         F.count_if(good).alias("n_good"), F.count_if(~good).alias("n_bad"), *sums
     )
-    trailers = records.last_trailer(found).select("file_nm", F.col("cells").alias("trailer"))
-    files = records.file_counts(found).join(counts, "file_nm").join(trailers, "file_nm", "left")
+    files = records.file_counts(found).join(counts, "file_nm").join(records.last_trailer(found), "file_nm", "left")
     return files.withColumns({"no_ident": F.lit(False), "fmt_head": F.lit(2), "fmt_tail": F.lit(1)})
 
 

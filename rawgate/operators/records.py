@@ -11,6 +11,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rawgate.model import POSITION
+from rawgate.session import stage
+
+MARKS = {"H": ("H", "h"), "D": ("D", "d"), "T": ("T", "t")}
 
 
 def record_type() -> Column:
@@ -19,6 +22,11 @@ def record_type() -> Column:
     return F.when(upper.isin("H", "D", "T"), upper).otherwise("?")
 
 
+def marked(kind: str) -> Column:
+    """Rows of one kind; plain values, so that the filter reaches the scan."""
+    return F.col("ident").isin(*MARKS[kind])
+
+
 def identifier_split(lines: DataFrame) -> DataFrame:
     """First character and the rest of each line."""
     return lines.withColumns(
@@ -48,9 +56,14 @@ def file_counts(records: DataFrame) -> DataFrame:
 def head_positions(records: DataFrame, k: int) -> DataFrame:
     """Positions of the first `k` records of each file, with their rank `nth`.
 
-    The rank filter is pushed below the shuffle by Spark (window group limit):
-    each task passes on at most `k` positions per file.
+    One record is a minimum per split and file. For more the rank filter is
+    pushed below the shuffle by Spark (window group limit): each task passes
+    on at most `k` positions per file.
     """
+    if k == 1:
+        per_block = records.groupBy("file_nm", "block").agg(F.min("line_id").alias("line_id"))
+        first = per_block.groupBy("file_nm").agg(F.min(F.struct("block", "line_id")).alias("p"))
+        return first.select("file_nm", "p.block", "p.line_id", F.lit(1).alias("nth"))
     order = Window.partitionBy("file_nm").orderBy("block", "line_id")
     ranked = records.select(*POSITION).withColumn("nth", F.row_number().over(order))
     return ranked.filter(F.col("nth") <= k)
@@ -63,19 +76,29 @@ def tail_positions(records: DataFrame) -> DataFrame:
     return last.select("file_nm", "p.block", "p.line_id")
 
 
+def at_positions(records: DataFrame, positions: DataFrame, how: str = "inner") -> DataFrame:
+    """Records at the given positions (or, with `left_anti`, all others).
+
+    The few positions are written out first. Spark then knows their size when
+    it plans the join, and broadcasts them only if they are small; the join
+    key is unique, so that without a broadcast no key is hot.
+    """
+    return records.join(stage(positions, "positions"), POSITION, how)
+
+
 def first_records(records: DataFrame) -> DataFrame:
     return take_headers(records, 1).drop("nth")
 
 
 def last_records(records: DataFrame) -> DataFrame:
-    return records.join(tail_positions(records), POSITION)
+    return at_positions(records, tail_positions(records))
 
 
 def take_headers(records: DataFrame, k: int) -> DataFrame:
     """The first `k` records of each file with their rank."""
     if k not in (0, 1, 2):
         raise ValueError(f"unsupported number of header lines: {k}")
-    return records.join(head_positions(records, k), POSITION)
+    return at_positions(records, head_positions(records, k))
 
 
 def drop_edges(records: DataFrame, n_head: int, n_tail: int, by_value: bool = False) -> DataFrame:
@@ -95,27 +118,27 @@ def drop_edges(records: DataFrame, n_head: int, n_tail: int, by_value: bool = Fa
     if edges is None:
         return records
     if not by_value:
-        return records.join(edges, POSITION, "left_anti")
-    # the position in the file may match two ways (one line that is head and tail)
-    values = records.join(edges, POSITION, "left_semi").select("file_nm", "cells").dropDuplicates()
-    return records.join(values, ["file_nm", "cells"], "left_anti")
+        return at_positions(records, edges, "left_anti")
+    values = at_positions(records, edges, "left_semi").select("file_nm", "cells").dropDuplicates()
+    return records.join(stage(values, "edges"), ["file_nm", "cells"], "left_anti")
 
 
 def header_rows(records: DataFrame, k: int = 2) -> DataFrame:
     """The first `k` H rows of each file with their rank."""
     order = Window.partitionBy("file_nm").orderBy("block", "line_id")
-    heads = records.filter(record_type() == "H")
+    heads = records.filter(marked("H"))
     return heads.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= k)
 
 
 def trailer_rows(records: DataFrame) -> DataFrame:
-    return records.filter(record_type() == "T")
+    return records.filter(marked("T"))
 
 
 def last_trailer(records: DataFrame) -> DataFrame:
-    """The last T row of each file."""
-    trailers = trailer_rows(records)
-    return trailers.join(tail_positions(trailers), POSITION)
+    """(file_nm, trailer): cells of the last T row of each file."""
+    return trailer_rows(records).groupBy("file_nm").agg(
+        F.max_by("cells", F.struct("block", "line_id")).alias("trailer")
+    )
 
 
 def data_rows(records: DataFrame) -> DataFrame:
@@ -126,7 +149,7 @@ def data_rows(records: DataFrame) -> DataFrame:
 def indicator_rows(records: DataFrame) -> DataFrame:
     """Rows marked D, without the mark."""
     return (
-        records.filter(record_type() == "D")
+        records.filter(marked("D"))
         .withColumn("cells", F.slice("cells", 2, F.greatest(F.size("cells") - 1, F.lit(0))))
         .withColumn("n_fields", F.col("n_fields") - 1)
     )
@@ -141,7 +164,7 @@ def restore_line(lines: DataFrame, no_indicator: Column) -> DataFrame:
 
 def sample_rows(records: DataFrame, n: int = 10) -> DataFrame:
     """The first `n` records of each file, for a look at its contents."""
-    return records.join(head_positions(records, n), POSITION)
+    return at_positions(records, head_positions(records, n))
 
 
 def classify_layout(files: DataFrame, fixed_width: bool = False, compat: bool = False) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from rawgate.operators.records import drop_edges, marked
+
 
 def width_reason(need: Column | int) -> Column:
     """Why a delimited row is bad: `malformed`, `short`, or null for a good one.
@@ -61,10 +63,8 @@ def bad_records(records: DataFrame, config_type: str, distinct: bool = False) ->
     `automated` files look at rows marked D, `manual` ones at all but the first
     row. `distinct` counts equal rows once.
     """
-    from rawgate.operators.records import drop_edges, record_type
-
     if config_type == "automated":
-        rows = records.filter(record_type() == "D")
+        rows = records.filter(marked("D"))
     elif config_type == "manual":
         rows = drop_edges(records, 1, 0)
     else:

@@ -217,44 +217,49 @@ def _with_layout(files: DataFrame, p: _Prefix) -> DataFrame:
     )
 
 
-def _with_edges(files: DataFrame, found: DataFrame, p: _Prefix) -> DataFrame:
+def _edges(found: DataFrame, files: DataFrame, p: _Prefix) -> DataFrame:
     """Files with `line_1`, `line_2`, `head_1`, `head_2` (position and cells, as
-    far as the configuration can ask for them) and the `trailer` cells."""
+    far as the layout asks for them) and the `trailer` cells.
+
+    Positions of first and last records come from the counts, so that only the
+    records at these positions, and H and T rows, are looked up.
+    """
+    none = "struct<pos:struct<block:bigint,line_id:bigint>,cells:array<string>>"
     here = F.struct("block", "line_id").alias("pos")
     parts = []
-    if p.mode != "xml" and (p.no_ident or p.header_expected):
-        k = 2 if p.no_ident and p.n_head == 2 else 1
-        parts.append(records.take_headers(found, k).select("file_nm", "nth", "cells", here, F.lit("line").alias("kind")))
-    if p.mode != "xml" and not p.no_ident:
-        parts.append(records.header_rows(found).select("file_nm", "nth", "cells", here, F.lit("head").alias("kind")))
-    wanted = [(kind, n) for kind in ("line", "head") for n in (1, 2)]
-    if parts:
-        # at most four rows per file
-        edges = publish.status_log(parts).groupBy("file_nm").agg(
-            *[
-                F.max(F.when((F.col("kind") == kind) & (F.col("nth") == n), F.struct("pos", "cells"))).alias(f"{kind}_{n}")
-                for kind, n in wanted
-            ]
-        )
-        files = files.join(edges, "file_nm", "left")
-    else:
-        none = "struct<pos:struct<block:bigint,line_id:bigint>,cells:array<string>>"
-        files = files.withColumns({f"{kind}_{n}": F.lit(None).cast(none) for kind, n in wanted})
-    if p.mode == "xml":
-        return files.withColumn("trailer", F.lit(None).cast("array<string>"))
-    last = records.last_records(found) if p.no_ident else records.last_trailer(found)
-    return files.join(last.select("file_nm", F.col("cells").alias("trailer")), "file_nm", "left")
+    if p.mode != "xml":
+        first = files.filter(F.col("header_from").startswith("line") | (F.col("no_ident") & (F.col("fmt_head") > 0)))
+        first = first.select("file_nm", "first_pos.*", F.lit("line_1").alias("kind"))
+        last = files.filter(F.col("no_ident") & (F.col("fmt_tail") == 1))
+        positions = first.unionByName(last.select("file_nm", "last_pos.*", F.lit("last").alias("kind")))
+        if p.no_ident and p.n_head == 2:
+            second = records.head_positions(found, 2).filter("nth = 2")
+            positions = positions.unionByName(second.select(*model.POSITION, F.lit("line_2").alias("kind")))
+        parts.append(records.at_positions(found, positions).select("file_nm", "kind", here, "cells"))
+        if not p.no_ident:
+            heads = records.header_rows(found)
+            parts.append(heads.select("file_nm", F.concat(F.lit("head_"), "nth").alias("kind"), here, "cells"))
+            tails = records.last_trailer(found)
+            parts.append(tails.select("file_nm", F.lit("last").alias("kind"), F.expr("NULL").alias("pos"), F.col("trailer").alias("cells")))
+    kinds = ("line_1", "line_2", "head_1", "head_2", "last")
+    if not parts:
+        return files.withColumns({kind: F.lit(None).cast(none) for kind in kinds})
+    # at most five rows per file
+    edges = publish.status_log(parts).groupBy("file_nm").agg(
+        *[F.max(F.when(F.col("kind") == kind, F.struct("pos", "cells"))).alias(kind) for kind in kinds]
+    )
+    return files.join(edges, "file_nm", "left")
 
 
 def _layouts(found: DataFrame, manifest: DataFrame, p: _Prefix, positional: bool) -> DataFrame:
     """One row per present file: counts, layout, header, trailer, where its data
     lies, and the place of each registered column in a row."""
     fixed = p.mode == "fixed_width"
-    files = records.with_counts(manifest, records.file_counts(found))
-    files = _with_edges(_with_layout(files, p), found, p)
-    text = F.get("trailer", F.lit(0))
-    trailer = F.col("trailer")
+    counted = stage(records.with_counts(manifest, records.file_counts(found)), "counts")
+    files = _edges(found, _with_layout(counted, p), p)
+    trailer = F.col("last.cells")
     if fixed and not p.no_ident:
+        text = F.get(trailer, F.lit(0))
         trailer = F.when(text.isNotNull(), F.array(F.substring(text, 1, 1), F.substring(text, F.lit(2), F.length(text))))
     has_tail = F.col("no_ident") & (F.col("fmt_tail") == 1)
     # header lines without an identifier, which data comes after
@@ -273,7 +278,7 @@ def _layouts(found: DataFrame, manifest: DataFrame, p: _Prefix, positional: bool
             # rows that are left: no filter by identifier where there is none
             "n_data": F.when(F.col("keep_all"), F.col("n_lines") - skip - has_tail.cast("int")).otherwise(F.col("n_data")),
         }
-    ).drop("line_1", "line_2", "head_1", "head_2")
+    ).drop("line_1", "line_2", "head_1", "head_2", "last")
     return _match_schema(files, p, fixed, positional)
 
 
