@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import rawfiles as raw
-from catalog.registry import query, table
+from catalog.registry import SQL, query, table
 from rawgate import model
 from rawgate.functions.delimiters import decode_delimiter
 from rawgate.session import scratch_path, stage
-from rawgate.sources import control, csvfiles, lines, listing, xmlfiles
+from rawgate.sources import bigfiles, control, csvfiles, lines, listing, xmlfiles
 
 
 def cell(i: int) -> F.Column:
@@ -72,6 +72,18 @@ def scan_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select(*[F.coalesce(cell(i), F.lit("")).alias(f"c{i}") for i in range(4)])
 
 
+SCAN_MULTILINE_SQL = SQL["scan_multiline"]
+
+
+@query("scan_multiline_split", SCAN_MULTILINE_SQL)
+def scan_multiline_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same files cut at line ends, records put together across tasks."""
+    records, unsure = bigfiles.split_csv_records(spark, [raw.documents_files(spark, sf_dir)], 4, "|", folders=True)
+    if unsure:
+        raise ValueError(f"files with stray quotes: {unsure}")
+    return records.select(*[F.coalesce(cell(i), F.lit("")).alias(f"c{i}") for i in range(4)])
+
+
 def events_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return csvfiles.read_csv_records(
         spark, raw.events_files(spark, sf_dir), 5, ";", escape="\\", quote="'", folders=True
@@ -127,6 +139,16 @@ def scan_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select(*[cell(i).alias(c.lower()) for i, c in enumerate(columns)])
 
 
+@query("scan_xml_split", SQL["scan_xml"])
+def scan_xml_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same files cut at row end tags."""
+    columns = ["CUSTKEY", "NAME", "SEGMENT"]
+    records, unsure = bigfiles.split_xml_records(spark, [raw.xml_files(spark, sf_dir)], "row", columns, folders=True)
+    if unsure:
+        raise ValueError(f"files with hidden tags: {unsure}")
+    return records.select(*[cell(i).alias(c.lower()) for i, c in enumerate(columns)])
+
+
 @query(
     "decode_delimiter",
     """SELECT event_id, CASE event_type WHEN 'view' THEN '|' WHEN 'click' THEN chr(9) WHEN 'error' THEN '~' || chr(1)

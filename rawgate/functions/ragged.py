@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 _QUOTED = '"[^"]*+(?:""[^"]*+)*+"'
 
 
-def _java_quote(text: str) -> str:
+def java_quote(text: str) -> str:
     return "".join(f"\\x{{{ord(ch):x}}}" if not ch.isalnum() else ch for ch in text)
 
 
@@ -24,7 +24,7 @@ def split_cells(value: Column, sep: str) -> Column:
     second kind that starts with a quote is unbalanced, or has text after its
     closing quote: the line is `malformed`.
     """
-    delim = _java_quote(sep)
+    delim = java_quote(sep)
     other = f"[^{delim}]*+" if len(sep) == 1 else f"(?:(?!{delim}).)*+"
     field = f"{delim}({_QUOTED}(?={delim}|$)|{other})"
     has_quote = F.instr(value, '"') > 0

@@ -27,7 +27,7 @@ from rawgate.operators import checks as ck
 from rawgate.operators import enrich, publish, records, rows, schema
 from rawgate.session import stage
 from rawgate.sources import control as ct
-from rawgate.sources import csvfiles, lines, listing, xmlfiles
+from rawgate.sources import bigfiles, csvfiles, lines, listing
 
 # a position before every record
 BEFORE_ALL = "named_struct('block', -1L, 'line_id', -1L)"
@@ -148,19 +148,14 @@ def _read_records(spark: SparkSession, p: _Prefix, paths: list[tuple[str, int]],
     if p.mode == "fixed_width":
         return lines.fixed_width_records(lines.read_lines(spark, names, opt.folders))
     if p.mode == "xml":
-        return xmlfiles.read_xml_records(spark, names, p.settings["row_tag"] or "row", p.names, opt.folders)
+        return bigfiles.xml_records(spark, paths, p.settings["row_tag"] or "row", p.names, opt.folders)
     sep = p.conf["sep"]
     if p.mode in ("multiline", "clean"):
-        found = csvfiles.read_csv_records(
-            spark,
-            names,
-            p.settings["total_column"],
-            sep,
-            escape=p.settings["escape"] or '"',
-            quote=p.settings["quote"] or '"',
-            multi_line=p.mode == "multiline",
-            folders=opt.folders,
-        )
+        width, escape, quote = p.settings["total_column"], p.settings["escape"] or '"', p.settings["quote"] or '"'
+        if p.mode == "multiline":
+            found = bigfiles.multiline_records(spark, paths, width, sep, escape, quote, opt.folders)
+        else:
+            found = csvfiles.read_csv_records(spark, names, width, sep, escape, quote, folders=opt.folders)
         return _clean_records(found, p)
     gzip = [(path, size) for path, size in paths if ".gz" in path]
     plain = [path for path, _ in paths if ".gz" not in path]

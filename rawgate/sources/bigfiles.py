@@ -1,0 +1,260 @@
+"""Multi-line CSV and XML files that are too large for one task.
+
+Spark's own readers take a multi-line CSV or an XML file in one task each. The
+readers here cut a file at line ends or row end tags, so that any number of
+tasks share it, and put records together again where needed. Each comes with a
+test that finds the files it cannot be sure about; those are read by Spark's
+own reader, so no result depends on which way a file took.
+"""
+
+from __future__ import annotations
+
+import re
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from rawgate.functions.ragged import java_quote
+from rawgate.model import RECORD
+from rawgate.session import stage
+from rawgate.sources.csvfiles import BAD, read_csv_records, string_schema
+from rawgate.sources.lines import PLAIN_BYTES_PER_PARTITION, source_name
+from rawgate.sources.xmlfiles import read_xml_records
+
+# a record longer than this is taken for the effect of a stray quote
+MAX_RECORD_CHARS = 64 * 1024 * 1024
+
+RECORD_COLUMNS = [part.split()[0] for part in RECORD.split(", ")]
+
+
+# ---- multi-line CSV --------------------------------------------------------
+
+
+def quoted_lines(
+    spark: SparkSession, paths: Sequence[str], quote: str, escape: str, folders: bool
+) -> DataFrame:
+    """Numbered lines with the number of quotes that open or close a cell."""
+    text = F.col("value")
+    bare = F.regexp_replace(text, f"(?s){java_quote(escape)}.", "") if escape != quote else text
+    return (
+        spark.read.option("lineSep", "\n")
+        .text(list(paths))
+        .select(
+            source_name(folders).alias("file_nm"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("line_id"),
+            text,
+            (F.length(bare) - F.length(F.replace(bare, F.lit(quote), F.lit("")))).alias("quotes"),
+        )
+    )
+
+
+def _earlier(blocks: DataFrame, value: Column, name: str) -> DataFrame:
+    """Aggregate of `value` over the earlier splits of the same file."""
+    before = Window.partitionBy("file_nm").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    return blocks.select("file_nm", "block", value.over(before).alias(name))
+
+
+def record_starts(lines: DataFrame) -> DataFrame:
+    """Lines with `rec`, the position of the line that their record starts at.
+
+    A line continues a record when the quotes before it in the file are odd in
+    number. They are counted per split, summed over the splits of a file (one
+    small row each), and then inside each split.
+    """
+    per_block = lines.groupBy("file_nm", "block").agg(F.sum("quotes").alias("n"))
+    offsets = stage(_earlier(per_block, F.sum("n"), "before"), "offsets")
+    inside = Window.partitionBy("file_nm", "block").orderBy("line_id")
+    earlier = F.coalesce(F.sum("quotes").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    marked = lines.join(offsets, ["file_nm", "block"]).withColumn(
+        "starts", (F.coalesce("before", F.lit(0)) + earlier) % 2 == 0
+    )
+    start_id = F.when(F.col("starts"), F.col("line_id"))
+    placed = stage(
+        marked.withColumn("start_id", F.last(start_id, True).over(inside)).drop("before"), "starts"
+    )
+    last = placed.groupBy("file_nm", "block").agg(F.max("start_id").alias("s"))
+    here = F.when(F.col("s").isNotNull(), F.struct("block", F.col("s").alias("line_id")))
+    carried = stage(_earlier(last, F.last(here, True), "carry"), "carried")
+    own = F.when(F.col("start_id").isNotNull(), F.struct("block", F.col("start_id").alias("line_id")))
+    return placed.join(carried, ["file_nm", "block"]).select(
+        "file_nm", "block", "line_id", "value", "quotes", "starts", F.coalesce(own, "carry").alias("rec")
+    )
+
+
+def _proper(record: Column, sep: str, quote: str, escape: str) -> Column:
+    """Quotes are only around whole cells: quote parity is then exact."""
+    d, q = java_quote(sep), java_quote(quote)
+    if escape == quote:
+        cell = f"{q}[^{q}]*+(?:{q}{q}[^{q}]*+)*+{q}"
+    else:
+        e = java_quote(escape)
+        cell = f"{q}[^{q}{e}]*+(?:{e}.[^{q}{e}]*+)*+{q}"
+    plain = f"(?:(?!{d})[^{q}])*+"
+    return record.rlike(f"(?s)^(?:{cell}|{plain})(?:{d}(?:{cell}|{plain}))*+$")
+
+
+def split_csv_records(
+    spark: SparkSession,
+    paths: Sequence[str],
+    width: int,
+    sep: str,
+    escape: str = '"',
+    quote: str = '"',
+    folders: bool = False,
+    max_chars: int = MAX_RECORD_CHARS,
+) -> tuple[DataFrame, list[str]]:
+    """(records of multi-line CSV files read by many tasks, names of files
+    that have to be read whole)."""
+    lines = record_starts(stage(quoted_lines(spark, paths, quote, escape, folders), "lines"))
+    # a record on one line is complete; only the others are brought together
+    whole = F.col("starts") & (F.col("quotes") % 2 == 0)
+    rest = lines.filter(~whole)
+    sizes = rest.groupBy("file_nm", "rec").agg(F.sum(F.length("value") + 1).alias("n"), (F.sum("quotes") % 2).alias("odd"))
+    doubtful = sizes.groupBy("file_nm").agg(F.max("n").alias("n"), F.max("odd").alias("odd"))
+    too_long = [r["file_nm"] for r in doubtful.filter((F.col("n") > max_chars) | (F.col("odd") > 0)).collect()]
+    rest = rest.filter(~F.col("file_nm").isin(too_long)) if too_long else rest
+    single = lines.filter(whole).select("file_nm", "block", "line_id", "value")
+    several = (
+        rest.groupBy("file_nm", "rec")
+        .agg(F.array_sort(F.collect_list(F.struct("block", "line_id", "value"))).alias("l"))
+        .select("file_nm", "rec.block", "rec.line_id", F.array_join("l.value", "\n").alias("value"))
+    )
+    text = F.regexp_replace(F.replace(F.col("value"), F.lit("\r\n"), F.lit("\n")), "\r$", "")
+    joined = stage(
+        single.unionByName(several).withColumn("value", text).filter(F.length("value") > 0)
+        .withColumn("proper", _proper(F.col("value"), sep, quote, escape)),
+        "joined",
+    )
+    doubts = joined.filter(~F.col("proper")).select("file_nm").distinct().collect()
+    unsure = sorted({*too_long, *(r["file_nm"] for r in doubts)})
+    sure = joined.filter(~F.col("file_nm").isin(unsure)) if unsure else joined
+    options = {"sep": sep, "quote": quote, "escape": escape, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD}
+    parsed = sure.withColumn("p", F.from_csv("value", f"{string_schema(width)}, {BAD} string", options))
+    cells = [f"p.col_{i}" for i in range(width)]
+    records = parsed.select(
+        "file_nm",
+        "block",
+        "line_id",
+        F.col(cells[0]).alias("ident"),
+        F.lit(width).alias("n_fields"),
+        F.col(f"p.{BAD}").isNotNull().alias("malformed"),
+        F.array(*cells).alias("cells"),
+        F.col(f"p.{BAD}").alias("value"),
+    )
+    return records, unsure
+
+
+def _name_of(path: str) -> str:
+    return path.rstrip("/").rsplit("/", 1)[-1].split("=", 1)[-1]
+
+
+def multiline_records(
+    spark: SparkSession,
+    files: Sequence[tuple[str, int]],
+    width: int,
+    sep: str,
+    escape: str = '"',
+    quote: str = '"',
+    folders: bool = False,
+    split_bytes: int = PLAIN_BYTES_PER_PARTITION,
+) -> DataFrame:
+    """Multi-line CSV records of files given by path and size: one task per
+    small file, many for a large one."""
+    large = [path for path, size in files if size > split_bytes and not path.endswith(".gz")]
+    whole = [path for path, _ in files if path not in set(large)]
+    parts = []
+    if large:
+        records, unsure = split_csv_records(spark, large, width, sep, escape, quote, folders)
+        parts.append(records.select(RECORD_COLUMNS))
+        whole += [path for path in large if _name_of(path) in set(unsure)]
+    if whole:
+        parts.append(
+            read_csv_records(spark, whole, width, sep, escape, quote, multi_line=True, folders=folders).select(RECORD_COLUMNS)
+        )
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+# ---- XML -------------------------------------------------------------------
+
+
+def split_xml_records(
+    spark: SparkSession,
+    paths: Sequence[str],
+    row_tag: str,
+    columns: Sequence[str],
+    folders: bool = False,
+) -> tuple[DataFrame, list[str]]:
+    """(records of XML files read by many tasks, names of files that have to be
+    read whole).
+
+    The text is cut after each row end tag. A file is doubtful if a comment or
+    a CDATA section is cut in two by that, or has a row tag in it.
+    """
+    tag = re.escape(row_tag)
+    chunks = (
+        spark.read.option("lineSep", f"</{row_tag}>")
+        .text(list(paths))
+        .select(
+            source_name(folders).alias("file_nm"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("line_id"),
+            "value",
+        )
+    )
+    value = F.col("value")
+    opening = rf"<{tag}(?=[\s/>])"
+    hidden = value.contains("<!--") | value.contains("<![CDATA[")
+    seen = F.regexp_replace(value, r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>", "")
+    cut = seen.contains("<!--") | seen.contains("<![CDATA[") | (
+        F.regexp_count(value, F.lit(opening)) != F.regexp_count(seen, F.lit(opening))
+    )
+    doubts = chunks.filter(hidden & cut).select("file_nm").distinct().collect()
+    unsure = sorted(r["file_nm"] for r in doubts)
+    sure = chunks.filter(~F.col("file_nm").isin(unsure)) if unsure else chunks
+    # an element that closes itself, or one that runs up to the cut
+    empty = rf"<{tag}(?:\s[^<>]*+)?(?<=/)>"
+    body = rf"(?s)<{tag}(?:\s[^<>]*+)?(?<!/)>.*$"
+    main = F.regexp_extract(value, body, 0)
+    before = F.substring(value, F.lit(1), F.length(value) - F.length(main))
+    closed = F.when(main != "", F.array(F.concat(main, F.lit(f"</{row_tag}>")))).otherwise(F.array())
+    elements = F.concat(F.regexp_extract_all(before, F.lit(empty), F.lit(0)), closed)
+    schema = ", ".join(f"`{c}` string" for c in columns) + f", {BAD} string"
+    options = {"rowTag": row_tag, "columnNameOfCorruptRecord": BAD}
+    parsed = sure.select("file_nm", "block", "line_id", F.explode(elements).alias("x")).withColumn(
+        "p", F.from_xml("x", schema, options)
+    )
+    records = parsed.select(
+        "file_nm",
+        "block",
+        "line_id",
+        F.lit("D").alias("ident"),
+        F.lit(len(columns)).alias("n_fields"),
+        F.col(f"p.{BAD}").isNotNull().alias("malformed"),
+        F.array(*[F.coalesce(F.col(f"p.`{c}`"), F.lit("")) for c in columns]).alias("cells"),
+        F.col(f"p.{BAD}").alias("value"),
+    )
+    return records, unsure
+
+
+def xml_records(
+    spark: SparkSession,
+    files: Sequence[tuple[str, int]],
+    row_tag: str,
+    columns: Sequence[str],
+    folders: bool = False,
+    split_bytes: int = PLAIN_BYTES_PER_PARTITION,
+) -> DataFrame:
+    """XML records of files given by path and size: one task per small file,
+    many for a large one."""
+    large = [path for path, size in files if size > split_bytes and not path.endswith(".gz")]
+    whole = [path for path, _ in files if path not in set(large)]
+    parts = []
+    if large:
+        records, unsure = split_xml_records(spark, large, row_tag, columns, folders)
+        parts.append(records)
+        whole += [path for path in large if _name_of(path) in set(unsure)]
+    if whole:
+        parts.append(read_xml_records(spark, whole, row_tag, columns, folders))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
