@@ -129,29 +129,16 @@ def previous_counts(runs: DataFrame) -> DataFrame:
 
 
 def latest_before(files: DataFrame, history: DataFrame) -> DataFrame:
-    """Row count of the latest run before each file's own, as `prev_count`.
-
-    The history of a prefix is small next to its data; both sides carry only
-    run keys and counts.
-    """
-    runs = files.select(
-        F.lower("file_prefix_nm").alias("file_prefix_nm"), "snap_dt", "run_id", F.lit(None).cast("bigint").alias("row_count"), "file_nm"
-    )
-    past = history.select(
-        F.lower("file_prefix_nm").alias("file_prefix_nm"), "snap_dt", "run_id", "row_count", F.lit(None).cast("string").alias("file_nm")
-    )
-    # only finished runs count as a run before; equal run keys are not before
-    order = Window.partitionBy("file_prefix_nm").orderBy("run")
-    both = past.unionByName(runs).withColumn("run", F.struct("snap_dt", "run_id"))
-    prior = F.last("row_count", ignorenulls=True).over(
-        order.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    """(file_nm, prev_count): row count of the latest run of the prefix before
+    the file's own run. Both sides hold run keys and counts only."""
+    key = [F.lower("file_prefix_nm").alias("file_prefix_nm"), "snap_dt", "run_id"]
+    runs = history.select(*key, "row_count").unionByName(files.select(*key), allowMissingColumns=True)
+    counted = runs.groupBy("file_prefix_nm", "snap_dt", "run_id").agg(F.max("row_count").alias("row_count"))
+    before = (
+        Window.partitionBy("file_prefix_nm").orderBy("snap_dt", "run_id").rowsBetween(Window.unboundedPreceding, -1)
     )
-    # a history row of the very same run is left out
-    same = past.select("file_prefix_nm", "snap_dt", "run_id").distinct()
-    own = runs.join(same, ["file_prefix_nm", "snap_dt", "run_id"], "left_semi").select("file_prefix_nm", "snap_dt", "run_id").distinct()
-    kept = both.join(own.withColumn("_own", F.lit(True)), ["file_prefix_nm", "snap_dt", "run_id"], "left")
-    usable = kept.withColumn("row_count", F.when(F.col("_own").isNull(), F.col("row_count")))
-    return usable.withColumn("prev_count", prior).filter(F.col("file_nm").isNotNull()).select("file_nm", "prev_count")
+    known = counted.withColumn("prev_count", F.last("row_count", ignorenulls=True).over(before)).drop("row_count")
+    return files.select("file_nm", *key).join(known, ["file_prefix_nm", "snap_dt", "run_id"]).select("file_nm", "prev_count")
 
 
 def orphan_counts(rows: DataFrame, child: Column, parent: DataFrame, parent_col: str) -> DataFrame:

@@ -214,7 +214,7 @@ def split_xml_records(
     unsure = sorted(r["file_nm"] for r in doubts)
     sure = chunks.filter(~F.col("file_nm").isin(unsure)) if unsure else chunks
     # an element that closes itself, or one that runs up to the cut
-    empty = rf"<{tag}(?:\s[^<>]*+)?(?<=/)>"
+    empty = rf"<{tag}(?:\s[^<>]*+|/)(?<=/)>"
     body = rf"(?s)<{tag}(?:\s[^<>]*+)?(?<!/)>.*$"
     main = F.regexp_extract(value, body, 0)
     before = F.substring(value, F.lit(1), F.length(value) - F.length(main))

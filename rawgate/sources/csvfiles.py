@@ -52,7 +52,8 @@ def read_csv_records(
         F.monotonically_increasing_id().alias("line_id"),
         F.col("col_0").alias("ident"),
         F.lit(width).alias("n_fields"),
-        F.col(BAD).isNotNull().alias("malformed"),
+        # with a data column, as Spark refuses to read the corrupt-record column alone
+        F.concat(F.coalesce("col_0", F.lit("")), BAD).isNotNull().alias("malformed"),
         F.array(*cols).alias("cells"),
         F.col(BAD).alias("value"),
     )

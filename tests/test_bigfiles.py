@@ -1,0 +1,102 @@
+"""Large multi-line CSV and XML files read by many tasks, against Spark's own readers."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from rawgate.sources import bigfiles, csvfiles, xmlfiles
+
+
+@pytest.fixture
+def tiny_splits(spark):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    yield
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def rows(df):
+    cols = df.select("file_nm", "n_fields", "malformed", "cells").collect()
+    return sorted((r["file_nm"], r["n_fields"], r["malformed"], tuple(str(c) for c in r["cells"])) for r in cols)
+
+
+def csv_text(seed, escape, crlf=False):
+    rng = random.Random(seed)
+    parts = ["a", "é", " ", "\n", "\n\n", "|", "zz" * 40, '"', "\r\n" if crlf else "\n"]
+    out = []
+    for i in range(400):
+        cell = "".join(rng.choices(parts, k=rng.randint(0, 9)))
+        if i % 97 == 5:
+            cell += "long\n" * 900
+        body = cell.replace("\\", "\\\\") if escape == "\\" else cell
+        quoted = '"' + body.replace('"', escape + '"') + '"'
+        extra = "|more" if i % 31 == 7 else ""
+        out.append(f"{i}|{quoted}|{'x' if i % 29 else '""'}{extra}")
+    end = "\r\n" if crlf else "\n"
+    return end.join(out) + end
+
+
+@pytest.mark.parametrize("escape, crlf", [('"', False), ("\\", False), ('"', True)])
+def test_multiline_csv(spark, landing, tiny_splits, escape, crlf):
+    folder = landing(a__csv=csv_text(1, escape, crlf), b__csv=csv_text(2, escape, crlf), c__csv="1|plain|x\n")
+    whole = csvfiles.read_csv_records(spark, folder, 3, "|", escape=escape, multi_line=True)
+    split, unsure = bigfiles.split_csv_records(spark, [folder], 3, "|", escape=escape)
+    assert unsure == []
+    assert bigfiles.quoted_lines(spark, [folder], '"', escape, False).rdd.getNumPartitions() > 10
+    assert rows(split) == rows(whole)
+    ids = [int(r["ident"]) for r in split.filter("file_nm = 'a.csv'").orderBy("block", "line_id").collect()]
+    assert ids == list(range(400))
+
+
+@pytest.mark.parametrize("bad", ['7|in " side|x\n', '8|"open|x\n', '9|"x"y|z\n'])
+def test_stray_quotes_are_left_to_the_whole_reader(spark, landing, tiny_splits, bad):
+    folder = landing(a__csv=csv_text(1, '"') + bad + csv_text(3, '"'), b__csv=csv_text(2, '"'))
+    _, unsure = bigfiles.split_csv_records(spark, [folder], 3, "|")
+    assert unsure == ["a.csv"]
+    files = [(f"{folder}/{n}", 10**9) for n in ("a.csv", "b.csv")]
+    both = bigfiles.multiline_records(spark, files, 3, "|")
+    assert rows(both) == rows(csvfiles.read_csv_records(spark, folder, 3, "|", multi_line=True))
+
+
+def test_too_long_records_are_left_to_the_whole_reader(spark, landing, tiny_splits):
+    folder = landing(a__csv=csv_text(1, '"'), b__csv="1|x|y\n")
+    _, unsure = bigfiles.split_csv_records(spark, [folder], 3, "|", max_chars=1000)
+    assert unsure == ["a.csv"]
+
+
+COLUMNS = ["A", "B"]
+
+
+def xml_text(n, extra=""):
+    body = "".join(
+        f"<row><A>{i}</A><B>{'b' * (i % 60)} &amp; é</B></row>\n" if i % 7 else f'<row>\n <A>{i}</A>\n</row><row/>' for i in range(n)
+    )
+    return f"<?xml version='1.0'?>\n<!-- made for a test -->\n<rows>\n{body}{extra}</rows>\n"
+
+
+def test_xml(spark, landing, tiny_splits):
+    folder = landing(a__xml=xml_text(300), b__xml=xml_text(40, "<row><A>q</A><B><![CDATA[<z>]]></B></row>"))
+    whole = xmlfiles.read_xml_records(spark, folder, "row", COLUMNS)
+    split, unsure = bigfiles.split_xml_records(spark, [folder], "row", COLUMNS)
+    assert unsure == []
+    assert rows(split) == rows(whole)
+
+
+@pytest.mark.parametrize(
+    "hidden", ["<!-- <row><A>no</A></row> -->", "<row><A><![CDATA[</row>]]></A></row>", "<!-- <row> -->"]
+)
+def test_hidden_tags_are_left_to_the_whole_reader(spark, landing, tiny_splits, hidden):
+    folder = landing(a__xml=xml_text(100, hidden), b__xml=xml_text(50))
+    _, unsure = bigfiles.split_xml_records(spark, [folder], "row", COLUMNS)
+    assert unsure == ["a.xml"]
+    files = [(f"{folder}/{n}", 10**9) for n in ("a.xml", "b.xml")]
+    both = bigfiles.xml_records(spark, files, "row", COLUMNS)
+    assert rows(both) == rows(xmlfiles.read_xml_records(spark, folder, "row", COLUMNS))
+
+
+def test_small_files_take_the_plain_way(spark, landing):
+    folder = landing(a__csv='1|"a\nb"|x\n')
+    found = bigfiles.multiline_records(spark, [(f"{folder}/a.csv", 12)], 3, "|")
+    assert found.select(F.get("cells", F.lit(1))).first()[0] == "a\nb"
