@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rawgate.model import STATUS_COLUMNS
@@ -28,6 +28,24 @@ def publish(rows: DataFrame, path: str, part_files: bool = False) -> None:
         writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
+def publish_table(rows: DataFrame, table: str, part_files: bool = False) -> None:
+    """The same for a table of the catalog, which is made if it is not there."""
+    spark = rows.sparkSession
+    if not spark.catalog.tableExists(table):
+        rows.write.partitionBy(*PARTITION).format("parquet").saveAsTable(table)
+        return
+    ordered = rows.select(*spark.table(table).columns)
+    if part_files:
+        ordered.write.insertInto(table)
+    else:
+        ordered.write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
+
+
+def table_columns(spark: SparkSession, table: str) -> list[str]:
+    """Names of the data columns of a target table, for the positional rename."""
+    return [c for c in spark.table(table).columns if c not in PARTITION]
+
+
 def write_csv(rows: DataFrame, path: str, sep: str = ",") -> None:
     rows.write.mode("append").option("sep", sep).option("escape", '"').option(
         "ignoreLeadingWhiteSpace", False

@@ -25,10 +25,12 @@ from rawgate.functions.headers import normalise_header, pick_positions, schema_m
 from rawgate.joins import fits_broadcast, join_per_file
 from rawgate.operators import checks as ck
 from rawgate.operators import enrich, publish, records, rows, schema
-from rawgate.session import stage
+from rawgate.session import stage, tune
 from rawgate.sources import control as ct
 from rawgate.sources import bigfiles, csvfiles, lines, listing
 
+FILE_KEYS = ["file_nm", "src_sys_nm", "file_prefix_nm", "snap_dt", "run_id"]
+
 # a position before every record
 BEFORE_ALL = "named_struct('block', -1L, 'line_id', -1L)"
 
@@ -94,6 +96,17 @@ class _Prefix:
     clean: Row | None
     pairs: list[tuple[str, str]]
 
+    @property
+    def problem(self) -> str | None:
+        """Name of the step that the JSON settings make impossible."""
+        if self.mode == "multiline" and not self.settings["total_column"]:
+            return "MultiLineProcesssing"
+        if self.clean is not None and (
+            self.clean["type"] not in ("automated", "manual") or not self.clean["total_column"]
+        ):
+            return "DataCleanProcess"
+        return None
+
     @property
     def intraday(self) -> bool:
         return self.conf["intraday_flag"] == "y"
@@ -409,6 +422,24 @@ def _statuses(judged: DataFrame, p: _Prefix, route: str, obfuscated: bool) -> Da
     return publish.status_events(judged, entries)
 
 
+def _refused(present: DataFrame, missing: DataFrame, p: _Prefix, route: str) -> IntakeResult:
+    """Nothing can be read: every file is rejected with the step that failed."""
+    spark = present.sparkSession
+    named = ", ".join(f"`{n}` string" for n in [*p.names, "snap_dt", "run_id"])
+    files = present.select(*FILE_KEYS, F.lit("rejected").alias("disposition"))
+    statuses = publish.status_rows(present, "Filelevelcheck", p.problem, "Fail")
+    return IntakeResult(
+        published=spark.createDataFrame([], named),
+        quarantine=spark.createDataFrame([], "file_nm string, pos struct<block:bigint,id:bigint>, value string, reason string"),
+        statuses=statuses,
+        files=files.unionByName(missing.select(*FILE_KEYS, F.lit("missing").alias("disposition"))),
+        schema_failures=publish.schema_failures(present.limit(0)),
+        route=route,
+        part_files=bool(p.conf["part_files"]),
+        target=p.conf["target"],
+    )
+
+
 # ---- the run ---------------------------------------------------------------
 
 
@@ -421,11 +452,15 @@ def ingest(
 ) -> IntakeResult:
     """Read, check and prepare all pending files of `prefix` that lie in `folder`."""
     opt = options or IntakeOptions()
+    tune(spark)
     p = _read_prefix(control, prefix, opt.src_sys_nm)
     manifest = ct.pending_files(control.manifest, opt.src_sys_nm, prefix)
     listed = listing.list_files(spark, folder)
     missing = listing.missing_files(manifest, listed)
     present = listing.present_files(manifest, listed)
+    route = publish.dq_route(opt.dq_flag)
+    if p.problem:
+        return _refused(present, missing, p, route)
     located = present.select("path", "file_size").distinct().orderBy("path").collect()
     paths = [(r["path"], r["file_size"]) for r in located if r["file_size"] > 0]
     found = stage(_read_records(spark, p, paths, opt), "records")
@@ -443,7 +478,10 @@ def ingest(
     stamps = ["snap_dt", "run_id"] + (["snap_dt_ts"] if p.intraday else [])
     accepted = judged.filter(F.col("disposition") == "accepted").select(*ROW_FACTS, *stamps)
     wanted = F.col("reason").isNull() | F.lit(opt.keep_bad)
-    out = drop_all_null(_data_rows(found, accepted, p, small).filter(wanted), p.names)
+    out = _data_rows(found, accepted, p, small).filter(wanted)
+    if opt.keep_bad:
+        # a good row has text, if blank, in every column
+        out = drop_all_null(out, p.names)
     bad = rows.quarantine(data.filter(~wanted))
     hidden = p.obfuscated if opt.obfuscation_key else []
     if hidden:
@@ -456,10 +494,8 @@ def ingest(
     if opt.target_columns:
         out = schema.rename_to_target(out, opt.target_columns)
 
-    route = publish.dq_route(opt.dq_flag)
-    keys = ["file_nm", "src_sys_nm", "file_prefix_nm", "snap_dt", "run_id"]
-    known = judged.select(*keys, "layout", "match", "n_good", "n_bad", "disposition")
-    absent = missing.select(*keys, F.lit("missing").alias("disposition"))
+    known = judged.select(*FILE_KEYS, "layout", "match", "n_good", "n_bad", "disposition")
+    absent = missing.select(*FILE_KEYS, F.lit("missing").alias("disposition"))
     return IntakeResult(
         published=out,
         quarantine=bad,

@@ -13,6 +13,9 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # the JVM never compiles methods beyond this size, and a row then costs ten
+    # times as much; Spark's own limit lets far larger generated methods pass
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # plain files: 200 MB per task, no shuffle to get there
     "spark.sql.files.maxPartitionBytes": str(200 * 1024 * 1024),
 }
@@ -28,6 +31,13 @@ def build_session(master: str | None = None, app_name: str = "rawgate", **extra:
     return builder.getOrCreate()
 
 
+def tune(spark: SparkSession) -> None:
+    """The one setting that a session from elsewhere must not lack."""
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    if int(spark.conf.get(limit)) > int(SETTINGS[limit]):
+        spark.conf.set(limit, SETTINGS[limit])
+
+
 _LOCAL_ROOTS: dict[str, str] = {}
 
 
@@ -52,8 +62,9 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     This cuts the lineage in a way that survives lost executors: later steps
     read the written table and never recompute what came before it. It also
     freezes generated values (line positions), which must not be made twice.
+    Cells of all columns share one array, so a dictionary of them is no use.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").option("parquet.enable.dictionary#cells.list.element", "false").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

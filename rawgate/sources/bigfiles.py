@@ -146,8 +146,9 @@ def split_csv_records(
     return records, unsure
 
 
-def _name_of(path: str) -> str:
-    return path.rstrip("/").rsplit("/", 1)[-1].split("=", 1)[-1]
+def _name_of(path: str, folders: bool) -> str:
+    name = path.rstrip("/").rsplit("/", 1)[-1]
+    return name.split("=", 1)[-1] if folders else name
 
 
 def multiline_records(
@@ -168,7 +169,7 @@ def multiline_records(
     if large:
         records, unsure = split_csv_records(spark, large, width, sep, escape, quote, folders)
         parts.append(records.select(RECORD_COLUMNS))
-        whole += [path for path in large if _name_of(path) in set(unsure)]
+        whole += [path for path in large if _name_of(path, folders) in set(unsure)]
     if whole:
         parts.append(
             read_csv_records(spark, whole, width, sep, escape, quote, multi_line=True, folders=folders).select(RECORD_COLUMNS)
@@ -254,7 +255,7 @@ def xml_records(
     if large:
         records, unsure = split_xml_records(spark, large, row_tag, columns, folders)
         parts.append(records)
-        whole += [path for path in large if _name_of(path) in set(unsure)]
+        whole += [path for path in large if _name_of(path, folders) in set(unsure)]
     if whole:
         parts.append(read_xml_records(spark, whole, row_tag, columns, folders))
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])

@@ -17,11 +17,17 @@ def strip_nul(text: Column) -> Column:
 
 def source_name(folders: bool = False) -> Column:
     """Name of the file a row comes from. With `folders`, a file was landed as
-    a folder of parts and the folder's name counts (after `=`, if it has one)."""
+    a folder of parts and the folder's name counts (after `=`, if it has one).
+
+    Spark gives names as they stand in a URI: other characters are coded by %.
+    """
+    name = F.col("_metadata.file_name")
     if folders:
         folder = F.substring_index(F.substring_index("_metadata.file_path", "/", -2), "/", 1)
-        return F.substring_index(folder, "=", -1)
-    return F.col("_metadata.file_name")
+        name = F.substring(folder, F.instr(folder, "=") + 1, F.length(folder))
+    # a plus sign is itself in a URI
+    decoded = F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+    return F.when(F.instr(name, "%") > 0, decoded).otherwise(name)
 
 
 def read_lines(spark: SparkSession, paths: str | list[str], folders: bool = False) -> DataFrame:

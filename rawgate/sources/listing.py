@@ -24,8 +24,11 @@ def list_files(spark: SparkSession, folder: str) -> DataFrame:
             name = entry.getPath().getName()
             if name.startswith(("_", ".")):
                 continue
-            size = fs.getContentSummary(entry.getPath()).getLength() if entry.isDirectory() else entry.getLen()
-            found.append((name.split("=", 1)[-1], entry.getPath().toString(), int(size)))
+            size = entry.getLen()
+            if entry.isDirectory():
+                name = name.split("=", 1)[-1]
+                size = fs.getContentSummary(entry.getPath()).getLength()
+            found.append((name, entry.getPath().toString(), int(size)))
     return spark.createDataFrame(found, LISTING)
 
 

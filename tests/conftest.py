@@ -9,13 +9,14 @@ from rawgate import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "local[8]",
         "tests",
         spark__sql__shuffle__partitions="4",
         spark__ui__enabled="false",
         spark__driver__memory="6g",
+        spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -303,6 +303,65 @@ def test_write_twice_replaces_and_quality_route(spark, landing, tmp_path):
     assert spark.read.parquet(f"{base}/tgt_dq_input").count() == 2
 
 
+@pytest.mark.parametrize(
+    "group, settings, step",
+    [
+        ("data_clean_configuration", {"total_column": 2, "type": "other"}, "DataCleanProcess"),
+        ("data_clean_configuration", {"type": "manual"}, "DataCleanProcess"),
+        ("listOfMultilineFiles", {"escape": "x"}, "MultiLineProcesssing"),
+    ],
+)
+def test_settings_that_cannot_work(spark, landing, group, settings, step):
+    conf = control(spark, ["f.csv", "gone.csv"], mapping=[mapped(group, **settings)])
+    result = ingest(spark, conf, "p", landing(f__csv="1|a\n"))
+    assert where(result) == {"f.csv": "rejected", "gone.csv": "missing"}
+    assert steps(result, "f.csv") == [(step, "Fail")]
+    assert result.published.count() == result.quarantine.count() == result.schema_failures.count() == 0
+
+
+def test_names_of_files_may_have_any_characters(spark, tmp_path):
+    names = ["my file+1%20.csv", "plain=2.csv", "é#.csv"]
+    for name in names:
+        (tmp_path / name).write_text("1|a\n")
+    result = ingest(spark, control(spark, names), "p", str(tmp_path))
+    assert where(result) == dict.fromkeys(names, "accepted")
+
+
+def jobs_of(spark, action):
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    action()
+    return len(tracker.getJobIdsForGroup(None)) - before
+
+
+def test_the_number_of_jobs_does_not_grow_with_the_files(spark, landing):
+    text = "H|1\nH|K|V\nD|1|a\nT|1\n"
+    names = [f"f{i}.csv" for i in range(25)]
+    folder = landing(**{n.replace(".", "__"): text for n in names})
+    checks = [("rowCountCheck", ""), ("fileContentCheck", "HHDT")]
+
+    def run(chosen):
+        assert ingest(spark, control(spark, chosen, checks), "p", folder).published.count() == len(chosen)
+
+    one, many = jobs_of(spark, lambda: run(names[:1])), jobs_of(spark, lambda: run(names))
+    assert many <= one + 3
+
+
+def test_table_of_the_catalog(spark):
+    from rawgate.operators import publish
+
+    name = "stage_test_table"
+    rows = spark.createDataFrame([(1, "a", "20240101", "r1"), (2, "b", "20240102", "r1")], "id int, v string, snap_dt string, run_id string")
+    try:
+        publish.publish_table(rows, name)
+        assert publish.table_columns(spark, name) == ["id", "v"]
+        publish.publish_table(rows.filter("id = 1").selectExpr("7 id", "v", "snap_dt", "run_id"), name)
+        publish.publish_table(rows.filter("id = 2"), name, part_files=True)
+        assert sorted(r["id"] for r in spark.table(name).collect()) == [2, 2, 7]
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def test_keep_bad_rows(spark, landing):
     conf = control(spark, ["f.csv"], casting="N")
     result = ingest(spark, conf, "p", landing(f__csv="1|a\n2\n"), IntakeOptions(keep_bad=True))

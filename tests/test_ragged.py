@@ -51,7 +51,7 @@ def test_soup_equals_the_csv_module_or_is_quarantined(spark):
         ('"x"y|c', ['"x"y', "c"], True),
         ('a|"open', ["a", '"open'], True),
         ('"', ['"'], True),
-        ('"""', ['"""'], True),
+        ('"""', ['"'], True),
     ],
 )
 def test_lines(spark, line, cells, malformed):
