@@ -11,7 +11,7 @@ SALTS = 64
 
 def measured_bytes(df: DataFrame) -> int:
     """Size of the rows as JSON text, counted by Spark (one small aggregate)."""
-    size = df.agg(F.sum(F.octet_length(F.to_json(F.struct(*df.columns)))).alias("b")).first()["b"]
+    size = df.agg(F.sum(F.octet_length(F.to_json(F.struct(*df.columns)))).alias("b")).collect()[0]["b"]
     return int(size or 0)
 
 

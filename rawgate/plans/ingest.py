@@ -123,10 +123,11 @@ class _Prefix:
 def _read_prefix(control: ct.ControlTables, prefix: str, src: str | None) -> _Prefix:
     """Four small reads, one per control table."""
     expected = ct.with_defaults(ct.for_prefix(control.expected_files, prefix))
-    conf = (expected.filter(F.col("src_sys_nm") == src) if src else expected).first()
-    cols = ct.expected_columns(ct.for_prefix(control.file_schema, prefix)).first()
-    if conf is None or cols is None:
+    confs = (expected.filter(F.col("src_sys_nm") == src) if src else expected).collect()
+    registered = ct.expected_columns(ct.for_prefix(control.file_schema, prefix)).collect()
+    if not confs or not registered:
         raise ValueError(f"prefix {prefix!r} is not registered")
+    conf, cols = confs[0], registered[0]
     checklist = ck.rule_list(ct.for_prefix(control.checklist, prefix))
     listed = checklist.withColumn("fmt", content_format(F.col("arguments"))).orderBy("seq").collect()
     formats = [r["fmt"] for r in listed if r["file_chck_typ"].lower() == "filecontentcheck"]
