@@ -103,33 +103,41 @@ def find_words(buf: np.ndarray, offsets: np.ndarray, is_word: np.ndarray) -> tup
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, codes: np.ndarray = BYTE_CODES_LOWER) -> np.ndarray:
-    """A 64-bit hash per word, by prefix sums of a polynomial over the bytes.
+def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: list[np.ndarray], codes: np.ndarray = BYTE_CODES_LOWER) -> list[np.ndarray]:
+    """64-bit hashes of byte spans, by prefix sums of a polynomial over the bytes.
 
-    The work goes in tiles of SLICE_BYTES, so that memory does not grow with
-    the longest text. `codes` maps bytes (by default lower-casing A-Z).
+    All spans of a word begin at its start; `ends` lists one or more ends for
+    each, the longest first. The work goes in tiles of SLICE_BYTES, so that
+    memory does not grow with the longest text. `codes` maps bytes (by default
+    lower-casing A-Z).
     """
-    out = np.empty(len(starts), dtype=np.uint64)
+    out = [np.empty(len(starts), dtype=np.uint64) for _ in ends]
     i = 0
     while i < len(starts):
         origin = int(starts[i])
-        j = max(i + 1, int(np.searchsorted(ends, origin + SLICE_BYTES, side="right")))
-        stop = int(ends[j - 1])
-        size = stop - origin
+        j = max(i + 1, int(np.searchsorted(ends[0], origin + SLICE_BYTES, side="right")))
+        size = int(ends[0][j - 1]) - origin
         power = np.full(size, BASE, dtype=np.uint64)
         power[0] = 1
         np.multiply.accumulate(power, out=power)
         sums = np.zeros(size + 1, dtype=np.uint64)
-        np.cumsum(codes[buf[origin:stop]] * power, out=sums[1:])
-        back = np.full(size, BASE_INVERSE, dtype=np.uint64)
-        back[0] = 1
-        np.multiply.accumulate(back, out=back)
-        s, e = starts[i:j] - origin, ends[i:j] - origin
-        out[i:j] = mix64((sums[e] - sums[s]) * back[s] + (e - s).astype(np.uint64))
+        np.cumsum(codes[buf[origin : origin + size]] * power, out=sums[1:])
+        power.fill(BASE_INVERSE)
+        power[0] = 1
+        np.multiply.accumulate(power, out=power)
+        s = starts[i:j] - origin
+        for hashes, end in zip(out, ends, strict=True):
+            e = end[i:j] - origin
+            hashes[i:j] = mix64((sums[e] - sums[s]) * power[s] + (e - s).astype(np.uint64))
         i = j
     return out
 
 
+def word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, codes: np.ndarray = BYTE_CODES_LOWER) -> np.ndarray:
+    """A 64-bit hash per word."""
+    return span_hashes(buf, starts, [ends], codes)[0]
+
+
 def row_of(pointer: np.ndarray) -> np.ndarray:
     """For each word the row it stands in."""
     return np.repeat(np.arange(len(pointer) - 1), np.diff(pointer))

@@ -15,12 +15,12 @@ A clause ends at . ! ? ; or a line break. An insult word's emission carries the
 word's weight. A document's score is a logistic function of what its clauses
 emitted, by label: single words without their clause are not scored.
 
-Insult words come from a seed list and from labelled documents: words that
-stand in many different contexts of toxic documents and hardly elsewhere
-(contexts, not occurrences, so that copies of one document count once), with
-their log odds as weights. The five emission weights are fitted on the same
-sample, drawn towards the grammar's defaults. The sample has at most about
-`max_labelled` rows, chosen by a hash of the id.
+Insult words come from a seed list and from labelled documents: words, and
+stems of STEMS bytes for inflected forms, that stand in many different contexts
+of several toxic documents and hardly in others. Contexts (the word before) are
+counted, not occurrences, so that copies of one document count once. The five emission
+weights are fitted on the same sample, drawn towards the grammar's defaults.
+The sample has at most about `max_labelled` rows, chosen by a hash of the id.
 
 Defined cases: a null or empty text emits nothing and gets the score of a clean
 document; labels that are null, or whose id is null, are not used; a document
@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rawgate.llm.common import ALNUM_WORD, IS_ALNUM, ascii_lower, find_words, hash_words, remainder, row_of, slices, table, word_hashes, words_of
+from rawgate.llm.common import IS_ALNUM, find_words, hash_words, remainder, row_of, slices, span_hashes, table
 from rawgate.llm.registry import query
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
@@ -58,6 +58,9 @@ SEEDS = {
 PLAIN, TARGETED, NEGATED, REPORTED, THREATENED = range(1, 6)
 LABELS = 5
 
+#: sizes of the stems that may be learned, in bytes, longest first
+STEMS = (8, 7, 6, 5, 4)
+
 SEED_WEIGHT = 3.0
 #: Logistic weights before training: intercept, then the labels in order.
 DEFAULTS = np.array([-3.0, 2.4, 2.8, 0.4, 0.3, 3.0])
@@ -107,13 +110,30 @@ ENDS_CLAUSE[[ord(c) for c in ".!?;\n"]] = True
 
 @dataclass
 class Grammar:
-    """Word hashes with class and weight, and the logistic weights."""
+    """Hashes of words with class and weight, hashes of insult stems with weight, and the logistic weights."""
 
     hashes: np.ndarray
     classes: np.ndarray
     weights: np.ndarray
+    stems: dict[int, tuple[np.ndarray, np.ndarray]]
     logistic: np.ndarray
 
+    def classify(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Class and weight of every word: as a listed word, else by its stem."""
+        whole, *stems = span_hashes(buf, starts, stem_ends(starts, ends))
+        classes, weights = np.full(len(starts), OTHER, dtype=np.int8), np.zeros(len(starts))
+        for size, hashes in zip(STEMS, stems, strict=True):
+            listed, weight = self.stems.get(size, (np.zeros(0, np.uint64), np.zeros(0)))
+            if len(listed):
+                at = np.minimum(np.searchsorted(listed, hashes), len(listed) - 1)
+                hit = (listed[at] == hashes) & (ends - starts > size)
+                classes[hit] = INSULT
+                weights[hit] = np.maximum(weights[hit], weight[at[hit]])
+        at = np.minimum(np.searchsorted(self.hashes, whole), len(self.hashes) - 1)
+        hit = self.hashes[at] == whole
+        classes[hit], weights[hit] = self.classes[at[hit]], self.weights[at[hit]]
+        return classes, weights
+
     def emissions(self, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Per row: summed weight by label (rows x LABELS), number of matched clauses, weight of the worst clause."""
         n_rows = len(offsets) - 1
@@ -121,11 +141,7 @@ class Grammar:
         starts, ends, pointer = find_words(buf, offsets, IS_ALNUM)
         if not len(starts):
             return sums, matched, worst
-        hashes = word_hashes(buf, starts, ends)
-        at = np.searchsorted(self.hashes, hashes)
-        at[at == len(self.hashes)] = 0
-        known = self.hashes[at] == hashes
-        classes = np.where(known, self.classes[at], OTHER)
+        classes, weights = self.classify(buf, starts, ends)
         rows = row_of(pointer)
         breaks = np.cumsum(ENDS_CLAUSE[buf], dtype=np.int64)[starts]
         begins = np.flatnonzero(np.concatenate(([True], (breaks[1:] != breaks[:-1]) | (rows[1:] != rows[:-1]))))
@@ -137,7 +153,7 @@ class Grammar:
             for i, c in enumerate(classes[first:stop].tolist(), first):
                 label = EMIT[state][c]
                 if label:
-                    weight = self.weights[at[i]] if c == INSULT else SEED_WEIGHT
+                    weight = weights[i] if c == INSULT else SEED_WEIGHT
                     sums[row, label - 1] += weight
                     total += weight
                 state = MOVE[state][c]
@@ -150,17 +166,32 @@ class Grammar:
         return 1 / (1 + np.exp(-(self.logistic[0] + np.log1p(sums) @ self.logistic[1:])))
 
 
-def make_grammar(insults: dict[str, float] | None = None, logistic: np.ndarray = DEFAULTS) -> Grammar:
-    """Seeds and learned insult words; a learned weight takes the place of a seed's."""
-    of = {w: (c, SEED_WEIGHT) for c, words in SEEDS.items() for w in words}
-    for word, weight in (insults or {}).items():
-        if word not in of or of[word][0] == INSULT:
-            of[word] = (INSULT, weight)
-    words = sorted(of)
-    hashes = hash_words(words)
-    order = np.argsort(hashes)
+def stem_ends(starts: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
+    """Ends of the whole words and of their stems, longest first."""
+    return [ends, *[np.minimum(ends, starts + size) for size in STEMS]]
+
+
+Learned = list[tuple[int, int, float]]  # (stem size or 0 for a whole word, hash, weight)
+
+
+def make_grammar(learned: Learned = (), logistic: np.ndarray = DEFAULTS) -> Grammar:
+    """Seeds and learned insults. Function words keep their class; a learned weight takes the place of a seed's."""
+    seeds = [(w, c) for c, words in SEEDS.items() for w in words]
+    of = {int(h): (c, SEED_WEIGHT) for (_, c), h in zip(seeds, hash_words([w for w, _ in seeds]), strict=True)}
+    for size, value, weight in learned:
+        if size == 0 and (value not in of or of[value][0] == INSULT):
+            of[value] = (INSULT, weight)
+    hashes = sorted(of)
+    stems = {}
+    for size in STEMS:
+        own = sorted((value, weight) for s, value, weight in learned if s == size)
+        stems[size] = (np.array([v for v, _ in own], dtype=np.uint64), np.array([w for _, w in own]))
     return Grammar(
-        hashes[order], np.array([of[w][0] for w in words])[order], np.array([of[w][1] for w in words])[order], np.asarray(logistic, dtype=float)
+        np.array(hashes, dtype=np.uint64),
+        np.array([of[h][0] for h in hashes], dtype=np.int8),
+        np.array([of[h][1] for h in hashes]),
+        stems,
+        np.asarray(logistic, dtype=float),
     )
 
 
@@ -178,27 +209,57 @@ def _labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, la
         known = known.filter(F.pmod(F.xxhash64("_id"), F.lit(steps)) < steps * max_labelled // n)
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("text"))
     # the sample is bounded by max_labelled: two numbers a row
-    return texts.join(F.broadcast(known), "_id").select("text", "toxic")
-
-
-def learn_insults(labelled: DataFrame, min_contexts: int = 6, min_log_odds: float = 2.5, max_words: int = 400) -> dict[str, float]:
-    """Words that stand in many different contexts of toxic documents and hardly in others."""
-    words = words_of(ascii_lower(F.col("text")), ALNUM_WORD)
-    placed = F.transform(F.col("w"), lambda x, i: F.struct(x.alias("word"), F.xxhash64(F.get(F.col("w"), i - 1)).alias("before")))
-    contexts = (
-        labelled.select("toxic", words.alias("w"))
-        .select("toxic", F.explode(placed).alias("p"))
-        .groupBy("p.word", "p.before")
-        .agg(F.max("toxic").alias("bad"), F.max(1 - F.col("toxic")).alias("good"))
+    return texts.join(F.broadcast(known), "_id").select("text", "toxic", F.xxhash64("_id").alias("doc"))
+
+
+def learn_insults(labelled: DataFrame, min_contexts: int = 6, min_docs: int = 4, min_log_odds: float = 2.0, max_entries: int = 4_000) -> Learned:
+    """Words and stems that stand in many different contexts of toxic documents and hardly in others.
+
+    The context of a word is the word before it. Contexts are dealt into 64
+    classes, and what is kept per entry is the set of classes seen in toxic and
+    in clean documents, and of classes of toxic documents, as bits: one small row per entry and task is shuffled.
+    """
+    kinds = (0, *STEMS)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            toxic = np.array(batch.column(1).to_pylist(), dtype=bool)
+            document = np.uint64(1) << (np.array(batch.column(2), dtype=np.int64) % 64).astype(np.uint64)
+            for first, stop, buf, offsets in slices(batch.column(0)):
+                starts, ends, pointer = find_words(buf, offsets, IS_ALNUM)
+                if not len(starts):
+                    continue
+                rows = row_of(pointer)
+                hashes = span_hashes(buf, starts, stem_ends(starts, ends))
+                before = np.where(np.concatenate(([False], rows[1:] == rows[:-1])), np.roll(hashes[0], 1), 0)
+                bit = np.uint64(1) << (before % np.uint64(64))
+                bad = toxic[first:stop][rows]
+                for kind, value in zip(kinds, hashes, strict=True):
+                    good = (ends - starts > kind) if kind else np.ones(len(starts), bool)
+                    order = np.flatnonzero(good)[np.argsort(value[good], kind="stable")]
+                    if not len(order):
+                        continue
+                    ranked = value[order]
+                    at = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
+                    masks = [np.bitwise_or.reduceat(np.where(x[order], bit[order], np.uint64(0)), at) for x in (bad, ~bad)]
+                    seen_in = np.where(bad[order], document[first:stop][rows[order]], np.uint64(0))
+                    masks.append(np.bitwise_or.reduceat(seen_in, at))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(at), kind, np.int32)), *[pa.array(x.view(np.int64)) for x in (ranked[at], *masks)]],
+                        names=["kind", "value", "bad", "good", "docs"],
+                    )
+
+    odds = F.log((F.col("bad") + 0.5) / (F.col("good") + 0.5))
+    best = (
+        labelled.select("text", "toxic", "doc")
+        .mapInArrow(count, "kind int, value long, bad long, good long, docs long")
+        .groupBy("kind", "value")
+        .agg(*[F.bit_count(F.expr(f"bit_or({c})")).alias(c) for c in ("bad", "good", "docs")])
+        .filter((F.col("bad") >= min_contexts) & (F.col("docs") >= min_docs) & (odds >= min_log_odds))
+        .select("kind", "value", odds.alias("odds"))
     )
-    by_word = contexts.groupBy("word").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
-    totals = labelled.agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good")).collect()[0]
-    if not totals["bad"] or not totals["good"]:
-        return {}
-    prior = float(np.log(totals["good"] / totals["bad"]))
-    odds = F.log((F.col("bad") + 0.5) / (F.col("good") + 0.5)) + prior
-    best = by_word.filter(F.col("bad") >= min_contexts).withColumn("odds", odds).filter(F.col("odds") >= min_log_odds)
-    return {r["word"]: min(float(r["odds"]), 8.0) for r in best.orderBy(F.desc("odds"), "word").limit(max_words).collect()}
+    rows = best.orderBy(F.desc("odds"), "kind", "value").limit(max_entries).collect()
+    return [(r["kind"], r["value"] % (1 << 64), float(r["odds"])) for r in rows]
 
 
 def _features(docs: DataFrame, grammar: Grammar, keep: list[str], text_col: str) -> DataFrame:
@@ -251,7 +312,7 @@ def train(
     id_col: str = "doc_id",
     text_col: str = "text",
     label_col: str = "toxic",
-    max_labelled: int = 8_000,
+    max_labelled: int = 12_000,
 ) -> Grammar:
     """A grammar from the given labels; pass only those that may be learned from."""
     labelled = _labelled(docs, labels, id_col, text_col, label_col, max_labelled)
