@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from rawgate.llm import langid, licenses, quality, toxicity  # noqa: F401
+from rawgate.llm import langid, licenses, quality, toxicity, warc  # noqa: F401
 from rawgate.llm.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
