@@ -145,9 +145,10 @@ def adaptive_limits(measured: DataFrame, lang_col: str, source_col: str, reach:
         )
 
     own, lang = packed(fine, [lang_col, source_col], "own"), packed(by_lang, [lang_col], "lang")
-    whole = packed(merged(by_lang, []), [], "corpus")
-    joined = own.join(lang, F.col(f"own_{lang_col}").eqNullSafe(F.col(f"lang_{lang_col}")), "left").join(F.broadcast(whole))  # whole is one row
-    chosen = F.when(F.col("own.n") >= least_group, F.col("own")).when(F.col("lang.n") >= least_group, F.col("lang")).otherwise(F.col("corpus"))
+    whole = limits_of(merged(by_lang, []), [], reach).collect()[0]  # one row of numbers
+    corpus = F.struct(*[F.lit(whole[c]).cast("long" if c == "n" else "double").alias(c) for c in ("n", *names)])
+    joined = own.join(lang, F.col(f"own_{lang_col}").eqNullSafe(F.col(f"lang_{lang_col}")), "left")
+    chosen = F.when(F.col("own.n") >= least_group, F.col("own")).when(F.col("lang.n") >= least_group, F.col("lang")).otherwise(corpus)
     return joined.select(F.col(f"own_{lang_col}").alias("_lang"), F.col(f"own_{source_col}").alias("_source"), chosen.alias("_limits"))
 
 
