@@ -1,4 +1,12 @@
-"""The corpus pipeline: documents through five stages, each written as Parquet and read again."""
+"""The corpus pipeline: documents through five stages, each written as Parquet and read again.
+
+1. toxicity: documents with a score of 0.5 or more go.
+2. ngram_jaccard: of each component of near copies the smallest id stays.
+3. decontamination: documents that hold a window of a benchmark item go.
+4. secrets: found secrets are masked in the text; all documents stay.
+5. mixing: documents are repeated to the target weights of their sources and
+   dealt out in random order, with the columns `copy` and `shuffle_key`.
+"""
 
 from __future__ import annotations
 
@@ -7,10 +15,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from rawgate.llm.common import staged, table
+from rawgate.llm.decontamination import drop_contaminated
+from rawgate.llm.jaccard import keep_one
+from rawgate.llm.mixing import mix_stage
+from rawgate.llm.secrets import mask_secrets
+from rawgate.llm.toxicity import drop_toxic
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", drop_toxic),
+    ("ngram_jaccard", keep_one),
+    ("decontamination", drop_contaminated),
+    ("secrets", mask_secrets),
+    ("mixing", mix_stage),
+]
 
 #: The first stage learns its weights from labels, which SQL cannot express.
 ORACLE_SQL = None

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from rawgate.llm import chat, decontamination, langid, licenses, mixing, quality, toxicity, warc  # noqa: F401
+from rawgate.llm import chat, decontamination, jaccard, langid, licenses, mixing, quality, secrets, toxicity, warc  # noqa: F401
 from rawgate.llm.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
