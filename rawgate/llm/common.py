@@ -179,6 +179,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def whole_row(docs: DataFrame) -> Column:
+    """All columns as one struct, so that columns added beside it cannot clash with them."""
+    return F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in docs.columns])
+
+
 #: a side is broadcast only if its measured size is below this
 BROADCAST_BYTES = 16 << 20
 

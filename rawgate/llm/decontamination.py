@@ -34,7 +34,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rawgate.llm.common import ALNUM_WORD, ascii_lower, broadcast_if_small, staged, table, words_of
+from rawgate.llm.common import ALNUM_WORD, ascii_lower, broadcast_if_small, staged, table, whole_row, words_of
 from rawgate.llm.registry import query
 
 WINDOW = 10
@@ -249,6 +249,6 @@ def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents that hold a benchmark window go, all columns of the others stay."""
     found = contamination(docs, table(spark, sf_dir, "benchmark")).filter(F.col("n_hit") > 0)
-    hit = staged(found.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct(), "decon-hit")
-    here = F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
-    return docs.join(broadcast_if_small(hit, 32), docs["doc_id"].eqNullSafe(F.col("_id")) & (here == F.col("_hash")), "left_anti")
+    hit = broadcast_if_small(staged(found.select("doc_id", "text_hash").distinct(), "decon-hit"), 32)
+    rows = docs.select(whole_row(docs).alias("row"), F.col("doc_id").alias("id"), F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("h"))
+    return rows.join(hit, rows["id"].eqNullSafe(hit["doc_id"]) & (rows["h"] == hit["text_hash"]), "left_anti").select("row.*")

@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rawgate.llm.common import IS_SPACED, broadcast_if_small, bytes_of, find_words, mix64, slices, staged, table, word_hashes
+from rawgate.llm.common import IS_SPACED, broadcast_if_small, bytes_of, find_words, mix64, slices, staged, table, whole_row, word_hashes
 from rawgate.llm.components import connected_components
 from rawgate.llm.registry import query
 
@@ -583,5 +583,6 @@ def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     their component has no id.
     """
     found = ngram_jaccard(docs).filter((F.col("n_shingles") > 0) & ~F.col("doc_id").eqNullSafe(F.col("component_id")))
-    dropped = staged(found.select(F.col("doc_id").alias("_id")).distinct(), "jaccard-dropped")
-    return docs.join(broadcast_if_small(dropped, 16), docs["doc_id"].eqNullSafe(F.col("_id")), "left_anti")
+    dropped = broadcast_if_small(staged(found.select("doc_id").distinct(), "jaccard-dropped"), 16)
+    rows = docs.select(whole_row(docs).alias("row"), F.col("doc_id").alias("id"))
+    return rows.join(dropped, rows["id"].eqNullSafe(dropped["doc_id"]), "left_anti").select("row.*")

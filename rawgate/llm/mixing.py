@@ -27,7 +27,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rawgate.llm.common import BROADCAST_BYTES, staged, table
+from rawgate.llm.common import BROADCAST_BYTES, staged, table, whole_row
 from rawgate.llm.registry import query
 
 SEED = "mix-1"
@@ -109,18 +109,18 @@ def mix(
     by_source = by_source.select(F.col("source").alias("_source"), "rate", "cdf")
     measured = by_source.agg(F.sum(F.size("cdf") * 8 + F.coalesce(F.length("_source"), F.lit(0)) + 64)).collect()[0][0] or 0
     by_source = F.broadcast(by_source) if measured <= BROADCAST_BYTES else by_source  # else AQE splits the hot source
-    columns = [c for c in docs.columns if c not in ("copy", "shuffle_key")]
-    at = hashed(F.lit(seed), F.lit("count"), F.col(id_col), F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")))
+    kept = docs.drop("copy", "shuffle_key")
+    id_of, source, text = F.col(id_col), F.col(source_col), F.coalesce(F.col(text_col), F.lit(""))
+    at = hashed(F.lit(seed), F.lit("count"), id_of, F.md5(text.cast("binary")))
+    rows = kept.select(whole_row(kept).alias("row"), id_of.alias("id"), source.alias("source"), at.alias("at"))
     counted = (
-        docs.select(*columns)
-        .withColumn("_at", at)
-        .join(by_source, F.col(source_col).eqNullSafe(F.col("_source")), "inner")
-        .withColumn("_n", F.when(F.col("rate") > 0, F.size(F.filter("cdf", lambda c: c <= F.col("_at")))).otherwise(0))
-        .filter(F.col("_n") > 0)
+        rows.join(by_source, F.col("source").eqNullSafe(F.col("_source")), "inner")
+        .withColumn("n", F.when(F.col("rate") > 0, F.size(F.filter("cdf", lambda c: c <= F.col("at")))).otherwise(0))
+        .filter(F.col("n") > 0)
     )
-    copies = counted.select(*columns, F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("copy"))
-    key = hashed(F.lit(seed), F.lit("order"), F.col(id_col), F.col("copy"))
-    return copies.withColumn("shuffle_key", key).repartition("shuffle_key").sortWithinPartitions("shuffle_key", id_col, "copy")
+    copies = counted.select("row", "id", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("copy"))
+    keyed = copies.withColumn("shuffle_key", hashed(F.lit(seed), F.lit("order"), F.col("id"), F.col("copy")))
+    return keyed.repartition("shuffle_key").sortWithinPartitions("shuffle_key", "id", "copy").select("row.*", "copy", "shuffle_key")
 
 
 MIX_SQL = f"""

@@ -36,7 +36,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rawgate.llm.common import ALNUM_WORD, ascii_lower, staged, table, words_of
+from rawgate.llm.common import ALNUM_WORD, BROADCAST_BYTES, ascii_lower, staged, table, whole_row, words_of
 from rawgate.llm.registry import query
 
 KEY_CHARS = r"[A-Za-z0-9_+/=.-]"
@@ -236,14 +236,17 @@ def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: every found secret is masked in its text, and n_chars follows; all documents stay."""
     model, words = train(docs)
-    text_hash = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
-    found = scan(docs.withColumn("_hash", text_hash), model, words, ["doc_id", "_hash"]).filter("is_secret")
-    by_doc = staged(found.groupBy("doc_id", "_hash").agg(F.collect_set(F.struct(F.length("value").alias("n"), "value")).alias("found")), "secrets-found")
-    by_doc = by_doc.select(F.col("doc_id").alias("_id"), F.col("_hash").alias("_h"), F.sort_array("found", asc=False).alias("_found"))
-    measured = by_doc.agg(F.sum(F.length(F.to_json("_found")) + 64)).collect()[0][0] or 0
-    by_doc = F.broadcast(by_doc) if measured <= (16 << 20) else by_doc
-    met = docs.withColumn("_hash", text_hash).join(by_doc, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_h")), "left")
-    masked = F.aggregate("_found", F.col("text"), lambda text, x: F.replace(text, x["value"], F.lit(MASK)))
-    changed = met.withColumn("text", F.when(F.col("_found").isNotNull(), masked).otherwise(F.col("text")))
-    n_chars = F.when(F.col("_found").isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return changed.withColumn("n_chars", n_chars).select(*docs.columns)
+    text = F.col("text").cast("string")
+    here = F.xxhash64(F.coalesce(text, F.lit("")))
+    found = scan(docs.select("doc_id", here.alias("text_hash"), text.alias("text")), model, words, ["doc_id", "text_hash"]).filter("is_secret")
+    by_doc = found.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct(F.length("value").alias("n"), "value")).alias("found"))
+    by_doc = staged(by_doc.withColumn("found", F.sort_array("found", asc=False)), "secrets-found")
+    measured = by_doc.agg(F.sum(F.length(F.to_json("found")) + 64)).collect()[0][0] or 0
+    by_doc = F.broadcast(by_doc) if measured <= BROADCAST_BYTES else by_doc
+    rows = docs.select(whole_row(docs).alias("row"), F.col("doc_id").alias("id"), here.alias("h"))
+    met = rows.join(by_doc, rows["id"].eqNullSafe(by_doc["doc_id"]) & (rows["h"] == by_doc["text_hash"]), "left")
+    masked = F.aggregate("found", F.col("row.text"), lambda text, x: F.replace(text, x["value"], F.lit(MASK)))
+    changed = met.select("row", F.when(F.col("found").isNotNull(), masked).alias("masked"))
+    counted = F.length("masked").cast(docs.schema["n_chars"].dataType)
+    new = F.col("row").withField("text", F.coalesce("masked", "row.text")).withField("n_chars", F.coalesce(counted, "row.n_chars"))
+    return changed.select(new.alias("row")).select("row.*")

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rawgate.llm.common import IS_ALNUM, find_words, hash_words, remainder, row_of, slices, span_hashes, table
+from rawgate.llm.common import IS_ALNUM, find_words, hash_words, remainder, row_of, slices, span_hashes, table, whole_row
 from rawgate.llm.registry import query
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
@@ -349,4 +349,5 @@ def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents with a score of 0.5 or more go, all columns of the others stay."""
     grammar = train(docs, may_learn(table(spark, sf_dir, "labels")))
-    return score(docs, grammar, docs.columns).filter(F.col("score") < 0.5).select(*docs.columns)
+    rows = docs.select(whole_row(docs).alias("row"), F.col("text").alias("text"))
+    return score(rows, grammar, ["row"]).filter(F.col("score") < 0.5).select("row.*")
