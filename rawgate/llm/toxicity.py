@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rawgate.llm.common import IS_ALNUM, find_words, hash_words, remainder, row_of, slices, span_hashes, table, whole_row
+from rawgate.llm.common import IS_ALNUM, find_words, hash_words, mix64, remainder, row_of, slices, span_hashes, table, whole_row
 from rawgate.llm.registry import query
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
@@ -209,7 +209,7 @@ def _labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, la
         known = known.filter(F.pmod(F.xxhash64("_id"), F.lit(steps)) < steps * max_labelled // n)
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("text"))
     # the sample is bounded by max_labelled: two numbers a row
-    return texts.join(F.broadcast(known), "_id").select("text", "toxic", F.xxhash64("_id").alias("doc"))
+    return texts.join(F.broadcast(known), "_id").select("text", "toxic")
 
 
 def learn_insults(labelled: DataFrame, min_contexts: int = 6, min_docs: int = 4, min_log_odds: float = 2.0, max_entries: int = 4_000) -> Learned:
@@ -224,7 +224,6 @@ def learn_insults(labelled: DataFrame, min_contexts: int = 6, min_docs: int = 4,
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             toxic = np.array(batch.column(1).to_pylist(), dtype=bool)
-            document = np.uint64(1) << (np.array(batch.column(2), dtype=np.int64) % 64).astype(np.uint64)
             for first, stop, buf, offsets in slices(batch.column(0)):
                 starts, ends, pointer = find_words(buf, offsets, IS_ALNUM)
                 if not len(starts):
@@ -233,6 +232,10 @@ def learn_insults(labelled: DataFrame, min_contexts: int = 6, min_docs: int = 4,
                 hashes = span_hashes(buf, starts, stem_ends(starts, ends))
                 before = np.where(np.concatenate(([False], rows[1:] == rows[:-1])), np.roll(hashes[0], 1), 0)
                 bit = np.uint64(1) << (before % np.uint64(64))
+                # a document's class is its smallest word pair, which near copies share
+                pairs, filled = mix64(before * np.uint64(3) + hashes[0]), np.unique(rows)
+                document = np.zeros(stop - first, np.uint64)
+                document[filled] = np.uint64(1) << (np.minimum.reduceat(pairs, pointer[filled]) % np.uint64(64))
                 bad = toxic[first:stop][rows]
                 for kind, value in zip(kinds, hashes, strict=True):
                     good = (ends - starts > kind) if kind else np.ones(len(starts), bool)
@@ -242,7 +245,7 @@ def learn_insults(labelled: DataFrame, min_contexts: int = 6, min_docs: int = 4,
                     ranked = value[order]
                     at = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
                     masks = [np.bitwise_or.reduceat(np.where(x[order], bit[order], np.uint64(0)), at) for x in (bad, ~bad)]
-                    seen_in = np.where(bad[order], document[first:stop][rows[order]], np.uint64(0))
+                    seen_in = np.where(bad[order], document[rows[order]], np.uint64(0))
                     masks.append(np.bitwise_or.reduceat(seen_in, at))
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(len(at), kind, np.int32)), *[pa.array(x.view(np.int64)) for x in (ranked[at], *masks)]],
@@ -251,7 +254,7 @@ def learn_insults(labelled: DataFrame, min_contexts: int = 6, min_docs: int = 4,
 
     odds = F.log((F.col("bad") + 0.5) / (F.col("good") + 0.5))
     best = (
-        labelled.select("text", "toxic", "doc")
+        labelled.select("text", "toxic")
         .mapInArrow(count, "kind int, value long, bad long, good long, docs long")
         .groupBy("kind", "value")
         .agg(*[F.bit_count(F.expr(f"bit_or({c})")).alias(c) for c in ("bad", "good", "docs")])
