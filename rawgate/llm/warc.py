@@ -21,7 +21,8 @@ side, so a payload that a third of all pages share is one row per task.
 
 Defined cases: a null payload is empty; equal rows that share the largest id
 are all responses; a null id is written as an empty field and counts as smaller
-than any id; line breaks and blanks in URLs are percent-coded; a null URL gives
+than any id; control signs and blanks in URLs, and a version line that would end one,
+are percent-coded; a null URL gives
 a record without target; an empty table gives an archive without records;
 other columns are not read.
 """
@@ -98,7 +99,7 @@ def _field(name: str, value: Column) -> Column:
 
 def record_rows(records: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """The archive's rows: one WARC record per chunk, as the text after its version line."""
-    url = F.regexp_replace(F.regexp_replace("url", r"[\x00-\x20\x7F]", "%20"), r"^$", "%20")
+    url = F.regexp_replace(F.regexp_replace("url", r"[\x00-\x20\x7F]", "%20"), r"WARC/1\.1$", "WARC%2F1.1")
     cut = F.when(F.col("record_type") == "response", chunks(F.col("payload"), chunk_bytes)).otherwise(F.array(F.lit(b"")))
     tagged = records.select(*[c for c in records.columns if c != "payload"], F.uuid().alias("record_id"), cut.alias("_chunks"))
     named = tagged.withColumn("_n_chunks", F.size("_chunks"))
