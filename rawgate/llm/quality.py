@@ -34,7 +34,7 @@ MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 
 #: measures judged: name, least spread, whether there is a lower limit too
-RATIOS = (("symbol_ratio", 0.05, False), ("dup_line_ratio", 0.10, False), ("repeat_ratio", 0.05, False), ("word_length", 0.5, True))
+RATIOS = (("symbol_ratio", 0.005, False), ("dup_line_ratio", 0.10, False), ("repeat_ratio", 0.05, False), ("word_length", 0.5, True))
 REACH = 6.0
 LEAST_GROUP = 200
 
@@ -145,8 +145,8 @@ def adaptive_limits(measured: DataFrame, lang_col: str, source_col: str, reach:
         )
 
     own, lang = packed(fine, [lang_col, source_col], "own"), packed(by_lang, [lang_col], "lang")
-    whole = limits_of(merged(by_lang, []), [], reach).collect()[0]  # one row of numbers
-    corpus = F.struct(*[F.lit(whole[c]).cast("long" if c == "n" else "double").alias(c) for c in ("n", *names)])
+    whole = limits_of(merged(by_lang, []).filter("n > 0"), [], reach).collect()  # one row of numbers, or none
+    corpus = F.struct(*[F.lit(whole[0][c] if whole else None).cast("long" if c == "n" else "double").alias(c) for c in ("n", *names)])
     joined = own.join(lang, F.col(f"own_{lang_col}").eqNullSafe(F.col(f"lang_{lang_col}")), "left")
     chosen = F.when(F.col("own.n") >= least_group, F.col("own")).when(F.col("lang.n") >= least_group, F.col("lang")).otherwise(corpus)
     return joined.select(F.col(f"own_{lang_col}").alias("_lang"), F.col(f"own_{source_col}").alias("_source"), chosen.alias("_limits"))

@@ -64,8 +64,9 @@ def candidates(docs: DataFrame, keep: list[str], text_col: str = "text") -> Data
     """`keep` columns, place (from 0, in text order), before (word and signs) and value, a row per candidate."""
     found = F.regexp_extract_all(F.coalesce(F.col(text_col).cast("string"), F.lit("")), F.lit(CANDIDATE), F.lit(0))
     rows = docs.select(*keep, F.posexplode(found).alias("place", "_match"))
-    value = F.regexp_replace(F.regexp_extract("_match", rf"{KEY_CHARS}{{{LEAST},}}+$", 0), r"[.]+$", "")
-    split = rows.withColumn("value", value).withColumn("before", F.substring(F.col("_match"), F.lit(1), F.length("_match") - F.length("value")))
+    run = rf"{KEY_CHARS}{{{LEAST},}}+$"
+    value = F.regexp_replace(F.regexp_extract("_match", run, 0), r"[.]+$", "")
+    split = rows.withColumn("value", value).withColumn("before", F.regexp_replace("_match", run, ""))
     has_digit = F.col("value").rlike("[0-9]")
     named = F.lower("before").rlike(rf"({KEY_WORDS.replace(' ', '|')})[\s\"']*[=:]")
     return split.filter((F.length("value") >= LEAST) & (has_digit | named)).drop("_match")

@@ -1,0 +1,107 @@
+import hashlib
+import random
+import re
+
+import pytest
+
+from rawgate.llm import secrets
+from tests.llm.conftest import SCHEMA, odd_rows, prose
+
+
+def hexed(i, n=40):
+    return hashlib.sha1(str(i).encode()).hexdigest()[:n]
+
+
+def mixed(i, n):
+    rng = random.Random(i)
+    return "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(n - 2)) + "a7"
+
+
+REAL = [
+    lambda i: f'token = "{hexed(i)}"',
+    lambda i: f"password: {mixed(i, 22)}",
+    lambda i: "AKIA" + mixed(i, 16).upper(),
+    lambda i: "ghp_" + mixed(i, 36),
+    lambda i: f'api_key="{hexed(i, 32)}"',
+]
+FALSE = [
+    lambda i: f"commit {hexed(i)}",
+    lambda i: f"number 26691094{10**7 + i * 7919}50",
+    lambda i: f"see /alpha/beta/gamma{i}/index2024.html",
+    lambda i: "your_api_key_goes_here_1",
+    lambda i: f"sha256 {hashlib.sha256(str(i).encode()).hexdigest()}",
+]
+
+
+@pytest.fixture(scope="module")
+def planted():
+    rng = random.Random(6)
+    rows, truth = [], {}
+    for i in range(400):
+        words = prose(rng, 40).split()
+        kind = (REAL + FALSE)[i % 10](i) if i % 2 else None
+        if kind:
+            words.insert(rng.randrange(len(words)), kind)
+            truth[i] = i % 10 < 5
+        rows.append((i, " ".join(words), "en", "s", 1))
+    return rows, truth
+
+
+def test_forest_tells_keys_from_look_alikes(spark, planted):
+    rows, truth = planted
+    docs = spark.createDataFrame(rows, SCHEMA)
+    model, words = secrets.train(docs)
+    got = {}
+    for r in secrets.scan(docs, model, words, ["doc_id"]).collect():
+        got[r.doc_id] = got.get(r.doc_id, False) or r.is_secret
+    wrong = [i for i, real in truth.items() if got.get(i, False) != real]
+    assert len(wrong) <= 0.03 * len(truth) and not any(got.get(i) for i in range(0, 400, 2))
+
+
+def test_given_labels_are_used(spark):
+    labelled = spark.createDataFrame(
+        [("x ", hexed(i), 0) for i in range(100)] + [("y: ", mixed(i, 30), 1) for i in range(100)], "before string, value string, label int"
+    )
+    docs = spark.createDataFrame([(1, f"x {hexed(7)} y: {mixed(9, 30)}", "en", "s", 1)], SCHEMA)
+    model, words = secrets.train(docs, labelled=labelled)
+    assert [r.is_secret for r in secrets.scan(docs, model, words, ["doc_id"]).orderBy("place").collect()] == [False, True]
+
+
+def test_stage_masks_every_secret_and_keeps_all_documents(spark, planted):
+    rows, truth = planted
+    rows = rows + [(i, t, l, s, n) for i, t, l, s, n in odd_rows()] + [(900, f'token = "{hexed(1)}" and token = "{hexed(1)}"', "en", "s", 1)] * 2
+    docs = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "'x' AS found", "'y' AS masked", "'z' AS value")
+    out = secrets.mask_secrets(spark, docs, "").collect()
+    assert len(out) == len(rows)
+    by_id = {r.doc_id: r for r in out}
+    assert by_id[900].text == f'token = "{secrets.MASK}" and token = "{secrets.MASK}"' and by_id[900].n_chars == len(by_id[900].text)
+    same = {(i, t) for i, t, *_ in rows} & {(r.doc_id, r.text) for r in out}
+    assert all((i, t) in same for i, t, *_ in odd_rows())
+    assert sum(secrets.MASK in (r.text or "") for r in out) >= 0.97 * sum(truth.values())
+
+
+def test_candidates(spark):
+    key = mixed(3, 20)
+    texts = [f"{key}", f"a {key}.", f'x="{key}"', f"{mixed(4, 20)} {key}", "short1", "a" * 40, "password = abcdefghijklmnopqrst", None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {}
+    for r in secrets.candidates(docs, ["doc_id"]).orderBy("doc_id", "place").collect():
+        got.setdefault(r.doc_id, []).append((r.before, r.value))
+    assert got == {
+        0: [("", key)],
+        1: [("a ", key)],
+        2: [('x="', key)],
+        3: [("", mixed(4, 20)), ("", key)],
+        6: [("password = ", "abcdefghijklmnopqrst")],
+    }
+
+
+def test_long_and_empty(spark, no_docs, odd_docs, tables):
+    huge = "x" * 300_000 + " " + "ab1" * 100_000 + " end"
+    docs = spark.createDataFrame([(1, huge)], "doc_id long, text string")
+    assert [len(r.value) for r in secrets.candidates(docs, ["doc_id"]).collect()] == [300_000]
+    model, words = secrets.train(no_docs)
+    assert model is None and secrets.scan(no_docs, model, words, ["doc_id"]).count() == 0
+    assert secrets.mask_secrets(spark, no_docs, "").count() == 0
+    found = secrets.secret_scan(spark, tables(documents=odd_docs.drop("weird.name"))).collect()
+    assert all(re.fullmatch("[0-9a-f]{64}", r.value_sha256) for r in found)
