@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 def clean_cell(cell: Column, keep_quotes: Column | bool = False) -> Column:
     """Null to blank, U+FFFD to a double quote, then outer double quotes and
     outer single quotes off unless the configuration keeps them."""
-    text = F.replace(F.coalesce(cell, F.lit("")), F.lit("�"), F.lit('"'))
-    bare = F.btrim(F.btrim(text, F.lit('"')), F.lit("'"))
+    given = F.coalesce(cell, F.lit(""))
+    text = F.when(F.instr(given, "�") > 0, F.replace(given, F.lit("�"), F.lit('"'))).otherwise(given)
+    # trimming walks the whole text: only texts with a quote at an end are trimmed
+    quoted = text.startswith('"') | text.endswith('"') | text.startswith("'") | text.endswith("'")
+    bare = F.when(quoted, F.btrim(F.btrim(text, F.lit('"')), F.lit("'"))).otherwise(text)
     keep = keep_quotes if isinstance(keep_quotes, Column) else F.lit(keep_quotes)
     return F.when(keep, text).otherwise(bare)
 

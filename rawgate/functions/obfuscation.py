@@ -6,27 +6,34 @@ XOR with a repeating key is not encryption. `aes_encrypt` and `sha2` of
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+#: bytes that one step handles: a bigint
+STEP = 8
+
+
 def _xor_hex(data: Column, key: bytes) -> Column:
-    """Hex text of `data` XOR the repeating key. Bytes are sliced from the
-    binary value, so the cost is linear in its length."""
-    key_bytes = F.array(*[F.lit(b) for b in key])
+    """Hex text of `data` XOR the repeating key, eight bytes a step. Bytes are
+    sliced from the binary value, so the cost is linear in its length."""
+    repeated = key * (STEP // math.gcd(STEP, len(key)))
+    words = [int.from_bytes(repeated[i : i + STEP], "big", signed=True) for i in range(0, len(repeated), STEP)]
+    key_words = F.array(*[F.lit(w).cast("bigint") for w in words])
 
     def one(i: Column, b: Column) -> Column:
-        plain = F.conv(F.hex(F.substring(b, i + 1, F.lit(1))), 16, 10).cast("int")
-        return F.lpad(F.hex(plain.bitwiseXOR(F.get(key_bytes, i % len(key)))), 2, "0")
+        # a negative target base asks for a signed number
+        plain = F.conv(F.rpad(F.hex(F.substring(b, i * STEP + 1, F.lit(STEP))), 2 * STEP, "0"), 16, -10).cast("bigint")
+        return F.lpad(F.hex(plain.bitwiseXOR(F.get(key_words, i % len(words)))), 2 * STEP, "0")
+
+    def whole(b: Column) -> Column:
+        steps = F.sequence(F.lit(0), F.floor((F.length(b) - 1) / STEP).cast("int"))
+        return F.substring(F.array_join(F.transform(steps, lambda i: one(i, b)), ""), F.lit(1), 2 * F.length(b))
 
     # one-element arrays bind the bytes once
-    return F.array_join(
-        F.transform(
-            F.array(data),
-            lambda b: F.array_join(F.transform(F.sequence(F.lit(0), F.length(b) - 1), lambda i: one(i, b)), ""),
-        ),
-        "",
-    )
+    return F.array_join(F.transform(F.array(data), whole), "")
 
 
 def obfuscate(text: Column, key: bytes) -> Column:

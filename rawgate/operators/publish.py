@@ -14,15 +14,17 @@ PARTITION = ["snap_dt", "run_id"]
 
 
 def publish(rows: DataFrame, path: str, part_files: bool = False) -> None:
-    """Write rows under (snap_dt, run_id).
+    """Write rows under (snap_dt, run_id) and, where `rows` have it, file_nm.
 
-    Only the partitions that are in `rows` are replaced. Part files of one
-    load go in together; `part_files` adds to what an earlier job of the same
-    run has written. There is no shuffle: a task holds rows of one or a few
-    files, and so writes to one or a few partitions.
+    Only the partitions that are in `rows` are replaced. With file_nm, a file
+    that comes later in a run leaves the others alone, and a repeated one
+    replaces itself, part files too. Without it, `part_files` adds to what an
+    earlier job of the same run has written. There is no shuffle: a task holds
+    rows of one or a few files, and so writes to one or a few partitions.
     """
-    writer = rows.write.partitionBy(*PARTITION)
-    if part_files:
+    by_file = ["file_nm"] if "file_nm" in rows.columns else []
+    writer = rows.write.partitionBy(*PARTITION, *by_file)
+    if part_files and not by_file:
         writer.mode("append").parquet(path)
     else:
         writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
@@ -31,11 +33,12 @@ def publish(rows: DataFrame, path: str, part_files: bool = False) -> None:
 def publish_table(rows: DataFrame, table: str, part_files: bool = False) -> None:
     """The same for a table of the catalog, which is made if it is not there."""
     spark = rows.sparkSession
+    by_file = ["file_nm"] if "file_nm" in rows.columns else []
     if not spark.catalog.tableExists(table):
-        rows.write.partitionBy(*PARTITION).format("parquet").saveAsTable(table)
+        rows.write.partitionBy(*PARTITION, *by_file).format("parquet").saveAsTable(table)
         return
     ordered = rows.select(*spark.table(table).columns)
-    if part_files:
+    if part_files and "file_nm" not in ordered.columns:
         ordered.write.insertInto(table)
     else:
         ordered.write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
@@ -43,7 +46,7 @@ def publish_table(rows: DataFrame, table: str, part_files: bool = False) -> None
 
 def table_columns(spark: SparkSession, table: str) -> list[str]:
     """Names of the data columns of a target table, for the positional rename."""
-    return [c for c in spark.table(table).columns if c not in PARTITION]
+    return [c for c in spark.table(table).columns if c not in (*PARTITION, "file_nm")]
 
 
 def write_csv(rows: DataFrame, path: str, sep: str = ",") -> None:

@@ -22,6 +22,7 @@ from rawgate import model
 from rawgate.functions.cleaning import clean_cell, drop_all_null, remove_chars
 from rawgate.functions.delimiters import content_format
 from rawgate.functions.headers import normalise_header, pick_positions, schema_match, slice_text
+from rawgate.functions.obfuscation import obfuscate
 from rawgate.joins import fits_broadcast, join_per_file
 from rawgate.operators import checks as ck
 from rawgate.operators import enrich, publish, records, rows, schema
@@ -40,15 +41,19 @@ class IntakeOptions:
     """What is not in the control tables.
 
     `parents` holds the parent tables of integrity checks by name, with the
-    rows of the snapshot; others are read from the catalog. `positional` cuts
+    rows of the snapshot, or of several with `snap_dt`; others are read from the
+    catalog, and files wait for a table that is not there. `positional` cuts
     rows by place even where the header has additional columns. `keep_bad`
     publishes bad rows too. `folders` says that each file is a folder of parts.
+    `target_table` is a table of the catalog; if it is there, its columns give
+    the final names (unless `target_columns` does).
     """
 
     src_sys_nm: str | None = None
     dq_flag: int | str | None = 0
     obfuscation_key: bytes | None = None
     target_columns: list[str] | None = None
+    target_table: str | None = None
     parents: Mapping[str, DataFrame] = field(default_factory=dict)
     keep_bad: bool = False
     positional: bool = False
@@ -57,7 +62,12 @@ class IntakeOptions:
 
 @dataclass
 class IntakeResult:
-    """Frames of one run; all read staged tables, so each can be written on its own."""
+    """Frames of one run; all read staged tables, so each can be written on its own.
+
+    `rows` and `bad_rows` are `published` and `quarantine` with the file and run
+    they belong to. `bad_row_report` has the number of bad rows per file and the
+    first ten, `obfuscation_log` a row per loaded file if columns were obfuscated.
+    """
 
     published: DataFrame
     quarantine: DataFrame
@@ -67,15 +77,34 @@ class IntakeResult:
     route: str
     part_files: bool
     target: str
+    rows: DataFrame
+    bad_rows: DataFrame
+    bad_row_report: DataFrame
+    obfuscation_log: DataFrame
 
     def write(self, base: str) -> None:
-        """Publish (or leave for the quality step), then quarantine, reports and statuses."""
+        """Publish (or leave for the quality step), then quarantine, reports and statuses.
+
+        Rows, quarantine and schema failures lie under snapshot, run and file:
+        a repeated run replaces its own files and leaves all others alone.
+        """
         folder = self.target if self.route == "publish" else f"{self.target}_dq_input"
-        publish.publish(self.published, f"{base}/{folder}", self.part_files)
-        self.quarantine.write.mode("append").parquet(f"{base}/quarantine")
-        self.schema_failures.write.mode("append").parquet(f"{base}/schema_failures")
+        publish.publish(self.rows, f"{base}/{folder}")
+        publish.publish(self.bad_rows, f"{base}/quarantine")
+        publish.publish(self.schema_failures, f"{base}/schema_failures")
+        self.bad_row_report.write.mode("append").parquet(f"{base}/bad_row_report")
+        self.obfuscation_log.write.mode("append").parquet(f"{base}/obfuscation_log")
         publish.append_status(self.statuses, f"{base}/status")
 
+    def write_table(self, table: str) -> None:
+        """Publish to a table of the catalog, which is made if it is not there."""
+        publish.publish_table(self.rows if not _has_table_without_file(self.rows, table) else self.published, table)
+
+
+def _has_table_without_file(rows: DataFrame, table: str) -> bool:
+    spark = rows.sparkSession
+    return spark.catalog.tableExists(table) and "file_nm" not in spark.table(table).columns
+
 
 @dataclass
 class _Prefix:
@@ -96,9 +125,10 @@ class _Prefix:
     clean: Row | None
     pairs: list[tuple[str, str]]
 
-    @property
-    def problem(self) -> str | None:
-        """Name of the step that the JSON settings make impossible."""
+    def problem(self, opt: IntakeOptions) -> str | None:
+        """Name of the step that the settings make impossible."""
+        if self.obfuscated and not opt.obfuscation_key:
+            return "ObfuscationKey"  # never in clear text
         if self.mode == "multiline" and not self.settings["total_column"]:
             return "MultiLineProcesssing"
         if self.clean is not None and (
@@ -127,6 +157,8 @@ def _read_prefix(control: ct.ControlTables, prefix: str, src: str | None) -> _Pr
     registered = ct.expected_columns(ct.for_prefix(control.file_schema, prefix)).collect()
     if not confs or not registered:
         raise ValueError(f"prefix {prefix!r} is not registered")
+    if len(set(confs)) > 1:
+        raise ValueError(f"prefix {prefix!r} has several configurations; name one source in IntakeOptions.src_sys_nm")
     conf, cols = confs[0], registered[0]
     checklist = ck.rule_list(ct.for_prefix(control.checklist, prefix))
     listed = checklist.withColumn("fmt", content_format(F.col("arguments"))).orderBy("seq").collect()
@@ -171,8 +203,8 @@ def _read_records(spark: SparkSession, p: _Prefix, paths: list[tuple[str, int]],
         else:
             found = csvfiles.read_csv_records(spark, names, width, sep, escape, quote, folders=opt.folders)
         return _clean_records(found, p)
-    gzip = [(path, size) for path, size in paths if ".gz" in path]
-    plain = [path for path, _ in paths if ".gz" not in path]
+    gzip = [(path, size) for path, size in paths if path.endswith(".gz")]
+    plain = [path for path, _ in paths if not path.endswith(".gz")]
     readers = []
     if plain:
         readers.append(lines.read_lines(spark, plain, opt.folders))
@@ -325,8 +357,10 @@ def _data_rows(found: DataFrame, facts: DataFrame, p: _Prefix, small: bool) -> D
     registered columns as text, and whatever else `facts` has."""
     stamps = [c for c in facts.columns if c not in ROW_FACTS]
     pos = F.struct("block", "line_id")
+    # in multi-line files with an indicator only rows marked D are data
+    typed = records.record_type() == "D" if p.mode == "multiline" else ~records.record_type().isin("H", "T")
     data = join_per_file(found, facts, small).filter(
-        (F.col("keep_all") | ~records.record_type().isin("H", "T"))
+        (F.col("keep_all") | typed)
         & (pos > F.col("after"))
         & ~(F.col("has_tail") & (pos == F.col("last_pos")))
     )
@@ -363,10 +397,15 @@ def _measures(data: DataFrame, files: DataFrame, p: _Prefix, control: ct.Control
     for r in rules("integritycheck"):
         child, parent_column = (s.strip() for s in r.argument.split("=", 1))
         table, column = parent_column.rsplit(".", 1)
-        parent = opt.parents[table] if table in opt.parents else data.sparkSession.table(table)
+        parent, spark = opt.parents.get(table), data.sparkSession
+        if parent is None and spark.catalog.tableExists(table):
+            parent = spark.table(table)
+        out = ck.parent_ready(out, parent, f"parent_ready_{r.seq}")
+        if parent is None:
+            out = out.withColumn(f"orphans_{r.seq}", F.lit(0).cast("bigint"))
+            continue
         orphans = ck.orphan_counts(data.filter(good), F.col(f"`{child.upper()}`"), parent, column)
-        out = out.join(orphans.withColumnRenamed("orphans", f"orphans_{r.seq}"), "file_nm", "left")
-        out = out.na.fill(0, [f"orphans_{r.seq}"]).withColumn(f"parent_ready_{r.seq}", F.lit(bool(parent.take(1))))
+        out = out.join(orphans.withColumnRenamed("orphans", f"orphans_{r.seq}"), "file_nm", "left").na.fill(0, [f"orphans_{r.seq}"])
     return out
 
 
@@ -423,15 +462,21 @@ def _statuses(judged: DataFrame, p: _Prefix, route: str, obfuscated: bool) -> Da
     return publish.status_events(judged, entries)
 
 
-def _refused(present: DataFrame, missing: DataFrame, p: _Prefix, route: str) -> IntakeResult:
+def _refused(present: DataFrame, missing: DataFrame, p: _Prefix, route: str, problem: str) -> IntakeResult:
     """Nothing can be read: every file is rejected with the step that failed."""
     spark = present.sparkSession
     named = ", ".join(f"`{n}` string" for n in [*p.names, "snap_dt", "run_id"])
     files = present.select(*FILE_KEYS, F.lit("rejected").alias("disposition"))
-    statuses = publish.status_rows(present, "Filelevelcheck", p.problem, "Fail")
+    statuses = publish.status_rows(present, "Filelevelcheck", problem, "Fail")
+    no_rows = spark.createDataFrame([], f"{named}, file_nm string")
+    no_bad = spark.createDataFrame([], "file_nm string, pos struct<block:bigint,id:bigint>, value string, reason string, snap_dt string, run_id string")
     return IntakeResult(
-        published=spark.createDataFrame([], named),
-        quarantine=spark.createDataFrame([], "file_nm string, pos struct<block:bigint,id:bigint>, value string, reason string"),
+        published=no_rows.drop("file_nm"),
+        quarantine=no_bad.drop("snap_dt", "run_id"),
+        rows=no_rows,
+        bad_rows=no_bad,
+        bad_row_report=spark.createDataFrame([], "file_nm string, bad_rows bigint, samples array<string>"),
+        obfuscation_log=enrich.obfuscation_log(present.limit(0), p.conf["target"], "", ""),
         statuses=statuses,
         files=files.unionByName(missing.select(*FILE_KEYS, F.lit("missing").alias("disposition"))),
         schema_failures=publish.schema_failures(present.limit(0)),
@@ -443,6 +488,37 @@ def _refused(present: DataFrame, missing: DataFrame, p: _Prefix, route: str) ->
 
 # ---- the run ---------------------------------------------------------------
 
+#: between the name of a file that several runs list and the run, inside a run only
+ENTRY_MARK = "\u0001"
+
+
+def _name_of_entry() -> Column:
+    return F.substring_index("file_nm", ENTRY_MARK, 1)
+
+
+def _entries(present: DataFrame) -> tuple[DataFrame, DataFrame | None, list[tuple[str, int]]]:
+    """(manifest rows with a `file_nm` of their own, names that stand for several
+    rows or None, paths and sizes of the files to read).
+
+    Everything per file is keyed by `file_nm`. A file that is listed once keeps
+    its name; one that several runs or sources list gets a name for each.
+    """
+    present = present.dropDuplicates(FILE_KEYS)
+    rows = present.select("path", "file_size", "file_nm", "snap_dt", "run_id", "src_sys_nm").orderBy("path").collect()
+    times: dict[str, int] = {}
+    for r in rows:
+        times[r["file_nm"]] = times.get(r["file_nm"], 0) + 1
+    read = sorted({(lines.literal_path(r["path"]), r["file_size"]) for r in rows if r["file_size"] > 0})
+    names = [n for n, k in times.items() if k > 1]
+    if not names:
+        return present, None, read
+    spark = present.sparkSession
+    twice = spark.createDataFrame([(n,) for n in names], "file_nm string").withColumn("twice", F.lit(True))
+    entry = F.concat_ws(ENTRY_MARK, "file_nm", "snap_dt", "run_id", "src_sys_nm")
+    keyed = present.join(twice, "file_nm", "left").withColumn("entry", F.when(F.col("twice"), entry).otherwise(F.col("file_nm")))
+    again = keyed.filter("twice").select("file_nm", "entry")
+    return keyed.withColumn("file_nm", F.col("entry")).drop("twice", "entry"), again, read
+
 
 def ingest(
     spark: SparkSession,
@@ -460,46 +536,72 @@ def ingest(
     missing = listing.missing_files(manifest, listed)
     present = listing.present_files(manifest, listed)
     route = publish.dq_route(opt.dq_flag)
-    if p.problem:
-        return _refused(present, missing, p, route)
-    located = present.select("path", "file_size").distinct().orderBy("path").collect()
-    paths = [(r["path"], r["file_size"]) for r in located if r["file_size"] > 0]
-    found = stage(_read_records(spark, p, paths, opt), "records")
+    problem = p.problem(opt)
+    if problem:
+        return _refused(present, missing, p, route, problem)
+    present, again, paths = _entries(present)
+    found = _read_records(spark, p, paths, opt)
+    if again is not None:
+        # a file that several runs list is a file of its own in each
+        found = found.join(F.broadcast(again) if len(paths) <= 100_000 else again, "file_nm", "left")
+        found = found.withColumn("file_nm", F.coalesce("entry", "file_nm")).drop("entry")
+    found = stage(found, "records")
 
     files = _layouts(found, present, p, opt.positional)
     if p.intraday:
-        files = enrich.intraday_stamp(files, control.file_metadata)
+        named = files.withColumns({"entry": F.col("file_nm"), "file_nm": _name_of_entry()})
+        files = enrich.intraday_stamp(named, control.file_metadata).withColumn("file_nm", F.col("entry")).drop("entry")
     else:
         files = files.withColumn("snap_dt_ts", F.lit(None).cast("string"))
     files = stage(files, "layouts")
     small = fits_broadcast(files)
-    data = _data_rows(found, files.filter("loads").select(ROW_FACTS), p, small)
+    run = ["snap_dt", "run_id"]
+    data = _data_rows(found, files.filter("loads").select(*ROW_FACTS, *run), p, small)
     judged = stage(_judge(_measures(data, files, p, control, opt), p), "judged")
 
-    stamps = ["snap_dt", "run_id"] + (["snap_dt_ts"] if p.intraday else [])
+    stamps = run + (["snap_dt_ts"] if p.intraday else [])
     accepted = judged.filter(F.col("disposition") == "accepted").select(*ROW_FACTS, *stamps)
     wanted = F.col("reason").isNull() | F.lit(opt.keep_bad)
     out = _data_rows(found, accepted, p, small).filter(wanted)
     if opt.keep_bad:
         # a good row has text, if blank, in every column
         out = drop_all_null(out, p.names)
-    bad = rows.quarantine(data.filter(~wanted))
-    hidden = p.obfuscated if opt.obfuscation_key else []
+    hidden = p.obfuscated
+
+    def set_aside(found_bad: DataFrame) -> DataFrame:
+        """Quarantined rows; a line that may hold a hidden value is obfuscated as a whole."""
+        line = obfuscate(F.col("line"), opt.obfuscation_key) if hidden else F.col("line")
+        pos = F.struct("block", F.col("line_id").alias("id")).alias("pos")
+        return found_bad.select(_name_of_entry().alias("file_nm"), pos, line.alias("value"), "reason", *run)
+
+    refused = data.filter(~wanted)
+    bad = set_aside(refused)
     if hidden:
         out = enrich.obfuscate_columns(out, hidden, opt.obfuscation_key)
     if p.casting:
         kinds = ["string" if n in hidden else t for n, t in zip(p.names, p.types, strict=True)]
         out, rejects = enrich.cast_with_rejects(out, p.names, kinds)
-        bad = bad.unionByName(rows.quarantine(rejects.withColumn("reason", F.lit("cast"))))
-    out = out.select(*p.names, *stamps)
-    if opt.target_columns:
-        out = schema.rename_to_target(out, opt.target_columns)
+        bad = bad.unionByName(set_aside(rejects.withColumn("reason", F.lit("cast"))))
+    out = out.select(*p.names, *stamps, _name_of_entry().alias("file_nm"))
+    final = opt.target_columns
+    if final is None and opt.target_table and spark.catalog.tableExists(opt.target_table):
+        final = [c for c in publish.table_columns(spark, opt.target_table) if c != "snap_dt_ts"]
+    if final:
+        out = schema.rename_to_target(out, final)
+    sample = obfuscate(F.col("line"), opt.obfuscation_key) if hidden else F.col("line")
+    report = rows.bad_row_report(refused, sample).withColumn("file_nm", _name_of_entry())
+    judged = judged.withColumn("file_nm", _name_of_entry())
 
     known = judged.select(*FILE_KEYS, "layout", "match", "n_good", "n_bad", "disposition")
     absent = missing.select(*FILE_KEYS, F.lit("missing").alias("disposition"))
+    loaded = judged.filter((F.col("disposition") == "accepted") & F.lit(bool(hidden)))
     return IntakeResult(
-        published=out,
-        quarantine=bad,
+        published=out.drop("file_nm"),
+        quarantine=bad.drop(*run),
+        rows=out,
+        bad_rows=bad,
+        bad_row_report=report,
+        obfuscation_log=enrich.obfuscation_log(loaded, p.conf["target"], F.col("snap_dt"), F.col("snap_dt")),
         statuses=_statuses(judged, p, route, bool(hidden)),
         files=known.unionByName(absent, allowMissingColumns=True),
         schema_failures=publish.schema_failures(judged.filter(~F.col("empty") & (F.col("match") == "fail"))),

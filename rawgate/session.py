@@ -31,8 +31,16 @@ def build_session(master: str | None = None, app_name: str = "rawgate", **extra:
     return builder.getOrCreate()
 
 
+#: Spark's own default, which a session from elsewhere has if nobody chose
+DEFAULT_PARTITION_BYTES = 128 * 1024 * 1024
+
+
 def tune(spark: SparkSession) -> None:
-    """The one setting that a session from elsewhere must not lack."""
+    """What a session from elsewhere must not lack: the codegen limit, and 200 MB
+    per task unless somebody has chosen another size."""
+    size = "spark.sql.files.maxPartitionBytes"
+    if spark.conf.get(size) in (str(DEFAULT_PARTITION_BYTES), f"{DEFAULT_PARTITION_BYTES}b", "128MB", "128m"):
+        spark.conf.set(size, SETTINGS[size])
     limit = "spark.sql.codegen.hugeMethodLimit"
     if int(spark.conf.get(limit)) > int(SETTINGS[limit]):
         spark.conf.set(limit, SETTINGS[limit])

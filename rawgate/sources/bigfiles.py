@@ -19,7 +19,7 @@ from rawgate.functions.ragged import java_quote
 from rawgate.model import RECORD
 from rawgate.session import stage
 from rawgate.sources.csvfiles import BAD, read_csv_records, string_schema
-from rawgate.sources.lines import PLAIN_BYTES_PER_PARTITION, source_name
+from rawgate.sources.lines import PLAIN_BYTES_PER_PARTITION, numbered
 from rawgate.sources.xmlfiles import read_xml_records
 
 # a record longer than this is taken for the effect of a stray quote
@@ -37,17 +37,8 @@ def quoted_lines(
     """Numbered lines with the number of quotes that open or close a cell."""
     text = F.col("value")
     bare = F.regexp_replace(text, f"(?s){java_quote(escape)}.", "") if escape != quote else text
-    return (
-        spark.read.option("lineSep", "\n")
-        .text(list(paths))
-        .select(
-            source_name(folders).alias("file_nm"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("line_id"),
-            text,
-            (F.length(bare) - F.length(F.replace(bare, F.lit(quote), F.lit("")))).alias("quotes"),
-        )
-    )
+    quotes = (F.length(bare) - F.length(F.replace(bare, F.lit(quote), F.lit("")))).alias("quotes")
+    return numbered(spark.read.option("lineSep", "\n").text(list(paths)), folders, text, quotes)
 
 
 def _earlier(blocks: DataFrame, value: Column, name: str) -> DataFrame:
@@ -114,6 +105,8 @@ def split_csv_records(
     sizes = rest.groupBy("file_nm", "rec").agg(F.sum(F.length("value") + 1).alias("n"), (F.sum("quotes") % 2).alias("odd"))
     doubtful = sizes.groupBy("file_nm").agg(F.max("n").alias("n"), F.max("odd").alias("odd"))
     too_long = [r["file_nm"] for r in doubtful.filter((F.col("n") > max_chars) | (F.col("odd") > 0)).collect()]
+    # a carriage return by itself may end a line for Spark's reader
+    too_long += [r["file_nm"] for r in lines.filter(F.col("value").rlike("\r(?!$)")).select("file_nm").distinct().collect()]
     rest = rest.filter(~F.col("file_nm").isin(too_long)) if too_long else rest
     single = lines.filter(whole).select("file_nm", "block", "line_id", "value")
     several = (
@@ -147,7 +140,7 @@ def split_csv_records(
 
 
 def _name_of(path: str, folders: bool) -> str:
-    name = path.rstrip("/").rsplit("/", 1)[-1]
+    name = re.sub(r"\\(.)", r"\1", path).rstrip("/").rsplit("/", 1)[-1]
     return name.split("=", 1)[-1] if folders else name
 
 
@@ -191,19 +184,11 @@ def split_xml_records(
     read whole).
 
     The text is cut after each row end tag. A file is doubtful if a comment or
-    a CDATA section is cut in two by that, or has a row tag in it.
+    a CDATA section is cut in two by that, or has a row tag in it, if an end tag
+    has a blank in it, or if a row element lies in another.
     """
     tag = re.escape(row_tag)
-    chunks = (
-        spark.read.option("lineSep", f"</{row_tag}>")
-        .text(list(paths))
-        .select(
-            source_name(folders).alias("file_nm"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("line_id"),
-            "value",
-        )
-    )
+    chunks = numbered(spark.read.option("lineSep", f"</{row_tag}>").text(list(paths)), folders, "value")
     value = F.col("value")
     opening = rf"<{tag}(?=[\s/>])"
     hidden = value.contains("<!--") | value.contains("<![CDATA[")
@@ -211,7 +196,10 @@ def split_xml_records(
     cut = seen.contains("<!--") | seen.contains("<![CDATA[") | (
         F.regexp_count(value, F.lit(opening)) != F.regexp_count(seen, F.lit(opening))
     )
-    doubts = chunks.filter(hidden & cut).select("file_nm").distinct().collect()
+    # an end tag with a blank is not cut at, and an element within one of its own name is cut too early
+    spaced = seen.rlike(rf"</{tag}\s+>")
+    nested = F.regexp_count(seen, F.lit(rf"<{tag}(?:\s[^<>]*+)?(?<!/)>")) > 1
+    doubts = chunks.filter((hidden & cut) | spaced | nested).select("file_nm").distinct().collect()
     unsure = sorted(r["file_nm"] for r in doubts)
     sure = chunks.filter(~F.col("file_nm").isin(unsure)) if unsure else chunks
     # an element that closes itself, or one that runs up to the cut

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rawgate.sources.lines import source_name
+from rawgate.sources.lines import numbered
 
 BAD = "_bad"
 
@@ -46,10 +46,9 @@ def read_csv_records(
         .option("columnPruning", False)
         .csv(paths)
     )
-    return rows.select(
-        source_name(folders).alias("file_nm"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("line_id"),
+    return numbered(
+        rows,
+        folders,
         F.col("col_0").alias("ident"),
         F.lit(width).alias("n_fields"),
         # with a data column, as Spark refuses to read the corrupt-record column alone

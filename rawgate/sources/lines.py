@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,20 +32,58 @@ def source_name(folders: bool = False) -> Column:
     return F.when(F.instr(name, "%") > 0, decoded).otherwise(name)
 
 
+def literal_path(path: str) -> str:
+    """A path that Spark takes as it is, whatever glob characters its name has."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
+#: bytes of a part that its place in the folder is counted above
+PART_BITS = 44
+
+
+def numbered(scan: DataFrame, folders: bool, *columns: Column | str) -> DataFrame:
+    """file_nm, block, line_id and `columns` of a file scan.
+
+    `block` orders the splits of a file. It is the split's byte offset; where
+    files were landed as folders of parts, the part's place by name comes
+    first, as offsets begin anew in every part and Spark deals splits by size.
+    Places come from the names that the scan has listed; folders of one part,
+    the usual case, need no lookup.
+    """
+    rows = scan.select(
+        source_name(folders).alias("file_nm"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line_id"),
+        *columns,
+        *([F.col("_metadata.file_path").alias("_path")] if folders else []),
+    )
+    if not folders:
+        return rows
+    by_folder: dict[str, list[str]] = {}
+    for path in sorted(scan.inputFiles()):
+        by_folder.setdefault(path.rsplit("/", 1)[0], []).append(path)
+    later = [(path, place) for paths in by_folder.values() for place, path in enumerate(paths) if place]
+    if not later:
+        return rows.drop("_path")
+
+    def plain(c: Column) -> Column:
+        return F.regexp_replace(c, "^([a-z0-9]+):/+", "$1:/")
+
+    places = scan.sparkSession.createDataFrame(later, "_part string, _place bigint").withColumn("_part", plain(F.col("_part")))
+    placed = rows.join(F.broadcast(places) if len(later) <= 100_000 else places, plain(F.col("_path")) == F.col("_part"), "left")
+    first = F.shiftleft(F.coalesce("_place", F.lit(0).cast("bigint")), PART_BITS)
+    return placed.withColumn("block", first + F.col("block")).drop("_path", "_part", "_place")
+
+
 def read_lines(spark: SparkSession, paths: str | list[str], folders: bool = False) -> DataFrame:
     """One row per line: file_nm, block, line_id, value.
 
     (block, line_id) orders the lines of one file: a split is read by one task
-    from front to back, and `block` is the split's byte offset. The ids belong
+    from front to back, and `block` orders the splits (`numbered`). The ids belong
     to one scan; `session.stage` the result before joining positions found in
     one step with the rows of another.
     """
-    return spark.read.text(paths).select(
-        source_name(folders).alias("file_nm"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("line_id"),
-        F.make_valid_utf8(strip_nul(F.col("value"))).alias("value"),
-    )
+    return numbered(spark.read.text(paths), folders, F.make_valid_utf8(strip_nul(F.col("value"))).alias("value"))
 
 
 def read_gzip_lines(
@@ -97,5 +137,5 @@ def fixed_width_records(lines: DataFrame) -> DataFrame:
 
 def partition_plan(size: Column, name: Column) -> Column:
     """Partitions for a file of `size` bytes: one per 200 MB, gzip one per 20 MB, plus one."""
-    per = F.when(name.contains(".gz"), GZIP_BYTES_PER_PARTITION).otherwise(PLAIN_BYTES_PER_PARTITION)
+    per = F.when(name.endswith(".gz"), GZIP_BYTES_PER_PARTITION).otherwise(PLAIN_BYTES_PER_PARTITION)
     return (F.floor(size / per) + 1).cast("int")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rawgate.sources.lines import source_name
+from rawgate.sources.lines import numbered
 
 
 def read_xml_records(
@@ -28,10 +28,9 @@ def read_xml_records(
         .option("columnNameOfCorruptRecord", "_bad")
         .xml(paths)
     )
-    return rows.select(
-        source_name(folders).alias("file_nm"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("line_id"),
+    return numbered(
+        rows,
+        folders,
         F.lit("D").alias("ident"),
         F.lit(len(columns)).alias("n_fields"),
         F.col("_bad").isNotNull().alias("malformed"),
