@@ -100,3 +100,24 @@ def test_small_files_take_the_plain_way(spark, landing):
     folder = landing(a__csv='1|"a\nb"|x\n')
     found = bigfiles.multiline_records(spark, [(f"{folder}/a.csv", 12)], 3, "|")
     assert found.select(F.get("cells", F.lit(1))).first()[0] == "a\nb"
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "<rs><row><K>1</K></row ><row><K>2</K></row></rs>",
+        "<rs><row><K>1</K><row><K>9</K></row></row><row><K>2</K></row></rs>",
+    ],
+)
+def test_xml_that_cannot_be_cut_is_found(spark, landing, text):
+    folder = landing(a__xml=text)
+    files = [(f"{folder}/a.xml", len(text))]
+    split = bigfiles.xml_records(spark, files, "row", COLUMNS, split_bytes=1)
+    assert rows(split) == rows(xmlfiles.read_xml_records(spark, folder, "row", COLUMNS))
+
+
+def test_lone_carriage_returns_are_found(spark, landing):
+    text = "1|a|b\r2|c|d\r3|e|f\n"
+    folder = landing(a__csv=text)
+    both = bigfiles.multiline_records(spark, [(f"{folder}/a.csv", len(text))], 3, "|", split_bytes=1)
+    assert rows(both) == rows(csvfiles.read_csv_records(spark, folder, 3, "|", multi_line=True))

@@ -171,3 +171,17 @@ def test_metadata_value(spark):
     details = "file_size:1,rows:2,snap_dt_timestamp:2024-01-01 10:11:12"
     assert one(spark, metadata_value(F.col("d"), "snap_dt_timestamp"), d=details) == "2024-01-01 10:11:12"
     assert one(spark, metadata_value(F.col("d"), "snap_dt_timestamp"), d="rows:2") is None
+
+
+@pytest.mark.parametrize("key", [b"k", b"abc", b"12345678", b"\xff" * 9, b"\x80\x00\x01\x02\x03"])
+def test_xor_in_eight_byte_steps(spark, key):
+    import base64
+
+    from rawgate.functions.obfuscation import deobfuscate, obfuscate
+
+    texts = ["a", "1234567", "12345678", "123456789", "é" * 11, "x" * 100_000, "\x7f\U0001f600"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", obfuscate(F.col("t"), key).alias("c"))
+    for r in df.select("t", "c", deobfuscate(F.col("c"), key).alias("back")).collect():
+        data = r["t"].encode()
+        want = bytes(b ^ key[i % len(key)] for i, b in enumerate(data))
+        assert r["c"] == base64.b64encode(want).decode() and r["back"] == r["t"]

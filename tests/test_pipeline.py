@@ -373,3 +373,101 @@ def test_blank_cells_stay_blank_text_and_null_numbers(spark, landing):
     result = ingest(spark, control(spark, ["f.csv"]), "p", landing(f__csv="1|a\n|\n"))
     assert sorted(out(result.published.fillna(-1))) == [(-1, ""), (1, "a")]
     assert result.quarantine.count() == 0
+
+
+def test_a_file_that_two_runs_list(spark, landing):
+    conf = control(spark, ["f.csv"], [("rowCountCheck", None)])
+    conf.manifest = spark.createDataFrame(
+        [("f.csv", "s", "r1", "20240101", "p"), ("f.csv", "s", "r2", "20240101", "p"), ("g.csv", "s", "r1", "20240101", "p")], conf.manifest.schema
+    )
+    result = ingest(spark, conf, "p", landing(f__csv="D|1|a\nD|2|b\nT|2\n", g__csv="D|3|c\nT|1\n"))
+    files = sorted((r["file_nm"], r["run_id"], r["n_good"], r["disposition"]) for r in result.files.collect())
+    assert files == [("f.csv", "r1", 2, "accepted"), ("f.csv", "r2", 2, "accepted"), ("g.csv", "r1", 1, "accepted")]
+    rows = sorted((r["K"], r["run_id"], r["file_nm"]) for r in result.rows.collect())
+    assert rows == [(1, "r1", "f.csv"), (1, "r2", "f.csv"), (2, "r1", "f.csv"), (2, "r2", "f.csv"), (3, "r1", "g.csv")]
+
+
+def test_later_files_and_reruns_leave_others_alone(spark, landing, tmp_path):
+    base = str(tmp_path / "out")
+    folder = landing(a__csv="1|a\n", b__csv="2|b\nbad\n")
+    for names in (["a.csv"], ["b.csv"], ["b.csv"]):
+        ingest(spark, control(spark, names, part="y"), "p", folder).write(base)
+    rows = spark.read.parquet(f"{base}/tgt").collect()
+    assert sorted((r["K"], r["file_nm"]) for r in rows) == [(1, "a.csv"), (2, "b.csv")]
+    assert spark.read.parquet(f"{base}/quarantine").count() == 1
+
+
+def test_bad_row_report_of_a_run(spark, landing):
+    result = ingest(spark, control(spark, ["f.csv"]), "p", landing(f__csv="1|a\n" + "bad\n" * 12))
+    report = result.bad_row_report.collect()
+    assert [(r["file_nm"], r["bad_rows"], len(r["samples"])) for r in report] == [("f.csv", 12, 10)]
+
+
+def test_names_with_glob_characters(spark, tmp_path):
+    names = ["f[1].csv", "g{a}*?.csv", "h.csv"]
+    for name in names:
+        (tmp_path / name).write_text("1|a\n")
+    result = ingest(spark, control(spark, names), "p", str(tmp_path))
+    assert where(result) == dict.fromkeys(names, "accepted") and result.published.count() == 3
+
+
+def test_hidden_columns_are_never_published_in_clear(spark, landing):
+    schema = [("p", "k", 1, 3, "bigint", False), ("p", "v", 2, 6, "string", True)]
+    folder = landing(f__csv="1|secret\nx|secret\nsecret\n")
+    refused = ingest(spark, control(spark, ["f.csv"], schema=schema), "p", folder)
+    assert where(refused) == {"f.csv": "rejected"} and refused.published.count() == 0
+    assert steps(refused, "f.csv") == [("ObfuscationKey", "Fail")]
+    result = ingest(spark, control(spark, ["f.csv"], schema=schema), "p", folder, IntakeOptions(obfuscation_key=b"key"))
+    text = str([result.published.collect(), result.quarantine.collect(), result.bad_row_report.collect()])
+    assert "secret" not in text and result.quarantine.count() == 2 and result.published.count() == 1
+    assert result.obfuscation_log.count() == 1
+
+
+def test_integrity_compares_values_of_a_snapshot(spark, landing):
+    conf = control(spark, ["f.csv", "g.csv"], [("integrityCheck", "k=parent.id")])
+    folder = landing(f__csv="001|x\n 2|y\n", g__csv="abc|x\n")
+    parent = spark.createDataFrame([(1, "20240101"), (2, "20240101"), (9, "20231231")], "id bigint, snap_dt string")
+    result = ingest(spark, conf, "p", folder, IntakeOptions(parents={"parent": parent}))
+    assert where(result) == {"f.csv": "accepted", "g.csv": "rejected"}
+    old = parent.filter("snap_dt < '20240101'")
+    assert where(ingest(spark, conf, "p", folder, IntakeOptions(parents={"parent": old}))) == {"f.csv": "waiting", "g.csv": "waiting"}
+    assert where(ingest(spark, conf, "p", folder)) == {"f.csv": "waiting", "g.csv": "waiting"}  # no such table
+
+
+def test_unknown_check_and_several_configurations(spark, landing):
+    folder = landing(f__csv="1|a\n")
+    result = ingest(spark, control(spark, ["f.csv"], [("noSuchCheck", None)]), "p", folder)
+    assert where(result) == {"f.csv": "rejected"} and ("noSuchCheck", "Fail") in steps(result, "f.csv")
+    conf = control(spark, ["f.csv"])
+    conf.expected_files = conf.expected_files.union(conf.expected_files.withColumn("src_sys_nm", F.lit("t")))
+    with pytest.raises(ValueError):
+        ingest(spark, conf, "p", folder)
+    assert where(ingest(spark, conf, "p", folder, IntakeOptions(src_sys_nm="s"))) == {"f.csv": "accepted"}
+
+
+def test_multiline_files_keep_rows_marked_d(spark, landing):
+    schema = [("p", "k", 1, 3, "bigint", False), ("p", "v", 2, 2, "string", False)]
+    mapping = [mapped("listOfMultilineFiles", total_column=3, escape='"', quote='"')]
+    conf = control(spark, ["f.csv"], schema=schema, mapping=mapping)
+    result = ingest(spark, conf, "p", landing(f__csv='H|1|x\nD|1|"a\nb"\nX|9|z\nT|1|x\n'))
+    assert out(result.published) == [(1, "a\nb")]
+
+
+def test_order_in_files_of_several_parts(spark, tmp_path):
+    """A later part that is larger is dealt first by Spark; the order is that of the names."""
+    folder = tmp_path / "f.csv"
+    folder.mkdir()
+    (folder / "part-00000.csv").write_text("K|V\n1|a\n")
+    (folder / "part-00001.csv").write_text("2|" + "b" * 500 + "\n3|c\n3\n")
+    conf = control(spark, ["f.csv"], [("fileContentCheck", "HDT_no")], flag="Y")
+    result = ingest(spark, conf, "p", str(tmp_path), IntakeOptions(folders=True))
+    assert where(result) == {"f.csv": "accepted"} and [k for k, _ in out(result.published)] == [1, 2, 3]
+
+
+def test_target_names_from_the_table(spark, landing):
+    spark.sql("DROP TABLE IF EXISTS final_target")
+    spark.sql("CREATE TABLE final_target (number bigint, letter string, snap_dt string, run_id string) USING parquet PARTITIONED BY (snap_dt, run_id)")
+    result = ingest(spark, control(spark, ["f.csv"]), "p", landing(f__csv="1|a\n"), IntakeOptions(target_table="final_target"))
+    result.write_table("final_target")
+    assert [(r["number"], r["letter"]) for r in spark.table("final_target").collect()] == [(1, "a")]
+    spark.sql("DROP TABLE final_target")
