@@ -6,12 +6,14 @@ UTF-8 text can be found byte by byte, without decoding.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rawgate.session import scratch_path
 
@@ -22,7 +24,8 @@ SPACED_WORD = r"[^\x20\x09-\x0D]+"
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-SLICE_BYTES = 2 << 20
+#: bytes of text that a kernel works on at once; its arrays take some forty times as much
+SLICE_BYTES = 512 << 10
 
 
 def _alnum_table() -> np.ndarray:
@@ -167,6 +170,32 @@ def remainder(doc_id: Column, modulus: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("null")).cast("binary")), F.lit(modulus)).cast("int")
 
 
+#: bytes of one Arrow batch, where the session has Spark's own default
+BATCH_BYTES = 8 << 20
+_BATCH_KEY, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", 64 << 20
+
+
+def give_back() -> None:
+    """Return freed memory to the system: Python workers are reused, and several share an executor's memory."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def arrow_map(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType | str) -> DataFrame:
+    """`mapInArrow` over batches of bounded size, whatever the length of the texts."""
+    conf = df.sparkSession.conf
+    if conf.get(_BATCH_KEY, "") in (str(_BATCH_DEFAULT), f"{_BATCH_DEFAULT}b", "64MB", "64m"):
+        conf.set(_BATCH_KEY, str(BATCH_BYTES))
+
+    def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return df.mapInArrow(bounded, schema)
+
+
 def staged(df: DataFrame, label: str, compression: str = "zstd") -> DataFrame:
     """Write once to the shared folder and read back: cuts lineage, survives lost executors."""
     spark = df.sparkSession

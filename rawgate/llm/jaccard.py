@@ -23,7 +23,10 @@ least l tokens among the lowest d(n) + l of each (l = l(n) below). Among these
 it must therefore share SHARED tokens within the first |lowest| - l' + SHARED in
 any other common order, where l' is the smallest l of any set that can link.
 That order puts tokens of very many groups (counted over all data) last, so that
-common passages cost nothing unless a document consists of little else.
+common passages cost nothing unless a document consists of little else. Such
+documents are grouped anew, by the smallest of their common tokens: an edit
+seldom changes it, so the near copies of a very frequent text, whose edits give
+them many different smallest tokens, come together in a few groups.
 
 Sizes: per class some 15 % of its tokens are moved, plus whole sets of the groups
 that are opened. Groups are bounded, queries are streamed, hot targets are
@@ -46,7 +49,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rawgate.llm.common import IS_SPACED, broadcast_if_small, bytes_of, find_words, mix64, slices, staged, table, whole_row, word_hashes
+from rawgate.llm.common import IS_SPACED, arrow_map, broadcast_if_small, bytes_of, find_words, mix64, slices, staged, table, whole_row, word_hashes
 from rawgate.llm.components import connected_components
 from rawgate.llm.registry import query
 
@@ -56,7 +59,7 @@ SHARED = 4
 #: a group has at most so many members and tokens
 GROUP_MEMBERS, GROUP_TOKENS = 1024, 1 << 20
 #: classes per smallest token before it is salted
-SALT_ABOVE = 8_192
+SALT_ABOVE = 1_024
 #: tokens in more groups than this come last; raised until at most HEAVY_TOKENS are such
 HEAVY_ABOVE, HEAVY_TOKENS = 64, 1 << 20
 #: queries that one task streams through a group
@@ -166,7 +169,7 @@ def document_sets(docs: DataFrame, id_col: str, text_col: str, size: int, percen
             T.StructField("low", T.BinaryType()),
         ]
     )
-    return docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text")).mapInArrow(run, schema)
+    return docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text")).transform(arrow_map, run, schema)
 
 
 def band(n: np.ndarray, percent: int) -> np.ndarray:
@@ -178,67 +181,121 @@ def band(n: np.ndarray, percent: int) -> np.ndarray:
 BAND_BITS = 12
 
 
-def build_groups(sets: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """grp, members (array of digest, n, rep, copies, low): groups of similar classes, of bounded size."""
+def able_classes(sets: DataFrame, classes: DataFrame) -> DataFrame:
+    """key (smallest token), n, digest, rep, copies, low: a row per class that can link with another."""
     several = classes.filter(F.col("copies") > 1).select(F.col("digest").alias("_digest"), "rep", F.col("copies").alias("_copies"))
     able = sets.filter(F.octet_length("low") > 0)
     one = able.join(broadcast_if_small(staged(several, "jaccard-copies"), 64), F.col("digest") == F.col("_digest"), "left").filter(
         F.col("_copies").isNull() | F.col("doc_id").eqNullSafe(F.col("rep"))
     )
-    one = one.select("doc_id", "n", "digest", "least", "low", F.coalesce("_copies", F.lit(1).cast("long")).alias("copies"))
-    hot = able.groupBy("least").agg(F.count("*").alias("k")).filter(F.col("k") > SALT_ABOVE)
-    hot = staged(hot.select(F.col("least").alias("_least"), F.ceil(F.col("k") / SALT_ABOVE).cast("int").alias("salts")), "jaccard-hot")
-    salted = one.join(broadcast_if_small(hot, 16), F.col("least") == F.col("_least"), "left").withColumn(
-        "salt", F.pmod(F.xxhash64("digest"), F.coalesce("salts", F.lit(1)))
-    )
-    ordered = salted.select("least", "salt", "n", "digest", "doc_id", "copies", "low").repartition("least", "salt")
-    ordered = ordered.sortWithinPartitions("least", "salt", "n", "digest")
-    id_type = sets.schema["doc_id"].dataType
-    schema = T.StructType(
+    copies = F.coalesce("_copies", F.lit(1).cast("long")).alias("copies")
+    return one.select(F.col("least").alias("key"), "n", "digest", F.col("doc_id").alias("rep"), copies, "low")
+
+
+def group_schema(id_type: T.DataType) -> T.StructType:
+    members = (("digest", T.BinaryType()), ("n", T.IntegerType()), ("rep", id_type), ("copies", T.LongType()), ("low", T.BinaryType()))
+    return T.StructType(
         [
             T.StructField("grp", T.LongType()),
             T.StructField("n_members", T.IntegerType()),
-            *[T.StructField(name, T.ArrayType(kind)) for name, kind in (("digest", T.BinaryType()), ("n", T.IntegerType()), ("rep", id_type), ("copies", T.LongType()))],
-            T.StructField("low", T.ArrayType(T.BinaryType())),
+            *[T.StructField(name, T.ArrayType(kind)) for name, kind in members],
         ]
     )
 
+
+def groups_to_arrow(groups: list[tuple[int, list[tuple]]], id_kind: pa.DataType) -> pa.RecordBatch:
+    """Rows of `group_schema`; a group is its number and its members (digest, n, rep, copies, low)."""
+    columns = [pa.array([g for g, _ in groups], pa.int64()), pa.array([len(m) for _, m in groups], pa.int32())]
+    for i, kind in enumerate((pa.binary(), pa.int32(), id_kind, pa.int64(), pa.binary())):
+        columns.append(pa.array([[x[i] for x in m] for _, m in groups], pa.list_(kind)))
+    return pa.RecordBatch.from_arrays(columns, names=["grp", "n_members", "digest", "n", "rep", "copies", "low"])
+
+
+def build_groups(members: DataFrame, percent: int, hot_label: str) -> DataFrame:
+    """Groups of bounded size of the classes with the same key and nearly the same size; keys of very many classes are salted."""
+    hot = members.groupBy("key").agg(F.count("*").alias("k")).filter(F.col("k") > SALT_ABOVE)
+    hot = staged(hot.select(F.col("key").alias("_key"), F.ceil(F.col("k") / SALT_ABOVE).cast("int").alias("salts")), hot_label)
+    salted = members.join(broadcast_if_small(hot, 16), F.col("key") == F.col("_key"), "left").withColumn(
+        "salt", F.pmod(F.xxhash64("digest"), F.coalesce("salts", F.lit(1)))
+    )
+    ordered = salted.select("key", "salt", "digest", "n", "rep", "copies", "low").repartition("key", "salt")
+    ordered = ordered.sortWithinPartitions("key", "salt", "n", "digest")
+    seed = np.frombuffer(hot_label.encode().ljust(8, b"-")[-8:], np.uint64)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         members: list[tuple] = []
-        key, tokens, last = None, 0, None
-
-        def close(groups: list) -> None:
-            if members:
-                number = int(mix64(np.frombuffer(members[0][0][:8], np.uint64))[0]) >> (BAND_BITS + 1)
-                groups.append((number << BAND_BITS | int(band(np.array(members[0][1]), percent)), list(members)))
+        key, tokens, last, id_kind = None, 0, None, pa.int64()
 
-        def table_of(groups: list) -> pa.RecordBatch:
-            columns = [pa.array([g for g, _ in groups], pa.int64()), pa.array([len(m) for _, m in groups], pa.int32())]
-            for i, kind in enumerate((pa.binary(), pa.int32(), id_kind, pa.int64(), pa.binary())):
-                columns.append(pa.array([[x[i] for x in m] for _, m in groups], pa.list_(kind)))
-            return pa.RecordBatch.from_arrays(columns, names=["grp", "n_members", "digest", "n", "rep", "copies", "low"])
+        def closed() -> list:
+            if not members:
+                return []
+            number = int(mix64(np.frombuffer(members[0][0][:8], np.uint64) ^ seed)[0]) >> (BAND_BITS + 1)
+            return [(number << BAND_BITS | int(band(np.array(members[0][1]), percent)), list(members))]
 
-        id_kind = pa.int64()
         for batch in batches:
             id_kind, groups = batch.column(4).type, []
-            for least, salt, n, dig, rep, copies, low in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for token, salt, dig, n, rep, copies, low in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if dig == last:
                     continue  # a repeated row of the class's document
                 full = len(members) >= GROUP_MEMBERS or tokens + n > GROUP_TOKENS
-                if (least, salt) != key or full or percent * n > 100 * members[0][1]:
-                    close(groups)
+                if (token, salt) != key or full or percent * n > 100 * members[0][1]:
+                    groups += closed()
                     members.clear()
-                    key, tokens = (least, salt), 0
+                    key, tokens = (token, salt), 0
                 members.append((dig, n, rep, copies, low))
                 tokens, last = tokens + n, dig
             if groups:
-                yield table_of(groups)
-        groups = []
-        close(groups)
-        if groups:
-            yield table_of(groups)
+                yield groups_to_arrow(groups, id_kind)
+        if members:
+            yield groups_to_arrow(closed(), id_kind)
 
-    return ordered.mapInArrow(run, schema)
+    return ordered.transform(arrow_map, run, group_schema(members.schema["rep"].dataType))
+
+
+def listed(tokens: np.ndarray, heavy: np.ndarray) -> np.ndarray:
+    """Which tokens are in the sorted list."""
+    if not len(heavy):
+        return np.zeros(len(tokens), bool)
+    return heavy[np.minimum(np.searchsorted(heavy, tokens), len(heavy) - 1)] == tokens
+
+
+def hard_members(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, late: np.ndarray, percent: int) -> np.ndarray:
+    """Which members have too few lowest tokens that are not heavy."""
+    before = np.concatenate(([0], np.cumsum(~late)))
+    return before[starts[1:]] - before[starts[:-1]] < n_probes(sizes, percent)
+
+
+def split_members(groups: DataFrame, heavy: np.ndarray, percent: int, hard: bool) -> DataFrame:
+    """The hard members of all groups, to be grouped by their smallest heavy token; or what is left of the groups, a row per member."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(at, ROWS)
+                flat, starts, group = _group_tokens(batch.column(6))
+                sizes = np.array(batch.column(3).flatten(), dtype=np.int64)
+                late = listed(flat, heavy)
+                chosen = np.flatnonzero(hard_members(flat, starts, sizes, late, percent) == hard)
+                member = [batch.column(i).flatten().take(pa.array(chosen)) for i in ((3, 2, 4, 5, 6) if hard else (2, 4, 5))]
+                if hard:
+                    late_at = np.flatnonzero(late)
+                    first = flat[late_at[np.searchsorted(late_at, starts[chosen])]] if len(chosen) else np.zeros(0, np.uint64)
+                    yield pa.RecordBatch.from_arrays([pa.array(first.view(np.int64)), *member], names=["key", "n", "digest", "rep", "copies", "low"])
+                else:
+                    numbers = np.array(batch.column(0), dtype=np.int64)[group[chosen]]
+                    yield pa.RecordBatch.from_arrays([pa.array(numbers), *member], names=["grp", "digest", "rep", "copies"])
+
+    rep = T.StructField("rep", groups.schema["rep"].dataType.elementType)
+    digest, copies = T.StructField("digest", T.BinaryType()), T.StructField("copies", T.LongType())
+    if hard:
+        fields = [T.StructField("key", T.LongType()), T.StructField("n", T.IntegerType()), digest, rep, copies, T.StructField("low", T.BinaryType())]
+    else:
+        fields = [T.StructField("grp", T.LongType()), digest, rep, copies]
+    return groups.transform(arrow_map, run, T.StructType(fields))
+
+
+#: groups of which tokens are handled at once
+ROWS = 500
 
 
 def _group_tokens(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -260,11 +317,12 @@ def heavy_tokens(groups: DataFrame) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            flat, starts, group = _group_tokens(batch.column(0))
-            _, tokens = _distinct(np.repeat(group, np.diff(starts)), flat)
-            yield pa.RecordBatch.from_arrays([pa.array(tokens.view(np.int64))], names=["token"])
+            for at in range(0, batch.num_rows, ROWS):
+                flat, starts, group = _group_tokens(batch.column(0).slice(at, ROWS))
+                _, tokens = _distinct(np.repeat(group, np.diff(starts)), flat)
+                yield pa.RecordBatch.from_arrays([pa.array(tokens.view(np.int64))], names=["token"])
 
-    counts = groups.select("low").mapInArrow(run, "token long").groupBy("token").agg(F.count("*").alias("k")).filter(F.col("k") > HEAVY_ABOVE)
+    counts = groups.select("low").transform(arrow_map, run, "token long").groupBy("token").agg(F.count("*").alias("k")).filter(F.col("k") > HEAVY_ABOVE)
     counts = staged(counts, "jaccard-heavy", "none")
     by_size = {r["p"]: r["n"] for r in counts.groupBy(F.floor(F.log2("k")).cast("int").alias("p")).agg(F.count("*").alias("n")).collect()}
     above, limit = 0, HEAVY_ABOVE
@@ -277,36 +335,32 @@ def heavy_tokens(groups: DataFrame) -> np.ndarray:
     return np.sort(rows.column(0).to_numpy().view(np.uint64))
 
 
-def matrix_rows(groups: DataFrame, heavy: np.ndarray, percent: int) -> DataFrame:
-    """token, grp, heavy: the deciding tokens in each group's union."""
+def matrix_rows(groups: DataFrame, heavy: np.ndarray, percent: int, with_hard: bool) -> DataFrame:
+    """token, grp, heavy: the deciding tokens in each group's union, with or without its hard members."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            flat, starts, group = _group_tokens(batch.column(2))
-            sizes = np.array(batch.column(1).flatten(), dtype=np.int64)
-            at = np.searchsorted(heavy, flat)
-            late = np.zeros(len(flat), bool)
-            inside = at < len(heavy)
-            late[inside] = heavy[at[inside]] == flat[inside]
-            member = np.repeat(np.arange(len(sizes)), np.diff(starts))
-            # rank of each token in its member's own order: heavy ones last, then by hash (they are stored by hash)
-            light_before = np.concatenate(([0], np.cumsum(~late)))
-            n_light = light_before[starts[1:]] - light_before[starts[:-1]]
-            place = np.arange(len(flat)) - starts[member]
-            light_rank = light_before[:-1] - light_before[starts[member]]
-            rank = np.where(late, n_light[member] + place - light_rank, light_rank)
-            chosen = rank < n_probes(sizes, percent)[member]
-            in_group, tokens = _distinct(group[member[chosen]], flat[chosen])
-            at = np.searchsorted(heavy, tokens)
-            late = np.zeros(len(tokens), bool)
-            inside = at < len(heavy)
-            late[inside] = heavy[at[inside]] == tokens[inside]
-            numbers = np.array(batch.column(0), dtype=np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(tokens.view(np.int64)), pa.array(numbers[in_group]), pa.array(late)], names=["token", "grp", "heavy"]
-            )
-
-    return groups.select("grp", "n", "low").mapInArrow(run, "token long, grp long, heavy boolean")
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(at, ROWS)
+                flat, starts, group = _group_tokens(batch.column(2))
+                sizes = np.array(batch.column(1).flatten(), dtype=np.int64)
+                late = listed(flat, heavy)
+                member = np.repeat(np.arange(len(sizes)), np.diff(starts))
+                # rank of each token in its member's own order: heavy ones last, else by hash (as they are stored)
+                light_before = np.concatenate(([0], np.cumsum(~late)))
+                n_light = light_before[starts[1:]] - light_before[starts[:-1]]
+                light_rank = light_before[:-1] - light_before[starts[member]]
+                heavy_rank = np.arange(len(flat)) - starts[member] - light_rank
+                rank = np.where(late, n_light[member] + heavy_rank, light_rank)
+                chosen = rank < n_probes(sizes, percent)[member]
+                if not with_hard:
+                    chosen &= ~hard_members(flat, starts, sizes, late, percent)[member]
+                in_group, tokens = _distinct(group[member[chosen]], flat[chosen])
+                numbers = np.array(batch.column(0), dtype=np.int64)
+                columns = [pa.array(tokens.view(np.int64)), pa.array(numbers[in_group]), pa.array(listed(tokens, heavy))]
+                yield pa.RecordBatch.from_arrays(columns, names=["token", "grp", "heavy"])
+
+    return groups.select("grp", "n", "low").transform(arrow_map, run, "token long, grp long, heavy boolean")
 
 
 def candidate_pairs(matrix: DataFrame, percent: int) -> DataFrame:
@@ -336,7 +390,7 @@ def candidate_pairs(matrix: DataFrame, percent: int) -> DataFrame:
         yield from emit(kept_tokens, kept_groups)
 
     light = matrix.filter(~F.col("heavy")).select("token", "grp").repartition("token").sortWithinPartitions("token")
-    found = light.mapInArrow(pairs, "a long, b long")
+    found = light.transform(arrow_map, pairs, "a long, b long")
     heavy = staged(matrix.filter("heavy").select("token", "grp"), "jaccard-heavy-rows")
     x, y = heavy.select("token", F.col("grp").alias("a")), heavy.select("token", F.col("grp").alias("b"))
     fits = F.abs(F.col("a").bitwiseAND(F.lit(mask)) - F.col("b").bitwiseAND(F.lit(mask))) <= 3
@@ -365,7 +419,7 @@ def whole_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, s
                         names=["grp", "digest", "n", "copies", "tokens"],
                     )
 
-    return met.mapInArrow(run, "grp long, digest binary, n int, copies long, tokens binary")
+    return met.transform(arrow_map, run, "grp long, digest binary, n int, copies long, tokens binary")
 
 
 class OpenGroup:
@@ -500,7 +554,7 @@ def open_groups(rows: DataFrame, percent: int) -> DataFrame:
         if out:
             yield table_of()
 
-    return ordered.mapInArrow(run, "kind string, a binary, b binary, n long")
+    return ordered.transform(arrow_map, run, "kind string, a binary, b binary, n long")
 
 
 def ngram_jaccard(
@@ -512,18 +566,24 @@ def ngram_jaccard(
     classes = staged(
         named.filter(F.col("n") > 0).groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "jaccard-classes"
     )
-    groups = staged(build_groups(sets, classes, percent), "jaccard-groups", "none")
-    heavy = heavy_tokens(groups)
-    pairs = staged(candidate_pairs(matrix_rows(groups, heavy, percent), percent), "jaccard-pairs")
-    sizes = groups.select("grp", "n_members")
-    return _finish(docs, named, classes, groups, sizes, pairs, id_col, text_col, shingle, percent)
+    first = staged(build_groups(able_classes(sets, classes), percent, "jaccard-hot"), "jaccard-groups", "none")
+    heavy = heavy_tokens(first)
+    hard = staged(split_members(first, heavy, percent, hard=True), "jaccard-hard", "none")
+    regrouped = staged(build_groups(hard, percent, "jaccard-hot-hard"), "jaccard-hard-groups", "none")
+    matrix = matrix_rows(first, heavy, percent, with_hard=False).unionByName(matrix_rows(regrouped, heavy, percent, with_hard=True))
+    pairs = staged(candidate_pairs(matrix, percent), "jaccard-pairs")
+    entries = F.explode(F.arrays_zip("digest", "rep", "copies")).alias("m")
+    anew = regrouped.select("grp", entries).select("grp", "m.digest", "m.rep", "m.copies")
+    members = staged(split_members(first, heavy, percent, hard=False).unionByName(anew), "jaccard-members")
+    return _finish(docs, named, classes, members, pairs, id_col, text_col, shingle, percent)
 
 
 def _finish(
-    docs: DataFrame, named: DataFrame, classes: DataFrame, groups: DataFrame, sizes: DataFrame, pairs: DataFrame,
+    docs: DataFrame, named: DataFrame, classes: DataFrame, grouped: DataFrame, pairs: DataFrame,
     id_col: str, text_col: str, shingle: int, percent: int,
 ) -> DataFrame:
-    size_of = sizes.groupBy("grp").agg(F.sum("n_members").alias("k"))
+    """Opens the candidate groups and turns links into components."""
+    size_of = grouped.groupBy("grp").agg(F.count("*").alias("k"))
     with_sizes = pairs.join(size_of.select(F.col("grp").alias("a"), F.col("k").alias("ka")), "a").join(
         size_of.select(F.col("grp").alias("b"), F.col("k").alias("kb")), "b"
     )
@@ -540,8 +600,7 @@ def _finish(
     targets = asked.select("target", "n_queries").unionByName(alone).groupBy("target").agg(F.sum("n_queries").alias("q"))
     targets = staged(targets.select("target", F.greatest(F.lit(1), F.ceil(F.col("q") / QUERIES_PER_PART)).cast("int").alias("parts")), "jaccard-targets")
     needed = targets.select(F.col("target").alias("grp")).unionByName(asked.select(F.col("source").alias("grp"))).distinct()
-    entries = F.explode(F.arrays_zip("digest", "rep", "copies")).alias("m")
-    wanted = groups.join(needed, "grp", "left_semi").select("grp", entries).select("grp", "m.digest", "m.rep", "m.copies")
+    wanted = grouped.join(needed, "grp", "left_semi")
     sets = staged(whole_sets(docs, wanted, id_col, text_col, shingle), "jaccard-whole", "none")
     members = sets.join(targets, F.col("grp") == F.col("target")).select(
         "target", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("role"), "digest", "n", "copies", "tokens"

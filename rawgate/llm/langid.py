@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rawgate.llm.common import LOWER_BYTES, bytes_of, remainder, slices, table
+from rawgate.llm.common import LOWER_BYTES, arrow_map, bytes_of, remainder, slices, table
 from rawgate.llm.registry import query
 
 BUCKET_BITS = 16
@@ -234,7 +234,7 @@ def predict(docs: DataFrame, model: LanguageModel | None, id_col: str = "doc_id"
             T.StructField("rejected", T.BooleanType()),
         ]
     )
-    return docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text")).mapInArrow(run, schema)
+    return docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text")).transform(arrow_map, run, schema)
 
 
 @query("op7_language_id")

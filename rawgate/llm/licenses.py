@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rawgate.llm.common import ALNUM_WORD, IS_ALNUM, find_words, hash_words, row_of, slices, table, word_hashes
+from rawgate.llm.common import ALNUM_WORD, IS_ALNUM, arrow_map, find_words, hash_words, row_of, slices, table, word_hashes
 from rawgate.llm.registry import query
 
 #: Short phrases and their labels.
@@ -175,7 +175,7 @@ def document_frequencies(docs: DataFrame, templates: list[Template], text_col: s
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(size + 1)), pa.array(totals)], names=["term", "n"])
 
     counted = (
-        docs.select(F.col(text_col).cast("string").alias("_text")).mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+        docs.select(F.col(text_col).cast("string").alias("_text")).transform(arrow_map, count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
     )
     by_term = {r["term"]: r["n"] for r in counted.collect()}  # a row per template word
     return {w: int(by_term.get(i, 0)) for i, w in enumerate(index.vocabulary)}, int(by_term.get(size, 0))
@@ -236,7 +236,7 @@ def scan_licenses(
             T.StructField("matches", T._parse_datatype_string(f"array<{MATCH}>")),
         ]
     )
-    return _text_and_id(docs, id_col, text_col).mapInArrow(scan, schema)
+    return _text_and_id(docs, id_col, text_col).transform(arrow_map, scan, schema)
 
 
 @query("op1_license_scan")

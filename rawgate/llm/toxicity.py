@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rawgate.llm.common import IS_ALNUM, find_words, hash_words, mix64, remainder, row_of, slices, span_hashes, table, whole_row
+from rawgate.llm.common import IS_ALNUM, arrow_map, find_words, hash_words, mix64, remainder, row_of, slices, span_hashes, table, whole_row
 from rawgate.llm.registry import query
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
@@ -255,7 +255,7 @@ def learn_insults(labelled: DataFrame, min_contexts: int = 6, min_docs: int = 4,
     odds = F.log((F.col("bad") + 0.5) / (F.col("good") + 0.5))
     best = (
         labelled.select("text", "toxic")
-        .mapInArrow(count, "kind int, value long, bad long, good long, docs long")
+        .transform(arrow_map, count, "kind int, value long, bad long, good long, docs long")
         .groupBy("kind", "value")
         .agg(*[F.bit_count(F.expr(f"bit_or({c})")).alias(c) for c in ("bad", "good", "docs")])
         .filter((F.col("bad") >= min_contexts) & (F.col("docs") >= min_docs) & (odds >= min_log_odds))
@@ -293,7 +293,7 @@ def _features(docs: DataFrame, grammar: Grammar, keep: list[str], text_col: str)
             T.StructField("score", T.DoubleType()),
         ]
     )
-    return docs.select(*[F.col(c) for c in keep], F.col(text_col).cast("string").alias("_scored_text")).mapInArrow(run, schema)
+    return docs.select(*[F.col(c) for c in keep], F.col(text_col).cast("string").alias("_scored_text")).transform(arrow_map, run, schema)
 
 
 def fit_logistic(sums: np.ndarray, toxic: np.ndarray, pull: float = 2.0, steps: int = 400) -> np.ndarray:

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rawgate.llm.common import broadcast_if_small, staged, table
+from rawgate.llm.common import arrow_map, broadcast_if_small, staged, table
 from rawgate.llm.registry import query
 from rawgate.session import scratch_path
 
@@ -211,7 +211,7 @@ def stream_digests(chunked: DataFrame) -> DataFrame:
         if current is not None:
             yield table_of([[*head, base64.b32encode(state.digest()).decode(), size]])
 
-    return ordered.mapInArrow(run, RECORD_SCHEMA)
+    return ordered.transform(arrow_map, run, RECORD_SCHEMA)
 
 
 def archive(
