@@ -186,7 +186,7 @@ def give_back() -> None:
 def arrow_map(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType | str) -> DataFrame:
     """`mapInArrow` over batches of bounded size, whatever the length of the texts."""
     conf = df.sparkSession.conf
-    if conf.get(_BATCH_KEY, "") in (str(_BATCH_DEFAULT), f"{_BATCH_DEFAULT}b", "64MB", "64m"):
+    if conf.get(_BATCH_KEY, None) in (str(_BATCH_DEFAULT), f"{_BATCH_DEFAULT}b", "64MB", "64m"):
         conf.set(_BATCH_KEY, str(BATCH_BYTES))
 
     def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
