@@ -258,5 +258,4 @@ def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         joined(base).alias("base_labels"),
         joined(F.col("matches")).alias("labels"),
         F.greatest(F.when(F.size(base) > 0, 0.5).otherwise(0.0), F.coalesce(best, F.lit(0.0))).alias("score"),
-        "matches",
     )
