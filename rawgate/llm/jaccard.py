@@ -55,6 +55,8 @@ from rawgate.llm.registry import query
 
 SHINGLE = 3
 PERCENT = 90
+#: the pipeline's stage links texts from fewer common word runs: five words, 0.8 or more
+STAGE_SHINGLE, STAGE_PERCENT = 5, 80
 SHARED = 4
 #: a group has at most so many members and tokens
 GROUP_MEMBERS, GROUP_TOKENS = 1024, 1 << 20
@@ -638,10 +640,11 @@ def ngram_jaccard_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: of each component the document with the smallest id stays; documents without words stay.
 
+    Documents link at STAGE_SHINGLE words and STAGE_PERCENT, not at the query's own values.
     Rows with the same id go or stay together. Rows without id stay only if
     their component has no id.
     """
-    found = ngram_jaccard(docs).filter((F.col("n_shingles") > 0) & ~F.col("doc_id").eqNullSafe(F.col("component_id")))
+    found = ngram_jaccard(docs, shingle=STAGE_SHINGLE, percent=STAGE_PERCENT).filter((F.col("n_shingles") > 0) & ~F.col("doc_id").eqNullSafe(F.col("component_id")))
     dropped = broadcast_if_small(staged(found.select("doc_id").distinct(), "jaccard-dropped"), 16)
     rows = docs.select(whole_row(docs).alias("row"), F.col("doc_id").alias("id"))
     return rows.join(dropped, rows["id"].eqNullSafe(dropped["doc_id"]), "left_anti").select("row.*")

@@ -67,6 +67,28 @@ def test_stages_against_brute_force(spark, tables):
     assert sorted(((r[0], r[5]) for r in seen["mixing"]), key=str) == brute_mix(seen["secrets"])
 
 
+def test_near_copies_go_from_five_words_and_four_fifths(spark):
+    """Pairs of 100 words: two changed words link at 5 words and 0.8 only, one links at both, four at neither."""
+    rng = random.Random(21)
+    rows = []
+    for i in range(40):
+        words = [f"{w}{k}" for k, w in enumerate(prose(rng, 100).split())]
+        rows.append((i, " ".join(words)))
+        for k, at in enumerate(([20, 60], [50], [10, 30, 50, 70])):
+            changed = list(words)
+            for a in at:
+                changed[a + rng.randrange(5)] = f"other{i}{k}"
+            rows.append((1000 * (k + 1) + i, " ".join(changed)))
+    rng.shuffle(rows)
+    want = brute_links(rows, percent=80, size=5)
+    dropped = {i for i, n, c, _ in want if n and i != c}
+    assert dropped == set(range(1000, 1040)) | set(range(2000, 2040))
+    assert not set(range(1000, 1040)) & {i for i, n, c, _ in brute_links(rows) if n and i != c}
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in rows], SCHEMA)
+    kept = dict(corpus_pipeline.STAGES)["ngram_jaccard"](spark, docs, "")
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, _ in rows if i not in dropped)
+
+
 def test_run_reads_back_what_each_stage_wrote(spark):
     out = corpus_pipeline.run(spark, SMALL)
     assert out.columns == ["doc_id", "text", "lang", "source", "n_chars", "copy", "shuffle_key"] and out.count() > 0
