@@ -14,7 +14,10 @@
    beginning). Where both probes of a window agree, the window is compared word
    by word in the neighbourhood, so matches are exact.
 5. Proximity matches, from the same postings: items of which several probes
-   stand at beginnings that differ by less than `slop` words.
+   stand at beginnings that differ by less than `slop` words. They have a query of
+   their own, near_decontamination, as the columns of op5 are fixed by its SQL. A
+   changed word may stand nowhere in the corpus, so there the probes are the two
+   rarest terms that the corpus has.
 
 Terms are joined by 64-bit hashes; the word by word comparison removes any
 collision. Sides are broadcast only if their counted rows are few. Groups are as
@@ -69,8 +72,11 @@ def term_frequencies(tokens: DataFrame, items: DataFrame) -> DataFrame:
     return occurrences.join(broadcast_if_small(terms, 16), "term").groupBy("term").agg(F.count("*").alias("n"))
 
 
-def item_windows(items: DataFrame, frequencies: DataFrame, window: int) -> DataFrame:
-    """Items with their windows: start, size and the offsets of the two rarest distinct terms (second null if there is one term)."""
+def item_windows(items: DataFrame, frequencies: DataFrame, window: int, near: bool = False) -> DataFrame:
+    """Items with their windows: start, size and the offsets of the two rarest distinct terms (second null if there is one term).
+
+    With `near`, terms that the corpus does not have are passed over, and their windows kept.
+    """
     placed = items.select("item_id", "item_key", "words", F.posexplode("words").alias("offset", "w")).withColumn("term", F.xxhash64("w"))
     counted = placed.join(frequencies, "term", "left").groupBy("item_id", "item_key", "words")
     ranked = counted.agg(F.sort_array(F.collect_list(F.struct("offset", F.coalesce("n", F.lit(0)).alias("n"), "term"))).alias("ranked"))
@@ -78,6 +84,7 @@ def item_windows(items: DataFrame, frequencies: DataFrame, window: int) -> DataF
 
     def probes(start: Column) -> Column:
         inside = F.slice(F.col("ranked"), start + 1, size)
+        inside = F.filter(inside, lambda x: x["n"] > 0) if near else inside
         by_rarity = F.transform(inside, lambda x: F.struct(x["n"].alias("n"), x["offset"].alias("offset"), x["term"].alias("term")))
         first = F.array_min(by_rarity)
         second = F.array_min(F.filter(by_rarity, lambda x: x["term"] != first["term"]))
@@ -156,21 +163,35 @@ def phrase_matches(index: PositionalIndex, items: DataFrame) -> DataFrame:
 def proximity_matches(index: PositionalIndex, items: DataFrame, slop: int = 20, min_probes: int = 3) -> DataFrame:
     """doc_id, text_hash, item_id, n_probes, first, last: several of an item's probes near each other, in any order.
 
-    Beginnings are put into overlapping bands of twice `slop`, so any that
-    differ by at most `slop` share a band. An item with fewer probe terms
-    needs all of them.
+    Near are beginnings that differ by less than `slop`. They are put into
+    overlapping bands of twice `slop`, so any that are near share a band, and
+    are compared there. An item with fewer probe terms needs all of them.
     """
     needed = probes_of(items).groupBy("item_key").agg(F.least(F.lit(min_probes), F.countDistinct("term")).alias("needed"))
     band = F.floor(F.col("begin") / slop)
-    near = (
+    place = F.struct("begin", "pos", "term")
+
+    def terms_of(places: Column) -> Column:
+        return F.array_distinct(F.transform(places, lambda x: x["term"]))
+
+    def run_from(begin: Column) -> Column:
+        inside = F.filter("places", lambda x: (x["begin"] >= begin) & (x["begin"] < begin + slop))
+        at = F.transform(inside, lambda x: x["pos"])
+        return F.struct(F.size(terms_of(inside)).alias("n"), F.array_min(at).alias("first"), F.array_max(at).alias("last"))
+
+    bands = (
         _alignments(index, items)
-        .select("doc_id", "text_hash", "item_key", "term", "pos", F.explode(F.array(band, band + 1)).alias("band"))
+        .select("doc_id", "text_hash", "item_key", place.alias("place"), F.explode(F.array(band, band + 1)).alias("band"))
         .groupBy("doc_id", "text_hash", "item_key", "band")
-        .agg(F.size(F.collect_set("term")).alias("n_probes"), F.min("pos").alias("first"), F.max("pos").alias("last"))
+        .agg(F.collect_set("place").alias("places"))
         .join(needed, "item_key")
-        .filter(F.col("n_probes") >= F.col("needed"))
+        .filter(F.size(terms_of(F.col("places"))) >= F.col("needed"))
+    )
+    begins = F.array_distinct(F.transform("places", lambda x: x["begin"]))
+    runs = bands.select("doc_id", "text_hash", "item_key", "needed", F.explode(F.transform(begins, run_from)).alias("r")).filter("r.n >= needed")
+    by_item = runs.groupBy("doc_id", "text_hash", "item_key").agg(
+        F.max("r.n").alias("n_probes"), F.min("r.first").alias("first"), F.max("r.last").alias("last")
     )
-    by_item = near.groupBy("doc_id", "text_hash", "item_key").agg(F.max("n_probes").alias("n_probes"), F.min("first").alias("first"), F.max("last").alias("last"))
     return by_item.join(items.select("item_key", "item_id"), "item_key").drop("item_key")
 
 
@@ -186,33 +207,42 @@ def covered(spans: Column) -> Column:
 
 
 def index_corpus(
-    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW
+    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, near: bool = False
 ) -> tuple[PositionalIndex, DataFrame]:
     """The index over the corpus for the benchmark's probes, and the items with their windows."""
     tokens = _tokens(docs, id_col, text_col)
     items = staged(benchmark_items(benchmark), "decon-items")
     frequencies = staged(term_frequencies(tokens, items), "decon-frequencies")
-    items = staged(item_windows(items, frequencies, window), "decon-windows")
+    items = staged(item_windows(items, frequencies, window, near), "decon-windows")
     return build_index(tokens, probes_of(items), window), items
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
-    """Per document: doc_id, text_hash, n_words, n_hit, items (sorted as strings)."""
-    index, items = index_corpus(docs, benchmark, id_col, text_col, window)
+def _with_found(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """Rows with the other columns of `found`, which has a row per doc_id and text_hash."""
+    found = found.withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"})
+    return rows.join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")), "left").drop("_id", "_hash")
+
+
+def contamination(
+    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, near: bool = False
+) -> DataFrame:
+    """Per document: doc_id, text_hash, n_words, n_hit, items (sorted as strings); with `near` also near_items, of the proximity matches."""
+    index, items = index_corpus(docs, benchmark, id_col, text_col, window, near)
+    ids = F.sort_array(F.collect_set(F.col("item_id").cast("string")))
     by_doc = (
         phrase_matches(index, items)
         .groupBy("doc_id", "text_hash")
-        .agg(F.collect_set(F.struct("first", "stop")).alias("spans"), F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
-        .select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), covered(F.col("spans")).alias("n_hit"), "items")
+        .agg(F.collect_set(F.struct("first", "stop")).alias("spans"), ids.alias("items"))
+        .select("doc_id", "text_hash", covered(F.col("spans")).alias("n_hit"), "items")
     )
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
-    return index.lengths.join(by_doc, same, "left").select(
-        "doc_id",
-        "text_hash",
-        "n_words",
-        F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
-        F.coalesce("items", F.array().cast("array<string>")).alias("items"),
+    none = F.array().cast("array<string>")
+    found = _with_found(index.lengths, by_doc).select(
+        "doc_id", "text_hash", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), F.coalesce("items", none).alias("items")
     )
+    if not near:
+        return found
+    by_near = proximity_matches(index, items).groupBy("doc_id", "text_hash").agg(ids.alias("near_items"))
+    return _with_found(found, by_near).withColumn("near_items", F.coalesce("near_items", none))
 
 
 _SQL_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -233,17 +263,27 @@ FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)
 """
 
 
+def _counted(items: str) -> tuple[Column, Column]:
+    """Number of the listed items and a digest of their ids."""
+    return F.size(items).cast("long"), F.sha2(F.array_join(items, ",").cast("binary"), 256)
+
+
+def _exact_columns() -> list[Column]:
+    n_items, digest = _counted("items")
+    return [F.col("doc_id"), F.col("n_words"), F.col("n_hit"), n_items.alias("n_items"), digest.alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated")]
+
+
 @query("op5_decontamination", DECONTAMINATION_SQL)
 def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    return found.select(
-        "doc_id",
-        "n_words",
-        "n_hit",
-        F.size("items").cast("long").alias("n_items"),
-        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
-        (F.col("n_hit") > 0).alias("contaminated"),
-    )
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(*_exact_columns())
+
+
+@query("near_decontamination")
+def near_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op5, and the items of which the document holds probes near each other."""
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), near=True)
+    n_items, digest = _counted("near_items")
+    return found.select(*_exact_columns(), n_items.alias("n_near_items"), digest.alias("near_items_sha256"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 import pytest
 
@@ -88,3 +89,50 @@ def test_proximity(spark):
     index, items = de.index_corpus(docs, spark.createDataFrame([(7, " ".join(phrase))], "item_id long, text string"))
     assert {r.doc_id for r in de.phrase_matches(index, items).collect()} == {0}
     assert {r.doc_id for r in de.proximity_matches(index, items, min_probes=2).collect()} == {0, 1}
+
+
+def brute_near(docs, items, slop=20, least=3):
+    """Per row: the items of which enough probe words begin less than `slop` apart."""
+    counts = Counter(w for _, t in docs for w in words(t))
+    probes = []
+    for i, text in items:
+        w, found = words(text), set()
+        n = min(10, len(w))
+        for s in range(len(w) - n + 1) if w and i is not None else []:
+            inside = sorted((counts[x], s + k, x) for k, x in enumerate(w[s : s + n]) if counts[x])
+            found.update((o, x) for _, o, x in inside[:1])
+            found.update([(o, x) for _, o, x in inside if x != inside[0][2]][:1])
+        if found:
+            probes.append((i, found, min(least, len({x for _, x in found}))))
+    out = []
+    for i, text in docs:
+        at = {}
+        for pos, x in enumerate(words(text)):
+            at.setdefault(x, []).append(pos)
+        near = set()
+        for item, found, needed in probes:
+            begins = sorted({(pos - o, x) for o, x in found for pos in at.get(x, [])})
+            if item not in near and any(len({x for c, x in begins[k : k + 800] if c < b + slop}) >= needed for k, (b, _) in enumerate(begins)):
+                near.add(item)
+        out.append((i, len(near), hashlib.sha256(",".join(sorted(map(str, near))).encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+def test_near_query_against_brute_force(spark, planted, tables):
+    """Passages with a word changed, dropped or inserted in every seven hold no window, and are found near."""
+    items, docs = planted
+    rng = random.Random(12)
+    items = items + [(200 + i, " ".join(f"{w}{rng.randrange(40)}" for w in prose(rng, 40).split())) for i in range(4)]
+    changed = []
+    for i in range(24):
+        text = items[len(items) - 4 + i % 4][1].split()
+        for at in range(35, -1, -7):
+            text[at : at + (2 if i % 3 == 1 else i % 3 < 1)] = [] if i % 3 == 1 else [f"other{i}"]
+        changed.append((4000 + i, prose(rng, 30) + " " + " ".join(text) + " " + prose(rng, 30)))
+    docs = [d for d in docs if len(d[1] or "") < 100_000] + changed
+    path = tables(documents=spark.createDataFrame(docs, "doc_id long, text string"), benchmark=spark.createDataFrame(items, "item_id long, text string"))
+    got = [tuple(r) for r in de.near_decontamination(spark, path).collect()]
+    assert sorted((r[:6] for r in got), key=str) == brute(docs, items)
+    assert sorted(((r[0], r[6], r[7]) for r in got), key=str) == brute_near(docs, items)
+    of_changed = [r for r in got if r[0] is not None and 4000 <= r[0]]
+    assert len(of_changed) == 24 and not any(r[5] and r[3] > 4 for r in of_changed) and all(r[6] for r in of_changed)
