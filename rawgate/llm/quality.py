@@ -7,9 +7,13 @@ kept per language and source; sketches merge, so a group too small to speak
 for itself uses the merged sketch of its language, and a small language that of
 the whole corpus. A measure is out of bounds beyond
 
-    upper quartile + `reach` * max(upper quartile - median, least spread)
+    upper quantile + reach * max(upper quantile - median, least spread)
 
-of its group (word length also below the mirrored bound). Limits are joined
+of its group (word length also below the mirrored bound). For symbols and word
+length the quantile is the upper quartile. Most documents repeat nothing, so the
+quartiles of repeats are 0; their quantile is that of 95 %, and what a twentieth
+of a group reaches is usual in it. The least spread of repeated words lies below
+the base rule, but lets one chance repeat of a window in a short text pass. Limits are joined
 back to the documents and all rules are judged in one filter.
 
 Plan: one pass over the texts writes the measures; sketches are aggregated on
@@ -34,8 +38,10 @@ MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 
 #: measures judged: name, least spread, whether there is a lower limit too
-RATIOS = (("symbol_ratio", 0.005, False), ("dup_line_ratio", 0.10, False), ("repeat_ratio", 0.05, False), ("word_length", 0.5, True))
+RATIOS = (("symbol_ratio", 0.005, False), ("dup_line_ratio", 0.10, False), ("repeat_ratio", 0.15, False), ("word_length", 0.5, True))
 REACH = 6.0
+#: measures that are 0 in most documents: upper quantile and reach
+TAILS = {"dup_line_ratio": (0.95, 1.0), "repeat_ratio": (0.95, 1.0)}
 LEAST_GROUP = 200
 
 
@@ -126,10 +132,11 @@ def limits_of(sketched: DataFrame, group_cols: list[str], reach: float = REACH)
     """Lower and upper limit of each measure for each group."""
     out = []
     for name, least, two_sided in RATIOS:
-        low, mid, high = (F.expr(f"kll_sketch_get_quantile_double({name}, {q})") for q in ("0.25D", "0.5D", "0.75D"))
-        out.append((high + reach * F.greatest(high - mid, F.lit(least))).alias(f"{name}_most"))
+        upper, times = TAILS.get(name, (0.75, reach))
+        low, mid, high = (F.expr(f"kll_sketch_get_quantile_double({name}, {q}D)") for q in (0.25, 0.5, upper))
+        out.append((high + times * F.greatest(high - mid, F.lit(least))).alias(f"{name}_most"))
         if two_sided:
-            out.append((low - reach * F.greatest(mid - low, F.lit(least))).alias(f"{name}_least"))
+            out.append((low - times * F.greatest(mid - low, F.lit(least))).alias(f"{name}_least"))
     return sketched.select(*group_cols, "n", *out)
 
 

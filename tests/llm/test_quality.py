@@ -56,3 +56,27 @@ def test_limits_follow_the_group(spark):
     kept = {r.doc_id: r.kept for r in quality.quality_rules(docs).collect()}
     assert all(kept[i] for i, *_ in rows + few) and not kept[5000] and not kept[5001]
     assert sum(not kept[i] for i, *_ in code) == 0
+
+
+def test_each_measure_alone_rejects_an_outlier(spark):
+    import random
+
+    rng = random.Random(2)
+
+    def repeats(i):
+        return prose(rng, 64) + f" r{i} s t u v w x " + prose(rng, 6) + f" r{i} s t u v w x"
+
+    def lines(i):
+        return "\n".join(f"same\n{prose(rng, 3)} {i}/{k}" for k in range(12)) + "\nsame"
+
+    def plain():
+        return prose(rng, 80)
+
+    usual = [(1000 + i, repeats(i), "en", "songs") for i in range(300)] + [(2000 + i, lines(i), "en", "lists") for i in range(300)]
+    rows = [(i, plain(), "en", "plain") for i in range(300)] + usual
+    odd = [repeats(1), lines(1), plain() + " " + "<>|&" * 20, " ".join(w * 4 for w in plain().split())]
+    docs = spark.createDataFrame(rows + [(5000 + i, t, "en", "plain") for i, t in enumerate(odd)], "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r for r in quality.quality_rules(docs).collect()}
+    assert not any(got[5000 + i].base_failed or got[5000 + i].kept for i in range(4))
+    assert 0.15 < got[5000].repeat_ratio < 0.2 and got[5000].dup_line_ratio == got[5001].repeat_ratio == 0 and got[5001].dup_line_ratio > 0.4
+    assert all(got[i].kept for i, *_ in rows)
