@@ -1,8 +1,10 @@
 """Secret scan with a random forest for false-positive removal, DataFrame functions and spark.ml only.
 
-Candidates are runs of at least 16 key characters that hold a digit or are
-assigned to a word such as `password`. For each, the word before it and the
-signs between them are kept. Features:
+Candidates are runs of at least 16 key characters that hold a digit, and any 8
+or more non-blank signs that are assigned to a name with a word such as
+`password` in it (without quotes they end at a comma, semicolon or ampersand).
+For each, the word before it and the signs between them are kept; a name that
+is joined to its value by = is that word, however long either is. Features:
 
 * length, shares of digits and upper case, whether it is a hex or digit string,
   known prefixes of providers, share of distinct characters;
@@ -41,17 +43,26 @@ from rawgate.llm.common import ALNUM_WORD, BROADCAST_BYTES, ascii_lower, staged,
 from rawgate.llm.registry import query
 
 KEY_CHARS = r"[A-Za-z0-9_+/=.-]"
-LEAST = 16
-#: word before (not itself a candidate), signs between, candidate; possessive, so each text is read once
-CANDIDATE = (
-    rf"(?:(?<![^\s\"'=:,;<>(){{}}|])(?!{KEY_CHARS}{{{LEAST}}})[^\s\"'=:,;<>(){{}}|]{{1,64}}+[\s\"'=:]{{1,8}}+)?"
-    rf"(?<!{KEY_CHARS}){KEY_CHARS}{{{LEAST},}}+"
-)
-
+#: characters of a run, and of a value that is assigned to a key word
+LEAST, LEAST_NAMED = 16, 8
 #: Words that name secrets, words that name digests and numbers, prefixes of providers' keys.
 KEY_WORDS = "token secret password passwd pwd apikey api_key access_key auth bearer credential private_key client_secret"
 DIGEST_WORDS = "sha sha1 sha256 md5 commit checksum digest hash revision etag uuid guid id build version order invoice"
 PREFIXES = "AKIA ASIA ghp_ gho_ github_pat_ glpat- sk_live_ sk-ant- xoxb- xoxp- AIza eyJ"
+_KEY_WORD, _DIGEST_WORD = KEY_WORDS.replace(" ", "|"), DIGEST_WORDS.replace(" ", "|")
+
+#: a name with a key word in it, and its assignment
+NAMED = rf"(?<![A-Za-z0-9_.-])[A-Za-z0-9_.-]{{0,64}}?(?i:{_KEY_WORD})[A-Za-z0-9_.-]{{0,64}}+[\s\"']{{0,4}}+[=:][\s\"'=:]{{0,8}}+"
+#: what is assigned to it, unless that is a name with a colon itself
+ASSIGNED = rf"(?![A-Za-z0-9_.-]+:\s)(?:(?<=[\"'])[^\s\"']{{{LEAST_NAMED},}}+|(?<![\"'])[^\s\"',;&]{{{LEAST_NAMED},}}+)"
+#: word before (not itself a candidate), signs between, candidate; possessive, so each text is read once
+CANDIDATE = (
+    rf"{NAMED}{ASSIGNED}|"
+    rf"(?:(?<![^\s\"'=:,;<>(){{}}|])(?:(?!{KEY_CHARS}{{{LEAST}}})[^\s\"'=:,;<>(){{}}|]{{1,64}}+|[A-Za-z_.-]{{{LEAST},64}}+(?=[\s\"']{{0,4}}[=:]))"
+    rf"[\s\"'=:]{{1,8}}+)?(?<!{KEY_CHARS})(?={KEY_CHARS}{{{LEAST}}})(?!{NAMED}{ASSIGNED}){KEY_CHARS}{{{LEAST},}}+"
+)
+#: names joined to a run by =
+JOINED = r"^(?:[A-Za-z_][A-Za-z0-9_.-]*+=)++(?=[^=])"
 
 MASK = "[SECRET]"
 
@@ -66,11 +77,24 @@ def candidates(docs: DataFrame, keep: list[str], text_col: str = "text") -> Data
     found = F.regexp_extract_all(F.coalesce(F.col(text_col).cast("string"), F.lit("")), F.lit(CANDIDATE), F.lit(0))
     rows = docs.select(*keep, F.posexplode(found).alias("place", "_match"))
     run = rf"{KEY_CHARS}{{{LEAST},}}+$"
-    value = F.regexp_replace(F.regexp_extract("_match", run, 0), r"[.]+$", "")
-    split = rows.withColumn("value", value).withColumn("before", F.regexp_replace("_match", run, ""))
-    has_digit = F.col("value").rlike("[0-9]")
-    named = F.lower("before").rlike(rf"({KEY_WORDS.replace(' ', '|')})[\s\"']*[=:]")
-    return split.filter((F.length("value") >= LEAST) & (has_digit | named)).drop("_match")
+    assigned = F.regexp_extract("_match", f"^{NAMED}(?={ASSIGNED}$)", 0)
+    tail = F.regexp_extract("_match", run, 0)
+    joined = F.regexp_extract(tail, JOINED, 0)
+    lead = F.when(assigned != "", assigned).otherwise(F.concat(F.regexp_replace("_match", run, ""), joined))
+    before = F.when((assigned == "") & (joined != ""), joined).otherwise(F.col("_lead"))
+    split = rows.withColumn("_lead", lead).withColumn("before", before).withColumn("value", F.expr("substring(_match, length(_lead) + 1)"))
+    quoted = F.col("before").rlike("[\"']$")
+    ends = F.when(_assigned_to_key_word() & ~quoted, F.regexp_replace("value", r"[.)\]}>]+$", "")).otherwise(F.regexp_replace("value", r"[.]+$", ""))
+    return split.withColumn("value", ends).filter(_is_candidate()).drop("_match", "_lead")
+
+
+def _assigned_to_key_word() -> Column:
+    return F.lower("before").rlike(rf"({_KEY_WORD})[a-z0-9_.-]*[\s\"']*[=:]")
+
+
+def _is_candidate() -> Column:
+    named = (F.length("value") >= LEAST_NAMED) & _assigned_to_key_word()
+    return named | ((F.length("value") >= LEAST) & F.col("value").rlike("[0-9]"))
 
 
 def dictionary(docs: DataFrame, text_col: str = "text", n_words: int = 200) -> list[str]:
@@ -111,8 +135,8 @@ def features(rows: DataFrame, words: list[str]) -> DataFrame:
         "dots": count("[.]") / n,
         "extension": flag(value.rlike(r"\.[a-z]{2,5}$")),
         "repeats": count(r"(.)\1\1") / n,
-        "key_word": flag(before.rlike(rf"({KEY_WORDS.replace(' ', '|')})")),
-        "digest_word": flag(before.rlike(rf"(^|[^a-z0-9])({DIGEST_WORDS.replace(' ', '|')})[^a-z0-9]*$")),
+        "key_word": flag(before.rlike(rf"({_KEY_WORD})")),
+        "digest_word": flag(before.rlike(rf"(^|[^a-z0-9])({_DIGEST_WORD})[^a-z0-9]*$")),
         "assigned": flag(before.rlike(assigned)),
         "quoted": flag(before.rlike(quoted)),
     }
@@ -146,6 +170,10 @@ def labelled_findings(sample: DataFrame, id_col: str = "doc_id", text_col: str =
     assign = _pick('=" : =', F.xxhash64("i", F.lit("sign")))
     spaced = F.when(assign == '="', F.lit(' = "')).otherwise(F.concat(F.lit(" "), assign, F.lit(" ")))
     named, plain, checked = F.concat(key, spaced), F.concat(word(0), F.lit(" ")), F.concat(digest, F.lit(" "))
+    joined_name, long_name = F.concat(F.upper(key), F.lit("=")), F.concat(F.upper(word(5)), F.lit("_PRODUCTION_"), F.upper(key), spaced)
+    some_name = F.concat(word(6), F.lit("="))
+    few = F.pmod(F.xxhash64("i", F.lit("few")), F.lit(LEAST - LEAST_NAMED)).cast("int") + LEAST_NAMED
+    signs = F.translate(F.substring(mixed(15), 1, 22), "aeinrst", "@!$#%^*")
     number = F.conv(F.substring(hexed(9), 1, 14), 16, 10)
     size = F.pmod(F.xxhash64("i", F.lit("size")), F.lit(24)).cast("int") + LEAST
     uuid = F.concat_ws("-", *[F.substring(hexed(8), at, n) for at, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
@@ -159,6 +187,15 @@ def labelled_findings(sample: DataFrame, id_col: str = "doc_id", text_col: str =
         (plain, F.concat(F.lit("AKIA"), F.upper(F.substring(mixed(5), 1, 16))), 1),
         (plain, F.concat(F.lit("ghp_"), F.substring(mixed(6), 1, 36)), 1),
         (plain, F.concat(F.lit("sk_live_"), F.substring(mixed(7), 1, 24)), 1),
+        (joined_name, hexed(16), 1),
+        (joined_name, F.concat(F.lit("sk_live_"), F.substring(mixed(17), 1, 24)), 1),
+        (F.concat(key, F.lit("=")), F.concat(F.lit("ghp_"), F.substring(mixed(18), 1, 36)), 1),
+        (some_name, F.concat(F.lit("ghp_"), F.substring(mixed(19), 1, 36)), 1),
+        (long_name, F.substring(mixed(20), F.lit(1), size), 1),
+        (named, F.substring(mixed(14), F.lit(1), few), 1),
+        (named, F.concat(word(7), F.substring(mixed(21), 1, 5)), 1),
+        (named, signs, 1),
+        (joined_name, F.substring(signs, F.lit(1), few), 1),
         (checked, hexed(10), 0),
         (checked, F.sha2(F.concat("i", F.lit("/11")).cast("binary"), 256), 0),
         (F.concat(digest, F.lit(": ")), uuid, 0),
@@ -169,13 +206,18 @@ def labelled_findings(sample: DataFrame, id_col: str = "doc_id", text_col: str =
         (named, F.concat(F.lit("your_"), key, F.lit("_goes_here_1")), 0),
         (named, F.concat(joined, F.lit("_2")), 0),
         (plain, F.concat(joined, F.lit("_v1")), 0),
+        (named, F.concat(word(1), word(2)), 0),
+        (joined_name, F.concat(word(3), F.lit("-"), word(4)), 0),
+        (named, F.concat(F.lit("${"), F.upper(key), F.lit("}")), 0),
+        (some_name, F.rpad(number, 16, "7"), 0),
+        (some_name, uuid, 0),
         (plain, F.concat(F.lit("/"), word(1), F.lit("/"), word(2), F.lit("/"), word(3), F.lit("2024.html")), 0),
         (plain, F.concat(F.lit("www."), word(1), word(2), F.lit(".com/"), word(3), F.lit("1")), 0),
         (plain, F.concat(F.lit("2024-05-17T10.22.31."), F.substring(number, 1, 6)), 0),
         (plain, F.concat(word(1), word(2), word(3), word(4), F.lit("1")), 0),
     ]
     rows = F.explode(F.array(*[F.struct(b.alias("before"), v.alias("value"), F.lit(y).alias("label")) for b, v, y in kinds])).alias("x")
-    return base.select(rows).select("x.*").filter(F.length("value") >= LEAST)
+    return base.select(rows).select("x.*").filter((F.length("value") >= LEAST) | (_assigned_to_key_word() & (F.length("value") >= LEAST_NAMED)))
 
 
 def train(
