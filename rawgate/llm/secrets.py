@@ -10,7 +10,8 @@ is joined to its value by = is that word, however long either is. Features:
   known prefixes of providers, share of distinct characters;
 * character transitions: changes between digits, lower and upper case, runs of
   consonants, vowels;
-* dictionary coverage: share of its letters that frequent corpus words cover;
+* dictionary coverage: share of its letters that words cover which are frequent
+  in a language, counted over all whole documents;
 * path: separators, dots, extensions;
 * neighbouring words: key-like or digest-like word before it, assignment, quote.
 
@@ -39,7 +40,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rawgate.llm.common import ALNUM_WORD, BROADCAST_BYTES, ascii_lower, staged, table, whole_row, words_of
+from rawgate.llm.common import ALNUM_WORD, BROADCAST_BYTES, ascii_lower, broadcast_if_small, staged, table, whole_row, words_of
 from rawgate.llm.registry import query
 
 KEY_CHARS = r"[A-Za-z0-9_+/=.-]"
@@ -66,6 +67,9 @@ JOINED = r"^(?:[A-Za-z_][A-Za-z0-9_.-]*+=)++(?=[^=])"
 
 MASK = "[SECRET]"
 
+#: a word is in the dictionary if it is in this share of a language's documents, and in so many
+COMMON_SHARE, COMMON_LEAST = 0.02, 5
+
 FEATURES = [
     "length", "digits", "uppers", "hex_only", "digits_only", "prefixed", "distinct", "changes", "consonants", "vowels",
     "dictionary", "separators", "dots", "extension", "repeats", "key_word", "digest_word", "assigned", "quoted",
@@ -97,11 +101,20 @@ def _is_candidate() -> Column:
     return named | ((F.length("value") >= LEAST) & F.col("value").rlike("[0-9]"))
 
 
-def dictionary(docs: DataFrame, text_col: str = "text", n_words: int = 200) -> list[str]:
-    """The corpus's most frequent words of 3 to 12 letters, over a bounded sample given as `docs`."""
-    words = docs.select(F.explode(F.array_distinct(words_of(ascii_lower(F.col(text_col)), ALNUM_WORD))).alias("w"))
-    rows = words.filter(F.col("w").rlike(r"^\p{L}{3,12}$")).groupBy("w").agg(F.count("*").alias("n"))
-    return [r["w"] for r in rows.orderBy(F.desc("n"), "w").limit(n_words).collect()]
+def dictionary(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> list[str]:
+    """The words of 3 to 12 letters that are frequent in a language: those of COMMON_SHARE of its documents, and of COMMON_LEAST.
+
+    Every whole document counts, each word once; counts are combined on the map
+    side, and only frequent words are collected. Without a language column all
+    documents are of one language.
+    """
+    lang = F.coalesce(F.col(lang_col).cast("string"), F.lit("")) if lang_col in docs.columns else F.lit("")
+    keyed = docs.select(lang.alias("_lang"), F.col(text_col).cast("string").alias("_text"))
+    sizes = keyed.groupBy("_lang").agg(F.count("*").alias("_docs"))
+    words = keyed.select("_lang", F.explode(F.array_distinct(words_of(ascii_lower(F.col("_text")), ALNUM_WORD))).alias("w"))
+    counted = words.filter(F.col("w").rlike(r"^\p{L}{3,12}$")).groupBy("_lang", "w").agg(F.count("*").alias("n")).filter(F.col("n") >= COMMON_LEAST)
+    common = counted.join(broadcast_if_small(staged(sizes, "secrets-languages"), 64), "_lang").filter(F.col("n") >= COMMON_SHARE * F.col("_docs"))
+    return sorted(r["w"] for r in common.select("w").distinct().collect())
 
 
 def features(rows: DataFrame, words: list[str]) -> DataFrame:
@@ -235,7 +248,7 @@ def train(
     n, steps = short.count(), 1 << 30
     sample = short if n <= n_docs else short.filter(F.pmod(F.xxhash64(id_col), F.lit(steps)) < steps * n_docs // n)
     sample = staged(sample, "secrets-sample")
-    words = dictionary(sample, text_col)
+    words = dictionary(docs, text_col)
     findings = labelled if labelled is not None else labelled_findings(sample, id_col, text_col)
     prepared = staged(features(findings, words).select(*FEATURES, F.col("label").cast("double").alias("label")), "secrets-labelled")
     if prepared.select("label").distinct().count() < 2:

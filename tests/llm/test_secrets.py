@@ -141,3 +141,11 @@ def test_forest_sees_common_forms(spark, planted):
     found = {r.doc_id for r in secrets.scan(spark.createDataFrame(docs, SCHEMA), model, words, ["doc_id"]).filter("is_secret").collect()}
     wrong = [docs[i][1] for i in range(180) if (i in found) != (i % 9 < 6)]
     assert len(wrong) <= 9, wrong
+
+
+def test_dictionary_counts_every_document_by_language(spark):
+    rng = random.Random(17)
+    rows = [(i, prose(rng, 30), "en", "big", 1) for i in range(1500)]
+    rows += [(5000 + i, "kuntaliitto " + ("sanomalehti " + "x " * 60_000 if i < 8 else "metsa"), "fi", "small", 1) for i in range(12)]
+    _, words = secrets.train(spark.createDataFrame(rows, SCHEMA), n_docs=100)
+    assert {"kuntaliitto", "sanomalehti"} <= set(words) and "metsa" not in words and "alpha" in words
