@@ -1,17 +1,21 @@
 """Secret scan with a random forest for false-positive removal, DataFrame functions and spark.ml only.
 
-Candidates are runs of at least 16 key characters that hold a digit, and any 8
-or more non-blank signs that are assigned to a name with a word such as
-`password` in it (without quotes they end at a comma, semicolon or ampersand).
-For each, the word before it and the signs between them are kept; a name that
-is joined to its value by = is that word, however long either is. Features:
+Candidates are private keys in PEM form (a block is one finding), runs of at
+least 16 key characters that hold a digit or begin as a provider's keys do, and
+any 8 or more non-blank signs that are assigned to a name with a word such as
+`password` in it, in four languages (without quotes they end at a comma,
+semicolon or ampersand; after `is` they need a digit and a letter). For each, the
+word before it and the signs between them are kept, however long either is; they
+stand on the same line or the one before. A name that is joined to its value by =
+is that word. Features:
 
 * length, shares of digits and upper case, whether it is a hex or digit string,
   known prefixes of providers, share of distinct characters;
 * character transitions: changes between digits, lower and upper case, runs of
   consonants, vowels;
 * dictionary coverage: share of its letters that words cover which are frequent
-  in a language, counted over all whole documents;
+  in a language, counted over all whole documents. The dictionary stays a table:
+  the parts of the values' letter runs are joined with it;
 * path: separators, dots, extensions;
 * neighbouring words: key-like or digest-like word before it, assignment, quote.
 
@@ -23,12 +27,15 @@ paths, identifiers and numbers (label 0). Nothing of this is a fixed input: it
 follows the corpus. The sample has at most about `n_docs` documents, chosen by a
 hash of the id, so the training's size does not depend on the corpus.
 
-Scanning goes over every whole text; candidates are scored as rows, without a
-shuffle. Values never leave as they are: a finding shows their SHA-256.
+Scanning goes over every whole text: two cheap tests pass over texts and lines
+that cannot hold a candidate, the full pattern reads what is left with the lines
+around it, so that it finds what it would find in the whole text. Candidates are
+scored as rows. Values never leave as they are: a finding shows their SHA-256.
 
 Defined cases: null text has no candidates; null or repeated ids are passed
-through; an empty table trains on nothing but formats and gives no findings;
-other columns are not read.
+through, and each repeated row gives its own findings; equal values score alike;
+an empty table trains on nothing but formats and gives no findings; other columns
+are not read.
 """
 
 from __future__ import annotations
@@ -46,21 +53,43 @@ from rawgate.llm.registry import query
 KEY_CHARS = r"[A-Za-z0-9_+/=.-]"
 #: characters of a run, and of a value that is assigned to a key word
 LEAST, LEAST_NAMED = 16, 8
-#: Words that name secrets, words that name digests and numbers, prefixes of providers' keys.
-KEY_WORDS = "token secret password passwd pwd apikey api_key access_key auth bearer credential private_key client_secret"
+# Words that name secrets, words that name digests and numbers, prefixes of providers' keys,
+# words that assign, and parts of which every name of a secret has one.
+KEY_WORDS = (
+    "token secret password passwd passwort passphrase passcode pwd apikey api_key access_key accesskey account_key accountkey auth bearer "
+    "credential private_key client_secret kennwort geheimnis contraseña clave senha mot_de_passe motdepasse jeton"
+)
 DIGEST_WORDS = "sha sha1 sha256 md5 commit checksum digest hash revision etag uuid guid id build version order invoice"
 PREFIXES = "AKIA ASIA ghp_ gho_ github_pat_ glpat- sk_live_ sk-ant- xoxb- xoxp- AIza eyJ"
+ASSIGNING = "is ist est es lautet"
+KEY_PARTS = "token secret passw passphrase passcode pwd apikey api_key access account auth bearer credential private_key kennwort geheim contrase clave senha mot_de_passe motdepasse jeton".split()
+
+
+def _any_of(words: list[str]) -> str:
+    """A pattern for any of the words that looks at a first letter once, whatever the case."""
+    by_first: dict[str, list[str]] = {}
+    for word in words:
+        by_first.setdefault(word[0], []).append(word[1:])
+    return f"(?i:(?=[{''.join(sorted(by_first))}])(?:" + "|".join(f"{c}(?:{'|'.join(rest)})" for c, rest in sorted(by_first.items())) + "))"
+
+
 _KEY_WORD, _DIGEST_WORD = KEY_WORDS.replace(" ", "|"), DIGEST_WORDS.replace(" ", "|")
+_PREFIX = PREFIXES.replace(" ", "|")
 
+#: what may stand between a word and a value: blanks, quotes and signs, and one line end at most
+_GAP = r"(?:[^\S\n]|[\"'=:]){0,8}+(?:\n(?:[^\S\n]|[\"'=:]){0,8}+)?+"
+#: a private key
+PEM = r"-----BEGIN [A-Z0-9 ]*?PRIVATE KEY-----[A-Za-z0-9+/=\s:,.\\]*+(?:-[A-Za-z0-9+/=\s:,.\\]++){0,16}+-----END [A-Z0-9 ]*?PRIVATE KEY-----"
 #: a name with a key word in it, and its assignment
-NAMED = rf"(?<![A-Za-z0-9_.-])[A-Za-z0-9_.-]{{0,64}}?(?i:{_KEY_WORD})[A-Za-z0-9_.-]{{0,64}}+[\s\"']{{0,4}}+[=:][\s\"'=:]{{0,8}}+"
+_NAME = rf"(?<![A-Za-z0-9_.-])[A-Za-z0-9_.-]*?{_any_of(KEY_WORDS.split())}[A-Za-z0-9_.-]*+"
+NAMED = rf"{_NAME}(?:(?:[^\S\n]|[\"']){{0,4}}+[=:]{_GAP}|[^\S\n]++(?i:{ASSIGNING.replace(' ', '|')})[^\S\n]++(?=[^\s\"',;&]*[0-9])(?=[^\s\"',;&]*[A-Za-z]))"
 #: what is assigned to it, unless that is a name with a colon itself
-ASSIGNED = rf"(?![A-Za-z0-9_.-]+:\s)(?:(?<=[\"'])[^\s\"']{{{LEAST_NAMED},}}+|(?<![\"'])[^\s\"',;&]{{{LEAST_NAMED},}}+)"
+ASSIGNED = rf"(?![A-Za-z0-9_.-]+:\s)(?:(?<=[^\S\n](?:{ASSIGNING.replace(' ', '|')})[^\S\n])[^\s\"',;]{{{LEAST_NAMED},}}+|(?<=[\"'])[^\s\"']{{{LEAST_NAMED},}}+|(?<![\"'])[^\s\"',;&]{{{LEAST_NAMED},}}+)"
 #: word before (not itself a candidate), signs between, candidate; possessive, so each text is read once
 CANDIDATE = (
-    rf"{NAMED}{ASSIGNED}|"
-    rf"(?:(?<![^\s\"'=:,;<>(){{}}|])(?:(?!{KEY_CHARS}{{{LEAST}}})[^\s\"'=:,;<>(){{}}|]{{1,64}}+|[A-Za-z_.-]{{{LEAST},64}}+(?=[\s\"']{{0,4}}[=:]))"
-    rf"[\s\"'=:]{{1,8}}+)?(?<!{KEY_CHARS})(?={KEY_CHARS}{{{LEAST}}})(?!{NAMED}{ASSIGNED}){KEY_CHARS}{{{LEAST},}}+"
+    rf"{PEM}|{NAMED}{ASSIGNED}|"
+    rf"(?:(?<![^\s\"'=:,;<>(){{}}|])(?:(?!{KEY_CHARS}{{{LEAST}}})[^\s\"'=:,;<>(){{}}|]++|[A-Za-z_.-]{{{LEAST},}}+(?=[\s\"']{{0,4}}[=:]))"
+    rf"(?=[\s\"'=:]){_GAP})?(?<!{KEY_CHARS})(?={KEY_CHARS}{{{LEAST}}})(?!{NAMED}{ASSIGNED}){KEY_CHARS}{{{LEAST},}}+"
 )
 #: names joined to a run by =
 JOINED = r"^(?:[A-Za-z_][A-Za-z0-9_.-]*+=)++(?=[^=])"
@@ -76,16 +105,37 @@ FEATURES = [
 ]
 
 
+#: what a line with a candidate holds, whatever stands around it
+_RUN, _KEY_PART = rf"(?<!{KEY_CHARS}){KEY_CHARS}{{{LEAST}}}", _any_of(KEY_PARTS)
+
+
+def _worth_reading(docs: DataFrame, keep: list[str], text_col: str) -> DataFrame:
+    """`keep` and `_text`: texts that may hold a candidate, with all lines emptied that are neither near a run nor near a key word."""
+    texts = docs.select(*keep, F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_whole"))
+    worth = texts.filter(F.col("_whole").rlike(_RUN) | F.col("_whole").rlike(_KEY_PART))
+    lines = worth.withColumn("_lines", F.split("_whole", "\n", -1))
+    hits = lines.withColumn("_hits", F.transform("_lines", lambda x: x.rlike(_RUN) | x.rlike(_KEY_PART)))
+
+    def near(i: Column) -> Column:
+        return F.coalesce(F.get("_hits", i), F.lit(False)) | F.coalesce(F.get("_hits", i - 1), F.lit(False)) | F.coalesce(F.get("_hits", i + 1), F.lit(False))
+
+    kept = F.array_join(F.transform("_lines", lambda x, i: F.when(near(i), x).otherwise(F.lit(""))), "\n")
+    whole = F.contains("_whole", F.lit("-----BEGIN "))
+    return hits.select(*keep, F.when(whole, F.col("_whole")).otherwise(kept).alias("_text"))
+
+
 def candidates(docs: DataFrame, keep: list[str], text_col: str = "text") -> DataFrame:
     """`keep` columns, place (from 0, in text order), before (word and signs) and value, a row per candidate."""
-    found = F.regexp_extract_all(F.coalesce(F.col(text_col).cast("string"), F.lit("")), F.lit(CANDIDATE), F.lit(0))
-    rows = docs.select(*keep, F.posexplode(found).alias("place", "_match"))
+    found = F.regexp_extract_all("_text", F.lit(CANDIDATE), F.lit(0))
+    # outer, so that no filter on the number of matches is put before it, which would look for them twice
+    rows = _worth_reading(docs, keep, text_col).select(*keep, F.posexplode_outer(found).alias("place", "_match")).filter("_match IS NOT NULL")
     run = rf"{KEY_CHARS}{{{LEAST},}}+$"
+    pem = F.col("_match").startswith("-----BEGIN ")
     assigned = F.regexp_extract("_match", f"^{NAMED}(?={ASSIGNED}$)", 0)
     tail = F.regexp_extract("_match", run, 0)
     joined = F.regexp_extract(tail, JOINED, 0)
-    lead = F.when(assigned != "", assigned).otherwise(F.concat(F.regexp_replace("_match", run, ""), joined))
-    before = F.when((assigned == "") & (joined != ""), joined).otherwise(F.col("_lead"))
+    lead = F.when(pem, "").when(assigned != "", assigned).otherwise(F.concat(F.regexp_replace("_match", run, ""), joined))
+    before = F.when(~pem & (assigned == "") & (joined != ""), joined).otherwise(F.col("_lead"))
     split = rows.withColumn("_lead", lead).withColumn("before", before).withColumn("value", F.expr("substring(_match, length(_lead) + 1)"))
     quoted = F.col("before").rlike("[\"']$")
     ends = F.when(_assigned_to_key_word() & ~quoted, F.regexp_replace("value", r"[.)\]}>]+$", "")).otherwise(F.regexp_replace("value", r"[.]+$", ""))
@@ -93,20 +143,20 @@ def candidates(docs: DataFrame, keep: list[str], text_col: str = "text") -> Data
 
 
 def _assigned_to_key_word() -> Column:
-    return F.lower("before").rlike(rf"({_KEY_WORD})[a-z0-9_.-]*[\s\"']*[=:]")
+    return F.lower("before").rlike(rf"({_KEY_WORD})[a-z0-9_.-]*(?:[\s\"']*[=:]|\s+(?:{ASSIGNING.replace(' ', '|')})\s+$)")
 
 
 def _is_candidate() -> Column:
     named = (F.length("value") >= LEAST_NAMED) & _assigned_to_key_word()
-    return named | ((F.length("value") >= LEAST) & F.col("value").rlike("[0-9]"))
+    return named | ((F.length("value") >= LEAST) & F.col("value").rlike(f"[0-9]|^(?:{_PREFIX})|^-----BEGIN "))
 
 
-def dictionary(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> list[str]:
-    """The words of 3 to 12 letters that are frequent in a language: those of COMMON_SHARE of its documents, and of COMMON_LEAST.
+def dictionary(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """w: the words of 3 to 12 letters that are frequent in a language: those of COMMON_SHARE of its documents, and of COMMON_LEAST.
 
     Every whole document counts, each word once; counts are combined on the map
-    side, and only frequent words are collected. Without a language column all
-    documents are of one language.
+    side. The words are a written table. Without a language column all documents
+    are of one language.
     """
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit("")) if lang_col in docs.columns else F.lit("")
     keyed = docs.select(lang.alias("_lang"), F.col(text_col).cast("string").alias("_text"))
@@ -114,11 +164,37 @@ def dictionary(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
     words = keyed.select("_lang", F.explode(F.array_distinct(words_of(ascii_lower(F.col("_text")), ALNUM_WORD))).alias("w"))
     counted = words.filter(F.col("w").rlike(r"^\p{L}{3,12}$")).groupBy("_lang", "w").agg(F.count("*").alias("n")).filter(F.col("n") >= COMMON_LEAST)
     common = counted.join(broadcast_if_small(staged(sizes, "secrets-languages"), 64), "_lang").filter(F.col("n") >= COMMON_SHARE * F.col("_docs"))
-    return sorted(r["w"] for r in common.select("w").distinct().collect())
+    return staged(common.select("w").distinct(), "secrets-dictionary")
+
 
+def coverage(values: DataFrame, words: DataFrame) -> DataFrame:
+    """value, covered: for distinct values the letters that words of the dictionary cover, the longest word at the leftmost place first.
 
-def features(rows: DataFrame, words: list[str]) -> DataFrame:
-    """The forest's input columns for rows with `before` and `value`."""
+    A value's letter runs are cut into parts of 3 to 12 letters, at most ten a
+    letter, and joined with the dictionary; what is grouped is one value's parts.
+    """
+    at = F.explode(F.sequence(F.lit(1), F.length("value") - 2)).alias("at")
+    heads = values.filter(F.length("value") >= 3).select("value", F.lower("value").alias("_lower"), at)
+    heads = heads.select("value", "at", F.regexp_extract(F.expr("substring(_lower, at, 12)"), r"^\p{L}{3,12}", 0).alias("_head")).filter("_head != ''")
+    parts = heads.select("value", "at", "_head", F.explode(F.sequence(F.lit(3), F.length("_head"))).alias("n")).select(
+        "value", "at", "n", F.expr("substring(_head, 1, n)").alias("w")
+    )
+    met = parts.join(broadcast_if_small(words, 64), "w").groupBy("value").agg(F.sort_array(F.collect_list(F.struct("at", (-F.col("n")).alias("m")))).alias("_found"))
+    start = F.struct(F.lit(1).alias("to"), F.lit(0).alias("n"))
+
+    def add(state: Column, x: Column) -> Column:
+        free = x["at"] >= state["to"]
+        return F.struct(F.when(free, x["at"] - x["m"]).otherwise(state["to"]).alias("to"), F.when(free, state["n"] - x["m"]).otherwise(state["n"]).alias("n"))
+
+    return met.select("value", F.aggregate("_found", start, add, lambda state: state["n"]).alias("covered"))
+
+
+def features(found: DataFrame, words: DataFrame) -> DataFrame:
+    """The forest's input columns for rows with `before` and `value`, which are written first."""
+    found = staged(found, "secrets-candidates")
+    covered = staged(coverage(found.select("value").distinct(), words), "secrets-coverage")
+    fits = covered.agg(F.coalesce(F.sum(F.length("value") + 32), F.lit(0)).alias("b")).collect()[0]["b"] <= BROADCAST_BYTES
+    rows = found.join(F.broadcast(covered) if fits else covered, "value", "left").select(*found.columns, "covered")
     value, before = F.col("value"), F.lower("before")
     n = F.length("value").cast("double")
 
@@ -128,8 +204,6 @@ def features(rows: DataFrame, words: list[str]) -> DataFrame:
     def flag(condition: Column) -> Column:
         return condition.cast("double")
 
-    known = "|".join(sorted(words, key=lambda w: (-len(w), w))) or "(?!)"
-    uncovered = F.length(F.regexp_replace(F.lower(value), known, "")).cast("double")
     changes = r"(?<=[0-9])(?=[A-Za-z])|(?<=[A-Za-z])(?=[0-9])|(?<=[a-z])(?=[A-Z])|(?<=[A-Z])(?=[a-z])"
     assigned, quoted = r"[=:][\s\"']*$", r"[\"']$"
     columns = {
@@ -138,12 +212,12 @@ def features(rows: DataFrame, words: list[str]) -> DataFrame:
         "uppers": count("[A-Z]") / n,
         "hex_only": flag(value.rlike("^[0-9a-fA-F-]+$")),
         "digits_only": flag(value.rlike("^[0-9.+-]+$")),
-        "prefixed": flag(value.rlike(f"^({PREFIXES.replace(' ', '|')})")),
+        "prefixed": flag(value.rlike(f"^({_PREFIX})")),
         "distinct": F.size(F.array_distinct(F.split(value, ""))) / n,
         "changes": count(changes) / n,
         "consonants": count("[b-df-hj-np-tv-xzB-DF-HJ-NP-TV-XZ]{4}") / n,
         "vowels": count("[aeiouAEIOU]") / n,
-        "dictionary": 1 - uncovered / n,
+        "dictionary": F.coalesce("covered", F.lit(0)) / n,
         "separators": count("[/_-]") / n,
         "dots": count("[.]") / n,
         "extension": flag(value.rlike(r"\.[a-z]{2,5}$")),
@@ -153,7 +227,7 @@ def features(rows: DataFrame, words: list[str]) -> DataFrame:
         "assigned": flag(before.rlike(assigned)),
         "quoted": flag(before.rlike(quoted)),
     }
-    return rows.withColumns(columns)
+    return rows.withColumns(columns).drop("covered")
 
 
 def _pick(options: str, at: Column) -> Column:
@@ -166,18 +240,30 @@ def labelled_findings(sample: DataFrame, id_col: str = "doc_id", text_col: str =
     base = (
         sample.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("i"), words_of(ascii_lower(F.col(text_col)), ALNUM_WORD).alias("w"))
         .filter(F.size("w") > 0)
-        .withColumn("h", F.xxhash64("i"))
+    )
+
+    def numbers(n: int) -> Column:
+        return F.sequence(F.lit(0), F.lit(n))
+
+    # made as arrays, so that the many findings below stay small expressions
+    base = base.select(
+        "i",
+        F.transform(numbers(7), lambda k: F.element_at("w", F.pmod(F.xxhash64("i", F.concat(F.lit("word"), k)), F.size("w")).cast("int") + 1)).alias("words"),
+        F.transform(numbers(16), lambda k: F.sha1(F.concat("i", F.lit("/"), k).cast("binary"))).alias("hexes"),
+        F.transform(
+            numbers(24), lambda k: F.regexp_replace(F.base64(F.unhex(F.sha2(F.concat("i", F.lit("/"), k).cast("binary"), 512))), "[+/=\n\r]", "")
+        ).alias("mixes"),
     )
 
     def word(k: int) -> Column:
-        return F.element_at("w", F.pmod(F.xxhash64("i", F.lit(f"word{k}")), F.size("w")).cast("int") + 1)
+        return F.get("words", F.lit(k))
 
     def hexed(k: int) -> Column:
-        return F.sha1(F.concat("i", F.lit(f"/{k}")).cast("binary"))
+        return F.get("hexes", F.lit(k))
 
     def mixed(k: int) -> Column:
         """Letters of both cases and digits."""
-        return F.regexp_replace(F.base64(F.unhex(F.sha2(F.concat("i", F.lit(f"/{k}")).cast("binary"), 512))), "[+/=\n\r]", "")
+        return F.get("mixes", F.lit(k))
 
     key, digest = _pick(KEY_WORDS, F.xxhash64("i", F.lit("key"))), _pick(DIGEST_WORDS, F.xxhash64("i", F.lit("digest")))
     assign = _pick('=" : =', F.xxhash64("i", F.lit("sign")))
@@ -187,6 +273,7 @@ def labelled_findings(sample: DataFrame, id_col: str = "doc_id", text_col: str =
     some_name = F.concat(word(6), F.lit("="))
     few = F.pmod(F.xxhash64("i", F.lit("few")), F.lit(LEAST - LEAST_NAMED)).cast("int") + LEAST_NAMED
     signs = F.translate(F.substring(mixed(15), 1, 22), "aeinrst", "@!$#%^*")
+    letters = F.translate(F.substring(mixed(24), 1, 20), "0123456789", "qWxZkVjYbR")
     number = F.conv(F.substring(hexed(9), 1, 14), 16, 10)
     size = F.pmod(F.xxhash64("i", F.lit("size")), F.lit(24)).cast("int") + LEAST
     uuid = F.concat_ws("-", *[F.substring(hexed(8), at, n) for at, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
@@ -209,6 +296,10 @@ def labelled_findings(sample: DataFrame, id_col: str = "doc_id", text_col: str =
         (named, F.concat(word(7), F.substring(mixed(21), 1, 5)), 1),
         (named, signs, 1),
         (joined_name, F.substring(signs, F.lit(1), few), 1),
+        (joined_name, letters, 1),
+        (plain, F.concat(F.lit("xoxb-"), F.substring(letters, 1, 10), F.lit("-"), F.substring(letters, 4, 12)), 1),
+        (F.concat(key, F.lit(" is ")), F.concat(F.substring(mixed(22), 1, 4), F.lit("4&"), F.substring(mixed(22), 5, 5)), 1),
+        (F.lit(""), F.concat(F.lit("-----BEGIN PRIVATE KEY-----\n"), mixed(23), F.lit("\n-----END PRIVATE KEY-----")), 1),
         (checked, hexed(10), 0),
         (checked, F.sha2(F.concat("i", F.lit("/11")).cast("binary"), 256), 0),
         (F.concat(digest, F.lit(": ")), uuid, 0),
@@ -242,7 +333,7 @@ def train(
     max_train_chars: int = 100_000,
     n_trees: int = 15,
     depth: int = 6,
-) -> tuple[RandomForestClassificationModel | None, list[str]]:
+) -> tuple[RandomForestClassificationModel | None, DataFrame]:
     """The forest and the dictionary its features use; None if there is nothing to learn from."""
     short = docs.select(id_col, text_col).filter(F.length(text_col).between(1, max_train_chars))
     n, steps = short.count(), 1 << 30
@@ -259,34 +350,60 @@ def train(
     return forest.fit(VectorAssembler(inputCols=FEATURES, outputCol="_features").transform(prepared)), words
 
 
-def forest_sql(model: RandomForestClassificationModel) -> str:
-    """The forest as one SQL expression over the feature columns: the share of trees that vote for a secret.
+def forest_score(model: RandomForestClassificationModel) -> Column:
+    """The share of trees that vote for a secret, over the feature columns.
 
-    Rows are then scored without the model object, by comparisons alone.
+    Trees are three arrays in heap order (feature, threshold and, for leaves, the
+    vote), so that the expression stays small and rows are scored without the
+    model object: a row takes one comparison per level and tree. A leaf above the
+    last level goes on to the left as itself.
     """
     lines = [line.strip() for line in model.toDebugString.splitlines()]
     starts = [i for i, line in enumerate(lines) if line.startswith("Tree ")]
+    levels = max((tree.depth for tree in model.trees), default=0)
+    size = 1 << (levels + 1)
+    feature, threshold, vote = ([0] * (size * len(starts)) for _ in range(3))
 
-    def node(i: int) -> tuple[str, int]:
+    def fill(i: int, root: int, node: int) -> int:
+        """Puts the node that line i describes into its place; returns the line after it."""
         if lines[i].startswith("Predict: "):
-            return str(float(lines[i].removeprefix("Predict: "))), i + 1
-        feature, threshold = re.fullmatch(r"If \(feature (\d+) <= (\S+)\)", lines[i]).groups()
-        below, after = node(i + 1)  # followed by its Else
-        above, end = node(after + 1)
-        return f"CASE WHEN {FEATURES[int(feature)]} <= {float(threshold)!r}D THEN {below} ELSE {above} END", end
+            while node < size:
+                feature[root + node], threshold[root + node], vote[root + node] = 0, "Infinity", int(float(lines[i].removeprefix("Predict: ")))
+                node *= 2
+            return i + 1
+        number, bound = re.fullmatch(r"If \(feature (\d+) <= (\S+)\)", lines[i]).groups()
+        feature[root + node], threshold[root + node] = int(number), repr(float(bound))
+        after = fill(i + 1, root, 2 * node)
+        return fill(after + 1, root, 2 * node + 1)  # behind its Else
+
+    for t, i in enumerate(starts):
+        fill(i + 1, t * size, 1)
+
+    def listed(values: list, kind: str) -> Column:
+        return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
+
+    features_of, bounds, votes, row = listed(feature, "int"), listed(threshold, "double"), listed(vote, "int"), F.array(*FEATURES)
+
+    def step(root: Column, node: Column) -> Column:
+        right = F.get(row, F.get(features_of, root + node)) > F.get(bounds, root + node)
+        return node * 2 + F.when(right, 1).otherwise(0)
+
+    def voted(t: Column) -> Column:
+        leaf = F.aggregate(F.sequence(F.lit(1), F.lit(levels)) if levels else F.array().cast("array<int>"), F.lit(1), lambda node, _: step(t * size, node))
+        return F.get(votes, t * size + leaf)
 
-    votes = [f"CAST({node(i + 1)[0]} AS DOUBLE)" for i in starts]
-    return f"({' + '.join(votes)}) / {len(votes)}"
+    trees = F.sequence(F.lit(0), F.lit(len(starts) - 1))
+    return F.aggregate(trees, F.lit(0), lambda total, t: total + voted(t)) / F.lit(float(len(starts)))
 
 
 def scan(
-    docs: DataFrame, model: RandomForestClassificationModel | None, words: list[str], keep: list[str], text_col: str = "text"
+    docs: DataFrame, model: RandomForestClassificationModel | None, words: DataFrame, keep: list[str], text_col: str = "text"
 ) -> DataFrame:
     """`keep` columns, place, before, value, score and is_secret of every candidate."""
     rows = candidates(docs, keep, text_col)
     if model is None:
         return rows.withColumn("score", F.lit(0.0)).withColumn("is_secret", F.lit(False))
-    scored = features(rows, words).withColumn("score", F.expr(forest_sql(model)))
+    scored = features(rows, words).withColumn("score", forest_score(model))
     return scored.select(*keep, "place", "before", "value", "score", (F.col("score") >= 0.5).alias("is_secret"))
 
 
@@ -307,7 +424,7 @@ def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: every found secret is masked in its text, and n_chars follows; all documents stay."""
+    """Pipeline stage: every found secret is masked in its text, and n_chars, where there is one, follows; all documents stay."""
     model, words = train(docs)
     text = F.col("text").cast("string")
     here = F.xxhash64(F.coalesce(text, F.lit("")))
@@ -320,6 +437,8 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     met = rows.join(by_doc, rows["id"].eqNullSafe(by_doc["doc_id"]) & (rows["h"] == by_doc["text_hash"]), "left")
     masked = F.aggregate("found", F.col("row.text"), lambda text, x: F.replace(text, x["value"], F.lit(MASK)))
     changed = met.select("row", F.when(F.col("found").isNotNull(), masked).alias("masked"))
-    counted = F.length("masked").cast(docs.schema["n_chars"].dataType)
-    new = F.col("row").withField("text", F.coalesce("masked", "row.text")).withField("n_chars", F.coalesce(counted, "row.n_chars"))
+    new = F.col("row").withField("text", F.coalesce("masked", "row.text"))
+    if "n_chars" in docs.columns:
+        counted = F.length("masked").cast(docs.schema["n_chars"].dataType)
+        new = new.withField("n_chars", F.coalesce(counted, "row.n_chars"))
     return changed.select(new.alias("row")).select("row.*")

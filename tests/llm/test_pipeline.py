@@ -12,7 +12,10 @@ from tests.llm.test_jaccard import brute as brute_links
 from tests.llm.test_mixing import brute as brute_mix
 
 SMALL = "/root/testdata/sf0.001"
-NAMES = "license_scan toxicity warc source_mixing decontamination secret_scan language_id quality_rules chat_format ngram_jaccard".split()
+NAMES = (
+    "license_scan toxicity warc source_mixing decontamination secret_scan language_id quality_rules chat_format ngram_jaccard "
+    "embedding_whitening ranked_search html_extraction"
+).split()
 
 
 def test_every_operator_is_registered():
@@ -54,7 +57,7 @@ def test_stages_against_brute_force(spark, tables):
             assert now.columns == ["doc_id", "text", "lang", "source", "n_chars"]
     want = [r for r in rows if " you idiot. " not in (r[1] or "")]
     assert seen["toxicity"] == sorted(want, key=str)
-    one = {(i, n, c) for i, n, c, _ in brute_links([(r[0], r[1]) for r in want])}
+    one = {(i, n, c) for i, n, c, _ in brute_links([(r[0], r[1]) for r in want], percent=80, size=5)}
     dropped = {i for i, n, c in one if n and i != c}
     want = [r for r in want if r[0] not in dropped]
     assert seen["ngram_jaccard"] == sorted(want, key=str)
