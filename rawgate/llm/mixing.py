@@ -8,9 +8,10 @@ their count and dealt out globally by a hash of seed, id and copy number: one
 shuffle by a uniform key, then sorted by it within each partition.
 
 Counts come from a table of cumulative probabilities per source, computed once
-(in logarithms, so large rates do not underflow) and looked up per document:
-the count is the number of entries not above the hash. The table ends where
-the remaining probability is below 1e-15, beyond any value of the 52-bit hash.
+(in logarithms, so large rates do not underflow) around the rate, and looked up
+per document by halving: the count is the number of entries not above the hash.
+The table ends where the remaining probability is below 1e-15, beyond any value
+of the 52-bit hash.
 
 Defined cases: null text has size 0; a null source is a source; sources
 without weight get no copies, weights of absent sources are ignored and those
@@ -24,7 +25,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rawgate.llm.common import BROADCAST_BYTES, staged, table, whole_row
@@ -51,7 +52,7 @@ def source_sizes(docs: DataFrame, source_col: str = "source", text_col: str = "t
 
 
 def rates(sizes: DataFrame, weights: dict[str | None, float] | None = None, temperature: float = TEMPERATURE, budget: float = 1.0) -> DataFrame:
-    """Per source its target share, mean repetition rate and cumulative Poisson table.
+    """Per source its target share, mean repetition rate and cumulative Poisson table (`first`, `cdf`).
 
     `weights` are target weights by source; without them the target share of a
     source goes with its size to the power `temperature`. `budget` is the size
@@ -66,29 +67,57 @@ def rates(sizes: DataFrame, weights: dict[str | None, float] | None = None, temp
         for name, value in weights.items():
             here = F.col("source").isNull() if name is None else F.col("source") == name
             weight = F.when(here, F.lit(float(value))).otherwise(weight)
-    weighed = sizes.withColumn("weight", weight)
+    weighed = staged(sizes, "mixing-sizes").withColumn("weight", weight)
     totals = weighed.agg(F.sum("weight").alias("weight"), F.sum("n_chars").alias("chars")).collect()[0]  # one row of numbers
     share = F.col("weight") / F.lit(totals["weight"]) if totals["weight"] else F.lit(0.0)
     rate = F.when(F.col("n_chars") > 0, F.lit(budget) * F.col("share") * F.lit(totals["chars"] or 0) / F.col("n_chars")).otherwise(1.0)
-    return (
-        weighed.withColumn("share", share)
-        .withColumn("rate", rate)
-        .select("source", "n_docs", "n_chars", "share", "rate", cumulative(F.col("rate")).alias("cdf"))
-    )
+    rated = weighed.withColumn("share", share).withColumn("rate", rate).select("source", "n_docs", "n_chars", "share", "rate")
+    tables = cumulative(rated).withColumnRenamed("source", "_of")
+    met = rated.join(tables, F.col("source").eqNullSafe(F.col("_of")), "left").drop("_of")
+    return met.withColumns({"first": F.coalesce("first", F.lit(0)), "cdf": F.coalesce("cdf", F.array().cast("array<double>"))})
+
 
+def _log_probability(rate: Column, k: Column) -> Column:
+    """Logarithm of the probability of k copies; k! by Stirling's series, whose terms are put together so that nothing large cancels."""
+    n = k.cast("double")
+    series = 1 / (12 * n) - 1 / (360 * n * n * n) + 1 / (1260 * F.pow(n, F.lit(5.0)))
+    far = (n - rate) + n * F.log1p((rate - n) / n) - 0.5 * F.log(2 * math.pi * n) - series
+    return F.when(k > 0, far).otherwise(-rate)
 
-def cumulative(rate: Column) -> Column:
-    """Cumulative probabilities of 0, 1, 2, ... copies, to where the rest is negligible."""
-    last = F.ceil(rate + 10 * F.sqrt(rate) + 24).cast("int")
-    start = F.struct((-rate).alias("logp"), F.lit(0.0).alias("sum"), F.array().cast("array<double>").alias("out"))
 
-    def step(state: Column, k: Column) -> Column:
-        logp = F.when(k > 0, state["logp"] + F.log(rate) - F.log(k.cast("double"))).otherwise(state["logp"])
-        total = state["sum"] + F.exp(logp)
-        return F.struct(logp.alias("logp"), total.alias("sum"), F.concat(state["out"], F.array(total)).alias("out"))
+def cumulative(by_source: DataFrame) -> DataFrame:
+    """source, first, cdf: cumulative probabilities of first, first + 1, ... copies, for the rates above 0.
 
-    table = F.aggregate(F.sequence(F.lit(0), last), start, step, lambda state: state["out"])
-    return F.when(rate > 0, table).otherwise(F.array().cast("array<double>"))
+    The table holds what lies within ten deviations of the rate; what lies below
+    or above has no probability that the hash could tell from 0 or 1. It is a
+    running sum over exploded rows, so its cost grows with the root of the rate.
+    """
+    reach = 10 * F.sqrt("rate") + 24
+    lowest = F.floor(F.col("rate") - reach)
+    first = F.when(lowest < 50, 0).otherwise(lowest).cast("int")  # near 0 the series does not hold
+    last = F.ceil(F.col("rate") + reach).cast("int")
+    placed = by_source.filter(F.col("rate") > 0).select("source", "rate", first.alias("first"), F.explode(F.sequence(first, last)).alias("k"))
+    by = Window.partitionBy("source", "rate").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
+    step = F.when(F.col("k") == F.col("first"), _log_probability(F.col("rate"), F.col("first"))).otherwise(F.log("rate") - F.log(F.col("k").cast("double")))
+    summed = placed.withColumn("p", F.exp(F.sum(step).over(by))).withColumn("total", F.sum("p").over(by))
+    listed = summed.groupBy("source", "rate", "first").agg(F.sort_array(F.collect_list(F.struct("k", "total"))).alias("t"))
+    return listed.select("source", "first", F.col("t.total").alias("cdf"))
+
+
+def count_at(at: Column, first: Column, cdf: Column) -> Column:
+    """The number of copies at a hash: `first` and the entries not above it, by halving the range that is left."""
+
+    def halve(range_: Column, _: Column) -> Column:
+        mid = F.floor((range_["low"] + range_["high"]) / 2).cast("int")
+        below = F.get(cdf, mid) <= at
+        open_ = range_["low"] < range_["high"]
+        return F.struct(
+            F.when(open_ & below, mid + 1).otherwise(range_["low"]).alias("low"), F.when(open_ & ~below, mid).otherwise(range_["high"]).alias("high")
+        )
+
+    start = F.struct(F.lit(0).alias("low"), F.size(cdf).alias("high"))
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(cdf) + F.lit(1))).cast("int"))
+    return first + F.aggregate(steps, start, halve, lambda range_: range_["low"])
 
 
 def mix(
@@ -106,7 +135,7 @@ def mix(
     The order is that of shuffle_key within partitions; partitions are by its hash.
     """
     by_source = staged(rates(source_sizes(docs, source_col, text_col), weights, temperature, budget), "mixing-rates")
-    by_source = by_source.select(F.col("source").alias("_source"), "rate", "cdf")
+    by_source = by_source.select(F.col("source").alias("_source"), "rate", "first", "cdf")
     measured = by_source.agg(F.sum(F.size("cdf") * 8 + F.coalesce(F.length("_source"), F.lit(0)) + 64)).collect()[0][0] or 0
     by_source = F.broadcast(by_source) if measured <= BROADCAST_BYTES else by_source  # else AQE splits the hot source
     kept = docs.drop("copy", "shuffle_key")
@@ -115,7 +144,7 @@ def mix(
     rows = kept.select(whole_row(kept).alias("row"), id_of.alias("id"), source.alias("source"), at.alias("at"))
     counted = (
         rows.join(by_source, F.col("source").eqNullSafe(F.col("_source")), "inner")
-        .withColumn("n", F.when(F.col("rate") > 0, F.size(F.filter("cdf", lambda c: c <= F.col("at")))).otherwise(0))
+        .withColumn("n", F.when(F.col("rate") > 0, count_at(F.col("at"), F.col("first"), F.col("cdf"))).otherwise(0))
         .filter(F.col("n") > 0)
     )
     copies = counted.select("row", "id", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("copy"))

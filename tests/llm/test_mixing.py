@@ -1,5 +1,6 @@
 import hashlib
 import math
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -69,7 +70,35 @@ def test_counts_do_not_depend_on_partitions_or_order(spark):
 
 @pytest.mark.parametrize("rate", [0.01, 1.0, 7.5, 200.0, 2000.0])
 def test_cumulative_table(spark, rate):
-    table = spark.range(1).select(mixing.cumulative(F.lit(rate)).alias("c")).collect()[0].c
+    row = mixing.cumulative(spark.createDataFrame([("s", rate)], "source string, rate double")).collect()[0]
+    table = [0.0] * row["first"] + row["cdf"]
     assert all(a <= b for a, b in zip(table, table[1:])) and abs(table[-1] - 1) < 1e-9
     mean = sum(1 - c for c in table)
     assert abs(mean - rate) < 1e-6 * max(1, rate)
+
+
+def test_counts_at_every_rate(spark):
+    """Tables and lookups against sums of logarithms, from a rate of 0.01 to 1,000,000, in linear time."""
+    rates = [0.01, 0.7, 5.0, 24.0, 140.0, 220.0, 500.0, 8_000.0, 1_000_000.0]
+    frame = spark.createDataFrame([(f"s{i}" if i else None, r) for i, r in enumerate(rates)], "source string, rate double")
+    start = time.time()
+    tables = {r["source"]: (r["first"], r["cdf"]) for r in mixing.cumulative(frame).collect()}
+    assert time.time() - start < 15
+    us = [(i + 0.5) / 97 for i in range(97)] + [0.0, 1 - 2**-52]
+    for i, rate in enumerate(rates):
+        first, cdf = tables[f"s{i}" if i else None]
+        assert len(cdf) <= 20 * math.sqrt(rate) + 300
+        assert cdf == sorted(cdf) and abs(cdf[-1] - 1) < 1e-9
+        total, k, at = 0.0, max(0, int(rate - 40 * math.sqrt(rate)) - 1), {}
+        steps = sorted(us)
+        for u in steps:
+            while True:
+                more = total + math.exp(k * math.log(rate) - rate - math.lgamma(k + 1))
+                if more > u or (more == total and k > rate):
+                    break
+                total, k = more, k + 1
+            at[u] = (k, min(abs(total - u), abs(more - u)))
+        found = spark.createDataFrame([(u, first, cdf) for u in us], "u double, first int, cdf array<double>")
+        got = {r["u"]: r["n"] for r in found.select("u", mixing.count_at(F.col("u"), F.col("first"), F.col("cdf")).alias("n")).collect()}
+        assert all(got[u] == at[u][0] or at[u][1] < 1e-7 for u in us), rate
+        assert all(got[u] == first + sum(c <= u for c in cdf) for u in us)
