@@ -15,6 +15,24 @@ from rawgate.session import stage
 from rawgate.sources import control
 
 
+def _column(rule: checks.Rule) -> F.Column:
+    return F.col(f"`{rule.part(0).upper()}`")
+
+
+#: `quantileCheck` (column, share, most) and `distinctCheck` (column, least), as a user would register them
+CUSTOM_CHECKS = {
+    **checks.CHECKS,
+    "quantilecheck": checks.Check(
+        lambda r, m: F.when(m["quantile"] <= float(r.part(2)), checks.PASS).otherwise(checks.FAIL),
+        lambda r, good: {"quantile": F.percentile(F.when(good, _column(r).try_cast("double")), F.lit(float(r.part(1))))},
+    ),
+    "distinctcheck": checks.Check(
+        lambda r, m: F.when(m["n"] >= int(r.part(1)), checks.PASS).otherwise(checks.FAIL),
+        lambda r, good: {"n": F.size(F.collect_set(F.when(good, _column(r))))},
+    ),
+}
+
+
 @query(
     "rule_list",
     """SELECT file_prefix_nm, file_chck_typ, arguments, priority,
@@ -130,17 +148,18 @@ def check_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "check_file_content",
     """SELECT 'part_' || CAST(p_partkey AS VARCHAR) AS file_nm, 'fileContentCheck' AS "check",
-      CASE WHEN p_size <= 25 AND p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 49) THEN 'Pass' ELSE 'Fail' END AS outcome
-    FROM part""",
+      CASE WHEN (CASE WHEN p_size <= 25 THEN 1 ELSE 0 END) + coalesce(ones, 0) = 1 AND coalesce(others, 0) >= 1 THEN 'Pass' ELSE 'Fail' END AS outcome
+    FROM part LEFT JOIN (SELECT l_partkey, count(*) FILTER (l_quantity = 1) AS ones, count(*) FILTER (l_quantity <> 1) AS others
+      FROM lineitem GROUP BY l_partkey) ON p_partkey = l_partkey""",
 )
 def check_file_content(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One file per part, format HDT: large parts lack the trailer, some have no data."""
-    parts = table(spark, sf_dir, "part")
-    edges = parts.selectExpr(
+    """One file per part, format HDT: small parts have a trailer; a line item is a data row, or one more trailer if it is a single piece."""
+    edges = table(spark, sf_dir, "part").selectExpr(
         "concat('part_', p_partkey) file_nm", "explode(if(p_size <= 25, array('H', 'T'), array('H'))) ident"
     )
-    items = table(spark, sf_dir, "lineitem").filter("l_quantity > 49")
-    found = edges.unionByName(items.selectExpr("concat('part_', l_partkey) file_nm", "'D' ident")).withColumns(
+    items = table(spark, sf_dir, "lineitem").selectExpr("concat('part_', l_partkey) file_nm", "if(l_quantity = 1, 'T', 'D') ident")
+    known = table(spark, sf_dir, "part").selectExpr("concat('part_', p_partkey) file_nm")
+    found = edges.unionByName(items.join(known, "file_nm", "left_semi")).withColumns(
         {"block": F.lit(0).cast("bigint"), "line_id": F.monotonically_increasing_id()}
     )
     files = records.file_counts(found).withColumns(
@@ -149,6 +168,25 @@ def check_file_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.evaluate(files, [checks.Rule(1, "fileContentCheck", "HDT")]).select("file_nm", "check", "outcome")
 
 
+@query(
+    "check_custom",
+    f"""WITH {raw.ORDERS_SQL}, g AS (SELECT file_nm, CAST(total AS DOUBLE) AS t, o_orderstatus AS s FROM o WHERE NOT is_short AND NOT is_malformed),
+    m AS (SELECT file_nm, quantile_cont(t, 0.9) AS q, count(DISTINCT s) AS n FROM g GROUP BY file_nm),
+    f AS (SELECT DISTINCT o.file_nm, q, coalesce(n, 0) AS n FROM o LEFT JOIN m USING (file_nm))
+    SELECT file_nm, 1 AS seq, 'quantileCheck' AS "check", CASE WHEN q <= 275000 THEN 'Pass' ELSE 'Fail' END AS outcome,
+      CASE WHEN q <= 275000 THEN 'Pass' ELSE 'Fail' END AS status FROM f
+    UNION ALL SELECT file_nm, 2, 'distinctCheck', CASE WHEN n >= 3 THEN 'Pass' ELSE 'Fail' END,
+      CASE WHEN q <= 275000 THEN CASE WHEN n >= 3 THEN 'Pass' ELSE 'Fail' END ELSE 'Skipped' END FROM f""",
+)
+def check_custom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two registered checks that bring their own measures: a quantile of the totals, and the number of different statuses."""
+    found = stage(orders_records(spark, sf_dir), "orders")
+    data = records.data_rows(found).select("file_nm", rows.width_reason(8).alias("reason"), cell(3).alias("STATUS"), cell(4).alias("TOTAL"))
+    rules = [checks.Rule(1, "quantileCheck", "total,0.9,275000"), checks.Rule(2, "distinctCheck", "status,3")]
+    files = checks.with_measures(records.file_counts(found), data, rules, CUSTOM_CHECKS)
+    return checks.evaluate(files, rules, CUSTOM_CHECKS).select("file_nm", "seq", "check", "outcome", "status")
+
+
 @query(
     "check_row_variance",
     """WITH runs AS (SELECT event_type AS file_prefix_nm, strftime(ts, '%Y%m%d') AS snap_dt, count(*) AS n FROM events GROUP BY ALL),
@@ -194,7 +232,7 @@ def check_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SELECT o_orderstatus AS src_sys_nm, 'order_' || CAST(o_orderkey AS VARCHAR) AS file_prefix_nm,
       'f_' || CAST(o_orderkey AS VARCHAR) AS file_nm, l_returnflag AS file_chck_typ, strftime(o_orderdate, '%Y%m%d') AS snap_dt,
       'r1' AS run_id
-    FROM orders LEFT JOIN (SELECT * FROM lineitem WHERE l_linestatus = 'F') ON o_orderkey = l_orderkey""",
+    FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey""",
 )
 def files_with_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = table(spark, sf_dir, "orders").selectExpr(
@@ -204,7 +242,7 @@ def files_with_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
         "date_format(o_orderdate, 'yyyyMMdd') snap_dt",
         "'r1' run_id",
     )
-    checklist = table(spark, sf_dir, "lineitem").filter("l_linestatus = 'F'").selectExpr(
+    checklist = table(spark, sf_dir, "lineitem").selectExpr(
         "concat('order_', l_orderkey) file_prefix_nm", "l_returnflag file_chck_typ"
     )
     return checks.files_with_checks(files, checklist)

@@ -93,6 +93,34 @@ def obfuscate_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.obfuscate_columns(rows, ["s_name"], KEY)
 
 
+@query(
+    "obfuscate_by_date",
+    f"""WITH config AS (SELECT CASE WHEN n_nationkey % 2 = 0 THEN 'PRIORITY' ELSE 'STATUS' END AS c,
+      CAST(1992 + n_nationkey % 7 AS VARCHAR) || '0601' AS since, n_nationkey % 3 <> 0 AS active FROM nation),
+    dates AS (SELECT DISTINCT strftime(o_orderdate, '%Y%m%d') AS snap_dt FROM orders),
+    latest AS (SELECT snap_dt, c, max(since || CASE WHEN active THEN '1' ELSE '0' END) AS l FROM dates, config WHERE since <= snap_dt GROUP BY ALL),
+    hides AS (SELECT snap_dt, c FROM latest WHERE l LIKE '%1')
+    SELECT o_orderkey,
+      CASE WHEN EXISTS (SELECT 1 FROM hides h WHERE h.snap_dt = strftime(o_orderdate, '%Y%m%d') AND c = 'STATUS') THEN {_xor_sql("o_orderstatus")} ELSE o_orderstatus END AS STATUS,
+      CASE WHEN EXISTS (SELECT 1 FROM hides h WHERE h.snap_dt = strftime(o_orderdate, '%Y%m%d') AND c = 'PRIORITY') THEN {_xor_sql("o_orderpriority")} ELSE o_orderpriority END AS PRIORITY,
+      (SELECT max(substr(l, 1, 8)) FROM latest l WHERE l.snap_dt = strftime(o_orderdate, '%Y%m%d') AND l LIKE '%1') AS config_snap_dt
+    FROM orders""",
+)
+def obfuscate_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations say from which date on a column is hidden, or no longer; each order is hidden by what holds at its date."""
+    config = table(spark, sf_dir, "nation").selectExpr(
+        "if(n_nationkey % 2 = 0, 'priority', 'status') column_name",
+        "concat(1992 + n_nationkey % 7, '0601') config_snap_dt",
+        "cast(null as string) reset_snap_dt",
+        "n_nationkey % 3 <> 0 active",
+    )
+    orders = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey", "date_format(o_orderdate, 'yyyyMMdd') snap_dt", "o_orderstatus STATUS", "o_orderpriority PRIORITY"
+    )
+    files = enrich.hidden_columns(orders, config.collect())
+    return enrich.obfuscate_columns(files, ["STATUS", "PRIORITY"], KEY, F.col("hidden")).select("o_orderkey", "STATUS", "PRIORITY", "config_snap_dt")
+
+
 @query(
     "obfuscation_log",
     """SELECT 'db.orders_parquet' AS table_nm, 'snap_dt' AS partition_col, strftime(o_orderdate, '%Y-%m-%d') AS partition_value,

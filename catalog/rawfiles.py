@@ -208,6 +208,24 @@ def xml_files(spark: SparkSession, sf_dir: str) -> str:
     return write_once(spark, sf_dir, "customers-xml", make)
 
 
+def nested_xml_files(spark: SparkSession, sf_dir: str) -> str:
+    """The same rows: some hold another row, end tags with blanks, or tags in comments and CDATA sections."""
+
+    def make() -> DataFrame:
+        rows = table(spark, sf_dir, "customer").withColumn("file_nm", F.expr(_file("nested", "c_custkey", 200, "xml")))
+        data = rows.select(
+            "file_nm",
+            F.col("c_custkey").alias("ord"),
+            F.expr("""concat(if(c_nationkey % 5 = 4, '<!-- <row><CUSTKEY>no</CUSTKEY></row> -->', ''), '<row><CUSTKEY>', c_custkey, '</CUSTKEY>',
+              CASE c_nationkey % 5 WHEN 1 THEN '<row><NAME>inner</NAME></row >' WHEN 2 THEN '<!-- </row><row> -->' ELSE '' END,
+              '<NAME>', c_name, ' &amp; co</NAME><SEGMENT>', if(c_nationkey % 5 = 3, '<![CDATA[</row> & <row>]]>', c_mktsegment), '</SEGMENT>',
+              if(c_nationkey % 5 = 0, '</row >', '</row>'))""").alias("value"),
+        )
+        return fixed_lines(rows.select("file_nm").distinct(), (FIRST, "'<rows>'"), (LAST, "'</rows>'")).unionByName(data)
+
+    return write_once(spark, sf_dir, "customers-xml-nested", make)
+
+
 # layout of a file of customers, by nation: H rows, column header flag, D marks
 LAYOUTS = {
     0: (0, "N", False),
@@ -287,6 +305,25 @@ def documents_files(spark: SparkSession, sf_dir: str) -> str:
     return write_once(spark, sf_dir, "documents", make)
 
 
+# documents in files with improper quotes
+DIRTY_SQL = """d AS (SELECT *, doc_id % 10 = 3 OR doc_id % 50 = 49 AS bad,
+    lang || CASE doc_id % 10 WHEN 5 THEN ' 5" pipe' WHEN 7 THEN chr(13) || 'x' ELSE '' END AS tongue FROM documents)"""
+
+
+def dirty_files(spark: SparkSession, sf_dir: str) -> str:
+    """Documents as before; some rows have text behind a closing quote, a quote or a carriage return inside a cell, or a quote without an end."""
+
+    def make() -> DataFrame:
+        rows = table(spark, sf_dir, "documents").withColumn("file_nm", F.expr(_file("dirty", "doc_id", 50)))
+        tongue = "concat(lang, CASE doc_id % 10 WHEN 5 THEN ' 5\" pipe' WHEN 7 THEN concat(char(13), 'x') ELSE '' END)"
+        text = f"CASE WHEN doc_id % 50 = 49 THEN '\"open' WHEN doc_id % 10 = 3 THEN concat({_quoted('text')}, 'tail') ELSE {_quoted('text')} END"
+        value = F.expr(f"concat(doc_id, '|', {tongue}, '|', {_quoted('source')}, '|', {text})")
+        data = rows.select("file_nm", F.col("doc_id").alias("ord"), value.alias("value"))
+        return fixed_lines(rows.groupBy("file_nm").agg(F.count("*").alias("n")), (LAST, "concat('T|', n, '||')")).unionByName(data)
+
+    return write_once(spark, sf_dir, "documents-dirty", make)
+
+
 def conversations_files(spark: SparkSession, sf_dir: str) -> str:
     """Multi-line CSV without identifiers: names, rows, row count."""
 

@@ -160,18 +160,18 @@ def classify_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "empty_files",
     """SELECT 'part_' || CAST(p_partkey AS VARCHAR) AS file_nm, p_size > 25 AS no_lines FROM part
-    WHERE p_size > 25 OR p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 49)""",
+    WHERE p_size > 25 OR p_partkey IN (SELECT l_partkey FROM lineitem GROUP BY l_partkey HAVING max(l_quantity) <= 49)
+      OR p_partkey NOT IN (SELECT l_partkey FROM lineitem)""",
 )
 def empty_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One file per part: header, trailer, a D row per large line item; nothing at all for large parts."""
+    """One file per part: header, trailer, and a row per line item, a D row if it is large, else one more trailer; nothing at all for large parts."""
     parts = table(spark, sf_dir, "part")
     manifest = parts.selectExpr("concat('part_', p_partkey) file_nm", "p_size")
     edges = parts.filter("p_size <= 25").selectExpr("concat('part_', p_partkey) file_nm", "explode(array('H', 'T')) ident")
     items = (
         table(spark, sf_dir, "lineitem")
-        .filter("l_quantity > 49")
         .join(parts.filter("p_size <= 25").selectExpr("p_partkey l_partkey"), "l_partkey", "left_semi")
-        .selectExpr("concat('part_', l_partkey) file_nm", "'D' ident")
+        .selectExpr("concat('part_', l_partkey) file_nm", "if(l_quantity > 49, 'D', 'T') ident")
     )
     found = edges.unionByName(items).withColumns(
         {"block": F.lit(0).cast("bigint"), "line_id": F.monotonically_increasing_id()}

@@ -10,7 +10,7 @@ from catalog.registry import SQL, query, table
 from rawgate import model
 from rawgate.functions.delimiters import decode_delimiter
 from rawgate.session import scratch_path, stage
-from rawgate.sources import bigfiles, control, csvfiles, lines, listing, xmlfiles
+from rawgate.sources import control, csvfiles, lines, listing, multiline, xmlfiles
 
 
 def cell(i: int) -> F.Column:
@@ -56,9 +56,7 @@ def strip_nul(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def documents_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return csvfiles.read_csv_records(
-        spark, raw.documents_files(spark, sf_dir), 4, "|", multi_line=True, folders=True
-    )
+    return multiline.multiline_records(spark, [raw.documents_files(spark, sf_dir)], 4, "|", folders=True)
 
 
 @query(
@@ -77,11 +75,25 @@ SCAN_MULTILINE_SQL = SQL["scan_multiline"]
 
 @query("scan_multiline_split", SCAN_MULTILINE_SQL)
 def scan_multiline_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same files cut at line ends, records put together across tasks."""
-    records, unsure = bigfiles.split_csv_records(spark, [raw.documents_files(spark, sf_dir)], 4, "|", folders=True)
-    if unsure:
-        raise ValueError(f"files with stray quotes: {unsure}")
-    return records.select(*[F.coalesce(cell(i), F.lit("")).alias(f"c{i}") for i in range(4)])
+    """The same records by their texts, cut into cells by Spark's own line parser."""
+    quoting = multiline.Quoting("|", '"', '"')
+    texts = multiline.record_texts(multiline.placed_lines(spark, [raw.documents_files(spark, sf_dir)], quoting, True), quoting)
+    cells = F.from_csv("value", csvfiles.string_schema(4), {"sep": "|", "quote": '"', "escape": '"'}).alias("p")
+    return texts.select(cells).select(*[F.coalesce(F.col(f"p.col_{i}"), F.lit("")).alias(f"c{i}") for i in range(4)])
+
+
+@query(
+    "scan_multiline_dirty",
+    f"""WITH {raw.DIRTY_SQL}
+    SELECT CAST(doc_id AS VARCHAR) AS c0, CASE WHEN bad THEN '' ELSE tongue END AS c1, CASE WHEN bad THEN '' ELSE coalesce(source, '') END AS c2,
+      CASE WHEN bad THEN '' ELSE coalesce(text, '') END AS c3, bad AS malformed FROM d
+    UNION ALL SELECT 'T', CAST(count(*) AS VARCHAR), '', '', false FROM d GROUP BY doc_id // 50""",
+)
+def scan_multiline_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text behind closing quotes, quotes inside of cells, lone carriage returns, quotes that are never closed."""
+    records = multiline.multiline_records(spark, [raw.dirty_files(spark, sf_dir)], 4, "|", folders=True)
+    shown = [F.when(F.col("malformed"), "").otherwise(F.coalesce(cell(i), F.lit(""))).alias(f"c{i}") for i in range(1, 4)]
+    return records.select(cell(0).alias("c0"), *shown, "malformed")
 
 
 def events_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,20 +147,30 @@ def scan_fixed_width(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def scan_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["CUSTKEY", "NAME", "SEGMENT"]
-    records = xmlfiles.read_xml_records(spark, raw.xml_files(spark, sf_dir), "row", columns, folders=True)
+    records = xmlfiles.xml_records(spark, [raw.xml_files(spark, sf_dir)], "row", columns, folders=True)
     return records.select(*[cell(i).alias(c.lower()) for i, c in enumerate(columns)])
 
 
 @query("scan_xml_split", SQL["scan_xml"])
 def scan_xml_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same files cut at row end tags."""
+    """The same files by Spark's own reader, a task per file."""
     columns = ["CUSTKEY", "NAME", "SEGMENT"]
-    records, unsure = bigfiles.split_xml_records(spark, [raw.xml_files(spark, sf_dir)], "row", columns, folders=True)
-    if unsure:
-        raise ValueError(f"files with hidden tags: {unsure}")
+    records = xmlfiles.read_xml_records(spark, raw.xml_files(spark, sf_dir), "row", columns, folders=True)
     return records.select(*[cell(i).alias(c.lower()) for i, c in enumerate(columns)])
 
 
+@query(
+    "scan_xml_nested",
+    """SELECT CAST(c_custkey AS VARCHAR) AS custkey, c_name || ' & co' AS name,
+      CASE WHEN c_nationkey % 5 = 3 THEN '</row> & <row>' ELSE c_mktsegment END AS segment FROM customer""",
+)
+def scan_xml_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row elements in row elements, end tags with blanks, tags in comments and CDATA sections."""
+    columns = ["CUSTKEY", "NAME", "SEGMENT"]
+    records = xmlfiles.xml_records(spark, [raw.nested_xml_files(spark, sf_dir)], "row", columns, folders=True)
+    return records.filter("NOT malformed").select(*[cell(i).alias(c.lower()) for i, c in enumerate(columns)])
+
+
 @query(
     "decode_delimiter",
     """SELECT event_id, CASE event_type WHEN 'view' THEN '|' WHEN 'click' THEN chr(9) WHEN 'error' THEN '~' || chr(1)
@@ -238,6 +260,27 @@ def pending_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return control.pending_files(manifest, "F", "2-High").select("file_nm", "snap_dt")
 
 
+@query(
+    "pending_after_runs",
+    """SELECT 'order_' || CAST(o_orderkey AS VARCHAR) AS file_nm, strftime(o_orderdate, '%Y%m%d') AS snap_dt FROM orders
+    WHERE coalesce((SELECT CASE WHEN max(l_linenumber * 2 + CASE WHEN l_tax < 0.03 THEN 1 ELSE 0 END) % 2 = 1 THEN false ELSE true END
+      FROM lineitem WHERE l_orderkey = o_orderkey), true)""",
+)
+def pending_after_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each order is a file, its lines are attempts to load it, low taxes say that one succeeded: pending unless the last did."""
+    manifest = table(spark, sf_dir, "orders").selectExpr(
+        "concat('order_', o_orderkey) file_nm", "'s' src_sys_nm", "'r1' run_id", "date_format(o_orderdate, 'yyyyMMdd') snap_dt", "'p' file_prefix_nm"
+    )
+    steps = table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey", "cast(l_linenumber as string) time", "explode(if(l_tax < 0.03, array('Filelevelcheck', 'PublishToStage'), array('Filelevelcheck'))) action_type"
+    )
+    orders = table(spark, sf_dir, "orders").selectExpr("o_orderkey l_orderkey", "date_format(o_orderdate, 'yyyyMMdd') snap_dt")
+    statuses = steps.join(orders, "l_orderkey").selectExpr(
+        "concat('order_', l_orderkey) file_nm", "'s' src_sys_nm", "'r1' run_id", "snap_dt", "'P' file_prefix_nm", "action_type", "'Pass' status", "time"
+    )
+    return control.pending_files(manifest, "s", "p", control.finished_files(statuses)).select("file_nm", "snap_dt")
+
+
 @query(
     "missing_files",
     """SELECT DISTINCT 'orders_' || lpad(CAST(l_orderkey // 1000 AS VARCHAR), 6, '0') || '_' || lower(l_returnflag) || '.csv'

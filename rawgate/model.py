@@ -23,6 +23,9 @@ MANIFEST = "file_nm string, src_sys_nm string, run_id string, snap_dt string, fi
 FILE_METADATA = "snap_dt string, file_nm string, meta_data_details string"
 ROW_COUNT_HISTORY = "file_prefix_nm string, snap_dt string, run_id string, row_count bigint"
 
+# from `config_snap_dt` on a column is hidden, or (`active` false) no longer; `reset_snap_dt` says from where old snapshots were written anew
+OBFUSCATION = "file_prefix_nm string, column_name string, config_snap_dt string, reset_snap_dt string, active boolean"
+
 # one JSON object per group; the prefix is the key of the map
 PREFIX_CONFIG = (
     "file_prefix_nm map<string, struct<total_column int, escape string, quote string, "

@@ -4,14 +4,18 @@ All measures of all files come from a few aggregates. A check is then one
 expression over a row of measures, and the rule that nothing runs after the
 first failure is a window over the rules of a file.
 
+A check may bring aggregates of its own over the rows of a file, and lookups of
+its own (`Check`). The aggregates of all rules are merged into one pass over the
+rows, those of the built-in checks too.
+
 The bodies of the five named checks are our own definitions; replace them
 through `CHECKS`.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -88,7 +92,8 @@ def file_content_check(rule: Rule) -> Column:
 
 def sum_check(rule: Rule) -> Column:
     """Sum of a column (`column[,trailer field]`) equals the trailer's total."""
-    return F.when(F.col(f"sum_{rule.seq}") == declared(rule.part(1), 3), PASS).otherwise(FAIL)
+    total = F.coalesce(F.col(_measure_name(rule, "sum")), F.lit(0).cast(AMOUNT))
+    return F.when(total == declared(rule.part(1), 3), PASS).otherwise(FAIL)
 
 
 def row_variance_check(rule: Rule) -> Column:
@@ -108,19 +113,66 @@ def integrity_check(rule: Rule) -> Column:
     )
 
 
-CHECKS: dict[str, Callable[[Rule], Column]] = {
+Measures = Mapping[str, Column]
+
+
+@dataclass(frozen=True)
+class Check:
+    """A check that brings what it looks at.
+
+    `outcome(rule, measures)` gives Pass, Fail, Waiting or Skipped from the
+    columns of a file and the check's own measures. `measures(rule, good)` names
+    aggregates over the rows of a file; `good` is true for rows without a fault.
+    An aggregate must be mergeable, and choose its own bound. `lookup(files,
+    rows, rule)` returns files with further columns, for what is no aggregate of
+    the file's rows (another table); the columns are told apart by `rule.seq`.
+    """
+
+    outcome: Callable[[Rule, Measures], Column]
+    measures: Callable[[Rule, Column], Measures] = field(default=lambda rule, good: {})
+    lookup: Callable[[DataFrame, DataFrame, Rule], DataFrame] | None = None
+
+
+def sum_measure(rule: Rule, where: Column) -> Column:
+    """Sum of the rule's column over the rows of a file that satisfy `where`."""
+    amount = F.trim(F.col(f"`{rule.part(0).upper()}`")).try_cast(AMOUNT)
+    return F.coalesce(F.sum(F.when(where, amount)), F.lit(0).cast(AMOUNT)).alias(f"sum_{rule.seq}")
+
+
+CHECKS: dict[str, Callable[[Rule], Column] | Check] = {
     "rowcountcheck": row_count_check,
     "filecontentcheck": file_content_check,
-    "sumcheckvalidation": sum_check,
+    "sumcheckvalidation": Check(lambda rule, _: sum_check(rule), lambda rule, good: {"sum": sum_measure(rule, good)}),
     "rowcountvariancecheck": row_variance_check,
     "integritycheck": integrity_check,
 }
 
+Checks = Mapping[str, Callable[[Rule], Column] | Check]
 
-def sum_measure(rule: Rule, where: Column) -> Column:
-    """Sum of the rule's column over the rows of a file that satisfy `where`."""
-    amount = F.trim(F.col(f"`{rule.part(0).upper()}`")).try_cast(AMOUNT)
-    return F.coalesce(F.sum(F.when(where, amount)), F.lit(0).cast(AMOUNT)).alias(f"sum_{rule.seq}")
+
+def _measure_name(rule: Rule, name: str) -> str:
+    return f"{name}_{rule.seq}"
+
+
+def _own(rules: Sequence[Rule], checks: Checks) -> list[tuple[Rule, Check]]:
+    return [(r, c) for r in rules if isinstance(c := checks.get(r.check.lower()), Check)]
+
+
+def measures_of(rules: Sequence[Rule], good: Column, checks: Checks = CHECKS) -> list[Column]:
+    """The aggregates that the checks of all rules ask for, to be computed together."""
+    return [m.alias(_measure_name(r, name)) for r, c in _own(rules, checks) for name, m in c.measures(r, good).items()]
+
+
+def with_measures(files: DataFrame, data: DataFrame, rules: Sequence[Rule], checks: Checks = CHECKS) -> DataFrame:
+    """Files with n_good, n_bad and every measure of the rules: one aggregate over `data`
+    (file_nm, `reason` of bad rows, columns), then the lookups that checks bring."""
+    good = F.col("reason").isNull()
+    counted = data.groupBy("file_nm").agg(F.count_if(good).alias("n_good"), F.count_if(~good).alias("n_bad"), *measures_of(rules, good, checks))
+    out = files.join(counted, "file_nm", "left").na.fill(0, ["n_good", "n_bad"])
+    for rule, check in _own(rules, checks):
+        if check.lookup is not None:
+            out = check.lookup(out, data, rule)
+    return out
 
 
 def previous_counts(runs: DataFrame) -> DataFrame:
@@ -175,13 +227,18 @@ def parent_ready(files: DataFrame, parent: DataFrame | None, name: str) -> DataF
 # ---- outcomes --------------------------------------------------------------
 
 
-def _check_of(rule: Rule, checks: dict[str, Callable[[Rule], Column]]) -> Column:
+def _check_of(rule: Rule, checks: Checks) -> Column:
     """The check's expression; a name that nobody has registered fails its files and no others."""
     check = checks.get(rule.check.lower())
-    return F.lit(FAIL) if check is None else check(rule)
+    if check is None:
+        return F.lit(FAIL)
+    if not isinstance(check, Check):
+        return check(rule)
+    names = check.measures(rule, F.lit(True))
+    return F.coalesce(check.outcome(rule, {name: F.col(_measure_name(rule, name)) for name in names}), F.lit(FAIL))
 
 
-def run_rules(files: DataFrame, rules: list[Rule], checks: dict[str, Callable[[Rule], Column]] = CHECKS) -> DataFrame:
+def run_rules(files: DataFrame, rules: list[Rule], checks: Checks = CHECKS) -> DataFrame:
     """Files with `results`, an array of (seq, check, outcome, status) in the
     order of the rules, and the flags `failed` and `waiting`.
 
@@ -212,7 +269,7 @@ def run_rules(files: DataFrame, rules: list[Rule], checks: dict[str, Callable[[R
     ).drop(*[f"_rule_{r.seq}" for r in ordered])
 
 
-def evaluate(files: DataFrame, rules: list[Rule], checks: dict[str, Callable[[Rule], Column]] = CHECKS) -> DataFrame:
+def evaluate(files: DataFrame, rules: list[Rule], checks: Checks = CHECKS) -> DataFrame:
     """(file_nm, seq, check, outcome, status), one row per file and rule."""
     return run_rules(files, rules, checks).select("file_nm", F.explode("results").alias("r")).select("file_nm", "r.*")
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from rawgate.functions.casting import cast_failed, cast_text
@@ -34,8 +34,46 @@ def snap_date(snap_dt: Column) -> Column:
     return F.to_date(snap_dt, "yyyyMMdd")
 
 
-def obfuscate_columns(rows: DataFrame, columns: Sequence[str], key: bytes) -> DataFrame:
-    return rows.withColumns({c: obfuscate(F.col(f"`{c}`").cast("string"), key) for c in columns}) if columns else rows
+def obfuscate_columns(rows: DataFrame, columns: Sequence[str], key: bytes, hidden: Column | None = None) -> DataFrame:
+    """Rows with the named columns obfuscated; with `hidden`, an array of names, only where it has the name."""
+
+    def changed(name: str) -> Column:
+        text = F.col(f"`{name}`").cast("string")
+        new = obfuscate(text, key)
+        return new if hidden is None else F.when(F.array_contains(hidden, name), new).otherwise(text)
+
+    return rows.withColumns({c: changed(c) for c in columns}) if columns else rows
+
+
+def hidden_columns(files: DataFrame, dated: Sequence[Row]) -> DataFrame:
+    """Files with `hidden`, `config_snap_dt` and `reset_snap_dt`: what the configuration says at their snapshot.
+
+    A configuration row says from when on a column is hidden, or no longer. Of
+    each column the latest row up to the snapshot counts (of several of one date
+    the one that hides). The rows are control data of one prefix, and become
+    expressions: an as-of lookup without a join.
+    """
+    by_column: dict[str, list[Column]] = {}
+    for r in dated:
+        if r["config_snap_dt"] is not None:
+            entry = (r["config_snap_dt"], r["active"] is not False, r["reset_snap_dt"])
+            named = [F.lit(v).cast(t).alias(n) for v, t, n in zip(entry, ("string", "boolean", "string"), ("since", "active", "reset"), strict=True)]
+            by_column.setdefault(r["column_name"].upper(), []).append(F.struct(*named))
+    if not by_column:
+        none = {"hidden": F.array().cast("array<string>"), "config_snap_dt": F.lit(None).cast("string"), "reset_snap_dt": F.lit(None).cast("string")}
+        return files.withColumns(none)
+    latest = [
+        F.struct(F.lit(name).alias("name"), F.array_max(F.filter(F.array(*rows), lambda r: r["since"] <= F.col("snap_dt"))).alias("l"))
+        for name, rows in sorted(by_column.items())
+    ]
+    now = files.withColumn("_now", F.filter(F.array(*latest), lambda x: F.coalesce(x["l"]["active"], F.lit(False))))
+    return now.withColumns(
+        {
+            "hidden": F.transform("_now", lambda x: x["name"]),
+            "config_snap_dt": F.array_max(F.transform("_now", lambda x: x["l"]["since"])),
+            "reset_snap_dt": F.array_max(F.transform("_now", lambda x: x["l"]["reset"])),
+        }
+    ).drop("_now")
 
 
 def obfuscation_log(

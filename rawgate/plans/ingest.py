@@ -26,9 +26,9 @@ from rawgate.functions.obfuscation import obfuscate
 from rawgate.joins import fits_broadcast, join_per_file
 from rawgate.operators import checks as ck
 from rawgate.operators import enrich, publish, records, rows, schema
-from rawgate.session import stage, tune
+from rawgate.session import registered_staging, remove, stage, tune
 from rawgate.sources import control as ct
-from rawgate.sources import bigfiles, csvfiles, lines, listing
+from rawgate.sources import csvfiles, lines, listing, multiline, xmlfiles
 
 FILE_KEYS = ["file_nm", "src_sys_nm", "file_prefix_nm", "snap_dt", "run_id"]
 
@@ -42,7 +42,8 @@ class IntakeOptions:
 
     `parents` holds the parent tables of integrity checks by name, with the
     rows of the snapshot, or of several with `snap_dt`; others are read from the
-    catalog, and files wait for a table that is not there. `positional` cuts
+    catalog, and files wait for a table that is not there. `checks` are checks by
+    name (lower case) beside those of `checks.CHECKS`, or in their place. `positional` cuts
     rows by place even where the header has additional columns. `keep_bad`
     publishes bad rows too. `folders` says that each file is a folder of parts.
     `target_table` is a table of the catalog; if it is there, its columns give
@@ -55,6 +56,7 @@ class IntakeOptions:
     target_columns: list[str] | None = None
     target_table: str | None = None
     parents: Mapping[str, DataFrame] = field(default_factory=dict)
+    checks: ck.Checks = field(default_factory=dict)
     keep_bad: bool = False
     positional: bool = False
     folders: bool = False
@@ -66,7 +68,8 @@ class IntakeResult:
 
     `rows` and `bad_rows` are `published` and `quarantine` with the file and run
     they belong to. `bad_row_report` has the number of bad rows per file and the
-    first ten, `obfuscation_log` a row per loaded file if columns were obfuscated.
+    first ten, `obfuscation_log` a row per loaded file if columns were obfuscated,
+    `row_counts` the number of rows of each accepted file, for later runs to compare with.
     """
 
     published: DataFrame
@@ -81,21 +84,35 @@ class IntakeResult:
     bad_rows: DataFrame
     bad_row_report: DataFrame
     obfuscation_log: DataFrame
+    row_counts: DataFrame
+    staged: list[str] = field(default_factory=list)
 
     def write(self, base: str) -> None:
         """Publish (or leave for the quality step), then quarantine, reports and statuses.
 
-        Rows, quarantine and schema failures lie under snapshot, run and file:
-        a repeated run replaces its own files and leaves all others alone.
+        Everything but the status log lies under snapshot, run and file: a
+        repeated run replaces its own files and leaves all others alone.
         """
         folder = self.target if self.route == "publish" else f"{self.target}_dq_input"
         publish.publish(self.rows, f"{base}/{folder}")
         publish.publish(self.bad_rows, f"{base}/quarantine")
         publish.publish(self.schema_failures, f"{base}/schema_failures")
-        self.bad_row_report.write.mode("append").parquet(f"{base}/bad_row_report")
-        self.obfuscation_log.write.mode("append").parquet(f"{base}/obfuscation_log")
+        publish.publish(self.bad_row_report, f"{base}/bad_row_report")
+        publish.publish(self.obfuscation_log, f"{base}/obfuscation_log")
+        publish.publish(self.row_counts, f"{base}/row_count_history")
         publish.append_status(self.statuses, f"{base}/status")
 
+    def close(self) -> None:
+        """Remove what the run has staged; its frames cannot be read any more."""
+        remove(self.published.sparkSession, self.staged)
+        self.staged.clear()
+
+    def __enter__(self) -> IntakeResult:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.close()
+
     def write_table(self, table: str) -> None:
         """Publish to a table of the catalog, which is made if it is not there."""
         publish.publish_table(self.rows if not _has_table_without_file(self.rows, table) else self.published, table)
@@ -124,6 +141,7 @@ class _Prefix:
     settings: Row | None
     clean: Row | None
     pairs: list[tuple[str, str]]
+    dated: list[Row] = field(default_factory=list)
 
     def problem(self, opt: IntakeOptions) -> str | None:
         """Name of the step that the settings make impossible."""
@@ -194,12 +212,12 @@ def _read_records(spark: SparkSession, p: _Prefix, paths: list[tuple[str, int]],
     if p.mode == "fixed_width":
         return lines.fixed_width_records(lines.read_lines(spark, names, opt.folders))
     if p.mode == "xml":
-        return bigfiles.xml_records(spark, paths, p.settings["row_tag"] or "row", p.names, opt.folders)
+        return xmlfiles.xml_records(spark, names, p.settings["row_tag"] or "row", p.names, opt.folders)
     sep = p.conf["sep"]
     if p.mode in ("multiline", "clean"):
         width, escape, quote = p.settings["total_column"], p.settings["escape"] or '"', p.settings["quote"] or '"'
         if p.mode == "multiline":
-            found = bigfiles.multiline_records(spark, paths, width, sep, escape, quote, opt.folders)
+            found = multiline.multiline_records(spark, names, width, sep, escape, quote, opt.folders)
         else:
             found = csvfiles.read_csv_records(spark, names, width, sep, escape, quote, folders=opt.folders)
         return _clean_records(found, p)
@@ -352,6 +370,25 @@ def _match_schema(files: DataFrame, p: _Prefix, fixed: bool, positional: bool) -
 ROW_FACTS = ["file_nm", "lead", "keep_all", "after", "last_pos", "has_tail", "place", "need"]
 
 
+def _with_hidden(files: DataFrame, p: _Prefix, control: ct.ControlTables) -> DataFrame:
+    """Files with `hidden` (names of the columns to obfuscate), `config_snap_dt` and `reset_snap_dt`.
+
+    With dated configurations, those valid at the file's snapshot; else the
+    columns that are registered as hidden, from the file's own date.
+    """
+    if control.obfuscation is None:
+        own = {"hidden": F.array(*[F.lit(n) for n in p.obfuscated]).cast("array<string>"), "config_snap_dt": F.col("snap_dt"), "reset_snap_dt": F.col("snap_dt")}
+        return files.withColumns(own)
+    return enrich.hidden_columns(files, p.dated)
+
+
+def _hidden_log(loaded: DataFrame, p: _Prefix) -> DataFrame:
+    """The log, kept by snapshot, run and file."""
+    log = enrich.obfuscation_log(loaded, p.conf["target"], F.col("config_snap_dt"), F.col("reset_snap_dt"))
+    parts = F.split("file_info", ";")
+    return log.withColumns({"snap_dt": F.get(parts, F.lit(0)), "run_id": F.get(parts, F.lit(1)), "file_nm": F.array_join(F.slice(parts, 3, 1 << 20), ";")})
+
+
 def _data_rows(found: DataFrame, facts: DataFrame, p: _Prefix, small: bool) -> DataFrame:
     """Data records of the files in `facts`, with `reason` for the bad ones, the
     registered columns as text, and whatever else `facts` has."""
@@ -387,12 +424,7 @@ def _measures(data: DataFrame, files: DataFrame, p: _Prefix, control: ct.Control
         return [r for r in p.rules if r.check.lower() == name]
 
     good = F.col("reason").isNull()
-    counted = data.groupBy("file_nm").agg(
-        F.count_if(good).alias("n_good"),
-        F.count_if(~good).alias("n_bad"),
-        *[ck.sum_measure(r, good) for r in rules("sumcheckvalidation")],
-    )
-    out = files.join(counted, "file_nm", "left").na.fill(0, ["n_good", "n_bad"])
+    out = ck.with_measures(files, data, p.rules, _checks(opt))
     if rules("rowcountvariancecheck"):
         history = ct.for_prefix(control.row_count_history, p.conf["file_prefix_nm"])
         out = out.join(ck.latest_before(out, history), "file_nm", "left")
@@ -411,9 +443,13 @@ def _measures(data: DataFrame, files: DataFrame, p: _Prefix, control: ct.Control
     return out
 
 
-def _judge(measured: DataFrame, p: _Prefix) -> DataFrame:
+def _checks(opt: IntakeOptions) -> ck.Checks:
+    return {**ck.CHECKS, **opt.checks}
+
+
+def _judge(measured: DataFrame, p: _Prefix, opt: IntakeOptions) -> DataFrame:
     """Files with rule results and their disposition."""
-    done = ck.run_rules(measured, p.rules)
+    done = ck.run_rules(measured, p.rules, _checks(opt))
     no_stamp = F.col("loads") & F.col("snap_dt_ts").isNull() & F.lit(p.intraday)
     return done.withColumns(
         {
@@ -429,7 +465,7 @@ def _judge(measured: DataFrame, p: _Prefix) -> DataFrame:
     )
 
 
-def _statuses(judged: DataFrame, p: _Prefix, route: str, obfuscated: bool) -> DataFrame:
+def _statuses(judged: DataFrame, p: _Prefix, route: str) -> DataFrame:
     empty, accepted = F.col("empty"), F.col("disposition") == "accepted"
     unsupported = ~empty & (F.col("layout") == "unsupported")
     mismatch = ~empty & (F.col("match") == "fail")
@@ -451,7 +487,7 @@ def _statuses(judged: DataFrame, p: _Prefix, route: str, obfuscated: bool) -> Da
     after = [
         publish.event(F.col("no_stamp"), check, "Intradaystamp", "Fail"),
         publish.event(accepted, check, "Parquetconversion", "Pass"),
-        publish.event(accepted & F.lit(obfuscated), "OBFUSCATION_COMPLETED", "", "Pass"),
+        publish.event(accepted & (F.size("hidden") > 0), "OBFUSCATION_COMPLETED", "", "Pass"),
         typed,
         publish.event(accepted & F.lit(route == "publish"), "PublishToStage", "PublishToStage", "Pass"),
     ]
@@ -477,8 +513,9 @@ def _refused(present: DataFrame, missing: DataFrame, p: _Prefix, route: str, pro
         quarantine=no_bad.drop("snap_dt", "run_id"),
         rows=no_rows,
         bad_rows=no_bad,
-        bad_row_report=spark.createDataFrame([], "file_nm string, bad_rows bigint, samples array<string>"),
-        obfuscation_log=enrich.obfuscation_log(present.limit(0), p.conf["target"], "", ""),
+        bad_row_report=spark.createDataFrame([], "file_nm string, bad_rows bigint, samples array<string>, snap_dt string, run_id string"),
+        obfuscation_log=_hidden_log(present.limit(0).withColumns({"config_snap_dt": F.lit(""), "reset_snap_dt": F.lit("")}), p),
+        row_counts=spark.createDataFrame([], f"{model.ROW_COUNT_HISTORY}, file_nm string"),
         statuses=statuses,
         files=files.unionByName(missing.select(*FILE_KEYS, F.lit("missing").alias("disposition"))),
         schema_failures=publish.schema_failures(present.limit(0)),
@@ -529,11 +566,31 @@ def ingest(
     folder: str,
     options: IntakeOptions | None = None,
 ) -> IntakeResult:
-    """Read, check and prepare all pending files of `prefix` that lie in `folder`."""
-    opt = options or IntakeOptions()
+    """Read, check and prepare all pending files of `prefix` that lie in `folder`.
+
+    What the run stages is removed by `IntakeResult.close` (or `with`), and here
+    if the run fails.
+    """
+    with registered_staging() as staged:
+        try:
+            result = _ingest(spark, control, prefix, folder, options or IntakeOptions())
+        except BaseException:
+            remove(spark, staged)
+            raise
+    result.staged = staged
+    return result
+
+
+def _ingest(spark: SparkSession, control: ct.ControlTables, prefix: str, folder: str, opt: IntakeOptions) -> IntakeResult:
     tune(spark)
     p = _read_prefix(control, prefix, opt.src_sys_nm)
-    manifest = ct.pending_files(control.manifest, opt.src_sys_nm, prefix)
+    if control.obfuscation is not None:
+        dated = ct.for_prefix(control.obfuscation, prefix).collect()
+        p.dated = [r for r in dated if r["column_name"].upper() in p.names]
+        ever = {r["column_name"].upper() for r in p.dated if r["active"] is not False}
+        p.obfuscated = [n for n in p.names if n in ever]
+    finished = None if control.statuses is None else ct.finished_files(control.statuses)
+    manifest = ct.pending_files(control.manifest, opt.src_sys_nm, prefix, finished)
     listed = listing.list_files(spark, folder)
     missing = listing.missing_files(manifest, listed)
     present = listing.present_files(manifest, listed)
@@ -555,14 +612,14 @@ def ingest(
         files = enrich.intraday_stamp(named, control.file_metadata).withColumn("file_nm", F.col("entry")).drop("entry")
     else:
         files = files.withColumn("snap_dt_ts", F.lit(None).cast("string"))
-    files = stage(files, "layouts")
+    files = stage(_with_hidden(files, p, control), "layouts")
     small = fits_broadcast(files)
     run = ["snap_dt", "run_id"]
-    data = _data_rows(found, files.filter("loads").select(*ROW_FACTS, *run), p, small)
-    judged = stage(_judge(_measures(data, files, p, control, opt), p), "judged")
+    data = _data_rows(found, files.filter("loads").select(*ROW_FACTS, *run, "hidden"), p, small)
+    judged = stage(_judge(_measures(data, files, p, control, opt), p, opt), "judged")
 
     stamps = run + (["snap_dt_ts"] if p.intraday else [])
-    accepted = judged.filter(F.col("disposition") == "accepted").select(*ROW_FACTS, *stamps)
+    accepted = judged.filter(F.col("disposition") == "accepted").select(*ROW_FACTS, *stamps, "hidden")
     wanted = F.col("reason").isNull() | F.lit(opt.keep_bad)
     out = _data_rows(found, accepted, p, small).filter(wanted)
     if opt.keep_bad:
@@ -570,17 +627,22 @@ def ingest(
         out = drop_all_null(out, p.names)
     hidden = p.obfuscated
 
+    def shown(line: Column) -> Column:
+        """A line; one that may hold a hidden value is obfuscated as a whole."""
+        return F.when(F.size("hidden") > 0, obfuscate(line, opt.obfuscation_key)).otherwise(line) if hidden else line
+
     def set_aside(found_bad: DataFrame) -> DataFrame:
-        """Quarantined rows; a line that may hold a hidden value is obfuscated as a whole."""
-        line = obfuscate(F.col("line"), opt.obfuscation_key) if hidden else F.col("line")
+        """Quarantined rows."""
+        line = shown(F.col("line"))
         pos = F.struct("block", F.col("line_id").alias("id")).alias("pos")
         return found_bad.select(_name_of_entry().alias("file_nm"), pos, line.alias("value"), "reason", *run)
 
     refused = data.filter(~wanted)
     bad = set_aside(refused)
     if hidden:
-        out = enrich.obfuscate_columns(out, hidden, opt.obfuscation_key)
+        out = enrich.obfuscate_columns(out, hidden, opt.obfuscation_key, F.col("hidden"))
     if p.casting:
+        # a column that is hidden in some file is text in all
         kinds = ["string" if n in hidden else t for n, t in zip(p.names, p.types, strict=True)]
         out, rejects = enrich.cast_with_rejects(out, p.names, kinds)
         bad = bad.unionByName(set_aside(rejects.withColumn("reason", F.lit("cast"))))
@@ -590,21 +652,23 @@ def ingest(
         final = [c for c in publish.table_columns(spark, opt.target_table) if c != "snap_dt_ts"]
     if final:
         out = schema.rename_to_target(out, final)
-    sample = obfuscate(F.col("line"), opt.obfuscation_key) if hidden else F.col("line")
-    report = rows.bad_row_report(refused, sample).withColumn("file_nm", _name_of_entry())
+    sample = shown(F.col("line"))
+    report = rows.bad_row_report(refused, sample).join(judged.select("file_nm", *run), "file_nm").withColumn("file_nm", _name_of_entry())
     judged = judged.withColumn("file_nm", _name_of_entry())
 
     known = judged.select(*FILE_KEYS, "layout", "match", "n_good", "n_bad", "disposition")
     absent = missing.select(*FILE_KEYS, F.lit("missing").alias("disposition"))
-    loaded = judged.filter((F.col("disposition") == "accepted") & F.lit(bool(hidden)))
+    accepted_files = judged.filter(F.col("disposition") == "accepted")
+    row_count = (F.col("n_good") + F.col("n_bad")).alias("row_count")
     return IntakeResult(
         published=out.drop("file_nm"),
         quarantine=bad.drop(*run),
         rows=out,
         bad_rows=bad,
         bad_row_report=report,
-        obfuscation_log=enrich.obfuscation_log(loaded, p.conf["target"], F.col("snap_dt"), F.col("snap_dt")),
-        statuses=_statuses(judged, p, route, bool(hidden)),
+        obfuscation_log=_hidden_log(accepted_files.filter(F.size("hidden") > 0), p),
+        row_counts=accepted_files.select("file_prefix_nm", *run, row_count, "file_nm"),
+        statuses=_statuses(judged, p, route),
         files=known.unionByName(absent, allowMissingColumns=True),
         schema_failures=publish.schema_failures(judged.filter(~F.col("empty") & (F.col("match") == "fail"))),
         route=route,

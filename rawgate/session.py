@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,6 +50,26 @@ def tune(spark: SparkSession) -> None:
 
 
 _LOCAL_ROOTS: dict[str, str] = {}
+_STAGED: ContextVar[list[str] | None] = ContextVar("staged", default=None)
+
+
+@contextmanager
+def registered_staging() -> Iterator[list[str]]:
+    """While it holds, collects the folders that `scratch_path` gives out."""
+    paths: list[str] = []
+    token = _STAGED.set(paths)
+    try:
+        yield paths
+    finally:
+        _STAGED.reset(token)
+
+
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    """Delete staged folders, whatever file system they are on; what is not there is no error."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for path in paths:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(conf).delete(place, True)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -61,7 +84,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
         root = _LOCAL_ROOTS.setdefault(app, tempfile.mkdtemp(prefix="run-"))
-    return f"{root.rstrip('/')}/rawgate/{app}/{label}-{uuid.uuid4().hex[:12]}"
+    path = f"{root.rstrip('/')}/rawgate/{app}/{label}-{uuid.uuid4().hex[:12]}"
+    registered = _STAGED.get()
+    if registered is not None:
+        registered.append(path)
+    return path
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

@@ -19,11 +19,16 @@ _SCHEMAS = {
     "file_metadata": model.FILE_METADATA,
     "row_count_history": model.ROW_COUNT_HISTORY,
 }
+_OPTIONAL = {"statuses": model.STATUS, "obfuscation": model.OBFUSCATION}
 
 
 @dataclass
 class ControlTables:
-    """The seven tables that describe a run."""
+    """The seven tables that describe a run, and what earlier runs have left.
+
+    With `statuses`, the log that runs append to, files that it says are finished
+    are not loaded again. `obfuscation` says by date which columns are hidden.
+    """
 
     expected_files: DataFrame
     checklist: DataFrame
@@ -32,16 +37,20 @@ class ControlTables:
     manifest: DataFrame
     file_metadata: DataFrame
     row_count_history: DataFrame
+    statuses: DataFrame | None = None
+    obfuscation: DataFrame | None = None
 
     @classmethod
     def from_rows(cls, spark: SparkSession, **rows: list[tuple]) -> ControlTables:
         """Tables from Python rows; a table that is not given is empty."""
-        return cls(**{n: spark.createDataFrame(rows.get(n, []), ddl) for n, ddl in _SCHEMAS.items()})
+        kept = {n: spark.createDataFrame(rows[n], ddl) for n, ddl in _OPTIONAL.items() if n in rows}
+        return cls(**{n: spark.createDataFrame(rows.get(n, []), ddl) for n, ddl in _SCHEMAS.items()}, **kept)
 
     @classmethod
     def from_tables(cls, spark: SparkSession, **tables: str) -> ControlTables:
         """Tables of the catalog, by name; columns are cast to the known types."""
-        return cls(**{n: conform(spark.table(tables[n]), ddl) for n, ddl in _SCHEMAS.items()})
+        kept = {n: conform(spark.table(tables[n]), ddl) for n, ddl in _OPTIONAL.items() if n in tables}
+        return cls(**{n: conform(spark.table(tables[n]), ddl) for n, ddl in _SCHEMAS.items()}, **kept)
 
 
 def conform(df: DataFrame, ddl: str) -> DataFrame:
@@ -194,10 +203,29 @@ def with_lead(names: Column, lead: Column) -> Column:
     return F.when(lead, F.concat(F.array(F.lit("H")), names)).otherwise(names)
 
 
-def pending_files(manifest: DataFrame, src_sys_nm: str | None, prefix: str) -> DataFrame:
-    """Files of a source and prefix that wait to be loaded."""
+#: what tells one delivery of a file from another
+DELIVERY = ["file_nm", "src_sys_nm", "snap_dt", "run_id"]
+#: steps that end the way of a file
+FINAL_STEPS = ("PublishToStage", "DqInputCopy")
+
+
+def finished_files(statuses: DataFrame) -> DataFrame:
+    """DELIVERY and prefix (in lower case) of the files whose latest attempt was published, from the status log.
+
+    The log may be of any length: it is reduced to one row per delivery on the
+    map side. A rejected or waiting file is not finished: it may come again.
+    """
+    done = (F.col("action_type").isin(*FINAL_STEPS) | F.col("action_typ_details").isin(*FINAL_STEPS)) if "action_typ_details" in statuses.columns else F.col("action_type").isin(*FINAL_STEPS)
+    latest = F.max(F.struct("time", F.coalesce(done & (F.col("status") == "Pass"), F.lit(False)).alias("done")))
+    by = [*DELIVERY, F.lower("file_prefix_nm").alias("file_prefix_nm")]
+    return statuses.groupBy(*by).agg(latest.alias("l")).filter("l.done").drop("l")
+
+
+def pending_files(manifest: DataFrame, src_sys_nm: str | None, prefix: str, finished: DataFrame | None = None) -> DataFrame:
+    """Files of a source and prefix that wait to be loaded: those of the manifest without the `finished` ones."""
     files = for_prefix(manifest, prefix)
-    return files.filter(F.col("src_sys_nm") == src_sys_nm) if src_sys_nm else files
+    files = files.filter(F.col("src_sys_nm") == src_sys_nm) if src_sys_nm else files
+    return files if finished is None else files.join(for_prefix(finished, prefix).select(*DELIVERY), DELIVERY, "left_anti")
 
 
 def metadata_value(details: Column, key: str) -> Column:

@@ -2,6 +2,7 @@
 
 import gzip
 import json
+import os
 import uuid
 
 import pytest
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from rawgate import ControlTables, IntakeOptions, ingest
 from rawgate.model import STATUS_COLUMNS
+from rawgate.session import remove
 
 SCHEMA = [("p", "k", 1, 3, "bigint", False), ("P", "v", 2, 2, "string", False)]
 
@@ -478,3 +480,138 @@ def test_target_names_from_the_table(spark, landing):
     result.write_table("final_target")
     assert [(r["number"], r["letter"]) for r in spark.table("final_target").collect()] == [(1, "a")]
     spark.sql("DROP TABLE final_target")
+
+
+def logged(spark, base):
+    return spark.read.option("basePath", base).parquet(f"{base}/status")
+
+
+def test_finished_files_are_not_loaded_again(spark, landing, tmp_path):
+    """A second run loads what waited and what is new, not what was published."""
+    parent = spark.createDataFrame([("1", "20230101")], "key string, snap_dt string")
+    folder = landing(a__csv="1|a\nT|1\n", b__csv="1|b\nT|1\n", c__csv="1|c\n")
+    checks = [("integrityCheck", "k=parents.key")]
+    first = ingest(spark, control(spark, ["a.csv"]), "p", folder)
+    first.write(str(tmp_path / "out"))
+    waits = ingest(spark, control(spark, ["b.csv"], checks), "p", folder, IntakeOptions(parents={"parents": parent}))
+    assert where(waits) == {"b.csv": "waiting"}
+    waits.write(str(tmp_path / "out"))
+    log = logged(spark, str(tmp_path / "out"))
+    both = control(spark, ["a.csv", "b.csv", "c.csv"])
+    both.statuses = log
+    assert where(ingest(spark, both, "p", folder)) == {"b.csv": "accepted", "c.csv": "accepted"}
+    # the same name of another run is another delivery
+    other = ControlTables(**{**vars(both), "manifest": both.manifest.withColumn("run_id", F.lit("r2"))})
+    assert set(where(ingest(spark, other, "p", folder))) == {"a.csv", "b.csv", "c.csv"}
+
+
+def test_latest_attempt_counts(spark):
+    def status(time, step, outcome="Pass"):
+        return ("20240101", "r1", "f.csv", "s", "P", "NA", "PublishToStage" if step else "Filelevelcheck", "", outcome, time, "")
+
+    from rawgate.model import STATUS
+    from rawgate.sources.control import finished_files
+
+    def done(*rows):
+        return finished_files(spark.createDataFrame(list(rows), STATUS)).count() == 1
+
+    assert done(status("1", True))
+    assert done(status("1", False, "Fail"), status("1", True))
+    assert done(status("1", False, "Waiting"), status("2", True))
+    assert not done(status("1", True), status("2", False, "Fail"))
+    assert not done(status("1", True, "Fail"))
+    assert not done(status("1", False))
+
+
+def test_row_counts_are_kept_for_later_runs(spark, landing, tmp_path):
+    """The second run's variance check sees the first; a rerun adds nothing."""
+    base, checks = str(tmp_path / "out"), [("rowCountVarianceCheck", "")]
+    folder = landing(a__csv="".join(f"{i}|a\n" for i in range(10)), b__csv="".join(f"{i}|b\n" for i in range(14)), c__csv="1|c\n" * 9)
+
+    def run(name, snap, history):
+        conf = control(spark, [name], checks)
+        conf.manifest = conf.manifest.withColumn("snap_dt", F.lit(snap))
+        if history:
+            conf.row_count_history = spark.read.parquet(f"{base}/row_count_history")
+        return ingest(spark, conf, "p", folder)
+
+    first = run("a.csv", "20240101", False)
+    assert where(first) == {"a.csv": "accepted"}
+    first.write(base)
+    run("a.csv", "20240101", True).write(base)
+    kept = spark.read.parquet(f"{base}/row_count_history").collect()
+    assert [(r["file_prefix_nm"], str(r["snap_dt"]), r["row_count"], r["file_nm"]) for r in kept] == [("p", "20240101", 10, "a.csv")]
+    assert where(run("b.csv", "20240102", True)) == {"b.csv": "rejected"}  # 40 % more than the day before
+    assert where(run("c.csv", "20240102", True)) == {"c.csv": "accepted"}
+
+
+def test_reruns_do_not_double_reports(spark, landing, tmp_path):
+    folder = landing(a__csv="1|a\n2\n3\n")
+    base = str(tmp_path / "out")
+    schema = [("p", "k", 1, 3, "string", False), ("P", "v", 2, 2, "string", True)]
+    for _ in range(2):
+        ingest(spark, control(spark, ["a.csv"], schema=schema), "p", folder, IntakeOptions(obfuscation_key=b"k")).write(base)
+    assert [r["bad_rows"] for r in spark.read.parquet(f"{base}/bad_row_report").collect()] == [2]
+    assert [r["file_info"] for r in spark.read.parquet(f"{base}/obfuscation_log").collect()] == ["20240101;r1;a.csv"]
+
+
+def test_checks_of_the_user(spark, landing):
+    """A check brings an aggregate, another a lookup; both are judged with the built-in ones."""
+    from rawgate.operators.checks import FAIL, PASS, Check
+
+    def most(rule, good):
+        return {"top": F.max(F.when(good, F.col("`K`").try_cast("int")))}
+
+    def known(files, data, rule):
+        return files.withColumn(f"known_{rule.seq}", F.col("file_nm") == "a.csv")
+
+    own = {
+        "mostcheck": Check(lambda r, m: F.when(m["top"] <= int(r.argument), PASS).otherwise(FAIL), most),
+        "knowncheck": Check(lambda r, m: F.when(F.col(f"known_{r.seq}"), PASS).otherwise(FAIL), lookup=known),
+    }
+    folder = landing(a__csv="1|a\n7|b\n", b__csv="1|a\n9|b\n", c__csv="2|a\n", d__csv="x|a\n")
+    conf = control(spark, ["a.csv", "b.csv", "c.csv", "d.csv"], [("MostCheck", "7"), ("KnownCheck", ""), ("rowCountVarianceCheck", "")], casting="N")
+    result = ingest(spark, conf, "p", folder, IntakeOptions(checks=own))
+    assert where(result) == {"a.csv": "accepted", "b.csv": "rejected", "c.csv": "rejected", "d.csv": "rejected"}
+
+
+def test_hidden_columns_by_date(spark, landing):
+    """Each file is hidden by the configuration of its snapshot."""
+    from rawgate.functions.obfuscation import deobfuscate
+
+    dated = [("p", "v", "20240101", "20231201", True), ("P", "V", "20240103", None, False), ("p", "k", "20240104", None, True), ("p", "gone", "20200101", None, True)]
+    folder = landing(**{f"f{d}__csv": f"{d}|v{d}\n" for d in range(1, 5)})
+    conf = control(spark, [f"f{d}.csv" for d in range(1, 5)], casting="N", obfuscation=dated)
+    conf.manifest = conf.manifest.withColumn("snap_dt", F.concat(F.lit("2024010"), F.substring("file_nm", 2, 1)))
+    refused = ingest(spark, conf, "p", folder)
+    assert set(where(refused).values()) == {"rejected"}  # no key, nothing in clear text
+    result = ingest(spark, conf, "p", folder, IntakeOptions(obfuscation_key=b"key"))
+    plain = {r["snap_dt"][-1]: (r["K"], r["V"], r["k"], r["v"]) for r in result.published.select("snap_dt", "K", "V", deobfuscate(F.col("K"), b"key").alias("k"), deobfuscate(F.col("V"), b"key").alias("v")).collect()}
+    assert {d: (k if k == d else "hidden", v if v == f"v{d}" else "hidden") for d, (k, v, _, _) in plain.items()} == {
+        "1": ("1", "hidden"), "2": ("2", "hidden"), "3": ("3", "v3"), "4": ("hidden", "v4")
+    }
+    assert plain["1"][3] == "v1" and plain["4"][2] == "4"
+    log = {r["partition_value"]: (r["config_snap_dt"], r["reset_snap_dt"]) for r in result.obfuscation_log.collect()}
+    assert log == {"2024-01-01": ("20240101", "20231201"), "2024-01-02": ("20240101", "20231201"), "2024-01-04": ("20240104", None)}
+    assert steps(result, "f3.csv").count(("", "Pass")) == 0
+
+
+def test_staged_data_is_removed(spark, landing, tmp_path, monkeypatch):
+    """By `close` or `with` after a run, and by a run that fails."""
+    from rawgate.plans import ingest as plan
+
+    def there(paths):
+        return [p for p in paths if os.path.exists(p.removeprefix("file:"))]
+
+    folder = landing(a__csv="1|a\n")
+    with ingest(spark, control(spark, ["a.csv"]), "p", folder) as result:
+        result.write(str(tmp_path / "out"))
+        paths = list(result.staged)
+        assert len(there(paths)) == len(paths) > 3
+    assert not there(paths) and spark.read.parquet(str(tmp_path / "out/tgt")).count() == 1
+    seen = []
+    monkeypatch.setattr(plan, "remove", lambda spark, staged: (seen.extend(there(staged)), remove(spark, staged)))
+    monkeypatch.setattr(plan, "_judge", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        ingest(spark, control(spark, ["a.csv"]), "p", folder)
+    assert seen and not there(seen)
