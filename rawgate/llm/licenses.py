@@ -1,13 +1,14 @@
 """License scan: a positional rare-token index over licence templates.
 
-Every template (and every short phrase) is a row of words. The index maps a
-word to the templates and offsets at which it stands. For each template the
-words that must be there (its key phrases) are ranked by inverse document
-frequency, counted over the whole corpus. In a file the postings of the two
-rarest of them are looked up and intersected by relative position: a file
-position minus its template offset says where the template would start. Only
-at starts that both words agree on are the key phrases verified word by word
-and the rest of the template weighed.
+Every template (and every short phrase) is a row of words. For each the words
+that must be there (its key phrases) are ranked by inverse document frequency,
+counted over the whole corpus; the two rarest are posted: word to (template,
+offset). The words of a file are looked up in these postings, and the pairs are
+intersected by relative position: a file position minus its template offset says
+where the template would start. Only at starts that both words agree on are the
+key phrases verified word by word and the rest of the template weighed. No step
+goes through the templates; words that are common everywhere are posted for those
+templates alone that have no rarer ones.
 
 Both passes run batch by batch over Arrow buffers; nothing is shuffled but one
 count per template word and task.
@@ -53,6 +54,28 @@ TEMPLATES = (
     ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose", ("permission to use copy modify and or distribute",)),
     ("lgpl", "licensed under the GNU Lesser General Public License", ("gnu lesser general public license",)),
     ("mit-grant", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software", ("permission is hereby granted free of charge",)),
+    (
+        "mit-text",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "
+        '"Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, '
+        "distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to "
+        "the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions "
+        'of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE '
+        "WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS "
+        "BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN "
+        "CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+        ("permission is hereby granted free of charge", "included in all copies or substantial portions"),
+    ),
+    (
+        "isc-text",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the "
+        'above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL '
+        "WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE "
+        "LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, "
+        "WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS "
+        "SOFTWARE.",
+        ("permission to use copy modify and or distribute", "notice appear in all copies"),
+    ),
     ("mit-notice", "Released under the MIT License", ("mit license",)),
     ("mpl-2.0", "subject to the terms of the Mozilla Public License, v. 2.0", ("mozilla public license",)),
     ("unlicense", "This is free and unencumbered software released into the public domain", ("free and unencumbered software",)),
@@ -94,8 +117,16 @@ def templates_of(
     return [make_template(label, text, (text,), base=True) for text, label in phrases] + [make_template(*t) for t in templates]
 
 
+def _ragged(sizes: np.ndarray) -> np.ndarray:
+    """0, 1, ... for each of the sizes, one after the other."""
+    return np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+
+
 class LicenseIndex:
-    """Word hashes of all templates, their rarity, and each template's rarest required words."""
+    """Postings of licence words: word to the (template, offset) pairs at which it is one of the template's two rarest required words.
+
+    Words are numbered, templates laid end to end, so that a lookup is a slice.
+    """
 
     def __init__(self, templates: list[Template], document_frequency: dict[str, int] | None = None, n_docs: int = 0):
         self.templates = templates
@@ -107,8 +138,20 @@ class LicenseIndex:
         of = {w: i for i, w in enumerate(self.vocabulary)}
         frequency = document_frequency or {}
         self.idf = np.array([np.log((n_docs + 1) / (frequency.get(w, 0) + 1)) + 1 for w in self.vocabulary])
-        self.terms = [np.array([of[w] for w in t.words], dtype=np.int64) for t in templates]
-        self.probes = [self._probes(t, terms) for t, terms in zip(templates, self.terms, strict=True)]
+        self.sizes = np.array([len(t.words) for t in templates], dtype=np.int64)
+        self.firsts = np.cumsum(self.sizes) - self.sizes
+        self.terms = np.array([of[w] for t in templates for w in t.words], dtype=np.int64)
+        self.required = np.zeros(len(self.terms), dtype=bool)
+        self.weights = np.array([self.idf[self.terms[f : f + n]].sum() for f, n in zip(self.firsts, self.sizes, strict=True)])
+        self.two = np.zeros(len(templates), dtype=bool)
+        posted: tuple[list[tuple[int, int, int]], ...] = ([], [])
+        for i, t in enumerate(templates):
+            self.required[self.firsts[i] + np.array(t.required)] = True
+            probes = self._probes(t, self.terms[self.firsts[i] : self.firsts[i] + self.sizes[i]])
+            self.two[i] = len(probes) == 2
+            for rank, offset in enumerate(probes):
+                posted[rank].append((int(self.terms[self.firsts[i] + offset]), i, offset))
+        self.postings = [self._postings(sorted(p)) for p in posted]
 
     def _probes(self, template: Template, terms: np.ndarray) -> list[int]:
         """Offsets of the two rarest required words (one, if all are the same word)."""
@@ -117,40 +160,57 @@ class LicenseIndex:
         second = next((j for j in ranked if terms[j] != terms[first]), None)
         return [first] if second is None else [first, second]
 
+    def _postings(self, listed: list[tuple[int, int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(slice of each word, templates, offsets)"""
+        term, template, offset = (np.array([x[k] for x in listed], dtype=np.int64) for k in range(3))
+        return np.searchsorted(term, np.arange(len(self.vocabulary) + 1)), template, offset
+
     def terms_at(self, hashes: np.ndarray) -> np.ndarray:
         """Term number of each word, -1 for words of no template."""
         at = np.searchsorted(self.sorted_hashes, hashes)
         at[at == len(self.sorted_hashes)] = 0
         return np.where(self.sorted_hashes[at] == hashes, self.term_ids[at], -1)
 
-    def matches(self, terms: np.ndarray, rows: np.ndarray, min_coverage: float) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-        """Per template: rows, starts (word numbers of the slice), coverages of verified places, words in place."""
-        n = len(terms)
-        order = np.argsort(terms, kind="stable")
-        ranked = terms[order]
-        found = []
-        for template, of, probes in zip(self.templates, self.terms, self.probes, strict=True):
-            starts = None
-            for offset in probes:
-                lo, hi = np.searchsorted(ranked, [of[offset], of[offset] + 1])
-                here = order[lo:hi] - offset
-                starts = here if starts is None else np.intersect1d(starts, here, assume_unique=True)
-                if not len(starts):
-                    break
-            if not len(starts):
-                found.append((np.zeros(0, np.int64), starts, np.zeros(0), np.zeros(0, np.int64)))
-                continue
-            starts = np.sort(starts)
-            places = starts[:, None] + np.arange(len(of))
-            inside = (places >= 0) & (places < n)
-            clipped = np.clip(places, 0, n - 1)
-            row = rows[starts + probes[0]]
-            equal = inside & (terms[clipped] == of) & (rows[clipped] == row[:, None])
-            weights = self.idf[of]
-            coverage = equal @ weights / weights.sum()
-            good = equal[:, list(template.required)].all(axis=1) & (coverage >= min_coverage)
-            found.append((row[good], starts[good], np.minimum(coverage[good], 1.0), equal[good].sum(axis=1)))
-        return found
+    def _look_up(self, rank: int, at: np.ndarray, term: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(template, start) of every posting of the words that stand at the given places."""
+        slices_, template, offset = self.postings[rank]
+        n = slices_[term + 1] - slices_[term]
+        where = np.repeat(slices_[term], n) + _ragged(n)
+        return template[where], np.repeat(at, n) - offset[where]
+
+    def matches(self, terms: np.ndarray, rows: np.ndarray, min_coverage: float) -> tuple[np.ndarray, ...]:
+        """Verified places: template, row, start (a word number of the slice), coverage, words in place.
+
+        The words of the files drive the search: the postings of the rarest words
+        are intersected with those of the second rarest on (template, start). Its
+        cost is that of the postings met, whatever the number of templates.
+        """
+        at = np.flatnonzero(terms >= 0)
+        n, far = len(terms), int(self.sizes.max(initial=0)) + 1
+
+        def key(template: np.ndarray, start: np.ndarray) -> np.ndarray:
+            return template * (n + 2 * far) + start + far
+
+        template, start = self._look_up(0, at, terms[at])
+        other = key(*self._look_up(1, at, terms[at]))
+        met = np.isin(key(template, start), other) | ~self.two[template]
+        template, start = template[met], start[met]
+        if not len(start):
+            none = np.zeros(0, np.int64)
+            return none, none, none, np.zeros(0), none
+        size = self.sizes[template]
+        inner = np.repeat(self.firsts[template], size) + _ragged(size)
+        place = np.repeat(start, size) + _ragged(size)
+        probe = np.clip(place, 0, n - 1)
+        # the row is that of any required word; the first probe stands in it
+        first_required = self.firsts[template] + np.array([t.required[0] for t in self.templates], dtype=np.int64)[template]
+        row = rows[np.clip(start + first_required - self.firsts[template], 0, n - 1)]
+        equal = (place >= 0) & (place < n) & (terms[probe] == self.terms[inner]) & (rows[probe] == np.repeat(row, size))
+        cut = np.cumsum(size) - size
+        whole = np.logical_and.reduceat(equal | ~self.required[inner], cut)
+        coverage = np.minimum(np.add.reduceat(equal * self.idf[self.terms[inner]], cut) / self.weights[template], 1.0)
+        good = whole & (coverage >= min_coverage)
+        return template[good], row[good], start[good], coverage[good], np.add.reduceat(equal.astype(np.int64), cut)[good]
 
 
 def _text_and_id(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -204,9 +264,7 @@ def scan_licenses(
                 starts, ends, pointer = find_words(buf, offsets, IS_ALNUM)
                 rows = row_of(pointer)
                 terms = index.terms_at(word_hashes(buf, starts, ends))
-                found = index.matches(terms, rows, min_coverage)
-                which = np.repeat(np.arange(len(found)), [len(f[0]) for f in found])
-                row, start, coverage, in_place = (np.concatenate([f[k] for f in found]) for k in range(4))
+                which, row, start, coverage, in_place = index.matches(terms, rows, min_coverage)
                 order = np.lexsort((which, start, row))
                 row, start, which = row[order], start[order], which[order]
                 structs = pa.StructArray.from_arrays(
