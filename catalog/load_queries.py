@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from catalog import rawfiles as raw
 from catalog.registry import query, table
@@ -215,6 +216,29 @@ def publish_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("o_orderkey bigint, load string, snap_dt string, run_id string").parquet(path)
 
 
+@query(
+    "publish_to_typed_table",
+    """SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, CAST(CASE WHEN o_orderstatus = 'P' THEN NULL ELSE CAST(o_totalprice AS DECIMAL(18,2)) END AS VARCHAR) AS total,
+      strftime(o_orderdate, '%Y-%m-%d') AS d, CAST(NULL AS VARCHAR) AS added, '' AS reject_cols FROM orders WHERE o_orderstatus <> 'F' OR o_orderpriority <> '5-LOW'
+    UNION ALL SELECT o_orderkey, 'much', strftime(o_orderdate, '%Y-%m-%d'), NULL, 'TOTAL' FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '5-LOW'""",
+)
+def publish_to_typed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of text meet the types of a table; blank numbers are null, words are rejected, a column of the table only is null."""
+    target = StructType.fromDDL("O_ORDERKEY bigint, TOTAL decimal(18,2), D date, ADDED int, snap_dt string, run_id string")
+    total = "CASE WHEN o_orderstatus = 'P' THEN ' ' WHEN o_orderstatus = 'F' AND o_orderpriority = '5-LOW' THEN 'much' ELSE cast(cast(o_totalprice as decimal(18,2)) as string) END"
+    rows = table(spark, sf_dir, "orders").selectExpr(
+        "cast(o_orderkey as string) o_orderkey", f"{total} total", "date_format(o_orderdate, 'yyyy-MM-dd') d", "date_format(o_orderdate, 'yyyy') snap_dt", "'r1' run_id"
+    )
+    good, bad = publish.reconcile(rows, target)
+    path = scratch_path(spark, "typed")
+    publish.publish(good, path)
+    written = spark.read.schema(target).parquet(path)
+    shown = ["cast(O_ORDERKEY as bigint) o_orderkey", "cast(TOTAL as string) total", "cast(D as string) d"]
+    return written.selectExpr(*shown, "cast(ADDED as string) added", "'' reject_cols").unionByName(
+        bad.selectExpr(*shown, "cast(null as string) added", "reject_cols")
+    )
+
+
 @query("publish_parts", "SELECT l_orderkey, l_returnflag AS part, 's' AS snap_dt, 'r1' AS run_id FROM lineitem")
 def publish_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One load in several parts, some of which come with a later job of the run."""

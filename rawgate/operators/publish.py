@@ -7,7 +7,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
+from rawgate.functions.casting import cast_failed, cast_text
 from rawgate.model import STATUS_COLUMNS
 
 PARTITION = ["snap_dt", "run_id"]
@@ -30,8 +32,41 @@ def publish(rows: DataFrame, path: str, part_files: bool = False) -> None:
         writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
+def reconcile(rows: DataFrame, target: StructType) -> tuple[DataFrame, DataFrame]:
+    """(rows with the columns and types of `target`, in its order; rows with a value that does not fit, and `reject_cols`).
+
+    Columns are told by name, whatever its case. A column of the target that rows
+    lack is null; one that rows have and the target lacks is an error, as it would
+    be lost. Blank text is null for a type that is no text.
+    """
+    have = {c.lower(): c for c in rows.columns}
+    lost = sorted(have.keys() - {f.name.lower() for f in target})
+    if lost:
+        raise ValueError(f"the target has no column for {', '.join(lost)}")
+
+    def of(field: StructField) -> tuple[Column, Column]:
+        """(value, whether the source has one that does not fit)"""
+        kind = field.dataType.simpleString()
+        if field.name.lower() not in have:
+            return F.lit(None).cast(kind), F.lit(False)
+        source = F.col(f"`{have[field.name.lower()]}`")
+        given = rows.schema[have[field.name.lower()]].dataType.simpleString()
+        if given == kind:
+            return source, F.lit(False)
+        if given == "string":
+            return cast_text(source, kind), cast_failed(source, kind)
+        value = source.try_cast(kind)
+        return value, source.isNotNull() & value.isNull()
+
+    told = [(f.name, *of(f)) for f in target]
+    failed = F.nullif(F.concat_ws(",", *[F.when(bad, F.lit(name)) for name, _, bad in told]), F.lit(""))
+    marked = rows.withColumn("reject_cols", failed)
+    good = marked.filter(F.col("reject_cols").isNull()).select(*[value.alias(name) for name, value, _ in told])
+    return good, marked.filter(F.col("reject_cols").isNotNull())
+
+
 def publish_table(rows: DataFrame, table: str, part_files: bool = False) -> None:
-    """The same for a table of the catalog, which is made if it is not there."""
+    """The same for a table of the catalog, which is made if it is not there; see `reconcile` for one with other types."""
     spark = rows.sparkSession
     by_file = ["file_nm"] if "file_nm" in rows.columns else []
     if not spark.catalog.tableExists(table):

@@ -51,10 +51,10 @@ def quarantine(bad: DataFrame) -> DataFrame:
     )
 
 
-def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """`df` with a row count that is taken while it is written, at no extra job."""
+def counted(df: DataFrame, name: str, where: Column | None = None) -> tuple[DataFrame, Observation]:
+    """`df` with a count of its rows (`where` holds) that is taken while it is written, at no extra job."""
     seen = Observation(name)
-    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+    return df.observe(seen, F.count_if(F.lit(True) if where is None else where).alias("rows")), seen
 
 
 def bad_records(records: DataFrame, config_type: str, distinct: bool = False) -> DataFrame:

@@ -17,6 +17,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from rawgate import model
 from rawgate.functions.cleaning import clean_cell, drop_all_null, remove_chars
@@ -85,22 +86,37 @@ class IntakeResult:
     bad_row_report: DataFrame
     obfuscation_log: DataFrame
     row_counts: DataFrame
+    keeps_bad: bool = False
     staged: list[str] = field(default_factory=list)
 
     def write(self, base: str) -> None:
         """Publish (or leave for the quality step), then quarantine, reports and statuses.
 
         Everything but the status log lies under snapshot, run and file: a
-        repeated run replaces its own files and leaves all others alone.
+        repeated run replaces its own files and leaves all others alone. Rows are
+        counted while they are written; if they are not those that the checks have
+        counted, publishing has failed in the log, and the files stay pending.
         """
         folder = self.target if self.route == "publish" else f"{self.target}_dq_input"
-        publish.publish(self.rows, f"{base}/{folder}")
-        publish.publish(self.bad_rows, f"{base}/quarantine")
+        published, written = rows.counted(self.rows, "published")
+        publish.publish(published, f"{base}/{folder}")
+        set_aside, rejected = rows.counted(self.bad_rows, "quarantined", F.col("reason") == "cast")
+        publish.publish(set_aside, f"{base}/quarantine")
         publish.publish(self.schema_failures, f"{base}/schema_failures")
         publish.publish(self.bad_row_report, f"{base}/bad_row_report")
         publish.publish(self.obfuscation_log, f"{base}/obfuscation_log")
         publish.publish(self.row_counts, f"{base}/row_count_history")
-        publish.append_status(self.statuses, f"{base}/status")
+        statuses = self.statuses
+        if not self.keeps_bad and not self._agrees(written.get["rows"] or 0, rejected.get["rows"] or 0):
+            lost = F.col("action_type").isin("PublishToStage") | F.col("action_typ_details").isin("DqInputCopy")
+            statuses = statuses.withColumn("status", F.when(lost, "Fail").otherwise(F.col("status")))
+        publish.append_status(statuses, f"{base}/status")
+
+    def _agrees(self, written: int, rejected: int) -> bool:
+        """Whether the rows that were written, and those that the casts set aside, are the good rows that the checks have counted."""
+        known = self.files.filter("disposition = 'accepted'").agg(F.sum("n_good").alias("n")) if "n_good" in self.files.columns else None
+        expected = 0 if known is None else known.collect()[0]["n"] or 0
+        return written + rejected == expected
 
     def close(self) -> None:
         """Remove what the run has staged; its frames cannot be read any more."""
@@ -113,14 +129,27 @@ class IntakeResult:
     def __exit__(self, *_: object) -> None:
         self.close()
 
-    def write_table(self, table: str) -> None:
-        """Publish to a table of the catalog, which is made if it is not there."""
-        publish.publish_table(self.rows if not _has_table_without_file(self.rows, table) else self.published, table)
+    def write_table(self, table: str, rejects: str | None = None) -> None:
+        """Publish to a table of the catalog, which is made if it is not there.
 
-
-def _has_table_without_file(rows: DataFrame, table: str) -> bool:
-    spark = rows.sparkSession
-    return spark.catalog.tableExists(table) and "file_nm" not in spark.table(table).columns
+        One that is there keeps its types: values are converted, and rows with
+        one that does not fit go to the folder `rejects`, under snapshot, run and
+        file. Without a folder they are an error, and nothing is written.
+        """
+        spark = self.rows.sparkSession
+        if not spark.catalog.tableExists(table):
+            publish.publish_table(self.rows, table)
+            return
+        target = spark.table(table).schema
+        named = "file_nm" in target.names
+        good, bad = publish.reconcile(self.rows if named else self.rows.drop("file_nm"), target)
+        if rejects is None:
+            if bad.take(1):
+                raise ValueError(f"rows do not fit the types of {table}; name a folder for them")
+        else:
+            _, bad = publish.reconcile(self.rows, target if named else StructType([*target.fields, StructField("file_nm", StringType())]))
+            publish.publish(bad, rejects)
+        publish.publish_table(good, table)
 
 
 @dataclass
@@ -674,4 +703,5 @@ def _ingest(spark: SparkSession, control: ct.ControlTables, prefix: str, folder:
         route=route,
         part_files=bool(p.conf["part_files"]),
         target=p.conf["target"],
+        keeps_bad=opt.keep_bad,
     )

@@ -615,3 +615,43 @@ def test_staged_data_is_removed(spark, landing, tmp_path, monkeypatch):
     with pytest.raises(ZeroDivisionError):
         ingest(spark, control(spark, ["a.csv"]), "p", folder)
     assert seen and not there(seen)
+
+
+def test_a_lost_row_fails_publishing(spark, landing, tmp_path):
+    """Rows that are written are counted, and compared with those that were checked."""
+    from dataclasses import replace
+
+    base = str(tmp_path / "out")
+    folder = landing(a__csv="1|a\n2|b\nx|c\n3\n")
+    result = ingest(spark, control(spark, ["a.csv"]), "p", folder)  # one bad row, one that does not convert
+    result.write(base)
+    publishing = "action_type = 'PublishToStage'"
+    assert [r["status"] for r in logged(spark, base).filter(publishing).collect()] == ["Pass"]
+    assert result.quarantine.count() == 2
+    replace(result, rows=result.rows.filter("K > 1")).write(str(tmp_path / "less"))
+    log = logged(spark, str(tmp_path / "less"))
+    assert [r["status"] for r in log.filter(publishing).collect()] == ["Fail"]
+    from rawgate.sources.control import finished_files
+
+    assert finished_files(log).count() == 0 and finished_files(logged(spark, base)).count() == 1
+
+
+def test_publish_to_a_table_with_types(spark, landing, tmp_path):
+    name = "typed_target"
+    folder = landing(a__csv="1|20\n2|many\n")
+    result = ingest(spark, control(spark, ["a.csv"], casting="N"), "p", folder)
+    try:
+        spark.sql(f"CREATE TABLE {name} (k BIGINT, v INT, more STRING, snap_dt STRING, run_id STRING) USING parquet PARTITIONED BY (snap_dt, run_id)")
+        with pytest.raises(ValueError, match="do not fit"):
+            result.write_table(name)
+        assert spark.table(name).count() == 0
+        result.write_table(name, str(tmp_path / "rejects"))
+        assert [tuple(r) for r in spark.table(name).collect()] == [(1, 20, None, "20240101", "r1")]
+        rejected = spark.read.parquet(str(tmp_path / "rejects")).collect()
+        assert [(r["K"], r["V"], r["reject_cols"], r["file_nm"]) for r in rejected] == [("2", "many", "v", "a.csv")]
+        with pytest.raises(ValueError, match="no column for file_nm, v"):
+            from rawgate.operators.publish import reconcile
+
+            reconcile(result.rows, spark.table(name).drop("v").schema)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
