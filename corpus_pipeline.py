@@ -6,6 +6,14 @@
 4. secrets: found secrets are masked in the text; all documents stay.
 5. mixing: documents are repeated to the target weights of their sources and
    dealt out in random order, with the columns `copy` and `shuffle_key`.
+
+Defined cases, in every stage: a null or empty text is kept by stages 1 to 4, and
+adds nothing to its source's size in stage 5; a repeated or null id is passed
+through with its own row, except that in stage 2 rows of one id go or stay
+together, and rows without an id stay only if no row of their group has one
+(ties: the smallest id stays); texts of any length are read whole; columns beyond
+those of documents are carried along, whatever their names, except `copy` and
+`shuffle_key`, which stage 5 makes anew; an empty table gives no rows.
 """
 
 from __future__ import annotations
