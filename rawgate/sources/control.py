@@ -215,7 +215,9 @@ def finished_files(statuses: DataFrame) -> DataFrame:
     The log may be of any length: it is reduced to one row per delivery on the
     map side. A rejected or waiting file is not finished: it may come again.
     """
-    done = (F.col("action_type").isin(*FINAL_STEPS) | F.col("action_typ_details").isin(*FINAL_STEPS)) if "action_typ_details" in statuses.columns else F.col("action_type").isin(*FINAL_STEPS)
+    done = F.col("action_type").isin(*FINAL_STEPS)
+    if "action_typ_details" in statuses.columns:
+        done = done | F.col("action_typ_details").isin(*FINAL_STEPS)
     latest = F.max(F.struct("time", F.coalesce(done & (F.col("status") == "Pass"), F.lit(False)).alias("done")))
     by = [*DELIVERY, F.lower("file_prefix_nm").alias("file_prefix_nm")]
     return statuses.groupBy(*by).agg(latest.alias("l")).filter("l.done").drop("l")
