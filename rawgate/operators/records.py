@@ -141,15 +141,20 @@ def last_trailer(records: DataFrame) -> DataFrame:
     )
 
 
+def is_data(indicator: Column | None = None) -> Column:
+    """Rows that are neither header nor trailer; where there is an `indicator`, rows marked D."""
+    neither = ~record_type().isin("H", "T")
+    return neither if indicator is None else neither & (~indicator | marked("D"))
+
+
 def data_rows(records: DataFrame) -> DataFrame:
-    """Rows that are neither header nor trailer."""
-    return records.filter(~record_type().isin("H", "T"))
+    return records.filter(is_data())
 
 
 def indicator_rows(records: DataFrame) -> DataFrame:
     """Rows marked D, without the mark."""
     return (
-        records.filter(marked("D"))
+        records.filter(is_data(F.lit(True)))
         .withColumn("cells", F.slice("cells", 2, F.greatest(F.size("cells") - 1, F.lit(0))))
         .withColumn("n_fields", F.col("n_fields") - 1)
     )

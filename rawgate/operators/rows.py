@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from rawgate.operators.records import drop_edges, marked
+from rawgate.operators.records import drop_edges, is_data
 
 
 def width_reason(need: Column | int) -> Column:
@@ -57,17 +57,17 @@ def counted(df: DataFrame, name: str, where: Column | None = None) -> tuple[Data
     return df.observe(seen, F.count_if(F.lit(True) if where is None else where).alias("rows")), seen
 
 
-def bad_records(records: DataFrame, config_type: str, distinct: bool = False) -> DataFrame:
-    """Malformed records of a configured file.
+def bad_records(records: DataFrame, config_type: str, distinct: bool = False, need: Column | int = 0) -> DataFrame:
+    """Bad records of a configured file: malformed ones, and those with fewer than `need` fields.
 
     `automated` files look at rows marked D, `manual` ones at all but the first
     row. `distinct` counts equal rows once.
     """
     if config_type == "automated":
-        rows = records.filter(marked("D"))
+        rows = records.filter(is_data(F.lit(True)))
     elif config_type == "manual":
         rows = drop_edges(records, 1, 0)
     else:
         raise ValueError(f"file type must be automated or manual, not {config_type!r}")
-    bad = rows.filter(F.col("malformed"))
+    _, bad = split_good_bad(rows, width_reason(need))
     return bad.select("file_nm", "cells").distinct() if distinct else bad

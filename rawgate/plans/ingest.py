@@ -423,10 +423,8 @@ def _data_rows(found: DataFrame, facts: DataFrame, p: _Prefix, small: bool) -> D
     registered columns as text, and whatever else `facts` has."""
     stamps = [c for c in facts.columns if c not in ROW_FACTS]
     pos = F.struct("block", "line_id")
-    typed = ~records.record_type().isin("H", "T")
-    if p.mode == "multiline":
-        # with an indicator only rows marked D are data
-        typed = typed & (~F.col("lead") | (records.record_type() == "D"))
+    # of multi-line files with an indicator only rows marked D are data
+    typed = records.is_data(F.col("lead") if p.mode == "multiline" else None)
     data = join_per_file(found, facts, small).filter(
         (F.col("keep_all") | typed)
         & (pos > F.col("after"))

@@ -103,17 +103,6 @@ def mapping_lookup(mapping: DataFrame, group: str) -> DataFrame:
     )
 
 
-def prefix_settings(mapping: DataFrame, group: str) -> DataFrame:
-    """The JSON object of a group, one row per prefix with its settings."""
-    parsed = mapping.filter(F.lower("group_name") == group.lower()).select(
-        F.from_json("val1", model.PREFIX_CONFIG).alias("j")
-    )
-    return parsed.select(F.explode("j.file_prefix_nm").alias("file_prefix_nm", "settings")).select(
-        "file_prefix_nm",
-        "settings.*",
-    )
-
-
 MODE_GROUPS = {
     "multiline": "listOfMultilineFiles",
     "clean": "data_clean_configuration",
@@ -121,30 +110,38 @@ MODE_GROUPS = {
 }
 
 
-def reading_mode(multiline: Column, clean: Column, xml: Column) -> Column:
+def prefix_settings(mapping: DataFrame) -> DataFrame:
+    """One row per prefix (in lower case) that a JSON object of the three groups names: its settings by mode, null where it has none.
+
+    Of several objects of a group that name a prefix, the last in order of `eff_seq` counts.
+    """
+    groups = F.lower("group_name")
+    mode = F.lit(None).cast("string")
+    for name, group in MODE_GROUPS.items():
+        mode = F.when(groups == group.lower(), name).otherwise(mode)
+    order = F.struct(F.col("eff_seq").isNull().alias("last"), F.col("eff_seq"), F.col("key1"))
+    parsed = mapping.select(mode.alias("mode"), order.alias("order"), F.from_json("val1", model.PREFIX_CONFIG)["file_prefix_nm"].alias("by_prefix"))
+    named = parsed.filter(F.col("mode").isNotNull()).select("mode", "order", F.explode("by_prefix").alias("prefix", "settings"))
+
+    def own(name: str) -> Column:
+        return F.max_by("settings", F.when(F.col("mode") == name, F.col("order"))).alias(name)
+
+    return named.groupBy(F.lower("prefix").alias("file_prefix_nm")).agg(*[own(name) for name in MODE_GROUPS])
+
+
+def reading_mode() -> Column:
     """Multi-line before clean before XML before plain."""
-    return F.when(multiline, "multiline").when(clean, "clean").when(xml, "xml").otherwise("plain")
+    mode = F.lit("plain")
+    for name in reversed(MODE_GROUPS):
+        mode = F.when(F.col(name).isNotNull(), name).otherwise(mode)
+    return mode
 
 
 def reading_modes(prefixes: DataFrame, mapping: DataFrame) -> DataFrame:
     """Mode and quote flag of each prefix, from the JSON settings of the three groups."""
-    names = prefixes.select("file_prefix_nm", F.lit(None).cast("string").alias("listed"), F.lit(None).cast("string").alias("quote_flag"))
-    for mode, group in MODE_GROUPS.items():
-        names = names.unionByName(
-            prefix_settings(mapping, group).select("file_prefix_nm", F.lit(mode).alias("listed"), "quote_flag")
-        )
-
-    def has(mode: str) -> Column:
-        return F.coalesce(F.max(F.col("listed") == mode), F.lit(False))
-
-    own = F.max(F.col("listed").isNull())
-    quote = F.max(F.when(F.col("listed") == "clean", F.col("quote_flag")))
-    found = names.groupBy("file_prefix_nm").agg(
-        own.alias("known"),
-        reading_mode(has("multiline"), has("clean"), has("xml")).alias("mode"),
-        F.coalesce(quote, F.lit("N")).alias("quote_flag"),
-    )
-    return found.filter("known").drop("known")
+    found = prefix_settings(mapping).withColumnRenamed("file_prefix_nm", "_prefix")
+    joined = prefixes.join(found, F.lower("file_prefix_nm") == F.col("_prefix"), "left")
+    return joined.select("file_prefix_nm", reading_mode().alias("mode"), F.coalesce("clean.quote_flag", F.lit("N")).alias("quote_flag"))
 
 
 @dataclass
@@ -157,21 +154,11 @@ class PrefixMapping:
 
 
 def mapping_of(mapping: DataFrame, prefix: str) -> PrefixMapping:
-    """Mode, JSON settings and name pairs of one prefix, in one small read."""
-    groups = {g.lower(): m for m, g in MODE_GROUPS.items()}
-    group = F.lower("group_name")
-    config = F.transform_keys(
-        F.from_json("val1", model.PREFIX_CONFIG)["file_prefix_nm"], lambda k, _: F.lower(k)
-    )
-    own = F.when(group.isin(*groups), F.try_element_at(config, F.lit(prefix.lower())))
-    wanted = mapping.select(group.alias("g"), "eff_seq", "key1", "val1", own.alias("own")).filter(
-        F.col("own").isNotNull() | (F.col("g") == "tabcol_repmapping")
-    )
-    rows = wanted.orderBy(F.col("eff_seq").asc_nulls_last(), "key1").collect()
-    settings = {groups[r["g"]]: r["own"] for r in rows if r["own"] is not None}
-    pairs = [(r["key1"], r["val1"]) for r in rows if r["g"] == "tabcol_repmapping"]
-    mode = next((m for m in MODE_GROUPS if m in settings), "plain")
-    return PrefixMapping(mode, settings, pairs)
+    """Mode, JSON settings and name pairs of one prefix."""
+    rows = prefix_settings(mapping).filter(F.col("file_prefix_nm") == prefix.lower()).withColumn("mode", reading_mode()).collect()
+    settings = {name: row[name] for row in rows for name in MODE_GROUPS if row[name] is not None}
+    pairs = [(r["key1"], r["val1"]) for r in mapping_lookup(mapping, "tabcol_repmapping").collect()]
+    return PrefixMapping(rows[0]["mode"] if rows else "plain", settings, pairs)
 
 
 def expected_columns(file_schema: DataFrame) -> DataFrame:
