@@ -1,10 +1,12 @@
 """Toxicity: a weighted finite-state pattern grammar over clauses.
 
-Words are mapped to classes (insult, threat verb, target, negation, reported
-speech, other). Five small transducers read the class sequence of a clause:
+Words are mapped to classes (insult, threat verb, threat verb that comes after
+its object, target, negation, reported speech, other), with seeds in English,
+German, French and Spanish. Five small transducers read the class sequence of a clause:
 
 * insult    emits at an insult word;
-* threat    emits when a target follows a threat verb within three words;
+* threat    emits when a target follows a threat verb within three words, or
+            a verb of the other kind follows a target (dich töten, te tuer, te mato);
 * target    remembers for four words that somebody is addressed;
 * negation  remembers for three words that something is negated;
 * report    remembers to the end of the clause that somebody else is quoted.
@@ -20,7 +22,8 @@ stems of STEMS bytes for inflected forms, that stand in many different contexts
 of several toxic documents and hardly in others. Contexts (the word before) are
 counted, not occurrences, so that copies of one document count once. The five emission
 weights are fitted on the same sample, drawn towards the grammar's defaults.
-The sample has at most about `max_labelled` rows, chosen by a hash of the id.
+The sample has at most about `max_labelled` rows, chosen by a hash of the id;
+every word and stem that it shows to be an insult is kept.
 
 Defined cases: a null or empty text emits nothing and gets the score of a clean
 document; labels that are null, or whose id is null, are not used; a document
@@ -43,17 +46,44 @@ from pyspark.sql import types as T
 from rawgate.llm.common import IS_ALNUM, arrow_map, find_words, hash_words, mix64, remainder, row_of, slices, span_hashes, table, whole_row
 from rawgate.llm.registry import query
 
-OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
-CLASSES = 6
+OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, LATE_THREAT = range(7)
+CLASSES = 7
 
-#: Seed words by class.
-SEEDS = {
+#: Seed words by class, English.
+ENGLISH = {
     INSULT: "asshole bastard bitch clown cretin cunt disgusting dumbass fool freak idiot imbecile jerk loser moron pathetic scum stupid trash vermin worthless".split(),
     THREAT: "beat burn choke destroy gut hang harm hurt kill murder punch shoot smash stab strangle".split(),
     TARGET: "you your yours yourself u ya they them their he him his she her everyone people".split(),
     NEGATION: "not never no none nobody isn aren wasn weren don doesn didn cannot cant dont isnt arent".split(),
     REPORT: "said says say saying told tells called calls claimed claims wrote writes quoted quote reported reports alleged".split(),
 }
+#: Seed words by class, German.
+GERMAN = {
+    INSULT: "abschaum arschloch dummkopf trottel".split(),
+    THREAT: "erschieße erschlage ersteche erwürge schlage töte verprügle".split(),
+    LATE_THREAT: "erschießen erschlagen erstechen erwürgen töten umbringen verprügeln".split(),
+    TARGET: "du dich dir dein deine deinen deiner ihr euch euer eure sie ihn ihm ihnen".split(),
+    NEGATION: "nicht nie niemals kein keine keinen keiner nichts niemand".split(),
+    REPORT: "sagt sagte sagten behauptet behauptete schreibt schrieb nannte zitiert zitierte angeblich".split(),
+}
+#: Seed words by class, French.
+FRENCH = {
+    INSULT: "connard crétin imbécile ordure salaud".split(),
+    LATE_THREAT: "étrangler frapper frapperai poignarder tue tuer tuerai".split(),
+    TARGET: "tu te toi ton ta tes vous votre vos ils elles lui leur eux".split(),
+    NEGATION: "ne pas jamais rien aucun aucune personne".split(),
+    REPORT: "dit disait disent affirme affirmait écrit écrivait prétend prétendait selon".split(),
+}
+#: Seed words by class, Spanish.
+SPANISH = {
+    INSULT: "cabrón escoria estúpida estúpido idiota imbécil".split(),
+    LATE_THREAT: "apuñalar estrangular golpear golpearé matar mataré mato".split(),
+    TARGET: "tú ti tus usted ustedes vosotros él ella ellos ellas".split(),
+    NEGATION: "nunca jamás nadie nada ningún ninguna tampoco".split(),
+    REPORT: "dijo dice dicen decía afirma afirmó escribe escribió llamó según".split(),
+}
+
+SEEDS = {c: [w for words in (ENGLISH, GERMAN, FRENCH, SPANISH) for w in words.get(c, ())] for c in range(1, CLASSES)}
 
 PLAIN, TARGETED, NEGATED, REPORTED, THREATENED = range(1, 6)
 LABELS = 5
@@ -80,7 +110,7 @@ def latch(trigger: int) -> list[list[int]]:
 
 def emission(negated: int, reported: int, addressed: int, threatening: int, word: int) -> int:
     """What the product emits at a word, given the states before it."""
-    threat = word == TARGET and threatening > 0
+    threat = (word == TARGET and threatening > 0) or (word == LATE_THREAT and addressed > 0)
     if not threat and word != INSULT:
         return 0
     if reported:
@@ -145,7 +175,7 @@ class Grammar:
         rows = row_of(pointer)
         breaks = np.cumsum(ENDS_CLAUSE[buf], dtype=np.int64)[starts]
         begins = np.flatnonzero(np.concatenate(([True], (breaks[1:] != breaks[:-1]) | (rows[1:] != rows[:-1]))))
-        strong = np.flatnonzero((classes == INSULT) | (classes == THREAT))
+        strong = np.flatnonzero((classes == INSULT) | (classes == THREAT) | (classes == LATE_THREAT))
         for clause in np.unique(np.searchsorted(begins, strong, side="right") - 1):
             first, stop = begins[clause], begins[clause + 1] if clause + 1 < len(begins) else len(starts)
             state, total = 0, 0.0
@@ -212,7 +242,7 @@ def _labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, la
     return texts.join(F.broadcast(known), "_id").select("text", "toxic")
 
 
-def learn_insults(labelled: DataFrame, min_contexts: int = 6, min_docs: int = 4, min_log_odds: float = 2.0, max_entries: int = 4_000) -> Learned:
+def learn_insults(labelled: DataFrame, min_contexts: int = 6, min_docs: int = 4, min_log_odds: float = 2.0) -> Learned:
     """Words and stems that stand in many different contexts of toxic documents and hardly in others.
 
     The context of a word is the word before it. Contexts are dealt into 64
@@ -261,7 +291,7 @@ def learn_insults(labelled: DataFrame, min_contexts: int = 6, min_docs: int = 4,
         .filter((F.col("bad") >= min_contexts) & (F.col("docs") >= min_docs) & (odds >= min_log_odds))
         .select("kind", "value", odds.alias("odds"))
     )
-    rows = best.orderBy(F.desc("odds"), "kind", "value").limit(max_entries).collect()
+    rows = best.collect()  # words of the labelled sample, each in `min_docs` documents of it
     return [(r["kind"], r["value"] % (1 << 64), float(r["odds"])) for r in rows]
 
 

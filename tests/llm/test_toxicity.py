@@ -36,11 +36,44 @@ def test_grammar(spark, text, label):
     assert (score >= 0.5) == (label in (tx.PLAIN, tx.TARGETED, tx.THREATENED))
 
 
+@pytest.mark.parametrize(
+    "targeted, negated, reported, threat, harmless",
+    [
+        ("You are an idiot", "You are not an idiot", "He said you are an idiot", "I will kill you", "I will kill the lights"),
+        ("Du bist ein Idiot", "Du bist kein Idiot", "Er sagte, du bist ein Idiot", "Ich werde dich töten", "Ich werde die Zeit töten"),
+        ("Tu es un imbécile", "Tu n'es pas un imbécile", "Il écrit que tu es un imbécile", "Je vais te tuer", "Il faut tuer le temps"),
+        ("Tú eres un idiota", "Tú no eres un idiota", "Dice que tú eres un idiota", "Te voy a matar", "Hay que matar el tiempo"),
+    ],
+)
+def test_the_clause_decides_in_four_languages(spark, targeted, negated, reported, threat, harmless):
+    texts = [targeted, negated, reported, threat, harmless]
+    got = emitted(spark, texts)
+    labels = [[i + 1 for i, x in enumerate(got[k][0]) if x] for k in range(len(texts))]
+    assert labels == [[tx.TARGETED], [tx.NEGATED], [tx.REPORTED], [tx.THREATENED], []]
+    assert [got[k][1] >= 0.5 for k in range(len(texts))] == [True, False, False, True, False]
+
+
+def test_a_seed_has_one_class():
+    words = [w for c in tx.SEEDS for w in tx.SEEDS[c]]
+    assert len(words) == len(set(words))
+
+
+def test_every_learned_entry_is_kept(spark):
+    """More insults than any round number: each stands in documents and contexts of its own."""
+    rng = random.Random(8)
+    n = 5_000
+    rows = [(i, " ".join(f"w{rng.randrange(10**6)} insult{(i * 100 + k) % n:05d}x" for k in range(100)), 1) for i in range(600)]
+    rows += [(i, prose(rng, 20), 0) for i in range(600, 700)]
+    labelled = spark.createDataFrame(rows, "id long, text string, toxic int").select("text", "toxic")
+    assert sum(size == 0 for size, _, _ in tx.learn_insults(labelled)) == n
+
+
 def brute_labels(classes):
     """Emissions of a clause by looking back from each word, without states."""
     out = []
     for i, c in enumerate(classes):
         threat = c == tx.TARGET and tx.THREAT in classes[max(0, i - tx.THREAT_REACH) : i]
+        threat = threat or (c == tx.LATE_THREAT and tx.TARGET in classes[max(0, i - tx.TARGET_REACH) : i])
         if c != tx.INSULT and not threat:
             continue
         before = classes[:i]
