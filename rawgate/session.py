@@ -49,6 +49,31 @@ def tune(spark: SparkSession) -> None:
         spark.conf.set(limit, SETTINGS[limit])
 
 
+#: Spark's own defaults: bytes that opening a file is taken for, and tasks that list folders
+DEFAULT_OPEN_BYTES, DEFAULT_LISTING_TASKS = 4 * 1024 * 1024, 10_000
+OPEN_BYTES = 512 * 1024
+_OPEN_KEY = "spark.sql.files.openCostInBytes"
+_LISTING_KEY = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
+
+@contextmanager
+def many_files(spark: SparkSession) -> Iterator[None]:
+    """While it holds, readers list folders with four tasks per core, not with one for each folder; from
+    then on, a task reads some hundred small files, not four. Where somebody has chosen other figures, those count.
+
+    A landing folder of thousands of small files costs more in tasks than in rows.
+    """
+    if spark.conf.get(_OPEN_KEY) in (str(DEFAULT_OPEN_BYTES), f"{DEFAULT_OPEN_BYTES}b", "4MB", "4m"):
+        spark.conf.set(_OPEN_KEY, str(OPEN_BYTES))
+    before = spark.conf.get(_LISTING_KEY)
+    if before == str(DEFAULT_LISTING_TASKS):
+        spark.conf.set(_LISTING_KEY, str(4 * spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(_LISTING_KEY, before)
+
+
 _LOCAL_ROOTS: dict[str, str] = {}
 _STAGED: ContextVar[list[str] | None] = ContextVar("staged", default=None)
 

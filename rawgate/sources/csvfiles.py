@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rawgate.session import many_files
 from rawgate.sources.lines import numbered
 
 BAD = "_bad"
@@ -34,7 +35,7 @@ def read_csv_records(
     one file per task.
     """
     cols = [f"col_{i}" for i in range(width)]
-    rows = (
+    reader = (
         spark.read.schema(f"{string_schema(width)}, {BAD} string")
         .option("header", False)
         .option("sep", sep)
@@ -44,8 +45,9 @@ def read_csv_records(
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", BAD)
         .option("columnPruning", False)
-        .csv(paths)
     )
+    with many_files(spark):
+        rows = reader.csv(paths)
     return numbered(
         rows,
         folders,

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rawgate.functions.ragged import split_cells
+from rawgate.session import many_files
 
 GZIP_BYTES_PER_PARTITION = 20 * 1024 * 1024
 PLAIN_BYTES_PER_PARTITION = 200 * 1024 * 1024
@@ -83,7 +84,9 @@ def read_lines(spark: SparkSession, paths: str | list[str], folders: bool = Fals
     to one scan; `session.stage` the result before joining positions found in
     one step with the rows of another.
     """
-    return numbered(spark.read.text(paths), folders, F.make_valid_utf8(strip_nul(F.col("value"))).alias("value"))
+    with many_files(spark):
+        scan = spark.read.text(paths)
+    return numbered(scan, folders, F.make_valid_utf8(strip_nul(F.col("value"))).alias("value"))
 
 
 def read_gzip_lines(

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from rawgate.functions.ragged import java_quote
-from rawgate.session import stage
+from rawgate.session import many_files, stage
 from rawgate.sources.csvfiles import BAD, string_schema
 from rawgate.sources.lines import numbered
 
@@ -100,7 +100,9 @@ def _up_to_here(keys: Sequence[str], order: str) -> WindowSpec:
 def placed_lines(spark: SparkSession, paths: Sequence[str], quoting: Quoting, folders: bool) -> DataFrame:
     """file_nm, block, line_id, value, starts, ends (inside quotes) and `rec`, the position of the line that its record starts at."""
     value = F.col("value")
-    lines = numbered(spark.read.option("lineSep", "\n").text(list(paths)), folders, "value")
+    with many_files(spark):
+        scan = spark.read.option("lineSep", "\n").text(list(paths))
+    lines = numbered(scan, folders, "value")
     lines = lines.withColumns({"opens": quoting.opens(value), "stays": quoting.stays(value)})
     inside = starts_inside(lines, ["file_nm", "block"], "line_id")
     so_far = _up_to_here(["file_nm", "block"], "line_id")

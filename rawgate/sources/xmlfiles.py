@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rawgate.model import POSITION
-from rawgate.session import stage
+from rawgate.session import many_files, stage
 from rawgate.sources import scan
 from rawgate.sources.csvfiles import BAD
 from rawgate.sources.lines import PART_BITS, numbered
@@ -51,12 +51,13 @@ def read_xml_records(
     The registered names are the schema, so nothing is inferred and no row of
     names has to be put in front of the data.
     """
-    rows = (
+    reader = (
         spark.read.schema(", ".join(f"`{c}` string" for c in columns) + ", _bad string")
         .option("rowTag", row_tag)
         .option("columnNameOfCorruptRecord", "_bad")
-        .xml(paths)
     )
+    with many_files(spark):
+        rows = reader.xml(paths)
     return numbered(
         rows,
         folders,
@@ -137,7 +138,9 @@ def _from_each_state(value: Column) -> tuple[Column, list[Column]]:
 def _pieces(spark: SparkSession, paths: Sequence[str], tags: RowTags, folders: bool) -> DataFrame:
     """Numbered pieces with their function, start tags by state, and whether they begin as what follows an end tag's name."""
     value = F.col("value")
-    pieces = numbered(spark.read.option("lineSep", tags.end).text(list(paths)), folders, "value")
+    with many_files(spark):
+        scan = spark.read.option("lineSep", tags.end).text(list(paths))
+    pieces = numbered(scan, folders, "value")
     f, texts = _from_each_state(value)
     counted = pieces.withColumns({"f": f, "opens": F.array(*[tags.opens(t) for t in texts]), "ends": value.rlike(r"^\s*>")})
     return stage(counted, "pieces")
