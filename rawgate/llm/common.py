@@ -7,6 +7,7 @@ UTF-8 text can be found byte by byte, without decoding.
 from __future__ import annotations
 
 import ctypes
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -161,8 +162,15 @@ def ascii_lower(text: Column) -> Column:
 
 
 def words_of(text: Column, pattern: str) -> Column:
-    """All words, as an array (JVM side)."""
-    return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    """All words that a pattern `[^...]+` finds, as an array (JVM side).
+
+    They are what stands between the runs of the other characters: cutting
+    there costs a tenth of searching for each word. Only the first and the
+    last piece can be empty.
+    """
+    if not re.fullmatch(r"\[\^[^\[\]]+\]\+", pattern):
+        raise ValueError(f"not a pattern of the form [^...]+: {pattern}")
+    return F.array_remove(F.split(text, f"[{pattern.removeprefix('[^')}", -1), "")
 
 
 def remainder(doc_id: Column, modulus: int) -> Column:

@@ -68,7 +68,9 @@ def benchmark_items(benchmark: DataFrame, id_col: str = "item_id", text_col: str
 def term_frequencies(tokens: DataFrame, items: DataFrame) -> DataFrame:
     """term, n: occurrences in the corpus of every term that an item has and the corpus too."""
     terms = staged(items.select(F.explode("words").alias("w")).select(F.xxhash64("w").alias("term")).distinct(), "decon-terms")
-    occurrences = tokens.select(F.explode("tokens").alias("w")).select(F.xxhash64("w").alias("term"))
+    # outer: else Spark puts a filter on the number of tokens below, and finds the words of every text for it once more
+    words = tokens.select(F.explode_outer("tokens").alias("w")).filter(F.col("w").isNotNull())
+    occurrences = words.select(F.xxhash64("w").alias("term"))
     return occurrences.join(broadcast_if_small(terms, 16), "term").groupBy("term").agg(F.count("*").alias("n"))
 
 
@@ -114,7 +116,9 @@ def build_index(tokens: DataFrame, terms: DataFrame, window: int = WINDOW) -> Po
     """Postings of the given terms (a column of 64-bit hashes) over all documents, written once."""
     mark = F.xxhash64(F.lit(END_MARK))
     wanted = staged(terms.select("term").distinct().unionByName(terms.sparkSession.range(1).select(mark.alias("term"))), "decon-probe-terms")
-    placed = tokens.select("doc_id", "text_hash", "tokens", F.posexplode(F.concat("tokens", F.array(F.lit(END_MARK)))).alias("pos", "w")).withColumn(
+    # outer as in term_frequencies; there is always the mark
+    marked = F.concat("tokens", F.array(F.lit(END_MARK)))
+    placed = tokens.select("doc_id", "text_hash", "tokens", F.posexplode_outer(marked).alias("pos", "w")).withColumn(
         "term", F.xxhash64("w")
     )
     near_from = F.greatest(F.col("pos") - (window - 1), F.lit(0))
