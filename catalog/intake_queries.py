@@ -11,7 +11,7 @@ from catalog import rawfiles as raw
 from catalog.registry import query, table
 from rawgate import ControlTables, IntakeOptions, IntakeResult, ingest, model
 from rawgate.sources import control as ct
-from rawgate.sources.listing import list_files
+from rawgate.sources.listing import list_names
 
 ORDER_COLUMNS = [
     ("orders", "orderkey", 1, 12, "bigint", False),
@@ -25,7 +25,7 @@ ORDER_COLUMNS = [
 
 
 def manifest_of(spark: SparkSession, folder: str, prefix: str, absent: str | None = None) -> DataFrame:
-    names = list_files(spark, folder).select("file_nm")
+    names = list_names(spark, folder)
     if absent:
         names = names.unionByName(spark.createDataFrame([(absent,)], "file_nm string"))
     rows = names.selectExpr("file_nm", "'shop' src_sys_nm", "'r1' run_id", "'20240101' snap_dt", f"'{prefix}' file_prefix_nm")

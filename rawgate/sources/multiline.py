@@ -144,8 +144,11 @@ def record_texts(lines: DataFrame, quoting: Quoting, max_chars: int = MAX_RECORD
         .select("file_nm", "rec.block", "rec.line_id", F.array_join("l.value", "\n").alias("value"), F.lit(False).alias("untrusted"))
     )
     single = lines.filter(whole).select("file_nm", "block", "line_id", "value", F.lit(False).alias("untrusted"))
-    text = F.regexp_replace(F.replace(F.col("value"), F.lit("\r\n"), F.lit("\n")), r"\r\z", "")
-    return single.unionByName(several).unionByName(alone).withColumn("value", text).filter(F.length("value") > 0)
+    text = F.replace(F.col("value"), F.lit("\r\n"), F.lit("\n"))
+    text = F.when(F.endswith("value", F.lit("\r")), F.substring(text, F.lit(1), F.length(text) - 1)).otherwise(text)
+    # of the raw value, as a filter on the new one would make every text once more
+    some = ~F.col("value").isin("", "\r")
+    return single.unionByName(several).unionByName(alone).filter(some).withColumn("value", text)
 
 
 def multiline_records(
