@@ -46,13 +46,22 @@ ORDERS_SQL = f"""o AS (
   FROM orders)"""
 
 
+#: files land without checksum files beside them, which on a local file system cost as much to make as the files do
+LANDED = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
+
+
 def write_once(spark: SparkSession, sf_dir: str, label: str, make: Callable[[], DataFrame], **options: str) -> str:
-    """Folder with the lines (file_nm, ord, value) of `make` in order."""
+    """Folder with the lines (file_nm, ord, value) of `make` in order.
+
+    Writing takes time by the number of files more than by their bytes, so the number of tasks is
+    fixed: merged by size, the tasks would be few, with thousands of files each.
+    """
     key = (spark.sparkContext.applicationId, sf_dir, label)
     if key not in _WRITTEN:
         path = scratch_path(spark, f"raw-{label}")
-        lines = make().repartition("file_nm").sortWithinPartitions("file_nm", "ord")
-        lines.select("file_nm", "value").write.partitionBy("file_nm").options(**options).text(path)
+        tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+        lines = make().repartition(tasks, "file_nm").sortWithinPartitions("file_nm", "ord")
+        lines.select("file_nm", "value").write.partitionBy("file_nm").options(**LANDED, **options).text(path)
         _WRITTEN[key] = path
     return _WRITTEN[key]
 
@@ -62,12 +71,9 @@ def _file(prefix: str, key: str, per_file: int, suffix: str = "csv") -> str:
 
 
 def fixed_lines(files: DataFrame, *lines: tuple[int, str]) -> DataFrame:
-    """The same lines for every file; each line is (ord, SQL expression)."""
-    out = None
-    for order, text in lines:
-        part = files.select("file_nm", F.lit(order).cast("bigint").alias("ord"), F.expr(text).alias("value"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    """The same lines for every file, from one pass over `files`; each line is (ord, SQL expression)."""
+    each = [F.struct(F.lit(order).cast("bigint").alias("ord"), F.expr(text).alias("value")) for order, text in lines]
+    return files.select("file_nm", F.inline(F.array(*each)))
 
 
 def orders_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,7 +105,7 @@ def orders_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     files = rows.groupBy("file_nm", "file_no").agg(
         F.count("*").alias("n"),
-        F.expr(f"coalesce(sum(CASE WHEN {SHORT} OR {MALFORMED} THEN 0 ELSE cast(total as decimal(18,2)) END), 0)").alias("s"),
+        F.expr(f"coalesce(sum(CASE WHEN {SHORT} OR {MALFORMED} THEN 0 ELSE cast(o_totalprice as decimal(18,2)) END), 0)").alias("s"),
     )
     edges = fixed_lines(
         files,
